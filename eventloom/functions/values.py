@@ -125,7 +125,7 @@ def observation_id(provider: Column, provider_event_id: Column, fallback: Column
 
 
 def fixed_decimals(c: Column, decimals: int) -> Column:
-    return F.coalesce(F.format_string(f"%.{decimals}f", c), F.lit(""))
+    return F.when(c.isNotNull(), F.format_string(f"%.{decimals}f", c)).otherwise(F.lit(""))
 
 
 def relative_spread(lo: Column, hi: Column, floor: float = 1e-9) -> Column:
