@@ -26,7 +26,7 @@ class Tables:
 
     def view(self, name: str) -> DataFrame:
         body, sources = views.VIEWS[name]
-        text = body
+        text = body.replace("{", "{{").replace("}", "}}")
         for source in sources:
             text = text.replace(f"<{source}>", "{" + source + "}")
         inputs = {s: self.view(s) if s in views.VIEWS else self.raw(s) for s in sources}

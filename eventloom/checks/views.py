@@ -300,7 +300,7 @@ _view(
 SELECT 'F' || cast(p_partkey % 5 AS string) AS fund,
   '202501' || lpad(cast(p_partkey % 28 + 1 AS string), 2, '0') || '_F' || cast(p_partkey % 5 AS string) || '.json' AS file_name,
   p_partkey,
-  CASE WHEN p_partkey % 97 = 0 THEN '' WHEN p_partkey % 89 = 0 THEN '<html>' WHEN p_partkey % 83 = 0 THEN '{"aaData":'
+  CASE WHEN p_partkey % 97 = 0 THEN '' WHEN p_partkey % 89 = 0 THEN 'html' WHEN p_partkey % 83 = 0 THEN '{"aaData":'
     WHEN p_partkey % 79 = 0 THEN '{"other": 1}' ELSE
   '{' || CASE WHEN p_partkey % 2 = 0 THEN '"asOfDate":"Feb 3, 2025",' ELSE '' END || '"aaData":[["00' || cast(p_partkey AS string)
   || '","' || p_name || '","Tech","Equity",{"display":"$1,000","raw":1000.5},{"display":"1.5","raw":' || cast(p_size AS string)

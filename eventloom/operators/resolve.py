@@ -150,12 +150,15 @@ def strip_local_suffix(c: Column) -> Column:
     return F.when(~looks_like_ticker(s) & s.rlike(LOCAL_PATTERN), F.regexp_extract(s, LOCAL_PATTERN, 1)).otherwise(s)
 
 
-def ticker_from_suffix(underlying: Column, suffix: Column) -> Column:
-    bare = strip_local_suffix(underlying)
-    padded = bare
-    for name, width in vn.PADDED.items():
-        padded = F.when(suffix == name, tk.zero_fill(bare, width)).otherwise(padded)
-    return F.when((suffix == "") | (padded == ""), padded).otherwise(F.concat(padded, F.lit("."), suffix))
+def ticker_from_suffix(bare: Column, suffix: Column) -> Column:
+    """Ticker of a symbol without local suffix; numeric symbols are padded where the venue wants it."""
+    widths = sorted(set(vn.PADDED.values()))
+    width = F.lit(0)
+    for w in widths:
+        width = F.when(suffix.isin([s for s, n in vn.PADDED.items() if n == w]), F.lit(w)).otherwise(width)
+    short = bare.rlike(r"^\d+$") & (F.length(bare) < width)
+    padded = F.when(short, F.lpad(bare, width, F.lit("0"))).otherwise(bare)
+    return F.when((suffix == "") | (bare == ""), padded).otherwise(F.concat(padded, F.lit("."), suffix))
 
 
 def prefix_matches_venue(df: DataFrame, prefix: str, venue: str, out: str) -> DataFrame:
@@ -211,10 +214,10 @@ def guess_tickers(securities: DataFrame, rules: DataFrame) -> DataFrame:
         .when(by_rule, F.col("rule_suffixes"))
         .otherwise(F.coalesce("__by_country", "__by_ccy"))
     )
+    df = df.withColumn("__bare", F.when(F.col("__as_is"), F.col("underlying")).otherwise(strip_local_suffix(F.col("underlying"))))
     df = df.select("*", F.posexplode(suffixes).alias("ordinal", "__suffix"))
-    ticker = F.when(F.col("__as_is"), F.col("underlying")).otherwise(
-        ticker_from_suffix(F.col("underlying"), F.col("__suffix"))
-    )
+    df = df.withColumn("__ticker", ticker_from_suffix(F.col("__bare"), F.col("__suffix")))
+    ticker = F.col("__ticker")
     market = F.when(F.col("__as_is"), "ASIS").when(ticker.contains("."), tk.suffix(ticker)).otherwise("US")
     df = df.withColumns(
         {
