@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from eventloom.checks import views
+from eventloom.session import cut_lineage
 
 Query = Callable[["Tables"], DataFrame]
 
@@ -32,6 +33,10 @@ class Tables:
         inputs = {s: self.view(s) if s in views.VIEWS else self.raw(s) for s in sources}
         return self.spark.sql(text, **inputs)
 
+    def solid(self, name: str) -> DataFrame:
+        """A view written to the shared folder first, for queries that read it several times."""
+        return cut_lineage(self.view(name))
+
     def sql(self, text: str, **frames: DataFrame) -> DataFrame:
         return self.spark.sql(text, **frames)
 

@@ -18,6 +18,7 @@ from eventloom.operators import summary as sm
 from eventloom.operators import ticker_qa as tq
 from eventloom.operators import venues as vn
 from eventloom.operators.venue_policy import annotate_policy
+from eventloom.session import cut_lineage
 from eventloom.sources import vendor as vd
 
 SUFFIXES = ", ".join(f"'{s}'" for s in vn.VENDOR_SUFFIXES)
@@ -160,7 +161,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("rep6_guess_tickers", f"WITH {guess_sql('v_securities')} SELECT * FROM guesses")
 def _(t: Tables) -> DataFrame:
-    out = rs.guess_tickers(t.view("v_securities"), rules(t))
+    out = rs.guess_tickers(t.solid("v_securities"), rules(t))
     return out.select(
         "security_id", "ordinal", "ticker", "market", "guess_source", "isin_prefix", "canonical_exchange", "prefix_exchange_consistent"
     )
@@ -171,7 +172,7 @@ def _(t: Tables) -> DataFrame:
     f"WITH {guess_sql('v_securities')} SELECT guess_source, count(DISTINCT security_id) AS securities, count(*) AS candidates FROM guesses GROUP BY 1",
 )
 def _(t: Tables) -> DataFrame:
-    out = rs.guess_tickers(t.view("v_securities"), rules(t))
+    out = rs.guess_tickers(t.solid("v_securities"), rules(t))
     return out.groupBy("guess_source").agg(F.countDistinct("security_id").alias("securities"), F.count("*").alias("candidates"))
 
 
@@ -224,7 +225,7 @@ def _(t: Tables) -> DataFrame:
     return vd.chart_events(t.view("v_chart")).withColumn("ex_date", F.col("ex_date").cast("string"))
 
 
-SEARCH = """search AS (SELECT isin, 0 AS ordinal, split_part(content, '"', 6) AS raw, 'Bombay' AS market FROM v_search WHERE isin NOT LIKE '%x'
+SEARCH = """search AS (SELECT isin, 0 AS ordinal, split_part(content, '"', 6) AS raw, 'Bombay' AS market FROM v_search WHERE contains(content, '.bo"')
   UNION ALL SELECT isin, 1, regexp_extract(content, '\\{"symbol":"([0-9]+)\\$"', 1) || '$', 'NMS' FROM v_search WHERE contains(content, '"etf"')
   UNION ALL SELECT isin, 3, regexp_extract(content, '"(ZZ[0-9]+\\.SG)"', 1), 'UNK' FROM v_search),
 found AS (SELECT isin, ordinal, upper(replace(raw, '$', '')) AS ticker, market, substr(isin, 1, 2) AS isin_prefix FROM search)"""
@@ -307,12 +308,12 @@ def existing(t: Tables) -> DataFrame:
 
 def securities(t: Tables) -> DataFrame:
     empty = t.view("v_cache_raw").where("false")
-    return rs.with_row_isin(rs.attach_override(rs.security_context(t.view("v_securities")), rr.chosen_map(empty)))
+    return cut_lineage(rs.with_row_isin(rs.attach_override(rs.security_context(t.solid("v_securities")), rr.chosen_map(empty))))
 
 
 def resolved(t: Tables) -> DataFrame:
     df = securities(t).where(~rs.is_unsupported(F.col("override")))
-    return rs.resolve_candidates(df, vd.search_candidates(t.view("v_search")), rules(t), existing(t))
+    return cut_lineage(rs.resolve_candidates(df, vd.search_candidates(t.view("v_search")), rules(t), existing(t)))
 
 
 @query(
@@ -396,12 +397,12 @@ def landing(t: Tables) -> ig.Landing:
 
 def ingested(t: Tables) -> ig.Ingested:
     empty = t.view("v_cache_raw").where("false")
-    return ig.ingest(t.view("v_securities"), landing(t), rules(t), rr.chosen_map(empty), WINDOW)
+    return ig.ingest(t.solid("v_securities"), landing(t), rules(t), rr.chosen_map(empty), WINDOW)
 
 
 def chosen(t: Tables) -> DataFrame:
     lo, hi = WINDOW.start_day(), WINDOW.end_day()
-    return ig.choose(rs.choose_paying(resolved(t), vd.window_actions(t.view("v_actions"), lo, hi)))
+    return cut_lineage(ig.choose(rs.choose_paying(resolved(t), vd.window_actions(t.view("v_actions"), lo, hi))))
 
 
 @query("jn13_first_paying_candidate", f"WITH {CHOSEN} SELECT security_id, paid AS ticker FROM ch WHERE paid IS NOT NULL")

@@ -133,7 +133,7 @@ SELECT cast(p_partkey AS string) AS security_id,
   CASE WHEN p_size % 7 = 6 THEN ''
     ELSE (CASE p_size % 7 WHEN 0 THEN 'IN' WHEN 1 THEN 'GB' WHEN 2 THEN 'HK' WHEN 3 THEN 'US' WHEN 4 THEN 'RU'
       ELSE 'JP' END) || lpad(cast(p_partkey AS string), 9, '0') || cast(p_partkey % 10 AS string) END AS isin,
-  CASE p_size % 6 WHEN 0 THEN 'India' WHEN 1 THEN 'united  kingdom' WHEN 2 THEN 'Hong Kong'
+  CASE p_size % 6 WHEN 0 THEN 'India' WHEN 1 THEN 'United Kingdom' WHEN 2 THEN 'hong  kong'
     WHEN 3 THEN 'Russian Federation' WHEN 4 THEN '' ELSE 'Israel' END AS country,
   CASE p_partkey % 6 WHEN 0 THEN 'National Stock Exchange of India' WHEN 1 THEN 'NYSE'
     WHEN 2 THEN 'Hong Kong Exchanges And Clearing Ltd' WHEN 3 THEN 'Tokyo Stock Exchange - Main' WHEN 4 THEN ''
@@ -178,7 +178,7 @@ _view(
     """
 SELECT (CASE p_size % 7 WHEN 0 THEN 'IN' WHEN 1 THEN 'GB' WHEN 2 THEN 'HK' WHEN 3 THEN 'US' WHEN 4 THEN 'RU'
       WHEN 5 THEN 'JP' ELSE 'ZZ' END) || lpad(cast(p_partkey AS string), 9, '0') || cast(p_partkey % 10 AS string) AS isin,
-  '{"quotes":[{"symbol":"' || cast(p_partkey AS string) || '.bo","quoteType":"EQUITY","exchDisp":"Bombay"},'
+  '{"quotes":[{"symbol":"' || CASE WHEN p_partkey % 3 = 0 THEN cast(p_partkey AS string) || '.bo' ELSE ' ' END || '","quoteType":"EQUITY","exchDisp":"Bombay"},'
   || '{"symbol":"' || cast(p_partkey AS string) || '$","quoteType":"' || CASE WHEN p_partkey % 2 = 0 THEN 'etf' ELSE 'INDEX' END
   || '","exchange":"NMS"},{"symbol":"","quoteType":"EQUITY"},{"symbol":"ZZ' || cast(p_partkey AS string) || '.SG"}]}' AS content
 FROM <part> WHERE p_partkey % 4 <> 3

@@ -305,22 +305,19 @@ def ingest(
     window: Window = Window(),
     source: str = "yfinance",
     asof: str | None = None,
-    materialise: bool = False,
 ) -> Ingested:
     """All securities at once; a security that cannot be served becomes a row in errors or no-events.
 
-    Four tables follow from the resolved securities. ``materialise`` writes those once to the shared
-    folder; without it every table that is used resolves again.
+    Securities, resolved and chosen ones (one row each) are written to the shared folder: the first
+    feed three searches, the second are read twice to find the paying ticker, the last give four tables.
     """
-    securities = rs.with_row_isin(rs.attach_override(rs.security_context(universe), chosen_map))
+    securities = cut_lineage(rs.with_row_isin(rs.attach_override(rs.security_context(universe), chosen_map)))
     unsupported = rs.is_unsupported(F.col("override"))
     actions = window_actions(landing.actions, window.start_day(), window.end_day())
 
     open_rows = securities.where(~unsupported)
-    resolved = rs.resolve_candidates(open_rows, landing.search, rules, landing.existing)
-    chosen = with_metadata(choose(rs.choose_paying(resolved, actions)))
-    if materialise:
-        chosen = cut_lineage(chosen)
+    resolved = cut_lineage(rs.resolve_candidates(open_rows, landing.search, rules, landing.existing))
+    chosen = cut_lineage(with_metadata(choose(rs.choose_paying(resolved, actions))))
 
     blocked_resolutions, blocked_no_events = unsupported_rows(securities.where(unsupported), source, window)
     observations, bad_amounts = observation_rows(chosen, actions, source, window, asof)

@@ -100,12 +100,48 @@ def default_rules(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in RULE_COLUMNS))
 
 
+# Up to this many rules are used as one expression; a rule file is a hand-kept configuration.
+MAX_INLINE_RULES = 1000
+
+
 def match_exchange(df: DataFrame, rules: DataFrame, exchange: str = "exchange") -> DataFrame:
     """Add ``rule_exchange`` and ``rule_suffixes``: the exact rule, else the first ``contains`` rule.
 
-    Names are matched once per distinct exchange, not once per row; rules are a small configuration.
+    A rule file of ordinary size becomes one expression, so rows are neither joined nor moved.
     """
-    names = df.select(exchange_name(column_or(df, exchange)).alias("__name")).where(F.col("__name") != "").distinct()
+    name = exchange_name(column_or(df, exchange))
+    listed = rules.select("match_type", "match_value", "priority", "canonical_exchange", "suffixes")
+    listed = listed.limit(MAX_INLINE_RULES + 1).collect()
+    if len(listed) > MAX_INLINE_RULES:
+        return _match_exchange_by_join(df, name, rules)
+    listed.sort(key=lambda r: (r.priority, r.match_value))
+    exact = {r.match_value: (r.canonical_exchange, r.suffixes) for r in listed if r.match_type == "EXACT"}
+    out = df.withColumn("__name", name)
+    fuzzy = F.lit(None).cast("string")
+    for rule in reversed([r for r in listed if r.match_type == "CONTAINS"]):
+        fuzzy = F.when(F.contains(F.col("__name"), F.lit(rule.match_value)), F.lit(rule.match_value)).otherwise(fuzzy)
+    answers = {f"e:{k}": v for k, v in exact.items()}
+    answers |= {f"c:{r.match_value}": (r.canonical_exchange, r.suffixes) for r in reversed(listed) if r.match_type == "CONTAINS"}
+    if not answers:
+        blank = {"rule_exchange": F.lit(""), "rule_suffixes": F.lit(None).cast("array<string>")}
+        return out.drop("__name").withColumns(blank)
+    known = F.col("__name").isin(list(exact)) if exact else F.lit(False)
+    key = F.when(known, F.concat(F.lit("e:"), F.col("__name"))).otherwise(F.concat(F.lit("c:"), fuzzy))
+    out = out.withColumn("__rule", key)
+    venues = literal_map({k: v for k, (v, _) in answers.items()})
+    suffixes = literal_map({k: list(v) for k, (_, v) in answers.items()})
+    return out.withColumns(
+        {
+            "rule_exchange": F.coalesce(F.try_element_at(venues, F.col("__rule")), F.lit("")),
+            "rule_suffixes": F.try_element_at(suffixes, F.col("__rule")),
+        }
+    ).drop("__name", "__rule")
+
+
+def _match_exchange_by_join(df: DataFrame, name: Column, rules: DataFrame) -> DataFrame:
+    """Rule files beyond the inline limit: names are matched once per distinct exchange, then joined."""
+    keyed = df.withColumn("__name", name)
+    names = keyed.select("__name").where(F.col("__name") != "").distinct()
     answer = F.struct("canonical_exchange", "suffixes")
     exact = rules.where(F.col("match_type") == "EXACT").select(
         F.col("match_value").alias("__name"), answer.alias("__exact")
@@ -115,20 +151,24 @@ def match_exchange(df: DataFrame, rules: DataFrame, exchange: str = "exchange")
     )
     found = names.join(fuzzy, F.contains(names["__name"], fuzzy["__part"]), "left")
     found = found.groupBy("__name").agg(F.min_by("__fuzzy", F.struct("priority", "__part")).alias("__fuzzy"))
-    found = found.join(exact, "__name", "left")
     best = F.coalesce(F.col("__exact"), F.col("__fuzzy"))
-    found = found.select(
+    found = found.join(exact, "__name", "left").select(
         "__name", best["canonical_exchange"].alias("rule_exchange"), best["suffixes"].alias("rule_suffixes")
     )
-    out = df.withColumn("__name", exchange_name(column_or(df, exchange))).join(found, "__name", "left").drop("__name")
+    out = keyed.join(found, "__name", "left").drop("__name")
     return out.withColumn("rule_exchange", F.coalesce("rule_exchange", F.lit("")))
 
 
 # --- guessing --------------------------------------------------------------------------------
 
 
-def lookup(spark: SparkSession, table: dict[str, list[str]], key: str, value: str) -> DataFrame:
-    return spark.createDataFrame(list(table.items()), f"{key} string, {value} array<string>")
+def literal_map(table: dict[str, str] | dict[str, list[str]]) -> Column:
+    """A fixed table as a map literal: a lookup in it is an expression, not a join."""
+    cells = []
+    for key, value in table.items():
+        many = isinstance(value, list)
+        cells += [F.lit(key), F.array(*[F.lit(v) for v in value]).cast("array<string>") if many else F.lit(value)]
+    return F.create_map(*cells)
 
 
 def unsupported_jurisdiction(df: DataFrame) -> Column:
@@ -163,19 +203,16 @@ def ticker_from_suffix(bare: Column, suffix: Column) -> Column:
 
 def prefix_matches_venue(df: DataFrame, prefix: str, venue: str, out: str) -> DataFrame:
     """``out``: the venue is one the ISIN prefix allows; unknown prefix or venue counts as fine."""
-    hints = lookup(df.sparkSession, vn.PREFIX_VENUES, prefix, "__venues")
-    joined = df.join(hints, prefix, "left")
-    fine = (F.col(venue) == "") | F.coalesce(F.array_contains("__venues", F.col(venue)), F.lit(True))
-    return joined.withColumn(out, fine).drop("__venues")
+    allowed = F.try_element_at(literal_map(vn.PREFIX_VENUES), F.col(prefix))
+    fine = (F.col(venue) == "") | F.coalesce(F.array_contains(allowed, F.col(venue)), F.lit(True))
+    return df.withColumn(out, fine)
 
 
 def prefix_matches_tokens(df: DataFrame, isin: Column, exchange: str, out: str) -> DataFrame:
     """``out``: the exchange text names a suffix the ISIN prefix allows; null when either is unknown."""
-    hints = lookup(df.sparkSession, vn.PREFIX_TOKENS, "__prefix", "__tokens")
-    joined = df.withColumn("__prefix", tk.soft_prefix(isin)).join(hints, "__prefix", "left")
+    allowed = F.try_element_at(literal_map(vn.PREFIX_TOKENS), tk.soft_prefix(isin))
     words = tk.exchange_tokens(F.col(exchange))
-    verdict = F.when(F.size(words) > 0, F.arrays_overlap(words, F.col("__tokens")))
-    return joined.withColumn(out, verdict).drop("__prefix", "__tokens")
+    return df.withColumn(out, F.when(F.size(words) > 0, F.arrays_overlap(words, allowed)))
 
 
 def guess_tickers(securities: DataFrame, rules: DataFrame) -> DataFrame:
@@ -184,7 +221,6 @@ def guess_tickers(securities: DataFrame, rules: DataFrame) -> DataFrame:
     A symbol that already is a vendor ticker is taken as it is. Otherwise suffixes come from the
     exchange rule, else the country, else the currency. ``securities`` needs ``security_id``.
     """
-    spark = securities.sparkSession
     symbol = tx.text_or_blank(F.col("underlying"))
     usable = (symbol != "") & (F.length(symbol) <= MAX_SYMBOL_LENGTH) & symbol.rlike(SYMBOL_PATTERN)
     as_is = looks_like_ticker(symbol)
@@ -199,8 +235,12 @@ def guess_tickers(securities: DataFrame, rules: DataFrame) -> DataFrame:
         as_is.alias("__as_is"),
     )
     df = match_exchange(df, rules)
-    df = df.join(lookup(spark, vn.COUNTRY_SUFFIXES, "__country", "__by_country"), "__country", "left")
-    df = df.join(lookup(spark, vn.CURRENCY_SUFFIXES, "__ccy", "__by_ccy"), "__ccy", "left")
+    df = df.withColumns(
+        {
+            "__by_country": F.try_element_at(literal_map(vn.COUNTRY_SUFFIXES), F.col("__country")),
+            "__by_ccy": F.try_element_at(literal_map(vn.CURRENCY_SUFFIXES), F.col("__ccy")),
+        }
+    )
     by_rule = F.coalesce(F.size("rule_suffixes") > 0, F.lit(False))
     source = (
         F.when(F.col("__as_is"), "asis")
@@ -208,13 +248,14 @@ def guess_tickers(securities: DataFrame, rules: DataFrame) -> DataFrame:
         .when(F.col("__by_country").isNotNull(), "country_fallback")
         .when(F.col("__by_ccy").isNotNull(), "ccy_fallback")
     )
-    df = df.withColumn("guess_source", source).where(F.col("guess_source").isNotNull())
+    df = df.withColumn("guess_source", source)
     suffixes = (
         F.when(F.col("__as_is"), F.array(F.lit("")))
         .when(by_rule, F.col("rule_suffixes"))
         .otherwise(F.coalesce("__by_country", "__by_ccy"))
     )
     df = df.withColumn("__bare", F.when(F.col("__as_is"), F.col("underlying")).otherwise(strip_local_suffix(F.col("underlying"))))
+    # No source means a null list, and a null list gives no rows; a filter would repeat all of the above.
     df = df.select("*", F.posexplode(suffixes).alias("ordinal", "__suffix"))
     df = df.withColumn("__ticker", ticker_from_suffix(F.col("__bare"), F.col("__suffix")))
     ticker = F.col("__ticker")
@@ -443,6 +484,7 @@ def choose_paying(resolved: DataFrame, actions: DataFrame) -> DataFrame:
     """Add ``chosen``: the first candidate, in list order, with a dividend in the window.
 
     ``actions`` is already limited to the window; its tickers are reduced to a distinct list first.
+    ``resolved`` is read twice, so pass one that is materialised.
     """
     paying = actions.select("ticker").distinct()
     spread = resolved.select("security_id", F.posexplode("candidates").alias("pos", "c"))

@@ -112,7 +112,8 @@ def require_tags(df: DataFrame, tag: str = "holdings_tag") -> DataFrame:
 def with_region(df: DataFrame, registry: DataFrame, tag: str = "holdings_tag", region: str | None = None) -> DataFrame:
     """``universe_region``: a valid stated one, else the fund's coverage, else null."""
     coverage = registry.select(F.col("symbol").alias("__symbol"), F.upper(tx.strip(F.col("default_coverage"))).alias("__cov"))
-    joined = df.withColumn("__symbol", F.upper(tx.strip(F.col(tag)))).join(coverage, "__symbol", "left")
+    # The registry is a fixed handful of funds.
+    joined = df.withColumn("__symbol", F.upper(tx.strip(F.col(tag)))).join(F.broadcast(coverage), "__symbol", "left")
     valid = lambda c: F.when(c.isin(REGIONS), c)
     stated = valid(F.upper(tx.strip(F.col(region)))) if region else F.lit(None).cast("string")
     return joined.withColumn("universe_region", F.coalesce(stated, valid(F.col("__cov")))).drop("__symbol", "__cov")

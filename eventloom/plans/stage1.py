@@ -52,7 +52,7 @@ def stage1(
         "underlying", "underlying_ccy", *[c for c in optional if c in holdings.columns], *stamps
     ).distinct()
     valid, rejected = un.split_universe(universe)
-    got = ig.ingest(valid, landing, rules, chosen, options.window, options.source, options.asof, materialise=True)
+    got = ig.ingest(valid, landing, rules, chosen, options.window, options.source, options.asof)
     good, bad_numbers = ig.split_bad_numbers(got.observations)
     return Stage1Tables(
         observations=good,
