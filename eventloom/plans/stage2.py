@@ -48,6 +48,7 @@ def outputs(rows: DataFrame, options: Stage2Options) -> Stage2Tables:
     graded = sv.attach_severity(rows, events)
     queue = sv.review_events(events)
     has_cases = "case_tag" in rows.columns
+    has_pairs = set(pr.PAIR_INPUT) <= set(rows.columns)
     return Stage2Tables(
         rows=graded,
         events=events,
@@ -56,7 +57,7 @@ def outputs(rows: DataFrame, options: Stage2Options) -> Stage2Tables:
         regions=region_split(graded),
         cases=sv.case_order(sv.case_view(graded, events, options.severity)) if has_cases else None,
         pairs=pr.first_pairs(graded, options.pair_report_rows, options.pairs.max_ex_shift_window_days)
-        if has_cases
+        if has_pairs
         else None,
     )
 
@@ -74,7 +75,7 @@ def stage2(
     # Linking is the costly part and four tables read its result.
     rows = cut_lineage(rows)
     tables = outputs(rows, options)
-    if options.pairs_enabled and "case_tag" in rows.columns:
+    if options.pairs_enabled and tables.pairs is not None:
         tables = _with_pair_queue(rows, tables, pair_decisions, options)
     if options.max_tier0_ratio is not None:
         gates.require(gates.tier0_gate(tables.events, options.max_tier0_ratio), "tier-0 share of events")
