@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.checks.registry import Tables, query
+from eventloom.functions import text as tx
 from eventloom.functions import values as vl
 from eventloom.operators import linking as lk
 from eventloom.operators import severity as sv
 from eventloom.operators import summary as sm
 from eventloom.operators.regions import is_brazil, is_korea
+from eventloom.session import cut_lineage
 
 # --- oracle building blocks ------------------------------------------------------------------
 
@@ -211,7 +213,7 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     df = obs(t)
     policy = lk.LinkPolicy(source_priority={"vendor_b": 1, "Vendor_A": 2})
-    return df.select("row_idx", lk.source_rank(df, policy).alias("source_rank"))
+    return df.select("row_idx", lk.source_rank(tx.link_text(F.col("source")), policy).alias("source_rank"))
 
 
 @query(
@@ -302,7 +304,7 @@ def dated(events: DataFrame) -> DataFrame:
 
 @query("flagship_event_severity", f"WITH {linked_sql()}, {SEVERITY_SQL.format(rows='linked', guard='TRUE')} SELECT {EVENT_OUT} FROM sev")
 def flagship(t: Tables) -> DataFrame:
-    return dated(sv.event_severity(linked(t)))
+    return dated(sv.event_severity(cut_lineage(linked(t))))
 
 
 METRICS_OUT = EVENT_OUT.replace(" severity_tier, severity_reasons,", "")

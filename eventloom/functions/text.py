@@ -41,10 +41,13 @@ def _drop_sentinels(s: Column, sentinels: list[str], upper: bool) -> Column:
     return F.upper(out) if upper else out
 
 
-def link_text(c: Column, upper: bool = True) -> Column:
-    """Cleaning used before linking: blank and sentinel texts become null."""
-    s = blank_to_null(c)
-    out = F.when(~s.isin(LINK_SENTINELS), s)
+def link_text(c: Column, upper: bool = True, stripped: bool = False) -> Column:
+    """Cleaning used before linking: blank and sentinel texts become null.
+
+    ``stripped`` says that white space is gone already, which saves doing it once per use.
+    """
+    s = c if stripped else strip(c)
+    out = F.when(~s.isin("", *LINK_SENTINELS), s)
     return F.upper(out) if upper else out
 
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, DoubleType, FloatType, NumericType, TimestampNTZType, TimestampType
 
 from eventloom.functions.text import strip, text_or_blank, vendor_text
 
@@ -29,6 +30,27 @@ def number(c: Column) -> Column:
     return F.when(~F.isnan(d), d)
 
 
+def number_in(df: DataFrame, name: str) -> Column:
+    """``number`` of a column that may be missing; numeric columns skip the way through text."""
+    if name not in df.columns:
+        return F.lit(None).cast("double")
+    kind = df.schema[name].dataType
+    if isinstance(kind, NumericType):
+        d = F.col(name).cast("double")
+        return F.when(~F.isnan(d), d) if isinstance(kind, (DoubleType, FloatType)) else d
+    return number(F.col(name))
+
+
+def day_in(df: DataFrame, name: str) -> Column:
+    """``to_day`` of a column that may be missing; dates and timestamps skip the way through text."""
+    if name not in df.columns:
+        return F.lit(None).cast("date")
+    kind = df.schema[name].dataType
+    if isinstance(kind, (DateType, TimestampType, TimestampNTZType)):
+        return F.col(name).cast("date")
+    return to_day(F.col(name))
+
+
 def optional_number(c: Column) -> Column:
     return number(F.nullif(vendor_text(c), F.lit("")))
 

@@ -20,7 +20,7 @@ EXACT_KEY = [*WILD_KEY, "amount", "div_ccy"]
 def _match_columns(df: DataFrame) -> dict[str, Column]:
     """Decision key: texts compare stripped, the amount as a number."""
     out = {f"__{c}": tx.text_or_blank(column_or(df, c)) for c in [*WILD_KEY, "div_ccy"]}
-    return out | {"__amount": vl.number(column_or(df, "amount", None))}
+    return out | {"__amount": vl.number_in(df, "amount")}
 
 
 def _split_keys(decisions: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -70,7 +70,7 @@ def apply_qa_decisions(rows: DataFrame, decisions: DataFrame, check: bool = True
         out = out.withColumn(
             "anchor_date",
             F.when(F.col("__hit.action") == "SET_ANCHOR_DATE", vl.to_day(F.col("__hit.anchor_date"))).otherwise(
-                vl.to_day(F.col("anchor_date"))
+                vl.day_in(rows, "anchor_date")
             ),
         )
     return out.select(*rows.columns)

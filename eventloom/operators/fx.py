@@ -37,7 +37,7 @@ def add_usd_value(df: DataFrame, value: str, ccy: str, out: str, rates: DataFram
     ``__fx_ccy`` is dropped again; codes have three characters, so the rate table stays small.
     """
     code = vl.currency(F.col(ccy)) if ccy in df.columns else F.lit(None).cast("string")
-    amount = vl.number(F.col(value)) if value in df.columns else F.lit(None).cast("double")
+    amount = vl.number_in(df, value)
     keyed = df.withColumns({"__fx_ccy": code, "__fx_value": amount})
     lookup = rates.select(F.col("ccy").alias("__fx_ccy"), F.col("usd_per_ccy").alias("__fx_rate"))
     joined = keyed.join(lookup, "__fx_ccy", "left")

@@ -72,7 +72,7 @@ def column_or(df: DataFrame, name: str, default: str | None = "") -> Column:
 
 def anchor_date(df: DataFrame) -> Column:
     """Ex date, else record date, else pay date."""
-    return F.coalesce(*[vl.to_day(column_or(df, name)) for name in ("ex_date", "record_date", "pay_date")])
+    return F.coalesce(*[vl.day_in(df, name) for name in ("ex_date", "record_date", "pay_date")])
 
 
 def primary_ident(df: DataFrame) -> Column:
@@ -98,30 +98,9 @@ def skip_reason() -> Column:
     return F.when(missing != "", F.concat(F.lit("skip:"), missing))
 
 
-def tie_text(df: DataFrame, policy: LinkPolicy) -> Column:
-    return F.concat_ws(
-        "|",
-        F.coalesce(F.col("primary_ident"), F.lit("")),
-        F.coalesce(F.col("div_ccy"), F.lit("")),
-        F.coalesce(F.col("anchor_date").cast("string"), F.lit("")),
-        vl.fixed_decimals(F.col("__amount"), policy.stable_amount_decimals),
-        F.coalesce(tx.link_text(column_or(df, "div_type", "unknown")), F.lit("UNKNOWN")),
-        F.coalesce(tx.link_text(column_or(df, "status", "unknown")), F.lit("UNKNOWN")),
-    )
-
-
-def stable_tie(df: DataFrame, policy: LinkPolicy) -> Column:
-    """Order key of rows on one date: vendor id, else source key, else a content hash."""
-    return F.coalesce(
-        tx.blank_to_null(column_or(df, "vendor_event_id")),
-        tx.blank_to_null(column_or(df, "source_event_key")),
-        vl.digest(F.col("__tie_text"), 32),
-    )
-
-
-def source_rank(df: DataFrame, policy: LinkPolicy) -> Column:
+def source_rank(source: Column, policy: LinkPolicy) -> Column:
+    """Rank of a cleaned source name; sources without one come last."""
     out = F.lit(UNRANKED)
-    source = F.coalesce(tx.link_text(column_or(df, "source")), F.lit(""))
     for name, rank in policy.source_priority.items():
         out = F.when(source == name, F.lit(rank)).otherwise(out)
     return out
@@ -134,27 +113,44 @@ def prepare(rows: DataFrame, policy: LinkPolicy, respect_existing: bool = False)
     """
     if "row_idx" not in rows.columns:
         raise ValueError("rows need a unique row_idx column that states their order")
-    raw_isin, raw_underlying = column_or(rows, "isin"), column_or(rows, "underlying")
-    df = rows.withColumns(
+    # Texts are stripped once, in a projection of their own; everything else reads the result.
+    texts = ["isin", "underlying", "action_type", "share_class", "vendor_event_id", "source_event_key", "div_type", "status"]
+    texts += ["source"] if policy.source_priority else []
+    texts += ["economic_event_id"] if respect_existing else []
+    df = rows.withColumns({f"__s_{c}": tx.strip(F.col(c)) for c in texts if c in rows.columns})
+    raw = lambda c: F.col(f"__s_{c}") if c in rows.columns else F.lit("")
+    text = lambda c: tx.link_text(raw(c), stripped=True)
+    some = lambda c: F.nullif(raw(c), F.lit(""))
+    or_unknown = lambda c: F.coalesce(text(c), F.lit("UNKNOWN"))
+    df = df.withColumns(
         {
-            "__vendor": tx.blank_to_null(column_or(rows, "vendor_event_id")),
-            "__vendor_ident": F.upper(F.coalesce(tx.blank_to_null(raw_isin), tx.blank_to_null(raw_underlying))),
-            "__preset": tx.blank_to_null(column_or(rows, "economic_event_id"))
-            if respect_existing
-            else F.lit(None).cast("string"),
-            "action_type": F.coalesce(tx.link_text(column_or(rows, "action_type", "unknown")), F.lit("UNKNOWN")),
-            "share_class": F.coalesce(tx.link_text(column_or(rows, "share_class", "unknown")), F.lit("UNKNOWN")),
-            "primary_ident": primary_ident(rows),
+            "__vendor": some("vendor_event_id"),
+            "__vendor_ident": F.upper(F.coalesce(some("isin"), some("underlying"))),
+            "__preset": some("economic_event_id") if respect_existing else F.lit(None).cast("string"),
+            "action_type": or_unknown("action_type"),
+            "share_class": or_unknown("share_class"),
+            "primary_ident": F.coalesce(text("isin"), text("underlying")),
             "div_ccy": event_currency(rows),
             "anchor_date": anchor_date(rows),
-            "__amount": vl.number(column_or(rows, "amount", None)),
-            "__rank": source_rank(rows, policy),
+            "__amount": vl.number_in(rows, "amount"),
+            "__rank": source_rank(text("source"), policy),
             "economic_event_key": F.coalesce(column_or(rows, "economic_event_key").cast("string"), F.lit("")),
         }
     )
-    df = df.withColumn("__tie_text", tie_text(rows, policy))
-    df = df.withColumns({"__tie": stable_tie(rows, policy), "__skip": skip_reason()})
-    return df.withColumn("__preset", F.when(F.col("__skip").isNull(), F.col("__preset")))
+    tie_text = F.concat_ws(
+        "|",
+        F.coalesce(F.col("primary_ident"), F.lit("")),
+        F.coalesce(F.col("div_ccy"), F.lit("")),
+        F.coalesce(F.col("anchor_date").cast("string"), F.lit("")),
+        vl.fixed_decimals(F.col("__amount"), policy.stable_amount_decimals),
+        or_unknown("div_type"),
+        or_unknown("status"),
+    )
+    # Order of rows on one date: vendor id, else source key, else a content hash.
+    tie = F.coalesce(F.col("__vendor"), some("source_event_key"), vl.digest(tie_text, 32))
+    df = df.withColumns({"__tie_text": tie_text, "__tie": tie, "__skip": skip_reason()})
+    df = df.withColumn("__preset", F.when(F.col("__skip").isNull(), F.col("__preset")))
+    return df.drop(*[f"__s_{c}" for c in texts])
 
 
 # --- vendor ids ------------------------------------------------------------------------------

@@ -34,9 +34,9 @@ def normalise(df: DataFrame) -> DataFrame:
     cleaned = {c: tx.overlap_text(column_or(df, c, None)) for c in TEXT_COLUMNS}
     out = df.withColumns(
         cleaned
-        | {c: vl.to_day(column_or(df, c, None)) for c in DATE_COLUMNS}
+        | {c: vl.day_in(df, c) for c in DATE_COLUMNS}
         | {
-            "amount": vl.number(column_or(df, "amount", None)),
+            "amount": vl.number_in(df, "amount"),
             "synthetic": F.coalesce(tx.flag(column_or(df, "synthetic", None)), F.lit(False)),
         }
     )

@@ -41,9 +41,9 @@ def pair_rows(rows: DataFrame, tagged_only: bool = True) -> DataFrame:
     require_columns(rows, PAIR_INPUT, "pairs")
     df = rows.withColumns(
         {
-            "__ex": vl.to_day(F.col("ex_date")),
-            "__pay": vl.to_day(F.col("pay_date")),
-            "__amt": vl.number(F.col("amount")),
+            "__ex": vl.day_in(rows, "ex_date"),
+            "__pay": vl.day_in(rows, "pay_date"),
+            "__amt": vl.number_in(rows, "amount"),
             "__ccy": F.upper(tx.text_or_blank(F.col("div_ccy"))),
         }
     ).where(F.col("__ex").isNotNull() & F.col("underlying").isNotNull())

@@ -76,52 +76,56 @@ def event_metrics(rows: DataFrame) -> DataFrame:
     """One row per event id with its measures; rows without an id are left out.
 
     Aggregates only, distinct counts included, so Spark combines before the shuffle and a hot event
-    costs no more than its distinct values.
+    costs no more than its distinct values. ``rows`` is read twice, so pass one that is materialised.
     """
     require_columns(rows, ["economic_event_id"], "event metrics")
     has = set(rows.columns)
-    zero = F.lit(0).cast("bigint")
-    null_text = F.lit(None).cast("string")
-
-    def first_text(name: str) -> Column:
-        if name not in has:
-            return F.lit("")
-        value = F.nullif(tx.text_or_blank(F.col(name)), F.lit(""))
-        place = F.col("row_idx") if "row_idx" in has else F.lit(0)
-        return F.coalesce(F.min_by(value, F.when(value.isNotNull(), F.struct(place, value))), F.lit(""))
-
-    def distinct(name: str, value: Column) -> Column:
-        return F.countDistinct(value) if name in has else F.max(zero)
+    carried = ["underlying", "isin", "div_ccy", "underlying_ccy"]
+    # Values are typed before they are aggregated: distinct counts multiply rows, not expressions.
+    typed = rows.where(tx.text_or_blank(F.col("economic_event_id")) != "").select(
+        "economic_event_id",
+        (F.col("row_idx") if "row_idx" in has else F.lit(0)).alias("__place"),
+        vl.number_in(rows, "amount").alias("__amount"),
+        vl.day_in(rows, "anchor_date").alias("__anchor"),
+        vl.day_in(rows, "pay_date").alias("__pay"),
+        *[_some_text(rows, c).alias(f"__{c}") for c in [*carried, "primary_ident"]],
+    )
 
-    amount = vl.number(F.col("amount")) if "amount" in has else F.lit(None).cast("double")
-    anchor = vl.to_day(F.col("anchor_date")) if "anchor_date" in has else F.lit(None).cast("date")
-    non_blank = lambda name: F.nullif(strip_or_null(rows, name), F.lit(""))
+    texts = [f"__{c}" for c in [*carried, "primary_ident"]]
+    # Texts repeat within an event, so they are grouped away first; that leaves only fixed-width
+    # buffers on the full table and text buffers on a few rows per event.
+    cells = typed.groupBy("economic_event_id", *texts).agg(
+        F.count(F.lit(1)).alias("__rows"),
+        F.min("__place").alias("__place"),
+        F.bool_or(F.col("__amount").isNull() if "amount" in has else F.lit(False)).alias("__missing"),
+        F.min("__anchor").alias("__first"),
+        F.max("__anchor").alias("__last"),
+    )
 
-    return (
-        rows.where(tx.text_or_blank(F.col("economic_event_id")) != "")
-        .groupBy("economic_event_id")
-        .agg(
-            F.count(F.lit(1)).alias("row_count"),
-            distinct("amount", amount).alias("amount_nunique"),
-            (F.bool_or(amount.isNull()) if "amount" in has else F.max(F.lit(False))).alias("missing_amount_any"),
-            F.min(anchor).alias("anchor_min"),
-            F.max(anchor).alias("anchor_max"),
-            F.coalesce(F.datediff(F.max(anchor), F.min(anchor)), F.lit(0)).alias("anchor_spread_days"),
-            distinct("pay_date", vl.to_day(F.col("pay_date")) if "pay_date" in has else null_text).alias(
-                "pay_date_nunique"
-            ),
-            distinct("div_ccy", non_blank("div_ccy")).alias("ccy_nunique"),
-            distinct("primary_ident", non_blank("primary_ident")).alias("ident_nunique"),
-            first_text("underlying").alias("underlying"),
-            first_text("isin").alias("isin"),
-            first_text("div_ccy").alias("div_ccy"),
-            first_text("underlying_ccy").alias("underlying_ccy"),
-        )
+    def first_text(name: str) -> Column:
+        value = F.col(f"__{name}")
+        return F.coalesce(F.min_by(value, F.when(value.isNotNull(), F.struct("__place", value))), F.lit(""))
+
+    described = cells.groupBy("economic_event_id").agg(
+        F.sum("__rows").alias("row_count"),
+        F.bool_or("__missing").alias("missing_amount_any"),
+        F.min("__first").alias("anchor_min"),
+        F.max("__last").alias("anchor_max"),
+        F.coalesce(F.datediff(F.max("__last"), F.min("__first")), F.lit(0)).alias("anchor_spread_days"),
+        F.countDistinct("__div_ccy").alias("ccy_nunique"),
+        F.countDistinct("__primary_ident").alias("ident_nunique"),
+        *[first_text(c).alias(c) for c in carried],
+    )
+    # Amounts and pay dates do vary, so their distinct counts take the rows themselves, two columns wide.
+    spread = typed.groupBy("economic_event_id").agg(
+        F.countDistinct("__amount").alias("amount_nunique"), F.countDistinct("__pay").alias("pay_date_nunique")
     )
+    return described.join(spread, "economic_event_id")
 
 
-def strip_or_null(df: DataFrame, name: str) -> Column:
-    return tx.strip(F.col(name)) if name in df.columns else F.lit(None).cast("string")
+def _some_text(df: DataFrame, name: str) -> Column:
+    """Stripped text or null when blank or when the table has no such column."""
+    return tx.blank_to_null(F.col(name)) if name in df.columns else F.lit(None).cast("string")
 
 
 def is_brazil_event(policy: SeverityPolicy) -> Column:

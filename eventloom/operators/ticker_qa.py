@@ -84,7 +84,7 @@ def is_anomaly() -> Column:
 def clean_universe(universe: DataFrame, keep: list[str] | None = None) -> DataFrame:
     return universe.select(
         *[tx.report_text(column_or(universe, c), upper=True).alias(c) for c in ("underlying", "underlying_ccy", "isin")],
-        F.coalesce(vl.number(column_or(universe, "weight")), F.lit(0.0)).alias("weight"),
+        F.coalesce(vl.number_in(universe, "weight"), F.lit(0.0)).alias("weight"),
         *(keep or []),
     )
 
@@ -204,7 +204,7 @@ def anomalies(report: DataFrame) -> DataFrame:
 
 def materiality(report: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Failed and anomalous rows with their weights; one row, or one per ``by``."""
-    w = F.coalesce(vl.number(F.col("weight")), F.lit(0.0))
+    w = F.coalesce(vl.number_in(report, "weight"), F.lit(0.0))
     lost = F.col("is_failed")
     unmatched = lost & (tx.report_text(F.col("weight_match_method")) == UNMATCHED)
     total = lambda cond: F.coalesce(F.sum(F.when(cond, w)), F.lit(0.0))
@@ -224,7 +224,7 @@ def materiality(report: DataFrame, by: list[str] | None = None) -> DataFrame:
 def weight_diagnostics(report: DataFrame) -> DataFrame:
     """Rows and weights by match method, and fallback sums attached to more than one row."""
     method = tx.report_text(F.col("weight_match_method"))
-    w = F.coalesce(vl.number(F.col("weight")), F.lit(0.0))
+    w = F.coalesce(vl.number_in(report, "weight"), F.lit(0.0))
     cols = [F.count(F.lit(1)).alias("report_rows")]
     for name, value in (("exact", EXACT), ("fallback", FALLBACK), ("unmatched", UNMATCHED)):
         rows = f"{name}_match_rows" if name != "unmatched" else "unmatched_rows"
@@ -245,7 +245,7 @@ def weight_diagnostics(report: DataFrame) -> DataFrame:
 
 def top_failed(report: DataFrame, n: int = 3) -> DataFrame:
     """The heaviest failed rows."""
-    w = F.coalesce(vl.number(F.col("weight")), F.lit(0.0))
+    w = F.coalesce(vl.number_in(report, "weight"), F.lit(0.0))
     return (
         report.where("is_failed")
         .select("underlying", "chosen_ticker", "resolution_status", w.alias("weight"))
