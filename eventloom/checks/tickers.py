@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventloom.checks.linking import _numbered, sev_sql
 from eventloom.checks.registry import Tables, query
 from eventloom.checks.views import map_values, rules_values
 from eventloom.functions import tickers as tk
@@ -14,6 +15,7 @@ from eventloom.operators import ingest as ig
 from eventloom.operators import resolution_records as rr
 from eventloom.operators import resolve as rs
 from eventloom.operators import review as rv
+from eventloom.operators import severity as sv
 from eventloom.operators import summary as sm
 from eventloom.operators import ticker_qa as tq
 from eventloom.operators import venues as vn
@@ -801,8 +803,6 @@ def _(t: Tables) -> DataFrame:
       weight DESC, underlying, chosen_ticker) AS place, underlying, review_reason FROM q ORDER BY place LIMIT 100""",
 )
 def _(t: Tables) -> DataFrame:
-    from eventloom.checks.linking import _numbered
-
     return _numbered(rv.queue_order(rv.review_queue(res(t), t.view("v_weights"))).limit(100), "underlying", "review_reason")
 
 
@@ -828,13 +828,10 @@ LIMITS = {"unmatched_failed_count": 0, "max_failed_weight": 100.0, "failed_weigh
 
 @query(
     "gate1_tier0_ratio",
-    """WITH m AS (SELECT economic_event_id, count(*) AS n, count(DISTINCT amount) AS a, max(anchor_date) - min(anchor_date) AS s FROM v_rows
-      WHERE economic_event_id <> '' GROUP BY 1), g AS (SELECT round(count(*) FILTER (a >= 3 OR s >= 7 OR n >= 10) / count(*), 9) AS v FROM m)
+    f"""WITH {sev_sql()}, g AS (SELECT round(count(*) FILTER (t0 = 0) / count(*), 9) AS v FROM sev)
     SELECT 'tier0_ratio' AS metric, v AS value, 0.25::DOUBLE AS threshold, v > 0.25 AS breached FROM g""",
 )
 def _(t: Tables) -> DataFrame:
-    from eventloom.operators import severity as sv
-
     policy = sv.SeverityPolicy(relax_split_enabled=False)
     return gates.tier0_gate(sv.event_severity(t.view("v_rows"), policy), 0.25).withColumn("value", F.round("value", 9))
 
@@ -955,8 +952,6 @@ def _(t: Tables) -> DataFrame:
     f"WITH {EFFECTIVE} SELECT row_number() OVER (ORDER BY underlying, underlying_ccy) AS place, underlying, underlying_ccy FROM eff ORDER BY place LIMIT 100",
 )
 def _(t: Tables) -> DataFrame:
-    from eventloom.checks.linking import _numbered
-
     out = rr.effective_map(rr.overrides(t.view("v_cache_new")), rr.cache(t.view("v_cache_old")))
     return _numbered(rr.map_order(out).limit(100), "underlying", "underlying_ccy")
 

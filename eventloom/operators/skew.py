@@ -96,6 +96,19 @@ class OrderedScan:
         # Later scans read this result twice; cutting here keeps the work linear in the number of scans.
         return cut_lineage(out.drop(*helpers, *[f"__c_{name}" for name in values]))
 
+    def running_sum(self, df: DataFrame, name: str, value: Column) -> DataFrame:
+        """Add the sum of ``value`` over the rows up to and including this one."""
+        marked = df.withColumn("__v", value)
+        frame = self.window().rowsBetween(Window.unboundedPreceding, 0)
+        local = marked.withColumn(name, F.sum("__v").over(frame))
+        if not self.chunked:
+            return local.drop("__v")
+        totals = marked.groupBy(*self.partition).agg(F.sum("__v").alias("__t"))
+        across = Window.partitionBy(*self.keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        before = totals.select(*self.partition, F.coalesce(F.sum("__t").over(across), F.lit(0)).alias("__before"))
+        joined = local.join(before, same_keys(local, before, self.partition), "left").select(local["*"], before["__before"])
+        return joined.withColumn(name, F.col(name) + F.col("__before")).drop("__v", "__before")
+
 
 def into_chunks(df: DataFrame, keys: list[str], order: list[str], rows: int, limit: int) -> DataFrame:
     """Cut rows into ordered chunks of about ``limit`` rows; the last order column must be unique."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,6 +43,11 @@ def checkpoint_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder so that later plans read it back."""
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared folder and read it back.
+
+    Lost executors then cost a read instead of a recomputation, and unlike an RDD checkpoint the
+    result has sizes the planner can use and columns that are read only when needed.
+    """
+    path = f"{checkpoint_folder(df.sparkSession)}/eventloom-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

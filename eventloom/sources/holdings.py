@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.functions import text as tx
 from eventloom.functions import values as vl
+from eventloom.operators.skew import CHUNK, split_by_heat
 from eventloom.sources.tables import read_table
 
 # Symbols that are really currency rows.
@@ -327,12 +328,19 @@ def discover_links(
 
 
 def version_log(landings: DataFrame, order: str = "seq") -> DataFrame:
-    """Landings whose content differs from the one before, numbered per (fund, as-of)."""
-    w = Window.partitionBy("fund", "asof").orderBy(order)
+    """Landings whose content differs from the one before, numbered per (fund, as-of).
+
+    ``order`` is a unique column. Only hashes travel, and a much-landed fund is numbered in chunks.
+    """
     hashed = landings.withColumn("content_hash", F.sha2(F.col("content").cast("binary"), 256)).drop("content")
-    changed = F.coalesce(F.col("content_hash") != F.lag("content_hash").over(w), F.lit(True))
-    kept = hashed.withColumn("__changed", changed).where("__changed").drop("__changed")
-    return kept.withColumn("version", F.row_number().over(w))
+    out = None
+    for part, scan in split_by_heat(hashed, ["fund", "asof"], [order], size_of=landings):
+        seen = scan.last_seen(part, {"__before": F.col("content_hash")})
+        changed = ~F.col("content_hash").eqNullSafe(F.col("__before"))
+        numbered = scan.running_sum(seen.withColumn("__changed", changed), "version", F.col("__changed").cast("int"))
+        kept = numbered.where("__changed").drop("__changed", "__before", CHUNK)
+        out = kept if out is None else out.unionByName(kept)
+    return out
 
 
 def fund_registry(spark: SparkSession) -> DataFrame:

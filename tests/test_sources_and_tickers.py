@@ -317,3 +317,23 @@ def test_worker_errors_and_failed_run_catalog(spark, table):
     runs = sm.catalog_entry(spark, "a", "/a", now, 0).unionByName(sm.catalog_entry(spark, "b", "/b", now + dt.timedelta(1), 2))
     assert sm.resolve_run(runs) == "/a" and sm.resolve_run(runs, "/x") == "/x"
     assert sm.resolve_run(runs.where("run_id = 'b'")) == "/b"
+
+
+@pytest.mark.parametrize("hot_rows", ["2000000", "100"])
+def test_versions_count_changes_of_content(spark, table, hot_rows):
+    import random
+
+    rnd = random.Random(4)
+    rows = [{"fund": "HOT" if rnd.random() < 0.6 else f"F{rnd.randint(0, 5)}", "asof": "20250101", "seq": i, "content": rnd.choice("aab")} for i in range(500)]
+    want, last, count = set(), {}, {}
+    for r in rows:
+        if last.get(r["fund"]) != r["content"]:
+            count[r["fund"]] = count.get(r["fund"], 0) + 1
+            want.add((r["seq"], count[r["fund"]]))
+        last[r["fund"]] = r["content"]
+    spark.conf.set("eventloom.hotRows", hot_rows)
+    try:
+        got = {(r.seq, r.version) for r in hd.version_log(table("fund string, asof string, seq long, content string", rows)).collect()}
+    finally:
+        spark.conf.unset("eventloom.hotRows")
+    assert got == want
