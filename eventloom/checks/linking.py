@@ -304,7 +304,9 @@ def dated(events: DataFrame) -> DataFrame:
 
 @query("flagship_event_severity", f"WITH {linked_sql()}, {SEVERITY_SQL.format(rows='linked', guard='TRUE')} SELECT {EVENT_OUT} FROM sev")
 def flagship(t: Tables) -> DataFrame:
-    return dated(sv.event_severity(cut_lineage(linked(t))))
+    measured = ["row_idx", "economic_event_id", "amount", "anchor_date", "pay_date", "div_ccy", "primary_ident"]
+    rows = linked(t).select(*measured, "underlying", "isin", "underlying_ccy")
+    return dated(sv.event_severity(cut_lineage(rows)))
 
 
 METRICS_OUT = EVENT_OUT.replace(" severity_tier, severity_reasons,", "")

@@ -105,9 +105,9 @@ class OrderedScan:
             return local.drop("__v")
         totals = marked.groupBy(*self.partition).agg(F.sum("__v").alias("__t"))
         across = Window.partitionBy(*self.keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-        before = totals.select(*self.partition, F.coalesce(F.sum("__t").over(across), F.lit(0)).alias("__before"))
-        joined = local.join(before, same_keys(local, before, self.partition), "left").select(local["*"], before["__before"])
-        return joined.withColumn(name, F.col(name) + F.col("__before")).drop("__v", "__before")
+        before = totals.select(*self.partition, F.coalesce(F.sum("__t").over(across), F.lit(0)).alias("__carried"))
+        joined = local.join(before, same_keys(local, before, self.partition), "left").select(local["*"], before["__carried"])
+        return joined.withColumn(name, F.col(name) + F.col("__carried")).drop("__v", "__carried")
 
 
 def into_chunks(df: DataFrame, keys: list[str], order: list[str], rows: int, limit: int) -> DataFrame:

@@ -45,7 +45,9 @@ def chart_events(payloads: DataFrame) -> DataFrame:
     unreadable = F.exists(
         "items", lambda i: i["date"].try_cast("bigint").isNull() | vl.parse_amount(i["amount"]).isNull()
     )
-    df = df.where((F.col("ticker") != "") & ~unreadable).select("ticker", F.explode("items").alias("i"))
+    # An unreadable payload gives a null list and so no rows; a filter would parse every payload again.
+    readable = F.when(~unreadable, F.col("items"))
+    df = df.where(F.col("ticker") != "").select("ticker", F.explode(readable).alias("i"))
     return df.select(
         "ticker",
         F.to_date(F.timestamp_seconds(F.col("i.date").try_cast("bigint"))).alias("ex_date"),
