@@ -79,7 +79,7 @@ def scale_amount(amount: Column, unit: Column) -> Column:
 
 def to_day(c: Column) -> Column:
     """Lenient date parse: ISO first, then compact and written-out forms."""
-    s = F.nullif(strip(c), F.lit(""))
+    s = strip(c)
     return F.coalesce(
         s.try_cast("date"),
         F.when(s.rlike(r"^\d{8}$"), F.try_to_date(s, "yyyyMMdd")),

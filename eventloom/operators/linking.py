@@ -83,7 +83,7 @@ def event_currency(df: DataFrame) -> Column:
     """Currency of the first of these columns that the table has; values do not fall through."""
     for name in ("div_ccy", "amount_ccy", "currency"):
         if name in df.columns:
-            return vl.currency(tx.link_text(F.col(name), upper=False))
+            return vl.currency(F.col(name))
     return F.lit(None).cast("string")
 
 
