@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from eventloom.llm.common import arrow_schema, schema_of
 
@@ -56,21 +57,25 @@ def _blocks(items: Iterator[tuple[str, str | None]], size: int, limit: int) -> I
         yield block
 
 
-_AUTOMATA: dict[str, object] = {}
+def _sent_blocks(benchmark: DataFrame, size: int, limit: int) -> list:
+    """Broadcast blocks of windows with the items that hold them; rows are read one partition at a time."""
+    rows = benchmark.select("item_id", "text").toLocalIterator()
+    items = (("" if row["item_id"] is None else str(row["item_id"]), row["text"]) for row in rows)
+    context = benchmark.sparkSession.sparkContext
+    return [context.broadcast({"patterns": block}) for block in _blocks(items, size, limit)]
 
 
-def _automaton(key: str, patterns: dict[bytes, list[str]]):
-    """Automaton of a worker process; the latest one is kept, since workers serve many tasks."""
-    if key not in _AUTOMATA:
+def _automaton(block: dict):
+    """Automaton of a broadcast block {"patterns": ...}; a worker process keeps it beside the patterns."""
+    if "automaton" not in block:
         import ahocorasick
 
         made = ahocorasick.Automaton()
-        for window, owners in patterns.items():
+        for window, owners in block["patterns"].items():
             made.add_word(f" {window.decode('latin-1')} ", (window.count(b" ") + 1, tuple(owners)))
         made.make_automaton()
-        _AUTOMATA.clear()
-        _AUTOMATA[key] = made
-    return _AUTOMATA[key]
+        block["automaton"] = made
+    return block["automaton"]
 
 
 def find_hits(text: str | None, automaton) -> tuple[int, list[tuple[int, int]], set[str]]:
@@ -138,23 +143,15 @@ def decontaminate(
     Documents are read once and never shuffled. Null text has no words; an item with a null id counts under
     the empty id; repeated items count once; repeated documents give a row each; extra columns are ignored.
     """
-    items = (
-        ("" if row["item_id"] is None else str(row["item_id"]), row["text"])
-        for row in benchmark.select("item_id", "text").toLocalIterator()
-    )
-    context = docs.sparkSession.sparkContext
-    blocks = []
-    for block in _blocks(items, window, pattern_bytes):
-        names = hashlib.sha256(repr(sorted(block.items())).encode()).hexdigest()
-        blocks.append((names, context.broadcast(block)))
+    blocks = _sent_blocks(benchmark, window, pattern_bytes)
     schema = arrow_schema(SCAN)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
             found: list = [None] * len(ids)
-            for names, patterns in blocks:
-                automaton = _automaton(names, patterns.value)
+            for block in blocks:
+                automaton = _automaton(block.value)
                 for i in range(len(ids)):
                     n, runs, hit = find_hits(texts[i].as_py(), automaton)
                     found[i] = (n, runs, hit) if found[i] is None else (n, _merged(found[i][1], runs), found[i][2] | hit)
@@ -181,25 +178,17 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW)
 
     The verdict is made beside the row it is about, so repeated or null ids need no join.
     """
-    from pyspark.sql import functions as F
-
     keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["text"].alias("text"))
-    items = (
-        ("" if row["item_id"] is None else str(row["item_id"]), row["text"])
-        for row in benchmark.select("item_id", "text").toLocalIterator()
-    )
-    context = docs.sparkSession.sparkContext
     out = keyed
-    for block in _blocks(items, window, PATTERN_BYTES):
-        names = hashlib.sha256(repr(sorted(block.items())).encode()).hexdigest()
-        out = _without(out, names, context.broadcast(block))
+    for block in _sent_blocks(benchmark, window, PATTERN_BYTES):
+        out = _without(out, block)
     return out.select("row.*")
 
 
-def _without(keyed: DataFrame, names: str, patterns) -> DataFrame:
+def _without(keyed: DataFrame, block) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            automaton = _automaton(names, patterns.value)
+            automaton = _automaton(block.value)
             texts = batch.column(1)
             keep = [not find_hits(texts[i].as_py(), automaton)[1] for i in range(len(texts))]
             yield batch.filter(pa.array(keep))

@@ -244,12 +244,12 @@ def score_documents(docs: DataFrame, index: Index, k: int = NEIGHBOURS) -> DataF
     examples. Repeated rows give a row each. Documents are not shuffled.
     """
     arrow = arrow_schema(SCORES)
-    sent = docs.sparkSession.sparkContext.broadcast(index)
+    sent = docs.sparkSession.sparkContext.broadcast(vars(index))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
 
-        own = sent.value
+        own = Index(**sent.value)
         known: dict[tuple, tuple] = {}
         for batch in batches:
             ids, texts = batch.column(1).to_pylist(), batch.column(0).to_pylist()
