@@ -197,7 +197,7 @@ allp AS (SELECT x.underlying, x.n AS na, y.n AS nb, x.row_idx AS row_idx_a, y.ro
     f"WITH {PAIR_REPORT.format(window=30)} SELECT {PAIR_OUT} FROM allp ORDER BY underlying, na, nb LIMIT 5000",
 )
 def _(t: Tables) -> DataFrame:
-    return shown(pr.first_pairs(pair_rows(t)))
+    return shown(pr.first_pairs(pair_rows(t), max_pairs=5000))
 
 
 @query(
@@ -208,22 +208,42 @@ def _(t: Tables) -> DataFrame:
     return shown(pr.first_pairs(pair_rows(t), max_pairs=333, window_days=2))
 
 
+LOOSE = pr.PairPolicy(ex_shift_days_ge=1, pay_shift_days_le=6, amount_abs_diff_le=20.0)
+
+
 @query(
     "dec3_filter_pairs",
-    f"""WITH {PAIR_REPORT.format(window=30)}, f AS (SELECT * FROM allp ORDER BY underlying, na, nb LIMIT 5000)
-    SELECT {PAIR_OUT} FROM f WHERE ex_date_abs_shift_days >= 1 AND pay_date_abs_shift_days <= 3 AND amount_abs_diff <= 5""",
+    f"""WITH {PAIR_QUEUE.format(pay=6, amount=20.0)}
+    SELECT {PAIR_OUT} FROM q WHERE ex_date_abs_shift_days >= 2 AND pay_date_abs_shift_days <= 3 AND amount_abs_diff <= 5 AND same_ccy""",
+)
+def _(t: Tables) -> DataFrame:
+    strict = pr.PairPolicy(ex_shift_days_ge=2, pay_shift_days_le=3, amount_abs_diff_le=5.0, require_same_ccy=True)
+    return shown(pr.filter_pairs(pr.pair_queue(pair_rows(t), LOOSE), strict))
+
+
+@query(
+    "jn4_pair_cells",
+    f"""WITH {PAIR_BASE}, o AS (SELECT underlying, ex, pay, amount, ccy, econ_id, count(*) AS n FROM b
+      WHERE pay IS NOT NULL AND amount IS NOT NULL GROUP BY ALL)
+    SELECT x.underlying, x.econ_id AS econ_id_a, y.econ_id AS econ_id_b, cast(x.ex AS VARCHAR) AS ex_date_a, cast(y.ex AS VARCHAR) AS ex_date_b,
+      abs(y.pay - x.pay) AS pay_date_abs_shift_days, round(x.amount, 6) AS amount_a, round(y.amount, 6) AS amount_b, x.n AS rows_a, y.n AS rows_b, x.n * y.n AS n_pairs
+    FROM o x JOIN o y ON x.underlying = y.underlying AND y.ex - x.ex BETWEEN 1 AND 30 AND abs(y.pay - x.pay) <= 3 AND abs(x.amount - y.amount) <= 5""",
 )
 def _(t: Tables) -> DataFrame:
-    return shown(pr.filter_pairs(pr.first_pairs(pair_rows(t)), WIDE))
+    cells = pr.pair_cells(pair_rows(t), WIDE)
+    return cells.select(
+        "underlying", "econ_id_a", "econ_id_b", *[F.col(c).cast("string").alias(c) for c in ("ex_date_a", "ex_date_b")], "pay_date_abs_shift_days",
+        F.round("amount_a", 6).alias("amount_a"), F.round("amount_b", 6).alias("amount_b"), "rows_a", "rows_b", "n_pairs",
+    )
 
 
 @query(
     "srt3_pair_queue_order",
     f"""WITH {PAIR_QUEUE.format(pay=3, amount=5.0)} SELECT row_number() OVER (ORDER BY underlying, ex_date_abs_shift_days DESC,
-      amount_abs_diff, row_idx_a, row_idx_b) AS place, row_idx_a, row_idx_b FROM q ORDER BY place LIMIT 100""",
+      amount_abs_diff, row_idx_a, row_idx_b) AS place, row_idx_a, row_idx_b FROM q""",
 )
 def _(t: Tables) -> DataFrame:
-    return _numbered(pr.queue_order(pr.pair_queue(pair_rows(t), WIDE)).limit(100), "row_idx_a", "row_idx_b")
+    return _numbered(pr.queue_order(pr.pair_queue(pair_rows(t), WIDE)), "row_idx_a", "row_idx_b")
 
 
 REVIEWED = "SELECT econ_id_b AS x, econ_id_a AS y FROM q WHERE row_idx_a % 3 = 0"
@@ -344,15 +364,14 @@ gf AS (SELECT n.*, coalesce(o1 AND pay IS NOT NULL, FALSE) AS flag_O1, coalesce(
   FROM n LEFT JOIN f1 ON underlying = u1 AND ex = e1 LEFT JOIN f2 ON underlying = u2 AND ex = e2 AND pay = p2
     LEFT JOIN f5 ON underlying = u5)"""
 CLOSE = "abs(x.amount - y.amount) <= 0.02 * greatest(abs(x.amount), abs(y.amount), 1e-9)"
-NEAR_FLAGS = f"""w AS (SELECT *, row_number() OVER (PARTITION BY underlying ORDER BY ex, row_idx) AS rn FROM n
-  WHERE ex IS NOT NULL AND pay IS NOT NULL AND amount IS NOT NULL),
+NEAR_FLAGS = f"""w AS (SELECT * FROM n WHERE ex IS NOT NULL AND pay IS NOT NULL AND amount IS NOT NULL),
 nf AS (SELECT x.row_idx,
-    bool_or(abs(x.ex - y.ex) IN (1, 2) AND x.pay = y.pay AND {CLOSE}) AS flag_O3a,
-    bool_or(abs(x.ex - y.ex) IN (1, 2) AND abs(x.pay - y.pay) = 1 AND {CLOSE}) AS flag_O3b,
-    bool_or(abs(x.ex - y.ex) IN (1, 2) AND x.pay = y.pay AND NOT {CLOSE}) AS flag_O3c,
-    bool_or(abs(x.ex - y.ex) BETWEEN 3 AND 7 AND x.pay = y.pay AND {CLOSE}) AS flag_O3d,
-    bool_or(abs(x.ex - y.ex) BETWEEN 1 AND 7 AND x.div_type <> y.div_type AND x.div_type <> '' AND y.div_type <> '') AS flag_O6
-  FROM w x JOIN w y ON x.underlying = y.underlying AND abs(x.rn - y.rn) BETWEEN 1 AND 11 GROUP BY 1)"""
+    coalesce(bool_or(abs(x.ex - y.ex) IN (1, 2) AND x.pay = y.pay AND {CLOSE}), FALSE) AS flag_O3a,
+    coalesce(bool_or(abs(x.ex - y.ex) IN (1, 2) AND abs(x.pay - y.pay) = 1 AND {CLOSE}), FALSE) AS flag_O3b,
+    coalesce(bool_or(abs(x.ex - y.ex) IN (1, 2) AND x.pay = y.pay AND NOT {CLOSE}), FALSE) AS flag_O3c,
+    coalesce(bool_or(abs(x.ex - y.ex) BETWEEN 3 AND 7 AND x.pay = y.pay AND {CLOSE}), FALSE) AS flag_O3d,
+    coalesce(bool_or(x.div_type <> y.div_type AND x.div_type <> '' AND y.div_type <> ''), FALSE) AS flag_O6
+  FROM w x LEFT JOIN w y ON x.underlying = y.underlying AND abs(x.ex - y.ex) BETWEEN 1 AND 7 GROUP BY 1)"""
 ALL_FLAGS = f"""{GROUP_FLAGS}, {NEAR_FLAGS},
 fl AS (SELECT gf.*, coalesce(flag_O3a, FALSE) AS flag_O3a, coalesce(flag_O3b, FALSE) AS flag_O3b, coalesce(flag_O3c, FALSE) AS flag_O3c,
     coalesce(flag_O3d, FALSE) AS flag_O3d, coalesce(flag_O6, FALSE) AS flag_O6 FROM gf LEFT JOIN nf USING (row_idx))"""
@@ -360,7 +379,7 @@ fl AS (SELECT gf.*, coalesce(flag_O3a, FALSE) AS flag_O3a, coalesce(flag_O3b, FA
 
 @query("agg18_group_flags", f"WITH {GROUP_FLAGS} SELECT row_idx, flag_O1, flag_O2, flag_O5 FROM gf")
 def _(t: Tables) -> DataFrame:
-    return ov.add_overlap_flags(overlap_rows(t)).select("row_idx", "flag_O1", "flag_O2", "flag_O5")
+    return ov.with_group_flags(overlap_rows(t)).select("row_idx", "flag_O1", "flag_O2", "flag_O5")
 
 
 @query(
@@ -368,18 +387,12 @@ def _(t: Tables) -> DataFrame:
     f"WITH {OVERLAP}, {NEAR_FLAGS} SELECT * FROM nf",
 )
 def _(t: Tables) -> DataFrame:
-    # Rows without any neighbour have no flags on either side.
-    df = overlap_rows(t)
-    flags = ov.near_flags(df, "underlying")
-    work = df.where("ex_date IS NOT NULL AND pay_date IS NOT NULL AND amount IS NOT NULL")
-    several = work.groupBy("underlying").agg((F.count("*") > 1).alias("several")).where("several")
-    keep = work.join(several, "underlying", "left_semi").select("row_idx")
-    return flags.join(keep, "row_idx", "left_semi").select("row_idx", *[f"flag_{p}" for p in ("O3a", "O3b", "O3c", "O3d", "O6")])
+    return ov.near_flags(overlap_rows(t), "underlying")
 
 
 @query("win11_repeated_vendor_id", f"WITH {GROUP_FLAGS} SELECT row_idx, flag_O4 FROM gf")
 def _(t: Tables) -> DataFrame:
-    return ov.add_overlap_flags(overlap_rows(t)).select("row_idx", "flag_O4")
+    return ov.with_repeated_ids(overlap_rows(t)).select("row_idx", "flag_O4")
 
 
 @query("win10_all_flags", f"WITH {ALL_FLAGS} SELECT row_idx, {', '.join(f'flag_{p}' for p in ov.PATTERNS)} FROM fl")
@@ -410,12 +423,12 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "set7_isin_pool",
-    """SELECT DISTINCT upper(trim(isin)) AS isin FROM (SELECT isin FROM v_securities UNION ALL SELECT isin FROM v_resolutions
-      UNION ALL SELECT isin_code FROM v_holdings_raw) i WHERE isin NOT IN ('nan', 'NaN', 'NAN', 'None', '<NA>') AND length(trim(isin)) >= 2""",
+    """SELECT row_number() OVER (ORDER BY isin) AS place, isin FROM (SELECT DISTINCT upper(trim(isin)) AS isin FROM (SELECT isin FROM v_securities UNION ALL SELECT isin FROM v_resolutions
+      UNION ALL SELECT isin_code FROM v_holdings_raw) i WHERE isin NOT IN ('nan', 'NaN', 'NAN', 'None', '<NA>') AND length(trim(isin)) >= 2) d""",
 )
 def _(t: Tables) -> DataFrame:
     holdings = t.view("v_holdings_raw").withColumnRenamed("isin_code", "isin")
-    return ov.isin_pool([t.view("v_securities"), t.view("v_resolutions"), holdings])
+    return _numbered(ov.isin_pool([t.view("v_securities"), t.view("v_resolutions"), holdings]), "isin")
 
 
 @query(

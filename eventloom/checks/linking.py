@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.checks.registry import Tables, query
@@ -337,25 +337,30 @@ def _(t: Tables) -> DataFrame:
 @query(
     "srt1_events_worst_first",
     f"""WITH {sev_sql()} SELECT row_number() OVER (ORDER BY severity_tier, row_count DESC, amount_nunique DESC,
-      anchor_spread_days DESC, economic_event_id) AS place, economic_event_id FROM sev
-    ORDER BY place LIMIT 100""",
+      anchor_spread_days DESC, economic_event_id) AS place, economic_event_id FROM sev""",
 )
 def _(t: Tables) -> DataFrame:
-    return _numbered(sv.worst_first(events(t)).limit(100), "economic_event_id")
+    return _numbered(sv.worst_first(events(t)), "economic_event_id")
 
 
 def _numbered(ordered: DataFrame, *columns: str) -> DataFrame:
-    """Position of the rows of a short report; ``ordered`` ends in a limit."""
-    packed = ordered.agg(F.collect_list(F.struct(*columns)).alias("rows"))
-    return packed.select(F.posexplode("rows").alias("pos", "r")).select((F.col("pos") + 1).alias("place"), "r.*")
+    """Place of every row of a sorted table. Sorted partitions are numbered where they are; one row each gives the offsets."""
+    at = cut_lineage(ordered.select(*columns, F.monotonically_increasing_id().alias("__at")))
+    part, inside = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = at.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    met = at.withColumn("__part", part).join(offsets, "__part")
+    return met.select((inside + F.col("__before") + 1).alias("place"), *columns)
 
 
 @query(
     "srt2_review_events",
-    f"""WITH {sev_sql()} SELECT economic_event_id, severity_tier, row_count FROM sev WHERE severity_tier IN (0, 1)""",
+    f"""WITH {sev_sql()} SELECT row_number() OVER (ORDER BY severity_tier, row_count DESC, amount_nunique DESC, anchor_spread_days DESC,
+      economic_event_id) AS place, economic_event_id, severity_tier, row_count FROM sev WHERE severity_tier IN (0, 1)""",
 )
 def _(t: Tables) -> DataFrame:
-    return sv.review_events(events(t)).select("economic_event_id", "severity_tier", "row_count")
+    return _numbered(sv.review_events(events(t)), "economic_event_id", "severity_tier", "row_count")
 
 
 @query(
@@ -431,11 +436,11 @@ def _(t: Tables) -> DataFrame:
     f"""WITH {sev_sql()}, c AS (SELECT DISTINCT r.case_tag, r.economic_event_id, severity_tier, row_count
       FROM r LEFT JOIN sev USING (economic_event_id) WHERE r.case_tag IS NOT NULL)
     SELECT row_number() OVER (ORDER BY case_tag, severity_tier NULLS FIRST, row_count DESC NULLS LAST, economic_event_id) AS place,
-      case_tag, economic_event_id FROM c ORDER BY place LIMIT 100""",
+      case_tag, economic_event_id FROM c""",
 )
 def _(t: Tables) -> DataFrame:
     view = sv.case_order(sv.case_view(t.view("v_rows"), events(t)))
-    return _numbered(view.limit(100), "case_tag", "economic_event_id")
+    return _numbered(view, "case_tag", "economic_event_id")
 
 
 @query(
@@ -471,11 +476,10 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "srt6_input_order",
-    f"""WITH {linked_sql()} SELECT row_number() OVER (ORDER BY row_idx) AS place, row_idx, event_link_reason FROM linked
-    ORDER BY place LIMIT 200""",
+    f"""WITH {linked_sql()} SELECT row_number() OVER (ORDER BY row_idx) AS place, row_idx, event_link_reason FROM linked""",
 )
 def _(t: Tables) -> DataFrame:
-    return _numbered(linked(t).orderBy("row_idx").limit(200), "row_idx", "event_link_reason")
+    return _numbered(linked(t).orderBy("row_idx"), "row_idx", "event_link_reason")
 
 
 @query(

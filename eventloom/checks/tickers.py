@@ -800,10 +800,10 @@ def _(t: Tables) -> DataFrame:
 @query(
     "srt4_review_queue_order",
     f"""WITH {TAGS} SELECT row_number() OVER (ORDER BY CASE review_reason WHEN 'hard_failure' THEN 0 WHEN 'failed_weight_unmatched' THEN 1 WHEN 'candidate_unverified' THEN 2 ELSE 3 END,
-      weight DESC, underlying, chosen_ticker) AS place, underlying, review_reason FROM q ORDER BY place LIMIT 100""",
+      weight DESC, underlying, chosen_ticker) AS place, underlying, review_reason FROM q""",
 )
 def _(t: Tables) -> DataFrame:
-    return _numbered(rv.queue_order(rv.review_queue(res(t), t.view("v_weights"))).limit(100), "underlying", "review_reason")
+    return _numbered(rv.queue_order(rv.review_queue(res(t), t.view("v_weights"))), "underlying", "review_reason")
 
 
 @query(
@@ -949,11 +949,11 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "srt8_map_order",
-    f"WITH {EFFECTIVE} SELECT row_number() OVER (ORDER BY underlying, underlying_ccy) AS place, underlying, underlying_ccy FROM eff ORDER BY place LIMIT 100",
+    f"WITH {EFFECTIVE} SELECT row_number() OVER (ORDER BY underlying, underlying_ccy) AS place, underlying, underlying_ccy FROM eff",
 )
 def _(t: Tables) -> DataFrame:
     out = rr.effective_map(rr.overrides(t.view("v_cache_new")), rr.cache(t.view("v_cache_old")))
-    return _numbered(rr.map_order(out).limit(100), "underlying", "underlying_ccy")
+    return _numbered(rr.map_order(out), "underlying", "underlying_ccy")
 
 
 UPSERT = f"""{records('rn', 'v_cache_new')}, {records('ro', 'v_cache_old')}, {kept('nw', 'rn', True, CACHE_FIELDS)}, {kept('ol', 'ro', True, CACHE_FIELDS)}"""

@@ -9,7 +9,6 @@ from eventloom.functions import text as tx
 from eventloom.functions import values as vl
 from eventloom.operators.linking import column_or
 from eventloom.operators.regions import country_bucket
-from eventloom.operators.skew import CHUNK, OrderedScan, split_by_heat
 
 PATTERNS = ["O1", "O2", "O3a", "O3b", "O3c", "O3d", "O4", "O5", "O6"]
 TEXT_COLUMNS = [
@@ -24,8 +23,6 @@ TEXT_COLUMNS = [
     "source_event_key",
 ]
 DATE_COLUMNS = ["declared_date", "ex_date", "record_date", "pay_date"]
-# A row is compared with this many rows before and after it in date order.
-NEIGHBOURS = 11
 MAX_EX_DIFF = 7
 
 
@@ -72,94 +69,150 @@ def normalise(df: DataFrame) -> DataFrame:
     return out.withColumns({"bucket": bucket, "bucket_reason": reason, "row_id": row_id})
 
 
+def _cell_match(rows: DataFrame, cells: DataFrame, keys: list[str]) -> Column:
+    cond = F.lit(True)
+    for c in keys:
+        cond = cond & rows[c].eqNullSafe(cells[c])
+    return cond
+
+
 def group_flags(df: DataFrame, group: str) -> DataFrame:
     """O1, O2, O5: several pay dates, amounts or currencies where one is expected.
 
-    "At least two distinct values" is min < max, which combines before the shuffle. The finest grain
-    (group, ex, pay) is aggregated once; the coarser ones follow from it.
+    "At least two distinct values" is min < max, which combines before the shuffle, so a hot group is a few
+    partial rows. The finest grain (group, ex, pay) is aggregated once; the coarser ones follow from it.
     """
     grain = [group, "ex_date", "pay_date"]
     base = df.where(F.col(group).isNotNull() & F.col("ex_date").isNotNull())
     cells = base.groupBy(*grain).agg(
         F.min("amount").alias("a0"), F.max("amount").alias("a1"), F.min("div_ccy").alias("c0"), F.max("div_ccy").alias("c1")
     )
-    by_day, by_group = Window.partitionBy(group, "ex_date"), Window.partitionBy(group)
     several = lambda lo, hi: F.coalesce(lo < hi, F.lit(False))
+    days = cells.groupBy(group, "ex_date").agg(several(F.min("pay_date"), F.max("pay_date")).alias("__o1"))
+    groups = cells.groupBy(group).agg(several(F.min("c0"), F.max("c1")).alias("flag_O5"))
     has_pay = F.col("pay_date").isNotNull()
-    return cells.select(
-        *grain,
-        (several(F.min("pay_date").over(by_day), F.max("pay_date").over(by_day)) & has_pay).alias("flag_O1"),
-        (several(F.col("a0"), F.col("a1")) & has_pay).alias("__o2"),
-        several(F.min("c0").over(by_group), F.max("c1").over(by_group)).alias("flag_O5"),
+    return (
+        cells.join(days, [group, "ex_date"])
+        .join(groups, group)
+        .select(
+            *grain,
+            (F.col("__o1") & has_pay).alias("flag_O1"),
+            (several(F.col("a0"), F.col("a1")) & has_pay).alias("__o2"),
+            "flag_O5",
+        )
+    )
+
+
+def with_group_flags(df: DataFrame, group: str = "underlying") -> DataFrame:
+    """The rows with flag_O1, flag_O2 and flag_O5."""
+    cells = group_flags(df, group)
+    out = df.join(cells, _cell_match(df, cells, [group, "ex_date", "pay_date"]), "left")
+    false = lambda c: F.coalesce(c, F.lit(False))
+    return out.select(
+        df["*"],
+        false(cells["flag_O1"]).alias("flag_O1"),
+        false(cells["__o2"] & df["amount"].isNotNull()).alias("flag_O2"),
+        false(cells["flag_O5"]).alias("flag_O5"),
+    )
+
+
+def with_repeated_ids(df: DataFrame) -> DataFrame:
+    """The rows with flag_O4: the vendor id is on another row, too. Rows without one do not meet under a null key."""
+    repeated = df.groupBy("vendor_event_id").agg((F.count(F.lit(1)) > 1).alias("flag_O4"))
+    repeated = repeated.where("flag_O4 AND vendor_event_id IS NOT NULL").select(
+        F.col("vendor_event_id").alias("__id"), "flag_O4"
+    )
+    own = F.coalesce(F.col("vendor_event_id"), F.concat(F.lit("\x00none-"), F.col("row_idx").cast("string")))
+    keyed = df.withColumn("__own", own)
+    out = keyed.join(repeated, keyed["__own"] == repeated["__id"], "left")
+    return out.select(*[keyed[c] for c in df.columns], F.coalesce("flag_O4", F.lit(False)).alias("flag_O4"))
+
+
+def _near_cells(cells: DataFrame, group: str) -> DataFrame:
+    """Cells with their O3a, O3b, O3d flags: another cell of the group with a close amount, days apart.
+
+    Cells meet by ex week, pay day and amount band. The band is the logarithm of the amount in steps of the widest
+    close pair, so close amounts lie in one band or in bands side by side. Each pair is met once, from its earlier
+    ex date, and counts for both.
+    """
+    # vl.amount_close allows two parts in a hundred of the larger amount, at least of 1e-9.
+    step, floor = 0.0203, 1e-9
+    band = F.floor(F.signum("amount") * F.log(F.greatest(F.abs("amount"), F.lit(floor)) / floor) / step)
+    week = F.floor(F.unix_date("ex_date") / (MAX_EX_DIFF + 1))
+    placed = cells.withColumns({"__band": band, "__week": week, "__pay": F.unix_date("pay_date")})
+    keys = [group, "__band", "__week", "__pay"]
+    probes = placed
+    for column, steps in (("__band", (-1, 0, 1)), ("__week", (0, 1)), ("__pay", (-1, 0, 1))):
+        probes = probes.withColumn(column, F.explode(F.array(*[F.col(column) + d for d in steps])))
+    a = probes.select(*keys, *[F.col(c).alias(f"{c}_a") for c in ("ex_date", "pay_date", "amount")])
+    b = placed.select(*keys, *[F.col(c).alias(f"{c}_b") for c in ("ex_date", "pay_date", "amount")])
+    ex, pay = F.datediff("ex_date_b", "ex_date_a"), F.abs(F.datediff("pay_date_b", "pay_date_a"))
+    near = a.join(b, keys).where(
+        ex.between(1, MAX_EX_DIFF) & ((pay == 0) | (ex <= 2)) & vl.amount_close(F.col("amount_a"), F.col("amount_b"))
+    )
+    sides = F.explode(
+        F.array(*[F.struct(*[F.col(f"{c}_{s}").alias(c) for c in ("ex_date", "pay_date", "amount")]) for s in "ab"])
     )
+    hits = near.select(group, (ex <= 2).alias("__soon"), (pay == 0).alias("__same"), sides.alias("__cell"))
+    return hits.groupBy(group, "__cell").agg(
+        F.bool_or(F.col("__soon") & F.col("__same")).alias("flag_O3a"),
+        F.bool_or(F.col("__soon") & ~F.col("__same")).alias("flag_O3b"),
+        F.bool_or(~F.col("__soon") & F.col("__same")).alias("flag_O3d"),
+    ).select(group, "__cell.*", "flag_O3a", "flag_O3b", "flag_O3d")
+
+
+def _far_cells(cells: DataFrame, group: str) -> DataFrame:
+    """Cells with O3c: the same pay date within two days of ex, and an amount that is not close.
 
+    Close amounts are an interval, so the least or the largest amount of a day decides for all of them.
+    """
+    days = cells.groupBy(group, "ex_date", "pay_date").agg(F.min("amount").alias("__lo"), F.max("amount").alias("__hi"))
+    lent = days.select(
+        group, "pay_date", F.explode(F.array(*[F.date_add("ex_date", d) for d in (-2, -1, 1, 2)])).alias("ex_date"), "__lo", "__hi"
+    )
+    lent = lent.groupBy(group, "ex_date", "pay_date").agg(F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi"))
+    apart = ~vl.amount_close(F.col("__lo"), F.col("amount")) | ~vl.amount_close(F.col("__hi"), F.col("amount"))
+    return cells.join(lent, [group, "ex_date", "pay_date"]).where(apart).select(
+        group, "ex_date", "pay_date", "amount", F.lit(True).alias("flag_O3c")
+    )
 
-def _near_flags(scan: OrderedScan) -> dict[str, Column]:
-    """O3a-d and O6 for a row against its neighbours; every condition is symmetric."""
-    me = F.struct("ex_date", "pay_date", "amount", "div_type")
-    around = F.collect_list(me).over(scan.window().rowsBetween(-NEIGHBOURS, NEIGHBOURS))
-    ex = lambda o: F.abs(F.datediff(o["ex_date"], F.col("ex_date")))
-    pay = lambda o: F.abs(F.datediff(o["pay_date"], F.col("pay_date")))
-    close = lambda o: vl.amount_close(o["amount"], F.col("amount"))
-    tests = {
-        "flag_O3a": lambda o: ex(o).between(1, 2) & (pay(o) == 0) & close(o),
-        "flag_O3b": lambda o: ex(o).between(1, 2) & (pay(o) == 1) & close(o),
-        "flag_O3c": lambda o: ex(o).between(1, 2) & (pay(o) == 0) & ~close(o),
-        "flag_O3d": lambda o: ex(o).between(3, MAX_EX_DIFF) & (pay(o) == 0) & close(o),
-        "flag_O6": lambda o: ex(o).between(1, MAX_EX_DIFF)
-        & F.coalesce((o["div_type"] != F.col("div_type")) & (o["div_type"] != "") & (F.col("div_type") != ""), F.lit(False)),
-    }
-    return {"__around": around} | {name: F.exists(F.col("__around"), test) for name, test in tests.items()}
-
-
-def _with_halo(df: DataFrame, scan: OrderedScan) -> DataFrame:
-    """Lend every chunk the last rows of the chunk before and the first rows of the one after."""
-    if not scan.chunked:
-        return df.withColumn("__lent", F.lit(False))
-    w = Window.partitionBy(*scan.partition)
-    head = df.withColumn("__n", F.row_number().over(w.orderBy(*scan.order))).where(F.col("__n") <= NEIGHBOURS)
-    tail = df.withColumn("__n", F.row_number().over(w.orderBy(*[F.desc(c) for c in scan.order])))
-    tail = tail.where(F.col("__n") <= NEIGHBOURS)
-    lent = head.withColumn(CHUNK, F.col(CHUNK) - 1).unionByName(tail.withColumn(CHUNK, F.col(CHUNK) + 1)).drop("__n")
-    return df.withColumn("__lent", F.lit(False)).unionByName(lent.withColumn("__lent", F.lit(True)))
+
+def _type_days(work: DataFrame, group: str) -> DataFrame:
+    """Least and largest type of the other days within a week, per group and ex date; one row per day, no row pairs."""
+    days = work.where("div_type <> ''").groupBy(group, "ex_date").agg(F.min("div_type").alias("t0"), F.max("div_type").alias("t1"))
+    steps = [d for d in range(-MAX_EX_DIFF, MAX_EX_DIFF + 1) if d]
+    lent = days.select(group, F.explode(F.array(*[F.date_add("ex_date", d) for d in steps])).alias("ex_date"), "t0", "t1")
+    return lent.groupBy(group, "ex_date").agg(F.min("t0").alias("__t0"), F.max("t1").alias("__t1"))
 
 
 def near_flags(df: DataFrame, group: str) -> DataFrame:
-    """``row_idx`` with the neighbour flags, for rows that have group, dates and amount."""
+    """``row_idx`` with O3a-d and O6, for rows that have group, dates and amount.
+
+    A row is compared with all rows of its group within the days of the pattern. The work follows distinct
+    (group, ex, pay, amount) cells, so copies cost nothing, and a hot group is spread over its days and amounts.
+    """
+    keys = [group, "ex_date", "pay_date", "amount"]
     work = df.where(
         F.col(group).isNotNull()
         & F.col("ex_date").isNotNull()
         & F.col("pay_date").isNotNull()
         & F.col("amount").isNotNull()
-    ).select("row_idx", group, "ex_date", "pay_date", "amount", "div_type")
-    out = None
-    for part, scan in split_by_heat(work, [group], ["ex_date", "row_idx"], size_of=df):
-        exprs = _near_flags(scan)
-        flagged = _with_halo(part, scan).withColumn("__around", exprs.pop("__around")).withColumns(exprs)
-        flagged = flagged.where(~F.col("__lent")).select("row_idx", *exprs)
-        out = flagged if out is None else out.unionByName(flagged)
-    return out
+    ).select("row_idx", *keys, "div_type")
+    cells = work.select(*keys).distinct()
+    types = F.coalesce(
+        (F.col("div_type") != "") & ((F.col("__t0") != F.col("div_type")) | (F.col("__t1") != F.col("div_type"))), F.lit(False)
+    )
+    flags = ["flag_O3a", "flag_O3b", "flag_O3c", "flag_O3d"]
+    out = work.join(_near_cells(cells, group), keys, "left").join(_far_cells(cells, group), keys, "left")
+    out = out.join(_type_days(work, group), [group, "ex_date"], "left")
+    return out.select("row_idx", *[F.coalesce(f, F.lit(False)).alias(f) for f in flags], types.alias("flag_O6"))
 
 
 def add_overlap_flags(df: DataFrame, group: str = "underlying") -> DataFrame:
     """All pattern flags on every row of a normalised table; needs a unique ``row_idx``."""
-    cells = group_flags(df, group)
-    cell_match = F.lit(True)
-    for c in (group, "ex_date", "pay_date"):
-        cell_match = cell_match & df[c].eqNullSafe(cells[c])
-    out = df.join(cells, cell_match, "left").select(df["*"], cells["flag_O1"], cells["__o2"], cells["flag_O5"])
-    out = out.withColumn("flag_O2", F.col("__o2") & F.col("amount").isNotNull()).drop("__o2")
-
-    repeated = (
-        df.where(F.col("vendor_event_id").isNotNull())
-        .groupBy("vendor_event_id")
-        .agg((F.count(F.lit(1)) > 1).alias("flag_O4"))
-        .where("flag_O4")
-    )
-    out = out.join(repeated, "vendor_event_id", "left").join(near_flags(df, group), "row_idx", "left")
+    out = with_repeated_ids(with_group_flags(df, group)).join(near_flags(df, group), "row_idx", "left")
     flags = [f"flag_{p}" for p in PATTERNS]
-    out = out.withColumns({f: F.coalesce(F.col(f), F.lit(False)) for f in flags})
-    return out.select(*df.columns, *flags)
+    return out.select(*df.columns, *[F.coalesce(f, F.lit(False)).alias(f) for f in flags])
 
 
 def sample_rank(seed: int) -> Column:
@@ -190,7 +243,11 @@ def stratified_sample(
     rows = marked.join(chosen, ["pattern", "sample_bucket", group])
     if pure_only:
         rows = rows.where(F.col("__flags") == 1)
-    w = Window.partitionBy("pattern").orderBy(F.col("__flags") > 1, "__rank", "row_idx")
+    order = [F.col("__flags") > 1, "__rank", "row_idx"]
+    # The first k of each lane, then the first k of those: no task sees a whole hot group.
+    lanes = Window.partitionBy("pattern", F.pmod(F.xxhash64("row_idx"), F.lit(64))).orderBy(*order)
+    rows = rows.withColumn("sample_no", F.row_number().over(lanes)).where(F.col("sample_no") <= k)
+    w = Window.partitionBy("pattern").orderBy(*order)
     rows = rows.withColumn("sample_no", F.row_number().over(w)).where(F.col("sample_no") <= k)
     note = F.concat(
         F.lit("random pick: bucket="), F.col("sample_bucket"), F.lit(f", {group}="), F.col(group).cast("string")

@@ -21,6 +21,7 @@ PAIR_INPUT = [
     "economic_event_id",
     "vendor_event_id",
 ]
+OBSERVATION = ["ex_date", "pay_date", "amount", "div_ccy", "econ_id"]
 SIDE = ["case_tag", "economic_event_id", "vendor_event_id", "ex_date", "pay_date", "amount"]
 
 
@@ -84,19 +85,18 @@ def _describe(joined: DataFrame) -> DataFrame:
     )
 
 
-def pair_queue(rows: DataFrame, policy: PairPolicy | None = None, tagged_only: bool = True) -> DataFrame:
-    """All pairs within the ex, pay and amount limits; nothing is capped.
+CELL = ["underlying", "__ex", "__pay", "__amt"]
 
-    Rows are first reduced to distinct (underlying, ex, pay, amount) cells, so copies meet once. Cells
-    meet on underlying, pay band and amount band, which holds for a hot underlying too. Rows are looked
-    up only for cell pairs that pass, so the work follows the size of the answer.
-    """
-    p = policy or PairPolicy()
-    base = pair_rows(rows, tagged_only).where(F.col("__pay").isNotNull() & F.col("__amt").isNotNull())
-    cell = ["underlying", "__ex", "__pay", "__amt"]
+
+def _complete(rows: DataFrame, tagged_only: bool) -> DataFrame:
+    return pair_rows(rows, tagged_only).where(F.col("__pay").isNotNull() & F.col("__amt").isNotNull())
+
+
+def _cell_pairs(base: DataFrame, p: PairPolicy) -> DataFrame:
+    """Pairs of distinct (underlying, ex, pay, amount) cells within the limits."""
     pay_width = p.pay_shift_days_le + 1
     amount_width = max(p.amount_abs_diff_le, 1e-9)
-    cells = base.select(*cell).distinct()
+    cells = base.select(*CELL).distinct()
     banded = cells.withColumns(
         {
             "__pb": F.floor(F.unix_date("__pay") / pay_width),
@@ -108,12 +108,57 @@ def pair_queue(rows: DataFrame, policy: PairPolicy | None = None, tagged_only: b
     left = left.withColumn("__ab", F.explode(F.transform(near, lambda d: F.col("__ab_a") + d))).drop("__pb_a", "__ab_a")
     right = _side(banded, "b").withColumnsRenamed({"__pb_b": "__pb", "__ab_b": "__ab"})
     shift = F.datediff("__ex_b", "__ex_a")
-    cell_pairs = left.join(right, ["underlying", "__pb", "__ab"]).where(
+    met = left.join(right, ["underlying", "__pb", "__ab"]).where(
         shift.between(max(p.ex_shift_days_ge, 0), p.max_ex_shift_window_days)
         & (F.abs(F.datediff("__pay_b", "__pay_a")) <= p.pay_shift_days_le)
         & (F.abs(F.col("__amt_a") - F.col("__amt_b")) <= p.amount_abs_diff_le)
     )
-    cell_pairs = cell_pairs.drop("__pb", "__ab")
+    return met.drop("__pb", "__ab")
+
+
+def pair_cells(rows: DataFrame, policy: PairPolicy | None = None, tagged_only: bool = True) -> DataFrame:
+    """All pairs of distinct observations within the limits, with the row counts of either side.
+
+    An observation is (underlying, ex, pay, amount, currency, event); copies of it are counted, not paired, so the
+    table follows what was observed and not how often. ``pair_queue`` looks the rows up. Without a least ex shift an
+    observation also pairs with its own copies.
+    """
+    p = policy or PairPolicy()
+    base = _complete(rows, tagged_only)
+    seen = [*CELL, "__ccy", "economic_event_id"]
+    counted = base.groupBy(*seen).agg(F.count(F.lit(1)).alias("rows"))
+    a, b = _side(counted, "a"), _side(counted, "b")
+    joined = _cell_pairs(base, p).join(a, [CELL[0], *[f"{c}_a" for c in CELL[1:]]]).join(b, [CELL[0], *[f"{c}_b" for c in CELL[1:]]])
+    n_pairs = F.col("rows_a") * F.col("rows_b")
+    if p.ex_shift_days_ge <= 0:
+        place = lambda s: F.struct(*[F.col(f"{c}_{s}") for c in seen[1:]])
+        same = place("a") == place("b")
+        joined = joined.where((place("a") < place("b")) | (same & (F.col("rows_a") > 1)))
+        n_pairs = F.when(same, F.floor(F.col("rows_a") * (F.col("rows_a") - 1) / 2)).otherwise(n_pairs)
+    if p.require_same_ccy:
+        joined = joined.where(F.col("__ccy_a") == F.col("__ccy_b"))
+    return joined.select(
+        "underlying",
+        *[F.col(f"{c}_{s}").alias(f"{n}_{s}") for c, n in zip(seen[1:], OBSERVATION, strict=True) for s in "ab"],
+        F.abs(F.col("__amt_a") - F.col("__amt_b")).alias("amount_abs_diff"),
+        F.datediff("__ex_b", "__ex_a").alias("ex_date_abs_shift_days"),
+        F.abs(F.datediff("__pay_b", "__pay_a")).alias("pay_date_abs_shift_days"),
+        "rows_a",
+        "rows_b",
+        n_pairs.alias("n_pairs"),
+    )
+
+
+def pair_queue(rows: DataFrame, policy: PairPolicy | None = None, tagged_only: bool = True) -> DataFrame:
+    """All pairs within the ex, pay and amount limits; nothing is capped.
+
+    Rows are first reduced to distinct (underlying, ex, pay, amount) cells, so copies meet once. Cells
+    meet on underlying, pay band and amount band, which holds for a hot underlying too. Rows are looked
+    up only for cell pairs that pass, so the work follows the size of the answer.
+    """
+    p = policy or PairPolicy()
+    base = _complete(rows, tagged_only)
+    cell_pairs = _cell_pairs(base, p)
     a, b = _side(base, "a"), _side(base, "b")
     joined = cell_pairs.join(a, ["underlying", "__ex_a", "__pay_a", "__amt_a"]).join(
         b, ["underlying", "__ex_b", "__pay_b", "__amt_b"]
@@ -145,7 +190,7 @@ def filter_pairs(pairs: DataFrame, policy: PairPolicy | None = None) -> DataFram
 
 
 def first_pairs(
-    rows: DataFrame, max_pairs: int = 5000, window_days: int = 30, tagged_only: bool = True
+    rows: DataFrame, max_pairs: int, window_days: int = 30, tagged_only: bool = True
 ) -> DataFrame:
     """The first ``max_pairs`` pairs within the ex window, in order of underlying, first and second row.
 
@@ -219,6 +264,7 @@ __all__ = [
     "PairPolicy",
     "filter_pairs",
     "first_pairs",
+    "pair_cells",
     "pair_events",
     "pair_queue",
     "pair_rows",

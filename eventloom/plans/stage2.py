@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +26,6 @@ class Stage2Options:
     pairs_enabled: bool = False
     pairs: pr.PairPolicy = field(default_factory=pr.PairPolicy)
     suppress_reviewed: bool = False
-    pair_report_rows: int = 5000
 
 
 @dataclass(frozen=True)
@@ -43,9 +42,9 @@ class Stage2Tables:
 
 
 def outputs(rows: DataFrame, options: Stage2Options) -> Stage2Tables:
-    """Events and everything that follows from linked rows."""
-    events = sv.with_summary(sv.event_severity(rows, options.severity), options.severity)
-    graded = sv.attach_severity(rows, events)
+    """Events and everything that follows from linked rows; events and graded rows are written once and read by the rest."""
+    events = cut_lineage(sv.with_summary(sv.event_severity(rows, options.severity), options.severity))
+    graded = cut_lineage(sv.attach_severity(rows, events))
     queue = sv.review_events(events)
     has_cases = "case_tag" in rows.columns
     has_pairs = set(pr.PAIR_INPUT) <= set(rows.columns)
@@ -56,9 +55,7 @@ def outputs(rows: DataFrame, options: Stage2Options) -> Stage2Tables:
         review_rows=sv.evidence_rows(graded, queue),
         regions=region_split(graded),
         cases=sv.case_order(sv.case_view(graded, events, options.severity)) if has_cases else None,
-        pairs=pr.first_pairs(graded, options.pair_report_rows, options.pairs.max_ex_shift_window_days)
-        if has_pairs
-        else None,
+        pairs=pr.pair_cells(graded, options.pairs) if has_pairs else None,
     )
 
 
@@ -91,10 +88,9 @@ def _with_pair_queue(
             queue = dc.suppress_reviewed(queue, decisions)
         if not decisions.where(F.col("decision") == "MERGE").isEmpty():
             tables = outputs(dc.apply_merges(rows, dc.merge_map(decisions)), options)
-    fields = {name: getattr(tables, name) for name in Stage2Tables.__dataclass_fields__}
-    return Stage2Tables(
-        **fields | {"pair_queue": pr.queue_order(queue), "pair_events": pr.pair_events(tables.events, queue)}
-    )
+    # Written once: the queue is an artefact of its own and names the events of another.
+    queue = cut_lineage(queue)
+    return replace(tables, pair_queue=pr.queue_order(queue), pair_events=pr.pair_events(tables.events, queue))
 
 
 def write(tables: Stage2Tables, root: str, no_events: DataFrame | None = None) -> None:
@@ -102,12 +98,9 @@ def write(tables: Stage2Tables, root: str, no_events: DataFrame | None = None) -
     base = f"{root}/stage2"
     write_table(tables.rows, f"{base}/rows")
     write_table(tables.events, f"{base}/events")
-    # The written tables carry the tier, so queues are read from them instead of recomputed.
-    spark = tables.rows.sparkSession
-    rows, events = spark.read.parquet(f"{base}/rows"), spark.read.parquet(f"{base}/events")
-    write_table(sv.review_events(events), f"{base}/review_events")
-    write_table(sv.evidence_rows(rows, events), f"{base}/review_rows")
-    for name, df in region_split(rows).items():
+    write_table(tables.review_events, f"{base}/review_events")
+    write_table(tables.review_rows, f"{base}/review_rows")
+    for name, df in tables.regions.items():
         write_table(df, f"{base}/rows_{name}")
     if no_events is not None:
         for name, df in region_split(no_events).items():

@@ -28,18 +28,21 @@ def build_session(app: str = "eventloom", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+# Scratch folders of local sessions that name none, by application.
+_SCRATCH: dict[str, str] = {}
+
+
 def checkpoint_folder(spark: SparkSession) -> str:
-    """Shared folder for checkpoints: the session's own, or a scratch one on a local master."""
+    """Shared folder for written tables: the session's own, or a scratch one on a local master."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(folder)
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="eventloom-checkpoint-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _SCRATCH:
+        _SCRATCH[app] = tempfile.mkdtemp(prefix="eventloom-checkpoint-")
+    return _SCRATCH[app]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -50,4 +53,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     path = f"{checkpoint_folder(df.sparkSession)}/eventloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_path = path
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete what ``cut_lineage`` wrote for ``frames``, once nothing reads it any more; other frames are left alone."""
+    for df in frames:
+        path = getattr(df, "_written_path", None)
+        if path:
+            target = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
