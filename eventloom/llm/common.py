@@ -64,6 +64,20 @@ def map_rows(
     return df.select(*columns).mapInArrow(run, schema)
 
 
+def keep_rows(docs: DataFrame, judge: Callable[[], Callable[[list[str | None]], list[bool]]]) -> DataFrame:
+    """Rows of ``docs``, with all columns, whose text is kept; ``judge`` makes a task's function from texts to verdicts."""
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = judge()
+        for batch in batches:
+            texts = batch.column(place).to_pylist()
+            keep = [ok for start, end in slices(texts) for ok in own(texts[start:end])]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def arrow_schema(schema: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.session import cut_lineage
+from eventloom.session import cut_lineage, release
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -31,13 +31,17 @@ def components(edges: DataFrame) -> DataFrame:
     mark = _mark(now)
     while True:
         stars = _large_star(now).where("u <> v").distinct()
-        now = cut_lineage(_small_star(stars).where("u <> v").distinct())
+        before, now = now, cut_lineage(_small_star(stars).where("u <> v").distinct())
+        release(before)
         after = _mark(now)
         if after == mark:
             break
         mark = after
     leaves = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return leaves.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+    named = leaves.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+    done = cut_lineage(named)
+    release(now)
+    return done
 
 
 def _mark(edges: DataFrame) -> tuple:

@@ -5,9 +5,9 @@ whole corpus. A class that links with another at the threshold shares at least `
 shingles with it, so each class lengthens its prefix by the ``l`` that its estimated cost asks for, and a pair is
 verified only when it shares as many prefix shingles as the smaller ``l`` of both.
 
-Prefix shingles of few classes give pairs. Classes that meet in a shingle of many are not paired row by row: they are
-gathered in bundles (classes chained by such shingles), and blocks of a bundle are compared by matrix products, each
-pair of blocks in a task of its own. A pair is verified in one of the two ways only.
+Prefix shingles of few classes give candidate pairs. Classes that meet in a shingle of many are not paired row by row
+but chained to one of them. Bundles of classes chained by candidates are verified together: a bundle's sets travel
+once, blocks of them are compared by matrix products, and each pair of blocks is a task of its own.
 """
 
 from __future__ import annotations
@@ -19,12 +19,13 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventloom.llm.common import arrow_schema, schema_of
 from eventloom.llm.components import components
-from eventloom.session import cut_lineage
+from eventloom.session import cut_lineage, release
 
 # Counters of the sketch, in chunks that are added up by chunk.
 SKETCH_BITS = 19
@@ -188,7 +189,8 @@ def _postings(docs: DataFrame, rule: Rule, salt: int, sketch: np.ndarray) -> Dat
                 need = rule.need(len(own))
                 longest = min(len(own), len(own) - need + min(MAX_EXTENSION, need))
                 order = np.lexsort((own, seen))[:longest]
-                others = np.maximum(seen[order].astype(np.float64) - max(noise, 1), 0.0)
+                # What the sketch cannot tell from chance counts as one standard deviation.
+                others = np.maximum(seen[order].astype(np.float64) - max(noise, 1), noise**0.5)
                 ell = extension(others, len(own), need)
                 tokens = own[order[: len(own) - need + ell]].view(np.int64)
                 for col, value in zip(cols, (tokens, key, len(own), ell), strict=True):
@@ -204,7 +206,11 @@ def _postings(docs: DataFrame, rule: Rule, salt: int, sketch: np.ndarray) -> Dat
 
 
 def _candidates(cold: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs u < v of fitting sizes that share enough prefix shingles; lists are short, so they fit a row."""
+    """Pairs u < v of fitting sizes that share enough prefix shingles; lists are short, so they fit a row.
+
+    Of the shingles that a pair shares, those in the prefix that ends first are in both prefixes; the others are in the
+    rest of that class. So a link also needs as many matches as its own sizes ask for beyond the longer rest.
+    """
     lists = cold.groupBy("token").agg(F.array_sort(F.collect_list(F.struct("key", "n", "ell"))).alias("l"))
     pairs = F.flatten(
         F.transform(
@@ -214,12 +220,19 @@ def _candidates(cold: DataFrame, rule: Rule) -> DataFrame:
                     F.slice("l", i + 2, PAIRED_CLASSES),
                     lambda b: F.least(a["n"], b["n"]) * rule.whole >= F.greatest(a["n"], b["n"]) * rule.part,
                 ),
-                lambda b: F.struct(a["key"].alias("u"), b["key"].alias("v"), F.least(a["ell"], b["ell"]).alias("ell")),
+                lambda b: F.struct(
+                    a["key"].alias("u"), b["key"].alias("v"), a["n"].alias("nu"), b["n"].alias("nv"), a["ell"].alias("lu"), b["ell"].alias("lv")
+                ),
             ),
         )
     )
     met = lists.select(F.explode(pairs).alias("p")).select("p.*")
-    return met.groupBy("u", "v").agg(F.count(F.lit(1)).alias("shared"), F.min("ell").alias("ell")).where("shared >= ell").select("u", "v")
+    counted = met.groupBy("u", "v").agg(
+        F.count(F.lit(1)).alias("shared"), *[F.first(c).alias(c) for c in ("nu", "nv", "lu", "lv")]
+    )
+    rest = [F.ceil(F.col(f"n{s}") * rule.part / rule.whole) - F.col(f"l{s}") for s in "uv"]
+    least = F.ceil((F.col("nu") + F.col("nv")) * rule.part / (rule.whole + rule.part)) - F.greatest(*rest)
+    return counted.where((F.col("shared") >= F.least("lu", "lv")) & (F.col("shared") >= least)).select("u", "v")
 
 
 def _wanted_bits(keys: DataFrame) -> tuple[int, dict[int, bytes]]:
@@ -234,7 +247,7 @@ def _wanted_bits(keys: DataFrame) -> tuple[int, dict[int, bytes]]:
 
 
 def _sets(docs: DataFrame, rule: Rule, salt: int, keys: DataFrame) -> DataFrame:
-    """Shingle set of every class in ``keys``, once each. Texts are read again; only wanted sets leave their task."""
+    """Shingle sets of the classes in ``keys``, and some more. Texts are read again; only wanted sets leave their task."""
     bits, pages = _wanted_bits(keys)
     schema = schema_of("key bigint, shingles binary")
     arrow = arrow_schema(schema)
@@ -264,26 +277,7 @@ def _sets(docs: DataFrame, rule: Rule, salt: int, keys: DataFrame) -> DataFrame:
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(own_sets, pa.binary())], schema=arrow)
 
-    return docs.select("text").mapInArrow(run, schema).join(keys, "key", "left_semi").dropDuplicates(["key"])
-
-
-def _verify_pairs(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs (u, v) whose sets link."""
-    schema = schema_of("u bigint, v bigint")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for i in range(batch.num_rows):
-                a, b = (np.frombuffer(batch.column(c)[i].as_py(), np.uint64) for c in (2, 3))
-                shared = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(rule.whole * shared >= rule.part * (len(a) + len(b) - shared))
-            out = batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-            yield pa.RecordBatch.from_arrays(out.columns, schema=arrow_schema(schema))
-
-    left = sets.select(F.col("key").alias("u"), F.col("shingles").alias("a"))
-    right = sets.select(F.col("key").alias("v"), F.col("shingles").alias("b"))
-    return pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(run, schema)
+    return docs.select("text").mapInArrow(run, schema)
 
 
 def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -358,8 +352,8 @@ def _compare_blocks(group: pd.DataFrame, rule: Rule) -> pd.DataFrame:
 GROUPED = schema_of("u bigint, v bigint, links bigint")
 
 
-def _verify_bundles(members: DataFrame, sets: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
-    """Rows (u, null, linked rows) and spanning edges (u, v, 0) of all bundles; members has key, bundle and n."""
+def _verify_bundles(members: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """Rows (u, null, linked rows) and spanning edges (u, v, 0) of all bundles; members has key, bundle, n and rows."""
     sized = members.groupBy("bundle").agg(F.sum("n").alias("total"))
     blocks = F.ceil(F.col("total") / BLOCK_SHINGLES).cast("int")
     placed = members.join(sized.select("bundle", blocks.alias("blocks")), "bundle").withColumn(
@@ -370,22 +364,16 @@ def _verify_bundles(members: DataFrame, sets: DataFrame, classes: DataFrame, rul
         lambda o: F.struct(F.least(o, F.col("block")).alias("i"), F.greatest(o, F.col("block")).alias("j")),
     )
     dealt = (
-        placed.join(sets, "key")
-        .join(classes.select("key", "rows"), "key")
+        sets.join(placed, "key")
+        .dropDuplicates(["key"])
         .select("key", "bundle", "block", "rows", "shingles", F.explode(every).alias("p"))
         .select("key", "bundle", "block", "rows", "shingles", "p.i", "p.j")
     )
     return dealt.groupBy("bundle", "i", "j").applyInPandas(lambda g: _compare_blocks(g, rule), GROUPED)
 
 
-def jaccard_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): set size, number of other rows it links with, smallest id of its group.
-
-    Words are runs of anything but ASCII white space, A-Z lower-cased; fewer words than a shingle are one shingle. Null
-    texts and texts without words have no set, no links and their own id. Rows with equal sets link. Repeated rows
-    are rows; a null id is in its group but never its smallest, so a group of null ids only has a null id. Shingles
-    are compared by 64-bit hashes of their words.
-    """
+def _classes_and_groups(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame, int]:
+    """Rows (doc_id, n, key), classes (key, root, n_links, component_id) and the salt of the keys."""
     salt = 0
     while True:
         scanned = cut_lineage(_scan(docs, rule, salt))
@@ -401,41 +389,71 @@ def jaccard_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         salt += 1
     postings = cut_lineage(_postings(docs, rule, salt, _sketch(scanned)).dropDuplicates(["token", "key"]))
     met = cut_lineage(postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
-    cold = postings.join(met.where(F.col("df") <= PAIRED_CLASSES).select("token"), "token")
-    hot = cut_lineage(postings.join(met.where(F.col("df") > PAIRED_CLASSES).select("token"), "token"))
+    shared = cut_lineage(postings.join(met, "token"))
+    cold, hot = shared.where(F.col("df") <= PAIRED_CLASSES), shared.where(F.col("df") > PAIRED_CLASSES)
     centres = hot.groupBy("token").agg(F.min("key").alias("v"))
-    chained = components(hot.join(centres, "token").select(F.col("key").alias("u"), "v"))
-    members = cut_lineage(
-        hot.select("key", "n").distinct().join(chained.select(F.col("node").alias("key"), F.col("root").alias("bundle")), "key")
-    )
-    bundle = members.select("key", "bundle")
-    pairs = _candidates(cold, rule)
-    pairs = (
-        pairs.join(bundle.select(F.col("key").alias("u"), F.col("bundle").alias("bu")), "u", "left")
-        .join(bundle.select(F.col("key").alias("v"), F.col("bundle").alias("bv")), "v", "left")
-        .where("bu IS NULL OR bv IS NULL OR bu <> bv")
-        .select("u", "v")
-    )
-    pairs = cut_lineage(pairs)
-    keys = cut_lineage(
-        pairs.select(F.col("u").alias("key")).unionByName(pairs.select(F.col("v").alias("key"))).unionByName(members.select("key")).distinct()
-    )
-    sets = cut_lineage(_sets(docs, rule, salt, keys))
-    apart = cut_lineage(_verify_pairs(pairs, sets, rule))
-    bundled = cut_lineage(_verify_bundles(members, sets, classes, rule))
-    edges = apart.unionByName(bundled.where("v IS NOT NULL").select("u", "v"))
-    roots = components(edges)
-    both = apart.unionByName(apart.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    counted = both.join(classes.select(F.col("key").alias("v"), F.col("rows").alias("links")), "v").select("u", "links")
-    links = counted.unionByName(bundled.where("v IS NULL").select("u", "links")).groupBy("u").agg(F.sum("links").alias("links"))
+    chains = hot.join(centres, "token").select(F.col("key").alias("u"), "v").where("u <> v").distinct()
+    chained = components(_candidates(cold, rule).unionByName(chains))
+    bundles = chained.withColumnsRenamed({"node": "key", "root": "bundle"})
+    members = cut_lineage(classes.select("key", "n", "rows").join(bundles, "key"))
+    release(postings, met, shared, chained)
+    found = cut_lineage(_verify_bundles(members, _sets(docs, rule, salt, members.select("key")), rule))
+    roots = components(found.where("v IS NOT NULL").select("u", "v"))
+    links = found.where("v IS NULL").groupBy("u").agg(F.sum("links").alias("links"))
     named = (
         classes.join(roots.select(F.col("node").alias("key"), "root"), "key", "left")
         .join(links.withColumnRenamed("u", "key"), "key", "left")
         .select("key", "least", F.coalesce("root", "key").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("rows") - 1).alias("n_links"))
     )
     named = cut_lineage(named)
+    release(found, members, roots)
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = named.join(least, "root").select("key", "n_links", "component_id")
+    known = named.join(least, "root").select("key", "root", "n_links", "component_id")
+    return rows, known, salt
+
+
+def jaccard_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): set size, number of other rows it links with, smallest id of its group.
+
+    Words are runs of anything but ASCII white space, A-Z lower-cased; fewer words than a shingle are one shingle. Null
+    texts and texts without words have no set, no links and their own id. Rows with equal sets link. Repeated rows
+    are rows; a null id is in its group but never its smallest, so a group of null ids only has a null id. Shingles
+    are compared by 64-bit hashes of their words.
+    """
+    rows, known, _ = _classes_and_groups(docs, rule)
     full = rows.where("n > 0").join(known, "key").select("doc_id", "n", "n_links", "component_id")
     empty = rows.where("n = 0").select("doc_id", "n", F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("component_id"))
     return full.unionByName(empty).withColumnRenamed("n", "n_shingles")
+
+
+def one_of_each_group(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """Rows of ``docs``, with all their columns, that stay when one row of each group does.
+
+    The row of the smallest id stays (of equal ids the smallest class key, of equal rows one); rows without a set are
+    in no group and all stay. A group of null ids keeps one row.
+    """
+    rows, known, salt = _classes_and_groups(docs, rule)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "key"))
+    kept = rows.where("n > 0").join(known.select("key", "root"), "key").groupBy("root").agg(first.alias("f"))
+    kept = kept.select(F.col("f.doc_id").alias("kept_id"), F.col("f.key").alias("kept_key"), F.lit(True).alias("kept"))
+    tagged = _tagged(docs, rule, salt)
+    met = tagged.join(kept, tagged["key"].eqNullSafe(kept["kept_key"]) & tagged["id"].eqNullSafe(kept["kept_id"]), "left")
+    copy = F.row_number().over(Window.partitionBy("id", "key").orderBy("id"))
+    return met.withColumn("copy", copy).where("key IS NULL OR kept AND copy = 1").select("row.*")
+
+
+def _tagged(docs: DataFrame, rule: Rule, salt: int) -> DataFrame:
+    """Rows as one column beside their id and class key."""
+    kept = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["doc_id"].cast("long").alias("id"), docs["text"].alias("key"))
+    schema = T.StructType([*kept.schema.fields[:2], T.StructField("key", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(rule.words)
+        for batch in batches:
+            keys = []
+            for i in range(batch.num_rows):
+                own = shingler(batch.column(2)[i].as_py())
+                keys.append(_digest(own, salt)[0] if len(own) else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.int64())], names=["row", "id", "key"])
+
+    return kept.mapInArrow(run, schema)

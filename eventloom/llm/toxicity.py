@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -175,6 +176,29 @@ def build_index(
     return index
 
 
+class Scorer:
+    """Score and evidence of texts: (score, neighbours, cosines, votes); equal vectors are looked up once."""
+
+    def __init__(self, index: Index, k: int = NEIGHBOURS) -> None:
+        self.index, self.k = index, k
+        self.known: dict[tuple, tuple] = {}
+
+    def __call__(self, text: str | None) -> tuple[float, list[int], list[float], int]:
+        own = self.index
+        vector = own.vector(terms_of(text))
+        if vector not in self.known:
+            if len(self.known) > 50_000:
+                self.known.clear()
+            found = own.nearest(vector, self.k)
+            self.known[vector] = (
+                own.score(found),
+                [int(own.ids[p]) for _, p in found],
+                [c for c, _ in found],
+                sum(int(own.labels[p]) for _, p in found),
+            )
+        return self.known[vector]
+
+
 SCORES = schema_of(
     "doc_id bigint, held_out boolean, score double, predicted int, neighbours bigints, cosines doubles, toxic_votes int"
 )
@@ -247,22 +271,13 @@ def score_documents(docs: DataFrame, index: Index, k: int = NEIGHBOURS) -> DataF
     sent = docs.sparkSession.sparkContext.broadcast(vars(index))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zlib
-
-        own = Index(**sent.value)
-        known: dict[tuple, tuple] = {}
+        scorer = Scorer(Index(**sent.value), k)
         for batch in batches:
             ids, texts = batch.column(1).to_pylist(), batch.column(0).to_pylist()
             for start, end in slices(texts):
                 out: list[list] = [[] for _ in arrow]
                 for doc, text in zip(ids[start:end], texts[start:end], strict=True):
-                    vector = own.vector(terms_of(text))
-                    if vector not in known:
-                        if len(known) > 50_000:
-                            known.clear()
-                        found = own.nearest(vector, k)
-                        known[vector] = (own.score(found), [int(own.ids[p]) for _, p in found], [c for c, _ in found], sum(int(own.labels[p]) for _, p in found))
-                    score, near, cosines, votes = known[vector]
+                    score, near, cosines, votes = scorer(text)
                     held = None if doc is None else zlib.crc32(str(doc).encode()) % 5 == 0
                     for col, value in zip(out, (doc, held, score, int(score >= 0.5), near, cosines, votes), strict=True):
                         col.append(value)
