@@ -12,6 +12,7 @@ from eventloom.functions import values as vl
 from eventloom.operators.linking import column_or
 from eventloom.operators.severity import require_columns, spread_key
 from eventloom.session import cut_lineage
+from eventloom.sources.tables import with_row_no
 
 WILD_KEY = ["vendor_event_id", "underlying", "ex_date"]
 EXACT_KEY = [*WILD_KEY, "amount", "div_ccy"]
@@ -96,8 +97,7 @@ def suppress_reviewed(pairs: DataFrame, decisions: DataFrame) -> DataFrame:
 
 def merge_pairs(decisions: DataFrame) -> DataFrame:
     """(event id, canonical id) stated by MERGE decisions; the last statement per id wins."""
-    if "row_no" not in decisions.columns:
-        decisions = decisions.withColumn("row_no", F.monotonically_increasing_id())
+    decisions = with_row_no(decisions)
     a, b = tx.text_or_blank(F.col("econ_id_a")), tx.text_or_blank(F.col("econ_id_b"))
     canonical = F.coalesce(F.nullif(tx.text_or_blank(column_or(decisions, "canonical_econ_id")), F.lit("")), a)
     return (

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions import values as vl
+from eventloom.sources.tables import with_row_no
 
 
 def usd_rates(rates: DataFrame) -> DataFrame:
@@ -15,7 +16,7 @@ def usd_rates(rates: DataFrame) -> DataFrame:
     """
     names = {c.lower(): c for c in rates.columns}
     if "row_no" not in names:
-        rates = rates.withColumn("row_no", F.monotonically_increasing_id())
+        rates = with_row_no(rates)
     order = F.col(names.get("row_no", "row_no"))
     if {"ccy", "usd_per_ccy"} <= names.keys():
         df = rates.select(

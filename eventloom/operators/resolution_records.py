@@ -169,9 +169,16 @@ def cache_updates(
     run_id: str,
     accepted: Iterable[str] = ("div_found", "verified_exists_but_no_dividends"),
 ) -> DataFrame:
-    """Cache records of a run's accepted resolutions; the last record of a key wins."""
+    """Cache records of a run's accepted resolutions; of several for a key the last by ``row_no`` wins.
+
+    A written resolutions table has the order of the tasks that wrote it, so without ``row_no`` the content decides: the
+    record with the largest values, column by column.
+    """
     wanted = [s.strip().upper() for s in accepted if s.strip()]
-    df = normalise_resolutions(with_row_no(resolutions), keep=["row_no"])
+    if "row_no" not in resolutions.columns:
+        told = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sorted(resolutions.columns) if resolutions.schema[c].dataType.typeName() != "array"]
+        resolutions = resolutions.withColumn("row_no", F.struct(*[t.alias(f"c{i}") for i, t in enumerate(told)]))
+    df = normalise_resolutions(resolutions, keep=["row_no"])
     df = df.where(F.col("resolution_status").isin(wanted))
     ticker = F.col("preverified_exists_ticker")
     df = df.withColumns(

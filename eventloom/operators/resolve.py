@@ -100,57 +100,28 @@ def default_rules(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in RULE_COLUMNS))
 
 
-# Up to this many rules are used as one expression; a rule file is a hand-kept configuration.
-MAX_INLINE_RULES = 1000
+# ``contains`` rules are tried on every distinct exchange name; a rule file is a hand-kept configuration of this size at most.
+MAX_CONTAINS_RULES = 5000
 
 
 def match_exchange(df: DataFrame, rules: DataFrame, exchange: str = "exchange") -> DataFrame:
-    """Add ``rule_exchange`` and ``rule_suffixes``: the exact rule, else the first ``contains`` rule.
+    """Add ``rule_exchange`` and ``rule_suffixes``: the exact rule, else the first ``contains`` rule by priority.
 
-    A rule file of ordinary size becomes one expression, so rows are neither joined nor moved.
+    Names are matched once per distinct exchange: exact rules by equality, the others by trying them all, for which their
+    number is checked. Of several rules for one text the one of least priority counts, then the least exchange.
     """
-    name = exchange_name(column_or(df, exchange))
-    listed = rules.select("match_type", "match_value", "priority", "canonical_exchange", "suffixes")
-    listed = listed.limit(MAX_INLINE_RULES + 1).collect()
-    if len(listed) > MAX_INLINE_RULES:
-        return _match_exchange_by_join(df, name, rules)
-    listed.sort(key=lambda r: (r.priority, r.match_value))
-    exact = {r.match_value: (r.canonical_exchange, r.suffixes) for r in listed if r.match_type == "EXACT"}
-    out = df.withColumn("__name", name)
-    fuzzy = F.lit(None).cast("string")
-    for rule in reversed([r for r in listed if r.match_type == "CONTAINS"]):
-        fuzzy = F.when(F.contains(F.col("__name"), F.lit(rule.match_value)), F.lit(rule.match_value)).otherwise(fuzzy)
-    answers = {f"e:{k}": v for k, v in exact.items()}
-    answers |= {f"c:{r.match_value}": (r.canonical_exchange, r.suffixes) for r in reversed(listed) if r.match_type == "CONTAINS"}
-    if not answers:
-        blank = {"rule_exchange": F.lit(""), "rule_suffixes": F.lit(None).cast("array<string>")}
-        return out.drop("__name").withColumns(blank)
-    known = F.col("__name").isin(list(exact)) if exact else F.lit(False)
-    key = F.when(known, F.concat(F.lit("e:"), F.col("__name"))).otherwise(F.concat(F.lit("c:"), fuzzy))
-    out = out.withColumn("__rule", key)
-    venues = literal_map({k: v for k, (v, _) in answers.items()})
-    suffixes = literal_map({k: list(v) for k, (_, v) in answers.items()})
-    return out.withColumns(
-        {
-            "rule_exchange": F.coalesce(F.try_element_at(venues, F.col("__rule")), F.lit("")),
-            "rule_suffixes": F.try_element_at(suffixes, F.col("__rule")),
-        }
-    ).drop("__name", "__rule")
-
-
-def _match_exchange_by_join(df: DataFrame, name: Column, rules: DataFrame) -> DataFrame:
-    """Rule files beyond the inline limit: names are matched once per distinct exchange, then joined."""
-    keyed = df.withColumn("__name", name)
+    keyed = df.withColumn("__name", exchange_name(column_or(df, exchange)))
     names = keyed.select("__name").where(F.col("__name") != "").distinct()
     answer = F.struct("canonical_exchange", "suffixes")
-    exact = rules.where(F.col("match_type") == "EXACT").select(
-        F.col("match_value").alias("__name"), answer.alias("__exact")
-    )
-    fuzzy = rules.where(F.col("match_type") == "CONTAINS").select(
-        F.col("match_value").alias("__part"), "priority", answer.alias("__fuzzy")
-    )
-    found = names.join(fuzzy, F.contains(names["__name"], fuzzy["__part"]), "left")
-    found = found.groupBy("__name").agg(F.min_by("__fuzzy", F.struct("priority", "__part")).alias("__fuzzy"))
+    first = lambda *place: F.min_by(answer, F.struct(*place))
+    exact = rules.where(F.col("match_type") == "EXACT").groupBy(F.col("match_value").alias("__name"))
+    exact = exact.agg(first("priority", "canonical_exchange").alias("__exact"))
+    fuzzy = rules.where(F.col("match_type") == "CONTAINS").groupBy(F.col("match_value").alias("__part"))
+    fuzzy = fuzzy.agg(F.min("priority").alias("__rank"), first("priority", "canonical_exchange").alias("__fuzzy"))
+    if fuzzy.limit(MAX_CONTAINS_RULES + 1).count() > MAX_CONTAINS_RULES:
+        raise ValueError(f"more than {MAX_CONTAINS_RULES} contains rules")
+    found = names.join(F.broadcast(fuzzy), F.contains(names["__name"], fuzzy["__part"]), "left")
+    found = found.groupBy("__name").agg(F.min_by("__fuzzy", F.struct("__rank", "__part")).alias("__fuzzy"))
     best = F.coalesce(F.col("__exact"), F.col("__fuzzy"))
     found = found.join(exact, "__name", "left").select(
         "__name", best["canonical_exchange"].alias("rule_exchange"), best["suffixes"].alias("rule_suffixes")

@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 
 from eventloom import schemas
 from eventloom.functions import tickers as tk
+from eventloom.operators.skew import split_by_heat
 from eventloom.operators.universe import classify_no_events
+from eventloom.session import cut_lineage
 from eventloom.sources.decisions import PAIR_COLUMNS, QA_OPTIONAL, QA_REQUIRED
+from eventloom.sources.tables import is_absent
 
 # Artefact contracts by table name.
 CONTRACTS = {
@@ -87,26 +90,41 @@ def append_row(df: DataFrame, path: str) -> None:
 # --- landing log -----------------------------------------------------------------------------
 
 
-def append_if_changed(landing: DataFrame, path: str) -> DataFrame:
-    """Append payloads (fund, asof, content) whose hash differs from the newest logged version.
+def append_if_changed(landing: DataFrame, path: str, order: str = "seq") -> DataFrame:
+    """Append payloads (fund, asof, content) whose hash differs from the one before, starting from the newest logged.
 
-    The log keeps the content, so each version can be read back; only the small hash columns of the
-    log are read to decide. Returns what was appended.
+    ``order`` is a unique column of ``landing``. Several payloads of one (fund, asof) are compared in that order and
+    numbered on from the log, so equal ones in a row are logged once. The log keeps the content, so each version can be
+    read back; only hashes are compared. Returns what was appended.
     """
     spark = landing.sparkSession
-    hashed = landing.withColumn("content_hash", F.sha2(F.col("content").cast("binary"), 256))
+    kind = landing.schema[order].dataType
+    hashed = landing.select("fund", "asof", F.col(order), F.sha2(F.col("content").cast("binary"), 256).alias("content_hash"))
     try:
         log = spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if not is_absent(error):
+            raise
         log = spark.createDataFrame([], "fund string, asof string, content_hash string, version int")
     newest = log.groupBy("fund", "asof").agg(
-        F.max_by("content_hash", "version").alias("__hash"), F.max("version").alias("__version")
+        F.max_by("content_hash", "version").alias("content_hash"), F.max("version").alias("__base")
     )
-    joined = hashed.join(newest, ["fund", "asof"], "left")
-    changed = joined.where(~F.col("content_hash").eqNullSafe(F.col("__hash")))
-    out = changed.withColumn("version", (F.coalesce("__version", F.lit(0)) + 1).cast("int")).drop("__hash", "__version")
-    out.write.mode("append").parquet(path)
-    return out
+    logged = newest.select("fund", "asof", F.lit(None).cast(kind).alias(order), "content_hash", F.lit(False).alias("__new"))
+    both = logged.unionByName(hashed.withColumn("__new", F.lit(True)))
+    out = None
+    for part, scan in split_by_heat(both, ["fund", "asof"], ["__new", order], size_of=landing):
+        seen = scan.last_seen(part, {"__before": F.col("content_hash")})
+        changed = F.col("__new") & ~F.col("content_hash").eqNullSafe(F.col("__before"))
+        numbered = scan.running_sum(seen.withColumn("__changed", changed), "__step", F.col("__changed").cast("int"))
+        kept = numbered.where("__changed").select("fund", "asof", order, "content_hash", "__step")
+        out = kept if out is None else out.unionByName(kept)
+    versions = out.join(newest.select("fund", "asof", "__base"), ["fund", "asof"], "left").select(
+        order, "content_hash", (F.coalesce("__base", F.lit(0)) + F.col("__step")).cast("int").alias("version")
+    )
+    # Written before the log grows: the plan reads the log.
+    added = cut_lineage(landing.join(versions, order).select(*landing.columns, "content_hash", "version"))
+    added.write.mode("append").parquet(path)
+    return added
 
 
 # --- decision templates ----------------------------------------------------------------------
@@ -129,7 +147,9 @@ def ensure_template(spark: SparkSession, path: str, kind: str) -> bool:
     try:
         spark.read.option("header", True).csv(path)
         return False
-    except AnalysisException:
+    except AnalysisException as error:
+        if not is_absent(error):
+            raise
         template = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns))
         export_csv(template.coalesce(1), path, mode="errorifexists")
         return True

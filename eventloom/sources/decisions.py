@@ -43,7 +43,7 @@ def clean_qa_decisions(raw: DataFrame, check: bool = True) -> DataFrame:
 
 
 def read_qa_decisions(spark: SparkSession, path: str) -> DataFrame:
-    return clean_qa_decisions(read_table(spark, path))
+    return clean_qa_decisions(read_table(spark, path, multi_line=True))
 
 
 def clean_pair_decisions(raw: DataFrame) -> DataFrame:
@@ -60,4 +60,4 @@ def clean_pair_decisions(raw: DataFrame) -> DataFrame:
 
 
 def read_pair_decisions(spark: SparkSession, path: str) -> DataFrame:
-    return clean_pair_decisions(read_table(spark, path))
+    return clean_pair_decisions(read_table(spark, path, multi_line=True))

@@ -11,21 +11,33 @@ from eventloom import schemas
 TEXT_FORMATS = {".csv": "csv", ".json": "json", ".orc": "orc"}
 
 
-def read_table(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    """Parquet unless the name says otherwise. CSV columns are read as text, so codes keep leading zeros."""
+def is_absent(error: AnalysisException) -> bool:
+    """Whether a read failed because there is nothing at the path; any other failure is a fault and not an empty table."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
+def read_table(spark: SparkSession, path: str, fmt: str | None = None, multi_line: bool = False) -> DataFrame:
+    """Parquet unless the name says otherwise. CSV columns are read as text, so codes keep leading zeros.
+
+    ``multi_line`` allows line breaks inside quoted cells; such a CSV file cannot be split and is one task's work, so it
+    is for files kept by hand.
+    """
     fmt = fmt or next((f for ending, f in TEXT_FORMATS.items() if path.endswith(ending)), "parquet")
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True).option("encoding", "UTF-8").option("escape", '"').option("multiLine", True)
+        reader = reader.option("header", True).option("encoding", "UTF-8").option("escape", '"')
+        reader = reader.option("multiLine", multi_line)
     df = reader.load(path)
     return df.withColumnsRenamed({c: c.replace("﻿", "").strip() for c in df.columns})
 
 
 def read_or_empty(spark: SparkSession, path: str, columns: list[str], fmt: str | None = None) -> DataFrame:
-    """The table, or an empty one with the contract's columns when it is missing or has no header."""
+    """The table, or an empty one with the contract's columns when nothing is at the path or a file has no header."""
     try:
         df = read_table(spark, path, fmt)
-    except AnalysisException:
+    except AnalysisException as error:
+        if not is_absent(error):
+            raise
         df = None
     if df is None or not df.columns:
         return spark.createDataFrame([], schemas.empty_schema(columns))
@@ -33,18 +45,36 @@ def read_or_empty(spark: SparkSession, path: str, columns: list[str], fmt: str |
 
 
 def read_first(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The first of several locations that can be read."""
+    """The first of several locations where there is something."""
     for path in paths:
         try:
             return read_table(spark, path)
-        except AnalysisException:
-            continue
+        except AnalysisException as error:
+            if not is_absent(error):
+                raise
     raise FileNotFoundError(f"none of these tables exists: {paths}")
 
 
 def with_row_no(df: DataFrame, name: str = "row_no") -> DataFrame:
-    """File order of a small operator-made table, unless it already has one."""
-    return df if name in df.columns else df.withColumn(name, F.monotonically_increasing_id())
+    """The order of rows in their files as a column to compare by, unless the table already has one.
+
+    Rows of files are placed by file, start of the split and order within it, which hold however Spark packs the splits
+    into tasks. Rows given in the program have their own order. Tables made by a query have none: they need the column.
+    """
+    if name in df.columns:
+        return df
+    inside = F.monotonically_increasing_id()
+    try:
+        block = df.select("_metadata.file_path", "_metadata.file_block_start").columns
+    except AnalysisException:
+        block = []
+    if block:
+        place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), inside.alias("inside"))
+        return df.select("*", place.alias(name))
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    if leaves.size() == 1 and leaves.apply(0).nodeName() in ("LocalRelation", "LogicalRDD"):
+        return df.withColumn(name, inside)
+    raise ValueError(f"a table made by a query has no file order; give it a {name} column")
 
 
 def read_observations(spark: SparkSession, run_root: str, name: str = "observations") -> DataFrame:
