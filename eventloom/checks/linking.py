@@ -67,6 +67,36 @@ walked AS (SELECT *, first_value(anchor) OVER s AS seed_anchor, first_value(tie)
   FROM w6 WINDOW s AS (PARTITION BY ident, act, shr, ccy, c ORDER BY anchor, tie, row_idx))"""
 
 
+# The same walk row by row: a recursive query carries what the open event was started and last valued with. It shares
+# nothing with the window form, so a mistake in one does not hide in the other.
+WALK_BY_ROW = """
+o AS (SELECT *, row_number() OVER (PARTITION BY ident, act, shr, ccy ORDER BY anchor, tie, row_idx) AS pos FROM ok),
+step AS (
+  SELECT row_idx, ident, act, shr, ccy, pos, anchor, CASE WHEN amount IS NULL THEN 'N' WHEN amount = 0 THEN 'Z' ELSE 'V' END AS kind,
+    amount AS held, anchor AS seed_anchor, tie AS seed_tie FROM o WHERE pos = 1
+  UNION ALL
+  SELECT row_idx, ident, act, shr, ccy, pos, anchor,
+    CASE WHEN amount IS NULL AND joins THEN kind WHEN amount IS NULL THEN 'N' WHEN amount = 0 THEN 'Z' ELSE 'V' END,
+    CASE WHEN amount IS NULL AND joins THEN held ELSE amount END,
+    CASE WHEN joins THEN seed_anchor ELSE anchor END, CASE WHEN joins THEN seed_tie ELSE tie END
+  FROM (SELECT o.row_idx, o.ident, o.act, o.shr, o.ccy, o.pos, o.anchor, o.tie, o.amount, s.kind, s.held, s.seed_anchor, s.seed_tie,
+      CASE WHEN o.anchor - s.anchor > 5 THEN FALSE WHEN s.kind = 'N' OR o.amount IS NULL THEN o.anchor - s.anchor <= 1
+        WHEN s.kind = 'Z' OR o.amount = 0 THEN FALSE WHEN abs(s.held - o.amount) <= 0.001 THEN TRUE
+        WHEN greatest(abs(s.held), abs(o.amount)) <= 1e-9 THEN TRUE
+        ELSE abs(s.held - o.amount) / greatest(abs(s.held), abs(o.amount)) <= 0.20 END AS joins
+    FROM step s JOIN o ON o.ident = s.ident AND o.act = s.act AND o.shr = s.shr AND o.ccy = s.ccy AND o.pos = s.pos + 1) n),
+walked AS (SELECT row_idx, concat_ws('|', ident, act, shr, ccy, cast(seed_anchor AS VARCHAR), seed_tie) AS ekey FROM step)"""
+
+
+def linked_by_row_sql() -> str:
+    """``linked``: event key and id per row of v_obs, by the row-by-row walk."""
+    return f"""{prepared_sql("v_obs")},
+ok AS (SELECT *, {TIE.format(vendor="")} AS tie FROM prep WHERE skip IS NULL),{WALK_BY_ROW},
+linked AS (SELECT p.row_idx, coalesce(w.ekey, '') AS economic_event_key,
+    coalesce('eco_' || substr(sha256(w.ekey), 1, 32), '') AS economic_event_id
+  FROM prep p LEFT JOIN walked w USING (row_idx))"""
+
+
 def linked_sql(source: str = "v_obs", zero_links: bool = False) -> str:
     """``linked``: rows with event id, key and reason (no vendor ids)."""
     return f"""{prepared_sql(source)},
@@ -153,6 +183,28 @@ def _(t: Tables) -> DataFrame:
     return linked(t).select("row_idx", "economic_event_key", "economic_event_id", "event_link_reason")
 
 
+@query(
+    "win1_chain_link_by_row",
+    f"WITH RECURSIVE {linked_by_row_sql()} SELECT row_idx, economic_event_key, economic_event_id FROM linked",
+)
+def _(t: Tables) -> DataFrame:
+    return linked(t).select("row_idx", "economic_event_key", "economic_event_id")
+
+
+@query(
+    "win1_chain_link_hot",
+    f"WITH {linked_sql()} SELECT row_idx, economic_event_key, economic_event_id, event_link_reason FROM linked",
+)
+def _(t: Tables) -> DataFrame:
+    # Every key of more than a few rows counts as hot and is walked in chunks; plans are chosen while they are built.
+    t.spark.conf.set("eventloom.hotRows", "25")
+    try:
+        out = linked(t)
+    finally:
+        t.spark.conf.unset("eventloom.hotRows")
+    return out.select("row_idx", "economic_event_key", "economic_event_id", "event_link_reason")
+
+
 @query(
     "sc14_zero_amount_links",
     f"WITH {linked_sql(zero_links=True)} SELECT row_idx, economic_event_id, event_link_reason FROM linked",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.functions import text as tx
@@ -12,6 +12,7 @@ from eventloom.functions import tickers as tk
 from eventloom.functions import values as vl
 from eventloom.operators.linking import column_or
 from eventloom.operators.severity import require_columns
+from eventloom.session import cut_lineage
 
 REQUIRED = ["underlying", "underlying_ccy", "chosen_ticker", "resolution_status"]
 
@@ -92,7 +93,7 @@ def clean_universe(universe: DataFrame, keep: list[str] | None = None) -> DataFr
 def weight_maps(universe: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Weight per exact key next to the weight of its fallback key; ``by`` adds leading keys.
 
-    The fallback sums are sums of the exact ones, so rows are aggregated once.
+    The fallback sums are sums of the exact ones over the shorter key, so rows are aggregated once and joined with nothing.
     """
     by = by or []
     exact = (
@@ -100,16 +101,18 @@ def weight_maps(universe: DataFrame, by: list[str] | None = None) -> DataFrame:
         .groupBy(*by, "underlying", "underlying_ccy", "isin")
         .agg(F.sum("weight").alias("weight_exact"))
     )
-    fallback = exact.groupBy(*by, "underlying", "underlying_ccy").agg(F.sum("weight_exact").alias("weight_fallback"))
-    return exact.join(fallback, [*by, "underlying", "underlying_ccy"], "full_outer")
+    shorter = Window.partitionBy(*by, "underlying", "underlying_ccy")
+    return exact.withColumn("weight_fallback", F.sum("weight_exact").over(shorter))
 
 
 def attach_weights(report: DataFrame, maps: DataFrame, by: list[str] | None = None) -> DataFrame:
     """``weight`` by exact key, else by fallback key, else 0, with the method used."""
     by = by or []
     keys = [*by, "underlying", "underlying_ccy"]
+    # Written once: both lookups read it, and it is as small as the distinct securities.
+    maps = cut_lineage(maps)
     exact = maps.where(F.col("weight_exact").isNotNull()).select(*keys, "isin", "weight_exact")
-    fallback = maps.groupBy(*keys).agg(F.max("weight_fallback").alias("weight_fallback"))
+    fallback = maps.select(*keys, "weight_fallback").distinct()
     df = report.join(exact, [*keys, "isin"], "left").join(fallback, keys, "left")
     method = (
         F.when(F.col("weight_exact").isNotNull(), EXACT)

@@ -92,7 +92,9 @@ def run(
     Outputs are written once and every later step reads them back, so nothing is resolved twice.
     """
     started = dt.datetime.now(dt.timezone.utc)
-    chosen = rr.chosen_map(rr.effective_map(rr.overrides(overrides), rr.cache(cache)))
+    # The effective map has one record per key, so their order decides nothing.
+    effective = rr.effective_map(rr.overrides(overrides), rr.cache(cache)).withColumn("row_no", F.lit(0))
+    chosen = rr.chosen_map(effective)
     write(stage1(holdings, landing, rules, chosen, options), root)
     tables = read(spark, root)
 

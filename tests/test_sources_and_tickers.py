@@ -93,7 +93,7 @@ def test_text_and_value_functions(table):
     with pytest.raises(Exception, match="invalid values in f"):
         table("s string", [{"s": "perhaps"}]).select(tx.strict_flag(F.col("s"), "f")).collect()
     with pytest.raises(ValueError, match="stands for both"):
-        schemas.alias_map({"a": schemas.Spec("string", ("X y",)), "b": schemas.Spec("string", ("x_Y",))})
+        schemas.known_headers({"a": ["X y"], "b": ["x_Y"]}, [])
 
 
 RES = "underlying string, underlying_ccy string, isin string, chosen_ticker string, resolution_status string, exists_ticker string, candidates_json string, candidate_count string, guess_source string, prefix_exchange_consistent string"
@@ -243,12 +243,11 @@ def test_guesses(spark, table):
     }
 
 
-def test_inline_rules_equal_joined_rules(spark, table):
+def test_default_rules_match_names(spark, table):
     rules = rs.exchange_rules(rs.default_rules(spark))
     df = table("id long, exchange string", [{"id": i, "exchange": e} for i, e in enumerate(("nyse", "Tokyo Stock Exchange - 2", "bse ltd", "", None, "x", "XETRA"))])
     pick = lambda out: {r.id: (r.rule_exchange, r.rule_suffixes) for r in out.collect()}
     inline = pick(rs.match_exchange(df, rules))
-    assert inline == pick(rs._match_exchange_by_join(df, rs.exchange_name(F.col("exchange")), rules))
     assert inline[0] == ("US_NYSE", [""]) and inline[1] == ("TOKYO_STOCK_EXCHANGE", ["T"]) and inline[5] == ("", None)
 
 
@@ -337,3 +336,62 @@ def test_versions_count_changes_of_content(spark, table, hot_rows):
     finally:
         spark.conf.unset("eventloom.hotRows")
     assert got == want
+
+
+def test_file_order_holds_however_splits_are_packed(spark, tmp_path):
+    from eventloom.operators.fx import usd_rates
+
+    folder = tmp_path / "rates.csv"
+    folder.mkdir()
+    for part in range(7):
+        lines = [f"{'EUR' if i % 2 else 'GBP'},{part * 1000 + i}" for i in range(40 * (part % 3) + 1)]
+        (folder / f"part-{part:03d}.csv").write_text("\n".join(["ccy,usd_per_ccy", *lines, "EUR,%d" % (part * 1000 + 999)]) + "\n")
+    found = set()
+    for size in ("64", "500", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            rows = usd_rates(st.read_table(spark, str(folder), "csv")).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        found.add(tuple(sorted((r.ccy, r.usd_per_ccy) for r in rows)))
+    assert found == {(("EUR", 6999.0), ("GBP", 6000.0))}
+
+
+def test_a_query_result_has_no_file_order(spark):
+    made = spark.range(10).withColumn("ccy", F.lit("EUR")).groupBy("ccy").agg(F.max("id").alias("usd_per_ccy"))
+    with pytest.raises(ValueError, match="row_no"):
+        st.with_row_no(made)
+
+
+def test_only_a_missing_path_is_an_absent_table(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+
+    (tmp_path / "empty").mkdir()
+    assert st.read_or_empty(spark, str(tmp_path / "nothing"), schemas.ERRORS).count() == 0
+    with pytest.raises(AnalysisException):
+        st.read_or_empty(spark, str(tmp_path / "empty"), schemas.ERRORS)
+    with pytest.raises(AnalysisException):
+        st.read_first(spark, [str(tmp_path / "empty"), str(tmp_path / "nothing")])
+
+
+def test_versions_are_numbered_within_a_batch(spark, tmp_path):
+    from eventloom.sinks.tables import append_if_changed
+
+    path = str(tmp_path / "log")
+    rows = lambda *texts: spark.createDataFrame([("F", "d", i, t) for i, t in texts], "fund string, asof string, seq bigint, content string")
+    append_if_changed(rows((1, "a"), (2, "a"), (3, "b")), path)
+    append_if_changed(rows((4, "b"), (5, "a"), (6, "c")), path)
+    log = spark.read.parquet(path).orderBy("version").collect()
+    assert [(r.version, r.seq, r.content) for r in log] == [(1, 1, "a"), (2, 3, "b"), (3, 5, "a"), (4, 6, "c")]
+
+
+def test_of_doubled_exact_rules_the_first_by_priority_counts(spark):
+    from eventloom.operators.resolve import match_exchange
+
+    rules = spark.createDataFrame(
+        [("EXACT", "NYSE", 5, "Late", ["L"]), ("EXACT", "NYSE", 1, "Early", ["E"]), ("CONTAINS", "YS", 1, "Part", ["P"]), ("CONTAINS", "XET", 9, "Xetra", ["DE"])],
+        "match_type string, match_value string, priority int, canonical_exchange string, suffixes array<string>",
+    )
+    rows = spark.createDataFrame([("NYSE",), ("NYSE ARCA",), ("XETRA",), ("none",), (None,)], "exchange string")
+    got = {r.exchange: r.rule_exchange for r in match_exchange(rows, rules).collect()}
+    assert got == {"NYSE": "Early", "NYSE ARCA": "Part", "XETRA": "Xetra", "none": "", None: ""}
