@@ -126,3 +126,38 @@ FROM doc d LEFT JOIN size USING (doc_id)
 JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) r USING (doc_id)
 LEFT JOIN (SELECT u AS doc_id, count(*) AS n_links FROM link GROUP BY u) l USING (doc_id)
 """
+
+# Checksums byte by byte: the table of the reflected polynomial, then a fold over the bytes of the text.
+_CRC_TABLE = "CAST(i AS BIGINT)"
+for _ in range(8):
+    _CRC_TABLE = f"(SELECT xor(c >> 1, CASE WHEN c % 2 = 1 THEN 3988292384 ELSE 0 END) FROM (SELECT {_CRC_TABLE} AS c))"
+
+ORACLES["op9_sharding"] = f"""
+WITH crc AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, {_CRC_TABLE} AS v FROM range(256) r(i))),
+doc AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, CAST(strlen(coalesce(text, '')) + 8 AS BIGINT) AS size,
+    list_transform(regexp_extract_all(lower(hex(encode(coalesce(text, '')))), '..'), lambda h:
+      CAST(16 * (instr('0123456789abcdef', h[1]) - 1) + instr('0123456789abcdef', h[2]) - 1 AS BIGINT)) AS bytes,
+    md5('shards-1' || coalesce('|' || CAST(doc_id AS VARCHAR), '')) AS place FROM documents),
+summed AS (
+  SELECT doc.*, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), bytes),
+    lambda c, b: xor(c >> 8, t[CAST(xor(c % 256, b) AS BIGINT) + 1])), 4294967295) AS text_crc32 FROM doc, crc),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY place, doc_id, text_crc32, size) - 1 AS r,
+    count(*) OVER (PARTITION BY source) AS of_source FROM summed),
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY CAST(2 * r + 1 AS DOUBLE) / CAST(2 * of_source AS DOUBLE), source NULLS FIRST, place, doc_id,
+    text_crc32, size) - 1 AS pos, count(*) OVER () AS n FROM ranked),
+cut AS (SELECT *, CAST(pos * 24 // n AS INT) AS shard FROM placed)
+SELECT doc_id, size, text_crc32, 'rows' AS law, shard, CAST(pos - (shard * n + 23) // 24 AS BIGINT) AS slot,
+  CAST(NULL AS INT) AS grown_shard FROM cut
+"""
+
+# The pages of these tables keep their text in one article element, which a pattern finds as well as a density does.
+ORACLES["op6_extraction"] = r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1) AS body FROM pages),
+t AS (
+  SELECT page_id, url, trim(regexp_replace(replace(replace(regexp_replace(regexp_replace(body, '</?(p|h1|br)>', ' ', 'g'),
+    '<[^>]*>', '', 'g'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g')) AS text FROM a)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM t
+"""
