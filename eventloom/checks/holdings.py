@@ -194,13 +194,18 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "sc24_cell_values",
-    f"WITH {SNAPSHOT} SELECT p_partkey, coalesce(json_extract_string(r, '$[4].raw'), json_extract_string(r, '$[4]')) AS cell, weight_pct AS n FROM vals WHERE row_no = 0",
+    f"""WITH {SNAPSHOT}, x AS (SELECT p_partkey, row_no, j AS cell_no, json_extract(r, '$[' || j || ']') AS c
+      FROM (SELECT * FROM cells WHERE json_type(r) = 'ARRAY') a, unnest(range(CAST(json_array_length(r) AS BIGINT))) t(j))
+    SELECT p_partkey, CAST(row_no AS INT) AS row_no, CAST(cell_no AS INT) AS cell_no,
+      CASE WHEN json_type(c) = 'OBJECT' AND list_contains(json_keys(c), 'raw') THEN json_extract_string(c, '$.raw')
+        WHEN json_type(c) = 'OBJECT' THEN coalesce(json_extract_string(c, '$.display'), '') ELSE json_extract_string(c, '$') END AS cell FROM x""",
 )
 def _(t: Tables) -> DataFrame:
     df = hd.validate_payloads(t.view("v_snapshots"))[0]
-    row = F.try_variant_get(F.try_parse_json("content"), "$.aaData[0]", "variant")
-    cell = lambda i: hd.cell_text(F.try_variant_get(row, f"$[{i}]", "variant"))
-    return df.select("p_partkey", cell(4).alias("cell"), hd.cell_number(cell(5)).alias("n"))
+    rows = F.try_variant_get(F.try_parse_json("content"), "$.aaData", "array<variant>")
+    rows = df.select("p_partkey", F.posexplode(rows).alias("row_no", "row"))
+    cells = rows.select("p_partkey", "row_no", F.posexplode(F.try_variant_get("row", "$", "array<variant>")).alias("cell_no", "c"))
+    return cells.select("p_partkey", "row_no", "cell_no", hd.cell_text(F.col("c")).alias("cell"))
 
 
 CHECK = """SELECT etf AS etf_symbol, count(*) AS "rows", round(sum(coalesce(w, 0)), 6) AS weight_sum, round(avg(cast(w IS NULL AS INT)), 6) AS unparsed_ratio,

@@ -76,8 +76,8 @@ step AS (
     amount AS held, anchor AS seed_anchor, tie AS seed_tie FROM o WHERE pos = 1
   UNION ALL
   SELECT row_idx, ident, act, shr, ccy, pos, anchor,
-    CASE WHEN amount IS NULL AND joins THEN kind WHEN amount IS NULL THEN 'N' WHEN amount = 0 THEN 'Z' ELSE 'V' END,
-    CASE WHEN amount IS NULL AND joins THEN held ELSE amount END,
+    CASE WHEN joins AND coalesce(amount, 0) = 0 THEN kind WHEN amount IS NULL THEN 'N' WHEN amount = 0 THEN 'Z' ELSE 'V' END,
+    CASE WHEN joins AND coalesce(amount, 0) = 0 THEN held ELSE amount END,
     CASE WHEN joins THEN seed_anchor ELSE anchor END, CASE WHEN joins THEN seed_tie ELSE tie END
   FROM (SELECT o.row_idx, o.ident, o.act, o.shr, o.ccy, o.pos, o.anchor, o.tie, o.amount, s.kind, s.held, s.seed_anchor, s.seed_tie,
       CASE WHEN o.anchor - s.anchor > 5 THEN FALSE WHEN s.kind = 'N' OR o.amount IS NULL THEN o.anchor - s.anchor <= 1
