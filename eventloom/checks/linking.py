@@ -196,8 +196,8 @@ def _(t: Tables) -> DataFrame:
     f"WITH {linked_sql()} SELECT row_idx, economic_event_key, economic_event_id, event_link_reason FROM linked",
 )
 def _(t: Tables) -> DataFrame:
-    # Every key of more than a few rows counts as hot and is walked in chunks; plans are chosen while they are built.
-    t.spark.conf.set("eventloom.hotRows", "25")
+    # The largest keys of these tables have some 16 rows, so this bound walks them in chunks; plans are chosen while they are built.
+    t.spark.conf.set("eventloom.hotRows", "12")
     try:
         out = linked(t)
     finally:
