@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from eventloom.llm.common import arrow_schema, schema_of, slices
 
 # A worker remembers so many words; then it starts anew. Only speed depends on it.
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 NONE = np.int64(1) << 62
 
 # Fixed value: the pattern by which byte-level vocabularies of this family split a text before merging.
@@ -187,15 +187,13 @@ class Codec:
         return b"".join(map(self.pieces.__getitem__, ids)).decode("utf-8", "replace")
 
 
-def _codec(sent: dict) -> Codec:
-    """Codec of a broadcast vocabulary; a worker process keeps it beside the vocabulary."""
-    if "codec" not in sent:
-        sent["codec"] = Codec(Vocabulary(**sent["vocabulary"]))
-    return sent["codec"]
+def _codec(sent) -> Codec:
+    """Codec of a task; what it remembers goes with the task, while the vocabulary stays with the worker."""
+    return Codec(Vocabulary(**sent.value))
 
 
 def _sent(df: DataFrame, path: str):
-    return df.sparkSession.sparkContext.broadcast({"vocabulary": vars(load(path))})
+    return df.sparkSession.sparkContext.broadcast(vars(load(path)))
 
 
 TOKENS = schema_of("doc_id bigint, ids ints")
@@ -207,11 +205,12 @@ def _coded(docs: DataFrame, path: str, schema, row) -> DataFrame:
     arrow = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(sent.value)
+        codec = _codec(sent)
         for batch in batches:
-            docs_in, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for start, end in slices(texts, 1_000_000):
-                rows = [row(codec, doc, ids) for doc, ids in zip(docs_in[start:end], codec.encode(texts[start:end]), strict=True)]
+            for start, end in slices(batch.column(1), 1_000_000):
+                part = batch.slice(start, end - start)
+                encoded = codec.encode(part.column(1).to_pylist())
+                rows = [row(codec, doc, ids) for doc, ids in zip(part.column(0).to_pylist(), encoded, strict=True)]
                 cols = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, arrow, strict=True)], schema=arrow)
 
@@ -244,7 +243,7 @@ def decode_documents(tokens: DataFrame, path: str) -> DataFrame:
     arrow = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(sent.value)
+        codec = _codec(sent)
         for batch in batches:
             texts = [codec.decode([i for i in ids or [] if 0 <= i < len(codec.pieces)]) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(texts, pa.string())], schema=arrow)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,11 +29,13 @@ def sha256_hex(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
-def slices(texts: list[str | None], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Runs [start, end) of rows whose texts hold about ``limit`` characters; a longer text is a run of its own."""
+def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Runs [start, end) of rows whose texts hold about ``limit`` bytes; a longer text is a run of its own.
+
+    Only lengths are looked at, so that no more than a run's texts have to be Python objects at a time.
+    """
     start, held = 0, 0
-    for i, text in enumerate(texts):
-        size = len(text) if text else 0
+    for i, size in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
         if held and held + size > limit:
             yield start, i
             start, held = i, 0
@@ -52,8 +55,7 @@ def map_rows(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for start, end in slices(texts):
+            for start, end in slices(batch.column(0)):
                 part = batch.slice(start, end - start)
                 cols = {name: part.column(i).to_pylist() for i, name in enumerate(columns)}
                 out = fn(cols)
@@ -71,8 +73,8 @@ def keep_rows(docs: DataFrame, judge: Callable[[], Callable[[list[str | None]],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = judge()
         for batch in batches:
-            texts = batch.column(place).to_pylist()
-            keep = [ok for start, end in slices(texts) for ok in own(texts[start:end])]
+            texts = batch.column(place)
+            keep = [ok for start, end in slices(texts) for ok in own(texts.slice(start, end - start).to_pylist())]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

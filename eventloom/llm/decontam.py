@@ -14,9 +14,8 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from eventloom.llm.common import arrow_schema, schema_of
+from eventloom.llm.common import arrow_schema, keep_rows, schema_of
 
 WINDOW = 10
 # The windows of so many bytes of patterns make one automaton; larger benchmarks are scanned in several passes.
@@ -62,20 +61,17 @@ def _sent_blocks(benchmark: DataFrame, size: int, limit: int) -> list:
     rows = benchmark.select("item_id", "text").toLocalIterator()
     items = (("" if row["item_id"] is None else str(row["item_id"]), row["text"]) for row in rows)
     context = benchmark.sparkSession.sparkContext
-    return [context.broadcast({"patterns": block}) for block in _blocks(items, size, limit)]
+    return [context.broadcast(block) for block in _blocks(items, size, limit)]
 
 
-def _automaton(block: dict):
-    """Automaton of a broadcast block {"patterns": ...}; a worker process keeps it beside the patterns."""
-    if "automaton" not in block:
-        import ahocorasick
+def _automaton(patterns: dict[bytes, list[str]]):
+    import ahocorasick
 
-        made = ahocorasick.Automaton()
-        for window, owners in block["patterns"].items():
-            made.add_word(f" {window.decode('latin-1')} ", (window.count(b" ") + 1, tuple(owners)))
-        made.make_automaton()
-        block["automaton"] = made
-    return block["automaton"]
+    made = ahocorasick.Automaton()
+    for window, owners in patterns.items():
+        made.add_word(f" {window.decode('latin-1')} ", (window.count(b" ") + 1, tuple(owners)))
+    made.make_automaton()
+    return made
 
 
 def find_hits(text: str | None, automaton) -> tuple[int, list[tuple[int, int]], set[str]]:
@@ -147,11 +143,13 @@ def decontaminate(
     schema = arrow_schema(SCAN)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A task keeps the automaton of a single block; of several it builds one after the other for every batch.
+        kept = _automaton(blocks[0].value) if len(blocks) == 1 else None
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
             found: list = [None] * len(ids)
             for block in blocks:
-                automaton = _automaton(block.value)
+                automaton = kept or _automaton(block.value)
                 for i in range(len(ids)):
                     n, runs, hit = find_hits(texts[i].as_py(), automaton)
                     found[i] = (n, runs, hit) if found[i] is None else (n, _merged(found[i][1], runs), found[i][2] | hit)
@@ -178,19 +176,12 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW)
 
     The verdict is made beside the row it is about, so repeated or null ids need no join.
     """
-    keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["text"].alias("text"))
-    out = keyed
+    out = docs
     for block in _sent_blocks(benchmark, window, PATTERN_BYTES):
-        out = _without(out, block)
-    return out.select("row.*")
+        out = keep_rows(out, lambda block=block: _clean_judge(block))
+    return out
 
 
-def _without(keyed: DataFrame, block) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            automaton = _automaton(block.value)
-            texts = batch.column(1)
-            keep = [not find_hits(texts[i].as_py(), automaton)[1] for i in range(len(texts))]
-            yield batch.filter(pa.array(keep))
-
-    return keyed.mapInArrow(run, keyed.schema)
+def _clean_judge(block):
+    automaton = _automaton(block.value)
+    return lambda texts: [not find_hits(text, automaton)[1] for text in texts]

@@ -232,10 +232,9 @@ def extract_pages(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sources = batch.column(2).to_pylist()
-            for start, end in slices(sources):
-                texts = [extract(s) for s in sources[start:end]]
+            for start, end in slices(batch.column(2)):
                 part = batch.slice(start, end - start)
+                texts = [extract(s) for s in part.column(2).to_pylist()]
                 cols = [part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) if isinstance(c, list) else c.cast(f.type) for c, f in zip(cols, arrow, strict=True)], schema=arrow)
 

@@ -35,8 +35,9 @@ PAIRED_CLASSES = 64
 # Prefix extensions tried, and the cost of a verification in posting reads.
 MAX_EXTENSION = 8
 VERIFY_COST = 25.0
-# Shingles of a block of a bundle.
+# Shingles and classes of a block of a bundle.
 BLOCK_SHINGLES = 250_000
+BLOCK_CLASSES = 800
 # Bits of the filter that says whose sets are wanted; a full filter only lets more sets through.
 FILTER_BITS = 1 << 26
 
@@ -73,7 +74,7 @@ class Shingler:
         found = text.encode("utf-8", "surrogatepass").translate(_CASE).split() if text else []
         if not found:
             return np.zeros(0, np.uint64)
-        if len(self.known) > 400_000:
+        if len(self.known) > 150_000:
             self.known.clear()
         known = self.known
         for word in set(found).difference(known):
@@ -182,7 +183,7 @@ def _postings(docs: DataFrame, rule: Rule, salt: int, sketch: np.ndarray) -> Dat
                 key = _digest(own, salt)[0]
                 if key in done:
                     continue
-                if len(done) > 200_000:
+                if len(done) > 50_000:
                     done.clear()
                 done.add(key)
                 seen = counts[(own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
@@ -196,7 +197,7 @@ def _postings(docs: DataFrame, rule: Rule, salt: int, sketch: np.ndarray) -> Dat
                 for col, value in zip(cols, (tokens, key, len(own), ell), strict=True):
                     col.append(tokens if col is cols[0] else np.full(len(tokens), value))
                 held += len(tokens)
-                if held > 200_000:
+                if held > 100_000:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), f.type) for c, f in zip(cols, arrow, strict=True)], schema=arrow)
                     held, cols = 0, ([], [], [], [])
             if held:
@@ -265,7 +266,7 @@ def _sets(docs: DataFrame, rule: Rule, salt: int, keys: DataFrame) -> DataFrame:
                 page, place = divmod(key & (bits - 1), 32768)
                 if key in done or page not in wanted or not wanted[page][place >> 3] >> (place & 7) & 1:
                     continue
-                if len(done) > 200_000:
+                if len(done) > 50_000:
                     done.clear()
                 done.add(key)
                 found.append(key)
@@ -292,7 +293,7 @@ def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
     order = np.argsort(column, kind="stable")
     rows, column = rows[order], column[order]
     out = np.zeros((len(left), len(right)), np.float32)
-    width = 2048
+    width = 1024
     for start in range(0, int(column[-1]) + 1 if len(column) else 0, width):
         lo, hi = np.searchsorted(column, [start, start + width])
         part = np.zeros((len(left) + len(right), width), np.float32)
@@ -354,8 +355,8 @@ GROUPED = schema_of("u bigint, v bigint, links bigint")
 
 def _verify_bundles(members: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """Rows (u, null, linked rows) and spanning edges (u, v, 0) of all bundles; members has key, bundle, n and rows."""
-    sized = members.groupBy("bundle").agg(F.sum("n").alias("total"))
-    blocks = F.ceil(F.col("total") / BLOCK_SHINGLES).cast("int")
+    sized = members.groupBy("bundle").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("classes"))
+    blocks = F.ceil(F.greatest(F.col("total") / BLOCK_SHINGLES, F.col("classes") / BLOCK_CLASSES)).cast("int")
     placed = members.join(sized.select("bundle", blocks.alias("blocks")), "bundle").withColumn(
         "block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
     )
@@ -444,15 +445,16 @@ def one_of_each_group(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
 def _tagged(docs: DataFrame, rule: Rule, salt: int) -> DataFrame:
     """Rows as one column beside their id and class key."""
-    kept = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["doc_id"].cast("long").alias("id"), docs["text"].alias("key"))
-    schema = T.StructType([*kept.schema.fields[:2], T.StructField("key", T.LongType())])
+    kept = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["doc_id"].cast("long").alias("id"))
+    schema = T.StructType([*kept.schema.fields, T.StructField("key", T.LongType())])
+    place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(rule.words)
         for batch in batches:
             keys = []
-            for i in range(batch.num_rows):
-                own = shingler(batch.column(2)[i].as_py())
+            for text in batch.column(0).field(place):
+                own = shingler(text.as_py())
                 keys.append(_digest(own, salt)[0] if len(own) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.int64())], names=["row", "id", "key"])
 

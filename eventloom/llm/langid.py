@@ -228,7 +228,7 @@ def has_letter(text: str) -> bool:
 
 
 # A worker remembers so many windows; then it starts anew. Only speed depends on it.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 
 
 class Memory:
@@ -330,10 +330,10 @@ def label_positions(docs: DataFrame, net: Network) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(1).to_pylist(), batch.column(0).to_pylist()
-            for start, end in slices(texts):
+            for start, end in slices(batch.column(0)):
+                part = batch.slice(start, end - start)
                 rows = []
-                for doc, text in zip(ids[start:end], texts[start:end], strict=True):
+                for doc, text in zip(part.column(1).to_pylist(), part.column(0).to_pylist(), strict=True):
                     rows.extend((doc, *run) for run in text_runs(net, text or ""))
                 cols = list(zip(*rows, strict=True)) or [(), (), (), ()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, arrow, strict=True)], schema=arrow)

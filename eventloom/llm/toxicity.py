@@ -187,7 +187,7 @@ class Scorer:
         own = self.index
         vector = own.vector(terms_of(text))
         if vector not in self.known:
-            if len(self.known) > 50_000:
+            if len(self.known) > 20_000:
                 self.known.clear()
             found = own.nearest(vector, self.k)
             self.known[vector] = (
@@ -273,10 +273,10 @@ def score_documents(docs: DataFrame, index: Index, k: int = NEIGHBOURS) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(Index(**sent.value), k)
         for batch in batches:
-            ids, texts = batch.column(1).to_pylist(), batch.column(0).to_pylist()
-            for start, end in slices(texts):
+            for start, end in slices(batch.column(0)):
+                part = batch.slice(start, end - start)
                 out: list[list] = [[] for _ in arrow]
-                for doc, text in zip(ids[start:end], texts[start:end], strict=True):
+                for doc, text in zip(part.column(1).to_pylist(), part.column(0).to_pylist(), strict=True):
                     score, near, cosines, votes = scorer(text)
                     held = None if doc is None else zlib.crc32(str(doc).encode()) % 5 == 0
                     for col, value in zip(out, (doc, held, score, int(score >= 0.5), near, cosines, votes), strict=True):
