@@ -326,7 +326,8 @@ def candidate_lists(candidates: DataFrame, existing: DataFrame) -> DataFrame:
 
     The list of a security has one entry per search result or suffix, so it is small by construction.
     """
-    known = existing.where("exists").select("ticker", F.lit(True).alias("exists"))
+    # A ticker probed several times exists if any probe found it, and is one candidate all the same.
+    known = existing.groupBy("ticker").agg(F.bool_or("exists").alias("exists")).where("exists")
     flagged = candidates.join(known, "ticker", "left").withColumn("exists", F.coalesce("exists", F.lit(False)))
     entry = F.struct("stage", "ordinal", *CANDIDATE_FIELDS, "exists")
     return flagged.groupBy("security_id").agg(F.array_sort(F.collect_list(entry)).alias("candidates"))

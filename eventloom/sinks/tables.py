@@ -53,9 +53,9 @@ def stamp(df: DataFrame, tag: str, file_name: str) -> DataFrame:
 
 
 def write_by_tag(df: DataFrame, path: str, columns: list[str] | None = None) -> None:
-    """One folder per dataset tag; rows are not gathered first, so a hot tag is written by many tasks."""
+    """One folder per dataset tag, in few files; rebalancing splits a hot tag over tasks instead of gathering it."""
     out = schemas.fit(df, columns) if columns else df
-    out.write.mode("overwrite").partitionBy("holdings_tag").parquet(path)
+    out.hint("rebalance", "holdings_tag").write.mode("overwrite").partitionBy("holdings_tag").parquet(path)
 
 
 def union_tables(frames: list[DataFrame], columns: list[str]) -> DataFrame:
@@ -75,7 +75,7 @@ def write_buckets(no_events: DataFrame, path: str) -> None:
     classified = classify_no_events(no_events)
     tables = F.when(F.col("suspect_mapping"), F.array(F.lit("rest"), F.lit("rest_suspect"))).otherwise(F.array("bucket"))
     rows = classified.withColumn("bucket_table", F.explode(tables))
-    rows.write.mode("overwrite").partitionBy("bucket_table").parquet(path)
+    rows.hint("rebalance", "bucket_table").write.mode("overwrite").partitionBy("bucket_table").parquet(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:

@@ -357,10 +357,10 @@ def fund_spec(symbol: str) -> dict[str, str]:
 
 
 def with_fund_spec(df: DataFrame, registry: DataFrame, symbol: str = "fund") -> DataFrame:
-    """Registry columns on rows; an unknown fund stops the job. The registry is a fixed handful of rows."""
+    """Registry columns on rows; an unknown fund stops the job. How to join is left to the planner, which knows the sizes."""
     key = F.upper(tx.strip(F.col(symbol)))
     known = registry.withColumnRenamed("symbol", "__symbol").withColumn("__known", F.lit(True))
-    joined = df.withColumn("__symbol", key).join(F.broadcast(known), "__symbol", "left")
+    joined = df.withColumn("__symbol", key).join(known, "__symbol", "left")
     checked = F.when(F.col("__known"), F.col("default_coverage")).otherwise(
         F.raise_error(F.concat(F.lit("unknown fund "), F.col("__symbol"))).cast("string")
     )

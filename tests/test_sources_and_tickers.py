@@ -395,3 +395,12 @@ def test_of_doubled_exact_rules_the_first_by_priority_counts(spark):
     rows = spark.createDataFrame([("NYSE",), ("NYSE ARCA",), ("XETRA",), ("none",), (None,)], "exchange string")
     got = {r.exchange: r.rule_exchange for r in match_exchange(rows, rules).collect()}
     assert got == {"NYSE": "Early", "NYSE ARCA": "Part", "XETRA": "Xetra", "none": "", None: ""}
+
+
+def test_a_ticker_probed_twice_is_one_candidate(spark):
+    fields = [f for f in rs.CANDIDATE_FIELDS if f != "ticker"]
+    row = {"security_id": 1, "ticker": "A.X", "stage": 0, "ordinal": 0} | {f: "x" for f in fields}
+    candidates = spark.createDataFrame([tuple(row.values())], ", ".join(f"{k} {'int' if isinstance(v, int) else 'string'}" for k, v in row.items()))
+    existing = spark.createDataFrame([("A.X", True), ("A.X", False), ("A.X", True)], "ticker string, exists boolean")
+    got = rs.candidate_lists(candidates, existing).first().candidates
+    assert len(got) == 1 and got[0].exists
