@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from eventloom.llm.common import arrow_schema, schema_of, slices
+from eventloom.llm.common import arrow_schema, map_in_arrow, schema_of, slices
 
 # A worker remembers so many words; then it starts anew. Only speed depends on it.
 REMEMBERED = 150_000
@@ -214,7 +214,7 @@ def _coded(docs: DataFrame, path: str, schema, row) -> DataFrame:
                 cols = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, arrow, strict=True)], schema=arrow)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return map_in_arrow(docs.select("doc_id", "text"), run, schema)
 
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
@@ -248,4 +248,4 @@ def decode_documents(tokens: DataFrame, path: str) -> DataFrame:
             texts = [codec.decode([i for i in ids or [] if 0 <= i < len(codec.pieces)]) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(texts, pa.string())], schema=arrow)
 
-    return tokens.select("doc_id", "ids").mapInArrow(run, schema)
+    return map_in_arrow(tokens.select("doc_id", "ids"), run, schema)

@@ -44,6 +44,20 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
         yield start, len(texts)
 
 
+# Rows of an Arrow batch between the executors' Java and Python sides. A row is a whole text here, so the default of
+# 10,000 rows would hold tens of megabytes on either side of every running task.
+BATCH_ROWS = 500
+
+
+def map_in_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
+    """``df.mapInArrow`` in batches of at most ``BATCH_ROWS`` rows; lowers the session's setting, which plans read when they run."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df.mapInArrow(fn, schema)
+
+
 def map_rows(
     df: DataFrame, columns: list[str], fn: Callable[[dict[str, list]], dict[str, list]], schema: T.StructType
 ) -> DataFrame:
@@ -63,7 +77,7 @@ def map_rows(
                     [pa.array(out[field.name], type=field.type) for field in types], schema=types
                 )
 
-    return df.select(*columns).mapInArrow(run, schema)
+    return map_in_arrow(df.select(*columns), run, schema)
 
 
 def keep_rows(docs: DataFrame, judge: Callable[[], Callable[[list[str | None]], list[bool]]]) -> DataFrame:
@@ -77,7 +91,7 @@ def keep_rows(docs: DataFrame, judge: Callable[[], Callable[[list[str | None]],
             keep = [ok for start, end in slices(texts) for ok in own(texts.slice(start, end - start).to_pylist())]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_in_arrow(docs, run, docs.schema)
 
 
 def arrow_schema(schema: T.StructType) -> pa.Schema:

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from eventloom.llm.common import arrow_schema, keep_rows, schema_of
+from eventloom.llm.common import arrow_schema, keep_rows, map_in_arrow, schema_of
 
 WINDOW = 10
 # The windows of so many bytes of patterns make one automaton; larger benchmarks are scanned in several passes.
@@ -168,7 +168,7 @@ def decontaminate(
                 out["spans"].append([{"start": a, "end": b} for a, b in char_spans(text or "", runs)])
             yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in schema], schema=schema)
 
-    return docs.select("doc_id", "text").mapInArrow(run, SCAN)
+    return map_in_arrow(docs.select("doc_id", "text"), run, SCAN)
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from eventloom.llm.common import arrow_schema, schema_of, slices
+from eventloom.llm.common import arrow_schema, map_in_arrow, schema_of, slices
 
 # Fixed values of the HTML language and of common page templates.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -238,4 +238,4 @@ def extract_pages(pages: DataFrame) -> DataFrame:
                 cols = [part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) if isinstance(c, list) else c.cast(f.type) for c, f in zip(cols, arrow, strict=True)], schema=arrow)
 
-    return pages.select("page_id", "url", "html").mapInArrow(run, PAGES)
+    return map_in_arrow(pages.select("page_id", "url", "html"), run, PAGES)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventloom.llm.common import arrow_schema, schema_of
+from eventloom.llm.common import arrow_schema, map_in_arrow, schema_of
 from eventloom.llm.components import components
 from eventloom.session import cut_lineage, release
 
@@ -131,7 +131,7 @@ def _scan(docs: DataFrame, rule: Rule, salt: int) -> DataFrame:
         cols = [none, none, none, none, pa.array(range(len(counts))), pa.array([spread] * len(counts)), pa.array(counts)]
         yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, arrow, strict=True)], schema=arrow)
 
-    return docs.select("doc_id", "text").mapInArrow(run, _SCANNED)
+    return map_in_arrow(docs.select("doc_id", "text"), run, _SCANNED)
 
 
 def _sketch(scanned: DataFrame) -> np.ndarray:
@@ -203,7 +203,7 @@ def _postings(docs: DataFrame, rule: Rule, salt: int, sketch: np.ndarray) -> Dat
             if held:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), f.type) for c, f in zip(cols, arrow, strict=True)], schema=arrow)
 
-    return docs.select("text").mapInArrow(run, _POSTINGS)
+    return map_in_arrow(docs.select("text"), run, _POSTINGS)
 
 
 def _candidates(cold: DataFrame, rule: Rule) -> DataFrame:
@@ -278,7 +278,7 @@ def _sets(docs: DataFrame, rule: Rule, salt: int, keys: DataFrame) -> DataFrame:
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(own_sets, pa.binary())], schema=arrow)
 
-    return docs.select("text").mapInArrow(run, schema)
+    return map_in_arrow(docs.select("text"), run, schema)
 
 
 def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -458,4 +458,4 @@ def _tagged(docs: DataFrame, rule: Rule, salt: int) -> DataFrame:
                 keys.append(_digest(own, salt)[0] if len(own) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.int64())], names=["row", "id", "key"])
 
-    return kept.mapInArrow(run, schema)
+    return map_in_arrow(kept, run, schema)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import arrow_schema, crc_bucket, map_rows, schema_of, slices
+from eventloom.llm.common import arrow_schema, crc_bucket, map_in_arrow, map_rows, schema_of, slices
 
 WINDOW = 24
 HIDDEN = 8
@@ -338,7 +338,7 @@ def label_positions(docs: DataFrame, net: Network) -> DataFrame:
                 cols = list(zip(*rows, strict=True)) or [(), (), (), ()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, arrow, strict=True)], schema=arrow)
 
-    return docs.select("text", "doc_id").mapInArrow(run, schema)
+    return map_in_arrow(docs.select("text", "doc_id"), run, schema)
 
 
 def text_runs(net: Network, text: str) -> list[tuple[int, int, str]]:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import arrow_schema, crc_bucket, schema_of, slices
+from eventloom.llm.common import arrow_schema, crc_bucket, map_in_arrow, schema_of, slices
 
 # Labelled examples taken of either label at most.
 EXAMPLES_PER_LABEL = 1500
@@ -255,7 +255,7 @@ def document_counts(docs: DataFrame, terms: list[bytes]) -> tuple[dict[bytes, in
         cols = [pa.array([b"", *counts], pa.binary()), pa.array([rows, *counts.values()], pa.int64())]
         yield pa.RecordBatch.from_arrays(cols, schema=arrow)
 
-    summed = docs.select("text").mapInArrow(run, schema).groupBy("term").agg(F.sum("n").alias("n")).collect()
+    summed = map_in_arrow(docs.select("text"), run, schema).groupBy("term").agg(F.sum("n").alias("n")).collect()
     found = {bytes(r["term"]): r["n"] for r in summed}
     n_docs = found.pop(b"", 0)
     return {t: found.get(t, 0) for t in terms}, n_docs
@@ -283,4 +283,4 @@ def score_documents(docs: DataFrame, index: Index, k: int = NEIGHBOURS) -> DataF
                         col.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(out, arrow, strict=True)], schema=arrow)
 
-    return docs.select("text", "doc_id").mapInArrow(run, SCORES)
+    return map_in_arrow(docs.select("text", "doc_id"), run, SCORES)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import arrow_schema, schema_of
+from eventloom.llm.common import arrow_schema, map_in_arrow, schema_of
 
 K = 8
 W = 12
@@ -126,7 +126,7 @@ def fingerprints(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
             cols = [batch.column(0).cast(pa.int64()), pa.array([h.astype(np.int64) for h, _ in made], arrow[1].type), pa.array([p for _, p in made], arrow[2].type)]
             yield pa.RecordBatch.from_arrays(cols, schema=arrow)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return map_in_arrow(docs.select("doc_id", "text"), run, schema)
 
 
 EDITS = schema_of(
@@ -184,7 +184,7 @@ def compare_with_next(docs: DataFrame, k: int = K, w: int = W, range_rows: int =
                 yield pa.RecordBatch.from_arrays(cols, schema=dealt)
 
     # Tails of the last range are the first document: they follow the tails of no other, since it has no next range.
-    sent = keyed.mapInArrow(deal, _DEALT).repartition(max(1, parts), "range")
+    sent = map_in_arrow(keyed, deal, _DEALT).repartition(max(1, parts), "range")
     ordered = sent.sortWithinPartitions(
         "range", "tail", F.col("missing").desc(), "doc_id", F.coalesce("text", F.lit(""))
     )
@@ -212,7 +212,7 @@ def compare_with_next(docs: DataFrame, k: int = K, w: int = W, range_rows: int =
             if out:
                 yield _batch(out, arrow)
 
-    return ordered.mapInArrow(compare, EDITS)
+    return map_in_arrow(ordered, compare, EDITS)
 
 
 def _compared(held: tuple, following: str, following_hashes: np.ndarray, k: int, w: int) -> tuple:
