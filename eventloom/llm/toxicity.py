@@ -1,15 +1,15 @@
-"""Toxicity by the nearest labelled examples: exact TF-IDF cosine over block-max inverted indexes.
+"""Toxicity by the nearest labelled examples: exact TF-IDF cosine over posting lists of all their terms.
 
-Examples are a bounded sample of labelled documents, as many of each label as there are, up to a limit. Their
-terms are those whose frequency differs between the labels; how many of all documents hold a term is counted over
-the whole corpus. A text's neighbours are found exactly: blocks of examples are visited by falling upper bound
-until no block can better the k-th neighbour. Votes are weighted by closeness and by the share of the label that
-an example stands for, then mapped to probabilities by isotonic regression on the examples' own left-out votes.
+Examples are a bounded sample of labelled documents, as many of each label as there are, up to a limit. Every term
+of an example is indexed; how many of all documents hold it is counted over the whole corpus, and it weighs the more
+the better it tells the labels apart. A text's neighbours are found exactly: the posting lists of its terms are summed
+for all examples. Votes are weighted by closeness and by the share of the label that an example stands for, then
+mapped to probabilities by isotonic regression on the examples' own left-out votes.
 """
 
 from __future__ import annotations
 
-import heapq
+import hashlib
 import math
 import zlib
 from collections import Counter
@@ -26,8 +26,8 @@ from eventloom.llm.common import arrow_schema, crc_bucket, map_in_arrow, schema_
 # Labelled examples taken of either label at most.
 EXAMPLES_PER_LABEL = 1500
 NEIGHBOURS = 15
-BLOCK = 32
-# A term is indexed when twice the log likelihood ratio of its label shares is at least this (chance below 1e-6).
+# Evidence is twice the log likelihood ratio of a term's label shares. A term with this much (chance below 1e-6) has
+# about half of its full weight; one without any has a 25th, never nothing.
 EVIDENCE = 24.0
 
 _WORD = b"abcdefghijklmnopqrstuvwxyz"
@@ -39,80 +39,87 @@ def terms_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8").translate(_FOLD).split() if text else []
 
 
-def telling_terms(examples: list[tuple[list[bytes], int]]) -> list[bytes]:
-    """Terms that hold for or against a label, by the likelihood ratio of their share among the examples with them."""
+def evidence(examples: list[tuple[list[bytes], int]]) -> dict[bytes, float]:
+    """How much each term holds for or against a label: the likelihood ratio of its share among the examples with it."""
     totals = Counter(label for _, label in examples)
     n = len(examples)
-    if not totals[0] or not totals[1]:
-        return []
-    share = totals[1] / n
     seen, bad = Counter(), Counter()
     for terms, label in examples:
         own = set(terms)
         seen.update(own)
         if label:
             bad.update(own)
+    if not totals[0] or not totals[1]:
+        return dict.fromkeys(seen, 0.0)
+    share = totals[1] / n
 
     def part(a: float, b: float) -> float:
         return a * math.log(a / b) if a else 0.0
 
-    chosen = []
+    found = {}
     for term, d in seen.items():
         b = bad[term]
         inside = part(b, d * share) + part(d - b, d * (1 - share))
         rest = n - d
         outside = part(totals[1] - b, rest * share) + part(totals[0] - d + b, rest * (1 - share)) if rest else 0.0
-        if 2 * (inside + outside) >= EVIDENCE:
-            chosen.append(term)
-    return sorted(chosen)
+        found[term] = max(2 * (inside + outside), 0.0)
+    return found
 
 
 @dataclass
 class Index:
-    """Example vectors by term, and for each term the largest weight in every block of examples."""
+    """Example vectors as posting lists: those of term ``t`` are at ``starts[t]`` to ``starts[t + 1]``.
+
+    ``rows`` numbers all terms, ``term_ids`` those among them with ``EVIDENCE`` or more; ``weight`` is a term's IDF
+    times its share of the full weight.
+    """
 
+    rows: dict[bytes, int]
     term_ids: dict[bytes, int]
-    idf: np.ndarray
+    weight: np.ndarray
     ids: np.ndarray
     labels: np.ndarray
     worth: np.ndarray
-    dense: np.ndarray
-    block_max: np.ndarray
+    starts: np.ndarray
+    places: np.ndarray
+    values: np.ndarray
     prior: float
     steps: tuple[np.ndarray, np.ndarray]
 
     def vector(self, terms: list[bytes]) -> tuple[tuple[int, float], ...]:
         """Unit TF-IDF vector over the indexed terms, empty without any."""
-        known = self.term_ids
-        counts = Counter(t for t in terms if t in known)
-        raw = sorted((known[t], (1 + math.log(n)) * self.idf[known[t]]) for t, n in counts.items())
-        norm = math.sqrt(sum(w * w for _, w in raw))
-        return tuple((t, w / norm) for t, w in raw) if norm else ()
+        known = self.rows
+        counts = Counter(terms)
+        own = [t for t in counts if t in known]
+        if not own:
+            return ()
+        at = np.array([known[t] for t in own])
+        raw = (1 + np.log([counts[t] for t in own])) * self.weight[at]
+        order = np.argsort(at)
+        at, raw = at[order], raw[order]
+        return tuple(zip(at.tolist(), (raw / math.sqrt(raw @ raw)).tolist(), strict=True))
 
     def nearest(self, vector: tuple[tuple[int, float], ...], k: int, leave_out: int = -1) -> list[tuple[float, int]]:
         """The k examples of highest cosine above 0, nearest first, equal ones by place in the index."""
-        if not vector or not len(self.ids):
+        n = len(self.ids)
+        if not vector or not n:
             return []
-        terms = np.array([t for t, _ in vector])
-        weights = np.array([w for _, w in vector])
-        bounds = weights @ self.block_max[terms]
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-bounds, kind="stable"):
-            # Rounding may lift a true cosine over its bound by an ulp or so.
-            if bounds[block] <= 0 or len(best) == k and bounds[block] < best[0][0] - 1e-12:
-                break
-            start = block * BLOCK
-            scores = weights @ self.dense[terms, start : start + BLOCK]
-            for i in np.flatnonzero(scores > 0):
-                place = int(start + i)
-                if place == leave_out:
-                    continue
-                entry = (float(scores[i]), -place)
-                if len(best) < k:
-                    heapq.heappush(best, entry)
-                elif entry > best[0]:
-                    heapq.heapreplace(best, entry)
-        return [(score, -place) for score, place in sorted(best, reverse=True)]
+        terms, weights = zip(*vector, strict=True)
+        terms = np.array(terms)
+        starts = self.starts[terms]
+        sizes = self.starts[terms + 1] - starts
+        # Places of all postings, as running sums: 1 within a list, a jump to the start of the next one.
+        steps = np.ones(sizes.sum(), np.intp)
+        steps[0] = starts[0]
+        steps[np.cumsum(sizes[:-1])] = starts[1:] - (starts[:-1] + sizes[:-1]) + 1
+        at = np.cumsum(steps)
+        scores = np.bincount(self.places[at], np.repeat(weights, sizes) * self.values[at], n)
+        if leave_out >= 0:
+            scores[leave_out] = 0
+        least = np.partition(scores, n - k)[n - k] if n > k else 0.0
+        found = np.flatnonzero((scores >= least) & (scores > 0))
+        found = found[np.argsort(-scores[found], kind="stable")][:k]
+        return list(zip(scores[found].tolist(), found.tolist(), strict=True))
 
     def vote(self, found: list[tuple[float, int]]) -> float:
         """Share of label 1 among the neighbours; the prior has the weight of one far example."""
@@ -152,8 +159,12 @@ def build_index(
 ) -> Index:
     """Index (doc_id, terms, label) examples; ``totals`` are all labelled rows by label, which examples stand for."""
     terms = sorted(doc_counts)
-    term_ids = {t: i for i, t in enumerate(terms)}
+    rows = {t: i for i, t in enumerate(terms)}
+    told = evidence([(own, label) for _, own, label in examples])
+    term_ids = {t: i for t, i in rows.items() if told.get(t, 0.0) >= EVIDENCE}
     idf = np.array([math.log((1 + n_docs) / (1 + doc_counts[t])) + 1 for t in terms])
+    strength = np.array([1 + told.get(t, 0.0) for t in terms])
+    weight = idf * strength / (strength + EVIDENCE)
     examples = sorted(examples, key=lambda e: e[0])
     labels = np.array([label for _, _, label in examples], np.int8)
     taken = Counter(labels.tolist())
@@ -162,14 +173,17 @@ def build_index(
     share = {label: totals.get(label, 0) / n for label, n in taken.items()}
     largest = max(share.values(), default=1.0)
     worth = np.array([share[int(label)] / largest for label in labels])
-    n_blocks = -(-len(examples) // BLOCK)
-    dense = np.zeros((len(terms), n_blocks * BLOCK))
-    index = Index(term_ids, idf, np.array([e[0] for e in examples]), labels, worth, dense, dense, prior, (np.array([]), np.array([])))
+    nothing = np.array([], np.intp)
+    index = Index(
+        rows, term_ids, weight, np.array([e[0] for e in examples]), labels, worth,
+        nothing, nothing, np.array([]), prior, (np.array([]), np.array([])),
+    )
     vectors = [index.vector(own) for _, own, _ in examples]
-    for place, vector in enumerate(vectors):
-        for t, w in vector:
-            dense[t, place] = w
-    index.block_max = dense.reshape(len(terms), n_blocks, BLOCK).max(axis=2) if n_blocks else dense
+    held = np.array([t for v in vectors for t, _ in v], np.intp)
+    order = np.argsort(held, kind="stable")
+    index.starts = np.searchsorted(held[order], np.arange(len(terms) + 1))
+    index.places = np.repeat(np.arange(len(vectors)), [len(v) for v in vectors])[order] if vectors else nothing
+    index.values = np.array([w for v in vectors for _, w in v])[order]
     if len(examples):
         votes = np.array([index.vote(index.nearest(v, NEIGHBOURS, leave_out=i)) for i, v in enumerate(vectors)])
         index.steps = _isotonic(votes, labels.astype(float), worth)
@@ -177,26 +191,26 @@ def build_index(
 
 
 class Scorer:
-    """Score and evidence of texts: (score, neighbours, cosines, votes); equal vectors are looked up once."""
+    """Score and evidence of texts: (score, neighbours, cosines, votes); equal texts are looked up once."""
 
     def __init__(self, index: Index, k: int = NEIGHBOURS) -> None:
         self.index, self.k = index, k
-        self.known: dict[tuple, tuple] = {}
+        self.known: dict[bytes, tuple] = {}
 
     def __call__(self, text: str | None) -> tuple[float, list[int], list[float], int]:
         own = self.index
-        vector = own.vector(terms_of(text))
-        if vector not in self.known:
+        key = hashlib.blake2b((text or "").encode("utf-8"), digest_size=16).digest()
+        if key not in self.known:
             if len(self.known) > 20_000:
                 self.known.clear()
-            found = own.nearest(vector, self.k)
-            self.known[vector] = (
+            found = own.nearest(own.vector(terms_of(text)), self.k)
+            self.known[key] = (
                 own.score(found),
                 [int(own.ids[p]) for _, p in found],
                 [c for c, _ in found],
                 sum(int(own.labels[p]) for _, p in found),
             )
-        return self.known[vector]
+        return self.known[key]
 
 
 SCORES = schema_of(
@@ -233,15 +247,12 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = EXAMPLES_PER_LABEL)
     found: dict[int, tuple[list[bytes], int]] = {}
     for r in rows.orderBy("doc_id", "text").toLocalIterator():
         found.setdefault(r["doc_id"], (terms_of(r["text"]), r["toxic"]))
-    chosen_terms = telling_terms(list(found.values()))
-    counts, n_docs = document_counts(docs, chosen_terms)
-    wanted = set(chosen_terms)
-    examples = [(doc, [t for t in terms if t in wanted], label) for doc, (terms, label) in found.items()]
-    return build_index(examples, totals, counts, n_docs)
+    counts, n_docs = document_counts(docs, sorted({t for terms, _ in found.values() for t in terms}))
+    return build_index([(doc, terms, label) for doc, (terms, label) in found.items()], totals, counts, n_docs)
 
 
 def document_counts(docs: DataFrame, terms: list[bytes]) -> tuple[dict[bytes, int], int]:
-    """How many of all documents hold each term, and how many documents there are; one row per task is shuffled per term."""
+    """How many of all documents hold each term, and how many documents there are; one row per task is shuffled per term it holds."""
     wanted = set(terms)
     schema = schema_of("term binary, n bigint")
     arrow = arrow_schema(schema)

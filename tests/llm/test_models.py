@@ -116,3 +116,23 @@ def test_toxicity_without_labels(spark, docs):
     index = toxicity.fit(docs([(1, "a")]), none)
     assert toxicity.score_documents(docs([(1, "a")]), index).first().score == 0
     assert toxicity.score_documents(docs([]), index).count() == 0
+
+
+def test_copy_of_an_example_is_its_own_neighbour(spark, docs):
+    own = ["".join("klmno"[int(d)] for d in np.base_repr(i, 5)) + "own" for i in range(40)]
+    rows = [(i, salad(i, [own[i]] + ["foo"] * (i % 4 == 0))) for i in range(40)]
+    marks = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(40)], "doc_id bigint, quality int, toxic int")
+    index = toxicity.fit(docs(rows), marks)
+    # Too few labels for strong evidence: every term is indexed all the same.
+    assert {own[i].encode() for i in index.ids.tolist()} <= set(index.rows) and b"wa" in index.rows
+    got = {r.doc_id: r for r in toxicity.score_documents(docs(rows), index).collect()}
+    for i in index.ids.tolist():
+        assert got[i].neighbours[0] == i and abs(got[i].cosines[0] - 1) < 1e-9
+    assert len({r.score for r in got.values()}) > 1
+
+
+def test_scores_of_the_smallest_tables_differ(spark):
+    folder = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    got = toxicity.score_documents(docs, toxicity.fit(docs, labels)).collect()
+    assert len(got) == docs.count() and len({r.score for r in got}) > 1
