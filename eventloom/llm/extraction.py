@@ -1,9 +1,12 @@
 """Main text of a web page by composite text density.
 
 Every element of the parsed page gets the characters of its text per tag, adjusted for text and tags of links. The
-element whose children have the largest sum of densities marks the content; from there the selection climbs towards
-the body while a parent is at least as dense as the sparsest element on that path, the threshold. Elements that are no
-article text by their nature (menus, forms, scripts, adverts, comments of readers) carry no characters, only tags.
+element whose children have the largest sum of densities marks the content. The sparsest element on the path from
+there to the body sets the threshold: beside that path, blocks below it are left out if they are mostly links or hold
+no paragraph, and in the others the content is looked for in the same way, so that a text in several siblings is taken
+whole, also its sparser parts. An article element is never cut.
+Elements that are no article text by their nature (menus, forms, scripts, adverts, comments of readers) carry no
+characters, only tags.
 """
 
 from __future__ import annotations
@@ -35,6 +38,9 @@ PARAGRAPH_ENDERS = frozenset(
 )
 SAME_LEVEL = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+PROSE = frozenset("p pre blockquote article main".split())
+CONTAINERS = frozenset("div section ul ol dl table center address details fieldset menu".split())
 NO_TEXT_NAMES = frozenset(
     "ad ads adbox advert adverts advertisement banner sponsor sponsored promo promotion nav navbar navigation menu "
     "breadcrumb breadcrumbs sidebar footer masthead topbar toolbar notice notices cookie cookies consent gdpr popup modal overlay "
@@ -50,13 +56,14 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("chars", "children", "density", "link_chars", "link_tags", "muted", "parent", "sum", "tag", "tags")
+    __slots__ = ("best", "chars", "children", "density", "link_chars", "link_tags", "muted", "parent", "prose", "sum", "tag", "tags")
 
     def __init__(self, tag: str, parent: Node | None, muted: bool) -> None:
         self.tag, self.parent, self.muted = tag, parent, muted
         self.children: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
+        self.best, self.prose = self, False
 
 
 def _is_muted(tag: str, rest: str, parent: Node) -> bool:
@@ -175,27 +182,77 @@ def _density(node: Node, root: Node) -> float:
 
 
 def select(root: Node) -> Node:
-    """Content element: the largest density sum, widened up to the threshold of its path to the body."""
+    """The body, after all blocks that are not content were muted."""
     order = measure(root)
     body = next((n for n in order if n.tag == "body"), root)
-    inside = [n for n in order if not n.muted and n.tag not in INLINE and _under(n, body)]
-    best = max(inside, key=lambda n: n.sum, default=body)
-    if not best.sum:
+    # The largest density sum of a subtree, of equal ones the first.
+    for node in reversed(order):
+        own = [c for c in node.children if not isinstance(c, str) and not c.muted]
+        node.prose = any(c.prose for c in own) or node.tag in PROSE and not node.muted and 2 * node.link_chars <= node.chars != 0
+        node.best = max([node, *(c.best for c in own)], key=lambda n: -1.0 if n.muted or n.tag in INLINE else n.sum)
+    if not body.best.sum:
         return body
-    path = [best]
-    while path[-1] is not body and path[-1].parent is not None:
+    threshold = min(n.density for n in _path(body.best, body))
+    stack = [(body, False)]
+    while stack:
+        top, whole = stack.pop()
+        path = _path(top.best, top)
+        keep = set(map(id, path))
+        for node in reversed(path):
+            if node.tag == "article":
+                break
+            whole = whole or node.tag == "main" or node is top.best
+            dropped, at, after = set(), 0, 0
+            for run in _runs(node):
+                at, after = after, after + len(run)
+                block = run[0] if len(run) == 1 and not isinstance(run[0], str) and run[0].tag not in INLINE else None
+                if block is None:
+                    if not whole and keep.isdisjoint(map(id, run)) and _density(_joined(run), root) < threshold:
+                        dropped.update(range(at, at + len(run)))
+                elif id(block) in keep or block.muted or block.tag in HEADINGS or block.tag == "article":
+                    continue
+                elif block.density < threshold and (2 * block.link_chars > block.chars and (block.tag in CONTAINERS or not whole) or not whole and not block.prose):
+                    block.muted = True
+                else:
+                    stack.append((block, whole))
+            if dropped:
+                node.children = [c for i, c in enumerate(node.children) if i not in dropped]
+    return body
+
+
+def _path(node: Node, top: Node) -> list[Node]:
+    path = [node]
+    while path[-1] is not top:
         path.append(path[-1].parent)
-    threshold = min(n.density for n in path)
-    at = best
-    while at is not body and at.tag not in ("article", "main") and at.parent is not None and at.parent is not body and at.parent.density >= threshold:
-        at = at.parent
-    return at
-
-
-def _under(node: Node, top: Node) -> bool:
-    while node is not None and node is not top:
-        node = node.parent
-    return node is top
+    return path
+
+
+def _runs(node: Node) -> list[list[Node | str]]:
+    """Children of ``node``: blocks by themselves, texts and inline elements between them together."""
+    runs: list[list[Node | str]] = []
+    open_run = False
+    for child in node.children:
+        loose = isinstance(child, str) or child.tag in INLINE
+        if loose and open_run:
+            runs[-1].append(child)
+        else:
+            runs.append([child])
+        open_run = loose
+    return runs
+
+
+def _joined(run: list[Node | str]) -> Node:
+    """Counts of a run of texts and inline elements, as if an element held them."""
+    made = Node("", None, False)
+    for child in run:
+        if isinstance(child, str):
+            made.chars += len(_SPACE.sub("", child))
+        else:
+            made.chars += child.chars
+            made.tags += child.tags + 1
+            made.link_chars += child.link_chars
+            made.link_tags += child.link_tags + (child.tag == "a")
+    return made
 
 
 def text_of(top: Node) -> str:

@@ -134,3 +134,24 @@ def test_preference_pairs(spark, block):
     for r in got:
         assert (r.n_prefix, r.prompt, r.chosen, r.rejected, cut(r.chosen, r.chosen_spans), cut(r.rejected, r.rejected_spans)) == want[r.pair_id]
     assert preference.format_pairs(turns(spark, []), turns(spark, rejected)).count() == 0
+
+
+LONG = f"<p>{BODY}</p>" * 3
+SHORT = "<p>A second part, sparser than the first.</p>" * 2
+LINKS = "".join(f"<li><a href=x>number {i} goes elsewhere</a></li>" for i in range(12))
+BOTH = f"{' '.join([BODY.strip()] * 3)} {' '.join(['A second part, sparser than the first.'] * 2)}"
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        f"<nav>Menu</nav><main><article>{LONG}</article><article>{SHORT}</article></main>",
+        f"<article>{LONG}</article><article>{SHORT}</article><footer>End</footer>",
+        f"<div>{LONG}</div><div>{SHORT}</div>",
+        f"<div><div>{LONG}</div><div><ul>{LINKS}</ul></div><div>{SHORT}</div></div>",
+        f"<div><ul>{LINKS}</ul>{LONG}{SHORT}</div>",
+        f"<main><div><ul>{LINKS}</ul></div><div>{LONG}</div></main><div><div>{SHORT}</div></div>",
+    ],
+)
+def test_split_articles_and_link_blocks(body):
+    assert extraction.extract(f"<body>{body}</body>") == BOTH
