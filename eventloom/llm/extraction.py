@@ -6,7 +6,8 @@ there to the body sets the threshold: beside that path, blocks below it are left
 no paragraph, and in the others the content is looked for in the same way, so that a text in several siblings is taken
 whole, also its sparser parts. An article element is never cut.
 Elements that are no article text by their nature (menus, forms, scripts, adverts, comments of readers) carry no
-characters, only tags.
+characters, only tags. A class or id is weaker evidence of that than a tag: it does not hold for an element with the
+bulk of the page's text.
 """
 
 from __future__ import annotations
@@ -47,16 +48,20 @@ NO_TEXT_NAMES = frozenset(
     "newsletter subscribe signup login share sharing social related recommended comment comments disqus respond "
     "widget pagination pager".split()
 )
+# An element with such a name as class or id, or as a word of it, holds the text itself from these shares of the page's.
+WHOLE_NAME, WORD_IN_NAME = 0.9, 0.5
 NO_TEXT_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([A-Za-z][\w:-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S)
 _NAME = re.compile(r"[a-z]+|[0-9]+")
+# Names that say what a page has or lacks, and not what the element is.
+_STATE = re.compile(r"(?:.*[-_])?(?:has|have|no|not|with|without)[-_].*|.*[-_](?:enabled|disabled)")
 _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("best", "chars", "children", "density", "link_chars", "link_tags", "muted", "parent", "prose", "sum", "tag", "tags")
+    __slots__ = ("best", "chars", "children", "density", "link_chars", "link_tags", "muted", "named", "parent", "prose", "sum", "tag", "tags")
 
     def __init__(self, tag: str, parent: Node | None, muted: bool) -> None:
         self.tag, self.parent, self.muted = tag, parent, muted
@@ -64,6 +69,8 @@ class Node:
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
         self.best, self.prose = self, False
+        # Share of the page's text from which the element is not silenced for its name; 0 without such a name.
+        self.named = 0.0
 
 
 def _is_muted(tag: str, rest: str, parent: Node) -> bool:
@@ -75,8 +82,6 @@ def _is_muted(tag: str, rest: str, parent: Node) -> bool:
         return False
     for name, *values in _ATTRIBUTE.findall(rest):
         name, value = name.lower(), "".join(values).lower()
-        if name in ("class", "id") and not NO_TEXT_NAMES.isdisjoint(_NAME.findall(value)):
-            return True
         if name == "role" and value.strip() in NO_TEXT_ROLES:
             return True
         if name == "hidden" or name == "aria-hidden" and value == "true":
@@ -86,6 +91,26 @@ def _is_muted(tag: str, rest: str, parent: Node) -> bool:
     return False
 
 
+def _named(tag: str, rest: str, parent: Node) -> float:
+    """``Node.named`` by class and id: a whole name is better evidence than a word inside a compound."""
+    if not rest or rest.isspace() or tag in ("body", "html", "main", "article"):
+        return 0.0
+    names = [v for name, *values in _ATTRIBUTE.findall(rest) if name.lower() in ("class", "id") for v in "".join(values).lower().split()]
+    if not NO_TEXT_NAMES.isdisjoint(names):
+        limit = WHOLE_NAME
+    elif any(not NO_TEXT_NAMES.isdisjoint(_NAME.findall(v)) for v in names if not _STATE.fullmatch(v)):
+        limit = WORD_IN_NAME
+    else:
+        return 0.0
+    # Highlighted code names its parts so: a comment there is code.
+    up = parent if tag in INLINE else None
+    while up is not None:
+        if up.tag in ("pre", "code"):
+            return 0.0
+        up = up.parent
+    return limit
+
+
 def parse(source: str) -> Node:
     """Tree of elements and texts under a root; end tags left out are supplied, stray ones ignored."""
     root = here = Node("", None, False)
@@ -131,6 +156,7 @@ def parse(source: str) -> Node:
                 up = up.parent
                 here = up
         node = Node(tag, here, here.muted or _is_muted(tag, found[3], here))
+        node.named = 0.0 if node.muted else _named(tag, found[3], here)
         here.children.append(node)
         if tag in VOID or found[3].endswith("/") and tag not in RAW and tag not in INLINE and tag not in PARAGRAPH_ENDERS:
             continue
@@ -149,9 +175,25 @@ def _elements(root: Node) -> list[Node]:
     return order
 
 
+def _silence(order: list[Node]) -> None:
+    """Mute elements by their names, but for those that hold the bulk of the text; parents come before children."""
+    if not any(node.named for node in order):
+        return
+    held: dict[int, int] = {}
+    for node in reversed(order):
+        own = 0 if node.muted else sum(len(_SPACE.sub("", c)) for c in node.children if isinstance(c, str))
+        held[id(node)] = own + sum(held[id(c)] for c in node.children if not isinstance(c, str))
+    every = held[id(order[0])]
+    for node in order:
+        up = node.parent
+        if up is not None and up.muted or node.named and held[id(node)] <= node.named * every:
+            node.muted = True
+
+
 def measure(root: Node) -> list[Node]:
     """Counts, densities and density sums of all elements; parents before children in the returned list."""
     order = _elements(root)
+    _silence(order)
     for node in reversed(order):
         own = 0 if node.muted else sum(len(_SPACE.sub("", c)) for c in node.children if isinstance(c, str))
         node.chars += own

@@ -155,3 +155,14 @@ BOTH = f"{' '.join([BODY.strip()] * 3)} {' '.join(['A second part, sparser than
 )
 def test_split_articles_and_link_blocks(body):
     assert extraction.extract(f"<body>{body}</body>") == BOTH
+
+
+@pytest.mark.parametrize("name", ["class='site has-sidebar'", "class='no-sidebar'", "class='entry related-enabled'", "id='content-widget'", "class=widget"])
+def test_names_of_wrappers_do_not_silence_the_text(name):
+    page = f"<body><nav>Menu</nav><div {name}><div>{LONG}</div><div class='post-comments'>{SHORT}</div></div></body>"
+    assert extraction.extract(page) == " ".join([BODY.strip()] * 3)
+
+
+def test_names_inside_code_do_not_silence():
+    page = f"<body><article>{LONG}<pre>x = 1 <span class='comment'># kept</span></pre><span class='share'>Share this</span></article></body>"
+    assert extraction.extract(page) == " ".join([BODY.strip()] * 3) + " x = 1 # kept"
