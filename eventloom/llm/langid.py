@@ -16,7 +16,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.llm.common import arrow_schema, crc_bucket, map_in_arrow, map_rows, schema_of, slices
@@ -27,6 +27,7 @@ HIDDEN = 8
 DOCS_PER_LANG = 200
 TRAIN_STEPS = 500
 TRAIN_BATCH = 512
+# More languages are an error: the remembered position sums of a task grow with their number.
 MAX_LANGS = 512
 UNKNOWN = "und"
 
@@ -276,22 +277,24 @@ def fit(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, steps: int = TRAIN_
     """Train on at most ``docs_per_lang`` documents of each language, picked by a hash of their id.
 
     Only rows with a language and a text whose crc32(doc_id) mod 3 is not 1 are used, with their whole texts.
-    The hash threshold of a language lets through twice the documents wanted; the lowest hashes stay.
+    The hash threshold of a language lets through twice the documents wanted; the lowest hashes stay, and only their
+    texts reach the driver. Every language that occurs is learned; more than ``MAX_LANGS`` raise a ValueError.
     """
     rows = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").where(crc_bucket("doc_id", 3) != 1)
-    counted = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
+    counted = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS + 1).collect()
     if not counted:
         return new_network([])
+    if len(counted) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages in column lang")
     top = 1 << 32
     limits = F.create_map(
         *[F.lit(x) for r in counted for x in (r["lang"], min(top, 2 * docs_per_lang * top // r["count"]))]
     )
     spread = F.xxhash64(F.lit("lang"), "doc_id").bitwiseAND(F.lit(top - 1))
     found = rows.where(spread <= limits[F.col("lang")]).select("lang", "text", spread.alias("spread"), "doc_id")
-    kept: dict[str, list] = {}
-    for r in found.toLocalIterator():
-        kept.setdefault(r["lang"], []).append((r["spread"], r["doc_id"], r["text"]))
-    examples = [(text, lang) for lang, own in kept.items() for _, _, text in sorted(own)[:docs_per_lang]]
+    order = Window.partitionBy("lang").orderBy("spread", "doc_id", "text")
+    kept = found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= docs_per_lang)
+    examples = [(r["text"], r["lang"]) for r in kept.select("lang", "text").toLocalIterator()]
     return train(examples, steps=steps)
 
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pytest
 
 from eventloom.llm import langid, toxicity
 
@@ -136,3 +137,27 @@ def test_scores_of_the_smallest_tables_differ(spark):
     docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
     got = toxicity.score_documents(docs, toxicity.fit(docs, labels)).collect()
     assert len(got) == docs.count() and len({r.score for r in got}) > 1
+
+
+def test_too_many_languages_are_an_error(docs, monkeypatch):
+    rows = [(i, speech(lang, i), lang) for i in range(30) for lang in SOUNDS]
+    monkeypatch.setattr(langid, "MAX_LANGS", 3)
+    assert langid.fit(docs(rows), steps=2).langs == ["aa", "bb", "cc"]
+    monkeypatch.setattr(langid, "MAX_LANGS", 2)
+    with pytest.raises(ValueError, match="more than 2 languages"):
+        langid.fit(docs(rows), steps=2)
+
+
+def test_sample_of_languages_is_cut_before_the_driver(docs, monkeypatch):
+    rows = [(i, speech(lang, i), lang) for i in range(60) for lang in [list(SOUNDS)[i % 3]]]
+    kind = type(docs(rows))
+    seen, iterate = [], kind.toLocalIterator
+
+    def counted(self, *args):
+        for row in iterate(self, *args):
+            seen.append(row["lang"])
+            yield row
+
+    monkeypatch.setattr(kind, "toLocalIterator", counted)
+    langid.fit(docs(rows), docs_per_lang=5, steps=2)
+    assert sorted(seen) == ["aa"] * 5 + ["bb"] * 5 + ["cc"] * 5
