@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import bpe, decontam, extraction, jaccard, langid, preference, sharding, toxicity, warc, winnowing
+from eventloom.llm import (
+    bpe, decontam, extraction, jaccard, langid, pii, preference, sharding, spelling, toxicity, warc, whitening, winnowing
+)
 from eventloom.llm.common import crc_bucket, sha256_hex
 from eventloom.llm.oracles import ORACLES
 
@@ -102,3 +104,19 @@ def op8_winnowing(spark: SparkSession, folder: str) -> DataFrame:
 def op7_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     found = jaccard.jaccard_groups(read(spark, folder, "documents"), jaccard.Rule(words=3, part=90, whole=100))
     return found.select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+@query
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(read(spark, folder, "embeddings"))
+
+
+@query
+def op12_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find_personal_data(read(spark, folder, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
+@query
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.group_variants(read(spark, folder, "documents"))
