@@ -218,7 +218,8 @@ LOOSE = pr.PairPolicy(ex_shift_days_ge=1, pay_shift_days_le=6, amount_abs_diff_l
 )
 def _(t: Tables) -> DataFrame:
     strict = pr.PairPolicy(ex_shift_days_ge=2, pay_shift_days_le=3, amount_abs_diff_le=5.0, require_same_ccy=True)
-    return shown(pr.filter_pairs(pr.pair_queue(pair_rows(t), LOOSE), strict))
+    cells = pr.filter_pairs(pr.pair_cells(pair_rows(t), LOOSE), strict)
+    return shown(pr.row_pairs(cells, pr.pair_members(pair_rows(t))))
 
 
 @query(
@@ -237,6 +238,21 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "jn4_pair_members",
+    f"""WITH {PAIR_QUEUE.format(pay=3, amount=5.0)} SELECT row_idx, underlying, econ_id, cast(ex AS VARCHAR) AS ex_date, cast(pay AS VARCHAR) AS pay_date,
+      round(amount, 6) AS amount, ccy, count(*) OVER (PARTITION BY underlying, econ_id, ex, pay, amount, ccy) AS copies
+    FROM b WHERE row_idx IN (SELECT row_idx_a FROM q UNION SELECT row_idx_b FROM q)""",
+)
+def _(t: Tables) -> DataFrame:
+    members = pr.pair_members(pair_rows(t), pr.pair_cells(pair_rows(t), WIDE))
+    sizes = members.groupBy("cell").agg(F.count(F.lit(1)).alias("copies"))
+    return members.join(sizes, "cell").select(
+        "row_idx", "underlying", F.col("economic_event_id").alias("econ_id"), F.col("__ex").cast("string").alias("ex_date"),
+        F.col("__pay").cast("string").alias("pay_date"), F.round("__amt", 6).alias("amount"), F.col("__ccy").alias("ccy"), "copies",
+    )
+
+
 @query(
     "srt3_pair_queue_order",
     f"""WITH {PAIR_QUEUE.format(pay=3, amount=5.0)} SELECT row_number() OVER (ORDER BY underlying, ex_date_abs_shift_days DESC,
@@ -260,7 +276,8 @@ def _(t: Tables) -> DataFrame:
     reviewed = queue.where(F.col("row_idx_a") % 3 == 0).select(
         F.col("econ_id_b").alias("econ_id_a"), F.col("econ_id_a").alias("econ_id_b"), F.lit("KEEP").alias("decision")
     )
-    return dc.suppress_reviewed(queue, reviewed).select("row_idx_a", "row_idx_b")
+    cells = dc.suppress_reviewed(pr.pair_cells(pair_rows(t), WIDE), reviewed)
+    return pr.row_pairs(cells, pr.pair_members(pair_rows(t))).select("row_idx_a", "row_idx_b")
 
 
 @query(
@@ -271,7 +288,7 @@ def _(t: Tables) -> DataFrame:
     WHERE economic_event_id IN (SELECT econ_id_a FROM q UNION SELECT econ_id_b FROM q)""",
 )
 def _(t: Tables) -> DataFrame:
-    out = pr.pair_events(events(t), pr.pair_queue(pair_rows(t), WIDE))
+    out = pr.pair_events(events(t), pr.pair_cells(pair_rows(t), WIDE))
     return out.select("economic_event_id", "severity_tier", "row_count")
 
 

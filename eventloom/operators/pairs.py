@@ -116,17 +116,25 @@ def _cell_pairs(base: DataFrame, p: PairPolicy) -> DataFrame:
     return met.drop("__pb", "__ab")
 
 
+SEEN = [*CELL, "__ccy", "economic_event_id"]
+
+
+def _cell_id() -> Column:
+    """Id of an observation: the same for all its copies, in every run. Missing parts differ from empty ones."""
+    return F.substring(F.sha2(F.to_json(F.struct(*SEEN)), 256), 1, 32)
+
+
 def pair_cells(rows: DataFrame, policy: PairPolicy | None = None, tagged_only: bool = True) -> DataFrame:
     """All pairs of distinct observations within the limits, with the row counts of either side.
 
-    An observation is (underlying, ex, pay, amount, currency, event); copies of it are counted, not paired, so the
-    table follows what was observed and not how often. ``pair_queue`` looks the rows up. Without a least ex shift an
-    observation also pairs with its own copies.
+    An observation, or cell, is (underlying, ex, pay, amount, currency, event); copies of it are counted, not paired,
+    so the table follows what was observed and not how often. ``pair_members`` says which rows a cell has, and
+    ``row_pairs`` pairs them where somebody asks. Without a least ex shift an observation also pairs with its own copies.
     """
     p = policy or PairPolicy()
     base = _complete(rows, tagged_only)
-    seen = [*CELL, "__ccy", "economic_event_id"]
-    counted = base.groupBy(*seen).agg(F.count(F.lit(1)).alias("rows"))
+    seen = SEEN
+    counted = base.groupBy(*seen).agg(F.count(F.lit(1)).alias("rows")).withColumn("cell", _cell_id())
     a, b = _side(counted, "a"), _side(counted, "b")
     joined = _cell_pairs(base, p).join(a, [CELL[0], *[f"{c}_a" for c in CELL[1:]]]).join(b, [CELL[0], *[f"{c}_b" for c in CELL[1:]]])
     n_pairs = F.col("rows_a") * F.col("rows_b")
@@ -140,34 +148,51 @@ def pair_cells(rows: DataFrame, policy: PairPolicy | None = None, tagged_only: b
     return joined.select(
         "underlying",
         *[F.col(f"{c}_{s}").alias(f"{n}_{s}") for c, n in zip(seen[1:], OBSERVATION, strict=True) for s in "ab"],
+        (F.col("__ccy_a") == F.col("__ccy_b")).alias("same_ccy"),
         F.abs(F.col("__amt_a") - F.col("__amt_b")).alias("amount_abs_diff"),
         F.datediff("__ex_b", "__ex_a").alias("ex_date_abs_shift_days"),
         F.abs(F.datediff("__pay_b", "__pay_a")).alias("pay_date_abs_shift_days"),
         "rows_a",
         "rows_b",
         n_pairs.alias("n_pairs"),
+        "cell_a",
+        "cell_b",
     )
 
 
+def pair_members(rows: DataFrame, cells: DataFrame | None = None, tagged_only: bool = True) -> DataFrame:
+    """Rows of every cell: cell, row_idx and what tells the rows of a cell apart. With ``cells``, only those it pairs."""
+    base = _complete(rows, tagged_only).withColumn("cell", _cell_id())
+    members = base.select("cell", "row_idx", "case_tag", "vendor_event_id", "ex_date", "pay_date", "amount", *CELL, "__ccy", "economic_event_id")
+    if cells is not None:
+        paired = cells.select(F.explode(F.array("cell_a", "cell_b")).alias("cell")).distinct()
+        members = members.join(paired, "cell", "left_semi")
+    return members
+
+
+def row_pairs(cells: DataFrame, members: DataFrame) -> DataFrame:
+    """The row pairs of the given cell pairs: as many as rows meet, so for those that are looked at one by one.
+
+    The first row is the one of the earlier ex date, then pay date, amount and input order.
+    """
+    a, b = _side(members, "a").drop("underlying"), _side(members, "b").drop("underlying")
+    met = cells.select("underlying", "cell_a", "cell_b").join(a, "cell_a").join(b, "cell_b")
+    met = met.where((F.col("cell_a") != F.col("cell_b")) | (F.col("row_idx_a") < F.col("row_idx_b")))
+    # Cells that differ only in currency or event are not ordered by what orders rows.
+    turned = (F.col("__ex_a") == F.col("__ex_b")) & (_place("b") < _place("a"))
+    names = [c.removesuffix("_a") for c in met.columns if c.endswith("_a") and c != "cell_a"]
+    sides = [F.when(turned, F.col(f"{c}_{o}")).otherwise(F.col(f"{c}_{s}")).alias(f"{c}_{s}") for c in names for s, o in ("ab", "ba")]
+    return _describe(met.select("underlying", *sides))
+
+
 def pair_queue(rows: DataFrame, policy: PairPolicy | None = None, tagged_only: bool = True) -> DataFrame:
-    """All pairs within the ex, pay and amount limits; nothing is capped.
+    """All row pairs within the ex, pay and amount limits; nothing is capped.
 
-    Rows are first reduced to distinct (underlying, ex, pay, amount) cells, so copies meet once. Cells
-    meet on underlying, pay band and amount band, which holds for a hot underlying too. Rows are looked
-    up only for cell pairs that pass, so the work follows the size of the answer.
+    Cells meet first, on underlying, pay band and amount band, which holds for a hot underlying too. Their rows are
+    paired last, so this is as large as the copies make it: stages keep cells and membership instead.
     """
-    p = policy or PairPolicy()
-    base = _complete(rows, tagged_only)
-    cell_pairs = _cell_pairs(base, p)
-    a, b = _side(base, "a"), _side(base, "b")
-    joined = cell_pairs.join(a, ["underlying", "__ex_a", "__pay_a", "__amt_a"]).join(
-        b, ["underlying", "__ex_b", "__pay_b", "__amt_b"]
-    )
-    if p.ex_shift_days_ge <= 0:
-        joined = joined.where((F.col("__ex_a") < F.col("__ex_b")) | (_place("a") < _place("b")))
-    if p.require_same_ccy:
-        joined = joined.where(F.col("__ccy_a") == F.col("__ccy_b"))
-    return _describe(joined)
+    cells = pair_cells(rows, policy, tagged_only)
+    return row_pairs(cells, pair_members(rows, tagged_only=tagged_only))
 
 
 def queue_order(pairs: DataFrame) -> DataFrame:
@@ -176,6 +201,10 @@ def queue_order(pairs: DataFrame) -> DataFrame:
     )
 
 
+def cell_order(cells: DataFrame) -> DataFrame:
+    return cells.orderBy("underlying", F.desc("ex_date_abs_shift_days"), "amount_abs_diff", "cell_a", "cell_b")
+
+
 def filter_pairs(pairs: DataFrame, policy: PairPolicy | None = None) -> DataFrame:
     """The same limits on a pair table that exists already; an unknown pay shift fails."""
     p = policy or PairPolicy()
@@ -262,11 +291,14 @@ def pair_events(events: DataFrame, pairs: DataFrame) -> DataFrame:
 
 __all__ = [
     "PairPolicy",
+    "cell_order",
     "filter_pairs",
     "first_pairs",
     "pair_cells",
     "pair_events",
+    "pair_members",
     "pair_queue",
     "pair_rows",
     "queue_order",
+    "row_pairs",
 ]

@@ -38,6 +38,7 @@ class Stage2Tables:
     cases: DataFrame | None = None
     pairs: DataFrame | None = None
     pair_queue: DataFrame | None = None
+    pair_members: DataFrame | None = None
     pair_events: DataFrame | None = None
 
 
@@ -82,15 +83,21 @@ def stage2(
 def _with_pair_queue(
     rows: DataFrame, tables: Stage2Tables, decisions: DataFrame | None, options: Stage2Options
 ) -> Stage2Tables:
-    queue = pr.pair_queue(tables.rows, options.pairs)
+    """The queue is a table of cell pairs with one of their rows; rows are paired by whoever reviews a cell pair."""
+    graded, queue = tables.rows, tables.pairs
     if decisions is not None:
         if options.suppress_reviewed:
             queue = dc.suppress_reviewed(queue, decisions)
         if not decisions.where(F.col("decision") == "MERGE").isEmpty():
             tables = outputs(dc.apply_merges(rows, dc.merge_map(decisions)), options)
-    # Written once: the queue is an artefact of its own and names the events of another.
+    # Written once: the queue is an artefact of its own, and names the events and the rows of two others.
     queue = cut_lineage(queue)
-    return replace(tables, pair_queue=pr.queue_order(queue), pair_events=pr.pair_events(tables.events, queue))
+    return replace(
+        tables,
+        pair_queue=pr.cell_order(queue),
+        pair_members=pr.pair_members(graded, queue).select("cell", "row_idx", "case_tag", "vendor_event_id"),
+        pair_events=pr.pair_events(tables.events, queue),
+    )
 
 
 def write(tables: Stage2Tables, root: str, no_events: DataFrame | None = None) -> None:
@@ -106,7 +113,7 @@ def write(tables: Stage2Tables, root: str, no_events: DataFrame | None = None) -
         for name, df in region_split(no_events).items():
             if name != "non_brazil":
                 write_table(df, f"{base}/no_events_{name}")
-    for name in ("cases", "pairs", "pair_queue", "pair_events"):
+    for name in ("cases", "pairs", "pair_queue", "pair_members", "pair_events"):
         df = getattr(tables, name)
         if df is not None:
             write_table(df, f"{base}/{name}")

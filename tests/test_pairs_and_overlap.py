@@ -131,3 +131,43 @@ def test_sample_prefers_single_pattern_rows(table):
     assert out and max(r.sample_no for r in out) <= 4
     pure = ov.stratified_sample(flagged, seed=3, k=4, pure_only=True).collect()
     assert all(sum(r[f"flag_{p}"] for p in ov.PATTERNS) == 1 for r in pure)
+
+
+@pytest.mark.parametrize("ex_ge", [0, 1])
+def test_cells_and_members_hold_every_row_pair_once(table, ex_ge):
+    rows = [r | {"economic_event_id": f"e{r['row_idx'] % 2}" if r["row_idx"] % 5 else None} for r in make_rows(120, 7)]
+    rows += [r | {"row_idx": 1000 + r["row_idx"]} for r in rows[:60]]
+    policy = pr.PairPolicy(ex_shift_days_ge=ex_ge, pay_shift_days_le=1, amount_abs_diff_le=0.02, max_ex_shift_window_days=20)
+    data = table(SCHEMA, rows)
+    cells = pr.pair_cells(data, policy)
+    members = pr.pair_members(data, cells)
+    got = [(r.row_idx_a, r.row_idx_b) for r in pr.row_pairs(cells, members).collect()]
+    want = {
+        (a["row_idx"], b["row_idx"])
+        for a, b in brute_pairs(rows, 20)
+        if days(a["ex_date"], b["ex_date"]) >= ex_ge
+        and a["pay_date"]
+        and b["pay_date"]
+        and abs(days(a["pay_date"], b["pay_date"])) <= 1
+        and a["amount"] is not None
+        and b["amount"] is not None
+        and abs(a["amount"] - b["amount"]) <= 0.02
+    }
+    assert len(got) == len(want) and set(got) == want
+    listed = cells.collect()
+    assert sum(r.n_pairs for r in listed) == len(want) > len(listed)
+    sizes = {}
+    for r in members.collect():
+        sizes[r.cell] = sizes.get(r.cell, 0) + 1
+    assert sizes == {c: n for r in listed for c, n in ((r.cell_a, r.rows_a), (r.cell_b, r.rows_b))}
+
+
+def test_copies_do_not_multiply_in_stage_two(table):
+    from eventloom.plans import stage2 as s2
+
+    one = {"case_tag": "O3A", "underlying": "U", "pay_date": "2025-03-01", "amount": 1.0, "div_ccy": "USD", "isin": "US0000000001", "source": "s", "status": ""}
+    rows = [one | {"row_idx": i, "ex_date": f"2025-02-0{1 + i % 2}", "economic_event_id": f"e{i % 2}", "vendor_event_id": f"v{i}"} for i in range(400)]
+    made = s2.stage2(table(SCHEMA, rows), options=s2.Stage2Options(respect_existing=True, pairs_enabled=True))
+    queue = made.pair_queue.collect()
+    assert len(queue) == 1 and queue[0].n_pairs == 200 * 200
+    assert made.pair_members.count() == 400 and made.pair_events.count() == 2
