@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from eventloom.functions import text as tx
 from eventloom.functions import values as vl
 from eventloom.operators.skew import CHUNK, OrderedScan, same_keys, split_by_heat
+from eventloom.session import cut_lineage
 
 GROUP = ["primary_ident", "action_type", "share_class", "div_ccy"]
 UNRANKED = 999_999
@@ -309,54 +310,144 @@ def links(days: Column, prev_kind: Column, prev_amount: Column, amount: Column,
     )
 
 
-def walk(df: DataFrame, scan: OrderedScan, policy: LinkPolicy) -> DataFrame:
-    """Add ``__new`` (row starts an event) and ``__seed`` (anchor and tie of the event's first row)."""
-    amount = F.col("__amount")
-    limit = min(policy.max_day_shift, policy.max_day_shift_when_amount_missing)
+def _gap(days: Column, policy: LinkPolicy) -> Column:
+    return days.isNull() | (days > min(policy.max_day_shift, policy.max_day_shift_when_amount_missing))
 
-    out = scan.last_seen(df, {"__prev_anchor": F.col("anchor_date")})
-    days = F.datediff("anchor_date", "__prev_anchor")
-    gap = days.isNull() | (days > limit)
 
-    # A non-zero amount always becomes the event's amount. A missing or zero amount does so only when
-    # it starts an event for sure, which a gap guarantees. Without a gap a missing amount changes
-    # nothing and a zero one ends a valued event (unless zero links are allowed).
-    setter = (
+def _setter(amount: Column, gap: Column) -> Column:
+    """The state a row leaves behind for sure, or null.
+
+    A non-zero amount always becomes the event's amount. A missing or zero amount does so only when it starts an event
+    for sure, which a gap guarantees. Without a gap a missing amount changes nothing and a zero one ends a valued event
+    (unless zero links are allowed).
+    """
+    return (
         F.when(amount != 0.0, F.struct(F.lit("V").alias("kind"), amount.alias("amount")))
         .when(amount.isNull() & gap, F.struct(F.lit("N").alias("kind"), F.lit(None).cast("double").alias("amount")))
         .when(gap, F.struct(F.lit("Z").alias("kind"), F.lit(0.0).alias("amount")))
     )
-    breaker = F.when(setter.isNotNull(), F.lit(0))
-    if not policy.allow_zero_amount_link:
-        breaker = breaker.when(amount == 0.0, F.lit(1))
-    out = scan.last_seen(out, {"__state": setter, "__broken": breaker})
 
-    kind = F.when((F.col("__broken") == 1) & (F.col("__state.kind") == "V"), "Z").otherwise(F.col("__state.kind"))
+
+def _breaker(setter: Column, amount: Column, policy: LinkPolicy) -> Column:
+    """1 where a row ends a valued event without a state of its own, 0 where it has one."""
+    mark = F.when(setter.isNotNull(), F.lit(0))
+    return mark if policy.allow_zero_amount_link else mark.when(amount == 0.0, F.lit(1))
+
+
+def _kind(state: Column, broken: Column) -> Column:
+    return F.when((broken == 1) & (state["kind"] == "V"), "Z").otherwise(state["kind"])
+
+
+def walk(df: DataFrame, scan: OrderedScan, policy: LinkPolicy) -> DataFrame:
+    """Add ``__new`` (row starts an event) and ``__seed`` (anchor and tie of the event's first row)."""
+    amount = F.col("__amount")
+    carried: dict[str, Column] | None = None
+    if scan.chunked:
+        chunks = carried_states(df, scan, policy)
+        names = ["__prev_anchor", "__state", "__broken", "__seed"]
+        df = scan.carry(df, chunks.withColumnsRenamed({n: f"__c{n}" for n in names}), [f"__c{n}" for n in names])
+        carried = {n: F.col(f"__c{n}") for n in names}
+
+    out = scan.last_seen(df, {"__prev_anchor": F.col("anchor_date")}, carried=carried)
+    days = F.datediff("anchor_date", "__prev_anchor")
+    setter = _setter(amount, _gap(days, policy))
+    out = scan.last_seen(out, {"__state": setter, "__broken": _breaker(setter, amount, policy)}, carried=carried)
+
+    kind = _kind(F.col("__state"), F.col("__broken"))
     is_new = F.col("__prev_anchor").isNull() | ~links(days, kind, F.col("__state.amount"), amount, policy)
     out = out.withColumn("__new", is_new)
 
     seed = F.when(F.col("__new"), F.struct(F.col("anchor_date").alias("anchor"), F.col("__tie").alias("tie")))
-    return scan.last_seen(out, {"__seed": seed}, inclusive=True).drop("__prev_anchor", "__state", "__broken")
+    out = scan.last_seen(out, {"__seed": seed}, inclusive=True, carried=carried)
+    return out.drop("__prev_anchor", "__state", "__broken", *[f"__c{n}" for n in carried if n != "__seed"] if carried else [])
+
+
+def carried_states(df: DataFrame, scan: OrderedScan, policy: LinkPolicy) -> DataFrame:
+    """What the walk carries into every chunk: previous anchor, state, break and seed; a row per chunk.
+
+    A chunk is summed up without knowing what comes before it, as a change of state, in one pass over narrow rows. What
+    it cannot know is small: its first row's distance, and how the rows before its first own state go on. Among those a
+    missing amount near its predecessor is never new, a zero one is new unless the state is a missing amount, and the
+    first non-zero one (``odd``) is compared with the state. The changes are then applied in order, chunk by chunk.
+    """
+    amount, place = F.col("__amount"), F.struct(*scan.order)
+    start = F.struct(F.col("anchor_date").alias("anchor"), F.col("__tie").alias("tie"))
+    rows = df.select(*scan.partition, *scan.order, "__amount")
+    w = scan.window()
+    rows = rows.withColumn("__days", F.datediff("anchor_date", F.lag("anchor_date").over(w)))
+    rows = rows.withColumn("__first", F.row_number().over(w) == 1)
+    gap = ~F.col("__first") & _gap(F.col("__days"), policy)
+    # The first row sets a state here only if it does so at any distance.
+    setter = _setter(amount, gap)
+    rows = rows.withColumns({"__set": setter, "__mark": _breaker(setter, amount, policy)})
+    frame = w.rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumns({f"__p{c}": F.last(c, ignorenulls=True).over(frame) for c in ("__set", "__mark")})
+    inner, known = ~F.col("__first"), F.col("__p__set").isNotNull()
+    zero = F.coalesce(amount == 0.0, F.lit(False))
+    plain = F.coalesce(amount != 0.0, F.lit(False))
+    linked = links(F.col("__days"), _kind(F.col("__p__set"), F.col("__p__mark")), F.col("__p__set.amount"), amount, policy)
+    sure = inner & F.when(known, ~linked).otherwise(gap & ~plain)
+    rows = rows.withColumn("__sure", sure)
+    last = lambda value, where: F.max_by(value, F.when(where, place))
+    odd = F.struct(start.alias("start"), F.col("__days").alias("days"), amount.alias("amount"))
+    chunks = cut_lineage(
+        rows.groupBy(*scan.partition).agg(
+            F.min_by(F.struct(start.alias("start"), amount.alias("amount")), place).alias("head"),
+            F.max_by("anchor_date", place).alias("tail_anchor"),
+            last(F.col("__set"), inner & F.col("__set").isNotNull()).alias("tail_set"),
+            last(F.col("__mark"), inner & F.col("__mark").isNotNull()).alias("tail_mark"),
+            last(start, F.col("__sure")).alias("sure_seed"),
+            last(start, inner & ~known & ~gap & zero).alias("zero_seed"),
+            F.max(F.when(inner & ~known & plain, odd)).alias("odd"),
+        )
+    )
+
+    made = scan.before(chunks, {"__prev_anchor": F.col("tail_anchor")})
+    head, head_days = F.col("head.amount"), F.datediff("head.start.anchor", "__prev_anchor")
+    made = made.withColumn("head_set", _setter(head, _gap(head_days, policy)))
+    made = made.withColumn("head_mark", _breaker(F.col("head_set"), head, policy))
+    states = {"__state": F.coalesce("tail_set", "head_set"), "__broken": F.coalesce("tail_mark", "head_mark")}
+    made = scan.before(made, states)
+
+    before = _kind(F.col("__state"), F.col("__broken"))
+    head_new = F.col("__prev_anchor").isNull() | ~links(head_days, before, F.col("__state.amount"), head, policy)
+    # After the first row: its state, or the carried one with its break.
+    state, broken = F.coalesce("head_set", "__state"), F.coalesce("head_mark", "__broken")
+    zero_new = F.lit(not policy.allow_zero_amount_link) & (_kind(state, broken) != "N")
+    odd_kind = _kind(state, F.when(F.col("zero_seed").isNotNull() & F.lit(not policy.allow_zero_amount_link), 1).otherwise(broken))
+    odd_new = ~links(F.col("odd.days"), odd_kind, state["amount"], F.col("odd.amount"), policy)
+    seed = F.coalesce(
+        F.col("sure_seed"),
+        F.when(odd_new, F.col("odd.start")),
+        F.when(zero_new, F.col("zero_seed")),
+        F.when(head_new, F.col("head.start")),
+    )
+    made = scan.before(made, {"__seed": seed})
+    # A row per chunk; written, so that the planner knows how small it is.
+    return cut_lineage(made.select(*scan.partition, "__prev_anchor", "__state", "__broken", "__seed"))
 
 
 def label_seeds(df: DataFrame, scan: OrderedScan) -> DataFrame:
     """Mark one row per event as its seed: the least fingerprint among rows at the event's start."""
     fingerprint = vl.digest(F.concat_ws("|", F.col("__source"), F.col("__source_key")), 16)
-    df = df.withColumn("__fp", fingerprint)
     at_start = (F.col("anchor_date") == F.col("__seed.anchor")) & (F.col("__tie") == F.col("__seed.tie"))
     if not scan.chunked:
         # The rows are already together by group, so this window needs a sort but no exchange.
+        df = df.withColumn("__fp", fingerprint)
         w = Window.partitionBy(*scan.keys, "anchor_date", "__tie", "__seed").orderBy("__fp", "row_idx")
         return df.withColumn("__is_seed", at_start & (F.row_number().over(w) == 1)).drop("__fp")
-    starts = (
-        df.where(at_start)
-        .groupBy(*scan.keys, "__seed")
-        .agg(F.min(F.struct("__fp", "row_idx"))["row_idx"].alias("__seed_idx"))
-    )
-    joined = df.join(starts, same_keys(df, starts, [*scan.keys, "__seed"]), "left").select(df["*"], starts["__seed_idx"])
-    return joined.withColumn("__is_seed", F.coalesce(F.col("row_idx") == F.col("__seed_idx"), F.lit(False))).drop(
-        "__fp", "__seed_idx"
-    )
+    df = df.withColumn("__fp", F.when(at_start, F.struct(fingerprint.alias("fp"), "row_idx")))
+    # Starts within a chunk are settled there. Those that an event carried into a chunk may share with it are compared
+    # over chunks: a seed for each chunk at most.
+    shared = df.select(*scan.keys, F.col("__c__seed").alias("__seed")).where(F.col("__seed").isNotNull()).distinct()
+    tops = df.where(F.col("__fp").isNotNull()).select(*scan.keys, "__seed", "__fp")
+    tops = tops.join(shared, same_keys(tops, shared, [*scan.keys, "__seed"]), "left_semi")
+    tops = cut_lineage(tops.groupBy(*scan.keys, "__seed").agg(F.min("__fp").alias("__top")))
+    local = F.min("__fp").over(Window.partitionBy(*scan.partition, "__seed"))
+    df = df.withColumn("__local", local)
+    joined = df.join(tops, same_keys(df, tops, [*scan.keys, "__seed"]), "left").select(df["*"], tops["__top"])
+    is_seed = F.col("__fp") == F.coalesce("__top", "__local")
+    return joined.withColumn("__is_seed", F.coalesce(is_seed, F.lit(False))).drop("__fp", "__local", "__top", "__c__seed")
 
 
 def assign_event_ids(

@@ -63,10 +63,14 @@ class OrderedScan:
     def window(self):
         return Window.partitionBy(*self.partition).orderBy(*self.order)
 
-    def last_seen(self, df: DataFrame, values: dict[str, Column], inclusive: bool = False) -> DataFrame:
+    def last_seen(
+        self, df: DataFrame, values: dict[str, Column], inclusive: bool = False, carried: dict[str, Column] | None = None
+    ) -> DataFrame:
         """Add the latest non-null value of each expression at or before the row.
 
-        With ``inclusive`` unset the row itself does not count.
+        With ``inclusive`` unset the row itself does not count. ``carried`` holds what earlier chunks leave behind, for
+        scans whose state over chunks is known already (see ``carry``); otherwise a chunked scan finds it itself, with
+        a pass over the rows and a written table for each call.
         """
         marked = df.withColumns({f"__v_{name}": value for name, value in values.items()})
         frame = self.window().rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
@@ -74,6 +78,8 @@ class OrderedScan:
             {name: F.last(F.col(f"__v_{name}"), ignorenulls=True).over(frame) for name in values}
         )
         helpers = [f"__v_{name}" for name in values]
+        if carried is not None:
+            return local.withColumns({name: F.coalesce(F.col(name), carried[name]) for name in values}).drop(*helpers)
         if not self.chunked:
             return local.drop(*helpers)
 
@@ -96,6 +102,16 @@ class OrderedScan:
         # Later scans read this result twice; cutting here keeps the work linear in the number of scans.
         return cut_lineage(out.drop(*helpers, *[f"__c_{name}" for name in values]))
 
+    def before(self, chunks: DataFrame, values: dict[str, Column]) -> DataFrame:
+        """Of a table with a row per chunk: the latest non-null value of each expression in the chunks before."""
+        across = Window.partitionBy(*self.keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        return chunks.withColumns({name: F.last(value, ignorenulls=True).over(across) for name, value in values.items()})
+
+    def carry(self, df: DataFrame, chunks: DataFrame, names: list[str]) -> DataFrame:
+        """Rows with the columns ``names`` of their chunk."""
+        cond = same_keys(df, chunks, self.partition)
+        return df.join(chunks, cond, "left").select(df["*"], *[chunks[name] for name in names])
+
     def running_sum(self, df: DataFrame, name: str, value: Column) -> DataFrame:
         """Add the sum of ``value`` over the rows up to and including this one."""
         marked = df.withColumn("__v", value)

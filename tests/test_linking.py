@@ -199,3 +199,32 @@ def test_row_order_of_the_input_does_not_matter(table):
     a = {r.row_idx: r.economic_event_id for r in assign_event_ids(table(SCHEMA, rows)).collect()}
     b = {r.row_idx: r.economic_event_id for r in assign_event_ids(table(SCHEMA, shuffled).repartition(4)).collect()}
     assert a == b
+
+
+@pytest.mark.parametrize("limits", [{}, {"max_day_shift": 3, "max_day_shift_when_amount_missing": 6}, {"allow_zero_amount_link": True}])
+def test_chunks_of_a_few_rows_carry_every_state(spark, table, limits):
+    """Days, ties and amounts repeat, and most rows leave the state open, so that it is carried over many chunks."""
+    rnd = random.Random(11)
+    rows = [
+        BASE
+        | {
+            "row_idx": i,
+            "isin": f"US00000000{10 + i % 3}",
+            "ex_date": (dt.date(2025, 1, 1) + dt.timedelta(days=rnd.randint(0, 40) * rnd.randint(1, 3))).isoformat(),
+            "source_event_key": f"k{rnd.randint(0, 2)}",
+            "source": f"s{rnd.randint(0, 3)}",
+            "amount": rnd.choice([None, None, None, 0.0, 0.0, 1.0, 1.5]),
+        }
+        for i in range(400)
+    ]
+    policy = LinkPolicy(**limits)
+    shown = ("row_idx", "economic_event_key", "event_link_reason")
+    plain = {tuple(r) for r in assign_event_ids(table(SCHEMA, rows), policy).select(*shown).collect()}
+    for hot_rows in ("3", "17"):
+        spark.conf.set("eventloom.hotRows", hot_rows)
+        try:
+            got = assign_event_ids(table(SCHEMA, rows).repartition(3), policy)
+        finally:
+            spark.conf.unset("eventloom.hotRows")
+        assert {tuple(r) for r in got.select(*shown).collect()} == plain
+    assert len({r[1] for r in plain}) > 20
