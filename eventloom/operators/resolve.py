@@ -7,7 +7,7 @@ security (a handful of entries) while rules look at them together.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventloom.functions import text as tx
@@ -100,28 +100,52 @@ def default_rules(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in RULE_COLUMNS))
 
 
-# ``contains`` rules are tried on every distinct exchange name; a rule file is a hand-kept configuration of this size at most.
-MAX_CONTAINS_RULES = 5000
+# Letters of the pieces by which ``contains`` rules are looked up.
+GRAM = 3
+
+
+def _grams(text: Column, size: int) -> Column:
+    """Distinct pieces of ``size`` letters; none of a shorter text."""
+    starts = F.sequence(F.lit(1), F.greatest(F.length(text) - size + 1, F.lit(1)))
+    return F.when(F.length(text) >= size, F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, size)))).otherwise(
+        F.array().cast("array<string>")
+    )
+
+
+def _contains_matches(names: DataFrame, rules: DataFrame) -> DataFrame:
+    """(name, the first ``contains`` rule it holds) by an inverted index over the rules' texts.
+
+    A rule is filed under that piece of its text which the fewest rules share, so a piece that many have in common leads
+    to few of them; a text shorter than a piece is filed under itself. Names look all their pieces up and are verified.
+    """
+    answer = F.struct("canonical_exchange", "suffixes")
+    parts = rules.where(F.col("match_type") == "CONTAINS").groupBy(F.col("match_value").alias("__part"))
+    parts = parts.agg(F.min("priority").alias("__rank"), F.min_by(answer, F.struct("priority", "canonical_exchange")).alias("__fuzzy"))
+    part = F.col("__part")
+    filed = F.when(F.length(part) >= GRAM, _grams(part, GRAM)).otherwise(F.array(part))
+    index = parts.withColumn("__gram", F.explode(filed))
+    index = index.withColumn("__shared", F.count(F.lit(1)).over(Window.partitionBy("__gram")))
+    index = index.groupBy("__part").agg(
+        F.min_by("__gram", F.struct("__shared", "__gram")).alias("__gram"), F.first("__rank").alias("__rank"), F.first("__fuzzy").alias("__fuzzy")
+    )
+    name = F.col("__name")
+    pieces = F.concat(F.array(F.lit("")), *[_grams(name, size) for size in range(1, GRAM + 1)])
+    met = names.withColumn("__gram", F.explode(pieces)).join(index, "__gram").where(F.contains(name, part))
+    return met.groupBy("__name").agg(F.min_by("__fuzzy", F.struct("__rank", "__part")).alias("__fuzzy"))
 
 
 def match_exchange(df: DataFrame, rules: DataFrame, exchange: str = "exchange") -> DataFrame:
     """Add ``rule_exchange`` and ``rule_suffixes``: the exact rule, else the first ``contains`` rule by priority.
 
-    Names are matched once per distinct exchange: exact rules by equality, the others by trying them all, for which their
-    number is checked. Of several rules for one text the one of least priority counts, then the least exchange.
+    Names are matched once per distinct exchange, by equality and by pieces of their texts: the work follows the rules a
+    name can hold and not the number of rules. Of several rules for one text the one of least priority counts, then the
+    least exchange.
     """
     keyed = df.withColumn("__name", exchange_name(column_or(df, exchange)))
     names = keyed.select("__name").where(F.col("__name") != "").distinct()
-    answer = F.struct("canonical_exchange", "suffixes")
-    first = lambda *place: F.min_by(answer, F.struct(*place))
     exact = rules.where(F.col("match_type") == "EXACT").groupBy(F.col("match_value").alias("__name"))
-    exact = exact.agg(first("priority", "canonical_exchange").alias("__exact"))
-    fuzzy = rules.where(F.col("match_type") == "CONTAINS").groupBy(F.col("match_value").alias("__part"))
-    fuzzy = fuzzy.agg(F.min("priority").alias("__rank"), first("priority", "canonical_exchange").alias("__fuzzy"))
-    if fuzzy.limit(MAX_CONTAINS_RULES + 1).count() > MAX_CONTAINS_RULES:
-        raise ValueError(f"more than {MAX_CONTAINS_RULES} contains rules")
-    found = names.join(F.broadcast(fuzzy), F.contains(names["__name"], fuzzy["__part"]), "left")
-    found = found.groupBy("__name").agg(F.min_by("__fuzzy", F.struct("__rank", "__part")).alias("__fuzzy"))
+    exact = exact.agg(F.min_by(F.struct("canonical_exchange", "suffixes"), F.struct("priority", "canonical_exchange")).alias("__exact"))
+    found = names.join(_contains_matches(names, rules), "__name", "left")
     best = F.coalesce(F.col("__exact"), F.col("__fuzzy"))
     found = found.join(exact, "__name", "left").select(
         "__name", best["canonical_exchange"].alias("rule_exchange"), best["suffixes"].alias("rule_suffixes")

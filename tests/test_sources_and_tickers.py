@@ -404,3 +404,24 @@ def test_a_ticker_probed_twice_is_one_candidate(spark):
     existing = spark.createDataFrame([("A.X", True), ("A.X", False), ("A.X", True)], "ticker string, exists boolean")
     got = rs.candidate_lists(candidates, existing).first().candidates
     assert len(got) == 1 and got[0].exists
+
+
+def test_contains_rules_are_looked_up_by_pieces(table):
+    from eventloom.operators.resolve import RULE_COLUMNS, exchange_rules, match_exchange
+
+    # The numbers have one length each, so that no rule's text holds another's.
+    parts = [f"STOCK EXCHANGE OF TOWN {i:06d}" for i in range(100_000)] + ["AB", "Z", "QUAY"]
+    rules = [
+        {"match_type": "CONTAINS", "match_value": p, "canonical_exchange": f"X{i}", "suffixes": "", "priority": str(i % 7), "is_active": "1"}
+        for i, p in enumerate(parts)
+    ]
+    rules.append({"match_type": "EXACT", "match_value": "QUAY ROAD", "canonical_exchange": "EXACT", "suffixes": "", "priority": "9", "is_active": "1"})
+    names = [(f"THE STOCK EXCHANGE OF TOWN {i:06d} HALL", f"X{i}") for i in range(0, 100_000, 1999)]
+    names += [("QUAY ROAD", "EXACT"), ("OLD QUAY", "X100002"), ("CAB", "X100000"), ("AB Z", "X100001" if 100_001 % 7 < 100_000 % 7 else "X100000")]
+    names += [("TOWN 123", ""), ("", ""), (None, ""), ("ST", "")]
+    made = match_exchange(
+        table("exchange string", [{"exchange": n} for n, _ in names]),
+        exchange_rules(table(", ".join(f"{c} string" for c in RULE_COLUMNS), rules), check=False),
+    )
+    assert sorted((r.exchange or "", r.rule_exchange) for r in made.collect()) == sorted((n or "", x) for n, x in names)
+    assert "NestedLoop" not in made._jdf.queryExecution().toString()
