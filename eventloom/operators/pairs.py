@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from eventloom.functions import text as tx
 from eventloom.functions import values as vl
 from eventloom.operators.severity import require_columns
+from eventloom.session import cut_lineage
 
 PAIR_INPUT = [
     "case_tag",
@@ -244,16 +245,29 @@ def first_pairs(
     earlier = Window.partitionBy("underlying").orderBy("__ex").rowsBetween(Window.unboundedPreceding, -1)
     days = per_day.join(totals, "underlying")
     days = days.withColumn("before", F.coalesce(F.sum("pairs").over(earlier), F.lit(0.0)))
-    starts = days.where((F.col("before") < F.col("quota")) & (F.col("pairs") > 0))
-    reach = starts.groupBy("underlying").agg(F.min("__ex").alias("lo"), F.date_add(F.max("__ex"), window_days).alias("hi"))
-
-    near = df.join(reach, "underlying").where(F.col("__ex").between(F.col("lo"), F.col("hi"))).drop("lo", "hi")
+    days = days.withColumn("starts", (F.col("before") < F.col("quota")) & (F.col("pairs") > 0))
+    whole = Window.partitionBy("underlying")
+    first_day = F.min(F.when(F.col("starts"), F.col("__ex"))).over(whole)
+    last_day = F.date_add(F.max(F.when(F.col("starts"), F.col("__ex"))).over(whole), window_days)
+    # No row beyond these of a day can be in the report, and a day's rows come after those of the days before.
+    most = 2 * max_pairs + 1
+    days = days.withColumn("reached", F.col("__ex").between(first_day, last_day)).where("reached").drop("reached")
+    days = days.withColumn("offset", F.coalesce(F.sum(F.least("n", F.lit(most))).over(earlier), F.lit(0)))
+    days = days.withColumn("parts", F.greatest(F.ceil(F.sqrt(F.col("n") / most)), F.lit(1)))
+    # As large as the report, not the rows; written, so that the planner knows.
+    days = cut_lineage(days)
+    starts = days.where("starts").drop("starts", "offset", "parts")
+
+    # The first rows of a day are those of its parts, so no task ranks a whole hot day, let alone an underlying.
+    near = df.join(days.select("underlying", "__ex", "offset", "parts"), ["underlying", "__ex"])
+    near = near.withColumn("part", F.pmod(F.xxhash64("row_idx"), F.col("parts")))
     place = [F.col("__pay").asc_nulls_last(), F.col("__amt").asc_nulls_last(), F.col("row_idx")]
-    in_day = Window.partitionBy("underlying", "__ex").orderBy(*place)
-    near = near.withColumn("r", F.row_number().over(in_day)).where(F.col("r") <= 2 * max_pairs + 1)
-    near = near.withColumn("pos", F.row_number().over(Window.partitionBy("underlying").orderBy("__ex", "r")))
+    for cut in (["underlying", "__ex", "part"], ["underlying", "__ex"]):
+        near = near.withColumn("r", F.row_number().over(Window.partitionBy(*cut).orderBy(*place))).where(F.col("r") <= most)
+    near = near.withColumn("pos", F.col("offset") + F.col("r")).drop("offset", "parts", "part")
 
     r = F.col("r").cast("double")
+    n, later = F.col("n").cast("double"), F.col("later").cast("double")
     first = near.join(starts, ["underlying", "__ex"])
     first = first.withColumns(
         {

@@ -171,3 +171,10 @@ def test_copies_do_not_multiply_in_stage_two(table):
     queue = made.pair_queue.collect()
     assert len(queue) == 1 and queue[0].n_pairs == 200 * 200
     assert made.pair_members.count() == 400 and made.pair_events.count() == 2
+
+
+def test_a_hot_day_is_ranked_in_parts(table):
+    rows = [r | {"underlying": "HOT", "ex_date": "2025-01-05" if r["row_idx"] % 4 else "2025-01-07"} for r in make_rows(700, 5)]
+    made = pr.first_pairs(table(SCHEMA, rows), 40, 10)
+    got = [(r.row_idx_a, r.row_idx_b) for r in made.collect()]
+    assert sorted(got) == sorted((a["row_idx"], b["row_idx"]) for a, b in brute_pairs(rows, 10)[:40])
