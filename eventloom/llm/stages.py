@@ -36,7 +36,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that are likelier toxic than not by their nearest labelled examples."""
     index = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    sent = spark.sparkContext.broadcast(vars(index))
+    sent = spark.sparkContext.broadcast(index.fields())
 
     def judge():
         scorer = toxicity.Scorer(toxicity.Index(**sent.value))

@@ -1,10 +1,13 @@
-"""Toxicity by the nearest labelled examples: exact TF-IDF cosine over posting lists of all their terms.
+"""Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index of all their terms.
 
 Examples are a bounded sample of labelled documents, as many of each label as there are, up to a limit. Every term
 of an example is indexed; how many of all documents hold it is counted over the whole corpus, and it weighs the more
-the better it tells the labels apart. A text's neighbours are found exactly: the posting lists of its terms are summed
-for all examples. Votes are weighted by closeness and by the share of the label that an example stands for, then
-mapped to probabilities by isotonic regression on the examples' own left-out votes.
+the better it tells the labels apart. Posting lists are cut into blocks of examples with the largest weight of a term
+in each. A text's neighbours are found exactly: the maxima bound what any example of a block can reach, blocks are
+read from the highest bound down, and those that cannot reach the last neighbour so far are skipped; lists of few
+examples have no blocks and are read whole. Votes are weighted
+by closeness and by the share of the label that an example stands for, then mapped to probabilities by isotonic
+regression on the examples' votes, each with term weights and neighbours that have not seen its label.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +29,12 @@ from eventloom.llm.common import arrow_schema, crc_bucket, map_in_arrow, schema_
 # Labelled examples taken of either label at most.
 EXAMPLES_PER_LABEL = 1500
 NEIGHBOURS = 15
+# Examples of a block. Examples are ordered by their heaviest term, so that a block's maxima are those of few terms.
+BLOCK = 64
+# Lists of no more examples are read whole, without bounds.
+SHORT = 256
+# Parts of the examples for calibration: a part's votes use term weights learned from the others.
+FOLDS = 5
 # Evidence is twice the log likelihood ratio of a term's label shares. A term with this much (chance below 1e-6) has
 # about half of its full weight; one without any has a 25th, never nothing.
 EVIDENCE = 24.0
@@ -68,24 +77,36 @@ def evidence(examples: list[tuple[list[bytes], int]]) -> dict[bytes, float]:
 
 @dataclass
 class Index:
-    """Example vectors as posting lists: those of term ``t`` are at ``starts[t]`` to ``starts[t + 1]``.
+    """Example vectors as posting lists in blocks.
 
-    ``rows`` numbers all terms, ``term_ids`` those among them with ``EVIDENCE`` or more; ``weight`` is a term's IDF
-    times its share of the full weight.
+    ``rows`` numbers the terms; ``weight`` is a term's IDF times its share of the full weight. The blocks of term ``t``
+    are the entries ``starts[t]`` to ``starts[t + 1]``; an entry is a block of examples, the largest value of the term
+    in it, and the place of its postings, which end where the next entry's begin. The whole list of a term is from
+    ``lists[t]`` to ``ends[t]``.
     """
 
     rows: dict[bytes, int]
-    term_ids: dict[bytes, int]
     weight: np.ndarray
     ids: np.ndarray
     labels: np.ndarray
     worth: np.ndarray
+    prior: float
     starts: np.ndarray
+    blocks: np.ndarray
+    tops: np.ndarray
+    firsts: np.ndarray
     places: np.ndarray
     values: np.ndarray
-    prior: float
     steps: tuple[np.ndarray, np.ndarray]
 
+    def __post_init__(self) -> None:
+        self.lists = self.firsts[self.starts[:-1]] if len(self.firsts) else self.starts[:-1]
+        self.ends = self.firsts[self.starts[1:]] if len(self.firsts) else self.starts[1:]
+
+    def fields(self) -> dict:
+        """What an index is made of, to send it."""
+        return {f.name: getattr(self, f.name) for f in fields(self)}
+
     def vector(self, terms: list[bytes]) -> tuple[tuple[int, float], ...]:
         """Unit TF-IDF vector over the indexed terms, empty without any."""
         known = self.rows
@@ -99,24 +120,54 @@ class Index:
         at, raw = at[order], raw[order]
         return tuple(zip(at.tolist(), (raw / math.sqrt(raw @ raw)).tolist(), strict=True))
 
-    def nearest(self, vector: tuple[tuple[int, float], ...], k: int, leave_out: int = -1) -> list[tuple[float, int]]:
-        """The k examples of highest cosine above 0, nearest first, equal ones by place in the index."""
+    def nearest(
+        self, vector: tuple[tuple[int, float], ...], k: int, leave_out: int = -1, read: list[int] | None = None
+    ) -> list[tuple[float, int]]:
+        """The k examples of highest cosine above 0, nearest first, equal ones by place in the index.
+
+        ``read`` gets the numbers of the blocks whose postings were read, for whoever wants to see what was skipped.
+        """
         n = len(self.ids)
         if not vector or not n:
             return []
-        terms, weights = zip(*vector, strict=True)
-        terms = np.array(terms)
-        starts = self.starts[terms]
-        sizes = self.starts[terms + 1] - starts
-        # Places of all postings, as running sums: 1 within a list, a jump to the start of the next one.
-        steps = np.ones(sizes.sum(), np.intp)
-        steps[0] = starts[0]
-        steps[np.cumsum(sizes[:-1])] = starts[1:] - (starts[:-1] + sizes[:-1]) + 1
-        at = np.cumsum(steps)
-        scores = np.bincount(self.places[at], np.repeat(weights, sizes) * self.values[at], n)
-        if leave_out >= 0:
-            scores[leave_out] = 0
-        least = np.partition(scores, n - k)[n - k] if n > k else 0.0
+        terms, weights = (np.array(x) for x in zip(*vector, strict=True))
+        # Short lists are read whole: what they give every example is exact.
+        sizes = self.ends[terms] - self.lists[terms]
+        short = sizes <= SHORT
+        at = _runs(self.lists[terms[short]], sizes[short])
+        scores = np.bincount(self.places[at], np.repeat(weights[short], sizes[short]) * self.values[at], n)
+        terms, weights = terms[~short], weights[~short]
+        sizes = self.starts[terms + 1] - self.starts[terms]
+        entries = _runs(self.starts[terms], sizes)
+        weights = np.repeat(weights, sizes)
+        block = self.blocks[entries]
+        bounds = np.bincount(block, weights * self.tops[entries], -(-n // BLOCK))
+        bounds = bounds + np.maximum.reduceat(scores, np.arange(0, n, BLOCK))
+        order = np.argsort(-bounds, kind="stable")
+        exact = np.zeros(n)
+        least, done, lot = 0.0, 0, max(2, -(-2 * k // BLOCK))
+        while done < len(order):
+            now = order[done : done + lot]
+            # Sums differ in their last bits, so a block that might tie is read.
+            now = now[(bounds[now] > 0) & (bounds[now] >= least - 1e-9)]
+            if not len(now):
+                break
+            wanted = np.zeros(len(bounds), bool)
+            wanted[now] = True
+            mine = wanted[block]
+            some = entries[mine]
+            counts = self.firsts[some + 1] - self.firsts[some]
+            at = _runs(self.firsts[some], counts)
+            more = np.bincount(self.places[at], np.repeat(weights[mine], counts) * self.values[at], n)
+            inside = np.repeat(wanted, BLOCK)[:n]
+            exact[inside] = scores[inside] + more[inside]
+            if read is not None:
+                read += now.tolist()
+            if leave_out >= 0:
+                exact[leave_out] = 0
+            least = np.partition(exact, n - k)[n - k] if n > k else 0.0
+            done, lot = done + lot, 2 * lot
+        scores = exact
         found = np.flatnonzero((scores >= least) & (scores > 0))
         found = found[np.argsort(-scores[found], kind="stable")][:k]
         return list(zip(scores[found].tolist(), found.tolist(), strict=True))
@@ -135,6 +186,18 @@ class Index:
         return float(np.interp(self.vote(found), at, values)) if len(at) else self.prior
 
 
+def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all runs, one after the other: ``starts[i]`` and those after it, ``sizes[i]`` in all."""
+    some = sizes > 0
+    starts, sizes = starts[some], sizes[some]
+    if not len(starts):
+        return np.array([], np.intp)
+    steps = np.ones(sizes.sum(), np.intp)
+    steps[0] = starts[0]
+    steps[np.cumsum(sizes[:-1])] = starts[1:] - (starts[:-1] + sizes[:-1]) + 1
+    return np.cumsum(steps)
+
+
 def _isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Weighted isotonic regression of y on x, as steps (mean x, mean y) of rising value."""
     order = np.argsort(x, kind="stable")
@@ -154,39 +217,64 @@ def _isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray,
     return np.array([b[0] / b[2] for b in blocks]), np.array([b[1] / b[2] for b in blocks])
 
 
+def term_weights(examples: list[tuple[int, list[bytes], int]], terms: list[bytes], doc_counts: dict[bytes, int], n_docs: int) -> np.ndarray:
+    """IDF of every term times the share of its full weight that the examples' labels give it."""
+    told = evidence([(own, label) for _, own, label in examples])
+    idf = np.array([math.log((1 + n_docs) / (1 + doc_counts[t])) + 1 for t in terms])
+    strength = np.array([1 + told.get(t, 0.0) for t in terms])
+    return idf * strength / (strength + EVIDENCE)
+
+
+def _posted(rows: dict, weight: np.ndarray, examples: list, worth: dict[int, float], prior: float) -> tuple[Index, list]:
+    """Index of the examples without calibration, and their vectors in its order."""
+    nothing = np.array([], np.intp)
+    bare = Index(rows, weight, nothing, nothing, nothing, prior, nothing, nothing, nothing, nothing, nothing, nothing, (nothing, nothing))
+    made = [(bare.vector(own), doc, label) for doc, own, label in examples]
+    made.sort(key=lambda e: (max(((w, -t) for t, w in e[0]), default=(0.0, 1))[1], e[1]))
+    vectors = [v for v, _, _ in made]
+    terms = np.array([t for v in vectors for t, _ in v], np.intp)
+    places = np.repeat(np.arange(len(vectors)), [len(v) for v in vectors]) if vectors else nothing
+    values = np.array([w for v in vectors for _, w in v], float)
+    order = np.argsort(terms, kind="stable")
+    terms, places, values = terms[order], places[order], values[order]
+    entry = terms * (len(vectors) // BLOCK + 1) + places // BLOCK
+    firsts = np.flatnonzero(np.concatenate([[True], entry[1:] != entry[:-1]])) if len(entry) else nothing
+    labels = np.array([label for _, _, label in made], np.int8)
+    index = Index(
+        rows, weight, np.array([doc for _, doc, _ in made], np.int64), labels, np.array([worth[int(label)] for label in labels]), prior,
+        np.searchsorted(terms[firsts], np.arange(len(rows) + 1)), places[firsts] // BLOCK,
+        np.maximum.reduceat(values, firsts) if len(firsts) else np.array([]), np.append(firsts, len(terms)), places, values,
+        (np.array([]), np.array([])),
+    )
+    return index, vectors
+
+
 def build_index(
     examples: list[tuple[int, list[bytes], int]], totals: dict[int, int], doc_counts: dict[bytes, int], n_docs: int
 ) -> Index:
     """Index (doc_id, terms, label) examples; ``totals`` are all labelled rows by label, which examples stand for."""
     terms = sorted(doc_counts)
     rows = {t: i for i, t in enumerate(terms)}
-    told = evidence([(own, label) for _, own, label in examples])
-    term_ids = {t: i for t, i in rows.items() if told.get(t, 0.0) >= EVIDENCE}
-    idf = np.array([math.log((1 + n_docs) / (1 + doc_counts[t])) + 1 for t in terms])
-    strength = np.array([1 + told.get(t, 0.0) for t in terms])
-    weight = idf * strength / (strength + EVIDENCE)
-    examples = sorted(examples, key=lambda e: e[0])
-    labels = np.array([label for _, _, label in examples], np.int8)
-    taken = Counter(labels.tolist())
+    taken = Counter(label for _, _, label in examples)
     every = totals.get(0, 0) + totals.get(1, 0)
     prior = totals.get(1, 0) / every if every else 0.0
     share = {label: totals.get(label, 0) / n for label, n in taken.items()}
-    largest = max(share.values(), default=1.0)
-    worth = np.array([share[int(label)] / largest for label in labels])
-    nothing = np.array([], np.intp)
-    index = Index(
-        rows, term_ids, weight, np.array([e[0] for e in examples]), labels, worth,
-        nothing, nothing, np.array([]), prior, (np.array([]), np.array([])),
-    )
-    vectors = [index.vector(own) for _, own, _ in examples]
-    held = np.array([t for v in vectors for t, _ in v], np.intp)
-    order = np.argsort(held, kind="stable")
-    index.starts = np.searchsorted(held[order], np.arange(len(terms) + 1))
-    index.places = np.repeat(np.arange(len(vectors)), [len(v) for v in vectors])[order] if vectors else nothing
-    index.values = np.array([w for v in vectors for _, w in v])[order]
-    if len(examples):
-        votes = np.array([index.vote(index.nearest(v, NEIGHBOURS, leave_out=i)) for i, v in enumerate(vectors)])
-        index.steps = _isotonic(votes, labels.astype(float), worth)
+    worth = {label: own / max(share.values()) for label, own in share.items()}
+    index, _ = _posted(rows, term_weights(examples, terms, doc_counts, n_docs), examples, worth, prior)
+    votes, marks, weights = [], [], []
+    for fold in range(FOLDS):
+        held = {doc for doc, _, _ in examples if zlib.crc32(b"fold%d" % doc) % FOLDS == fold}
+        if not held:
+            continue
+        others = [e for e in examples if e[0] not in held]
+        blind, vectors = _posted(rows, term_weights(others, terms, doc_counts, n_docs), examples, worth, prior)
+        for place, vector in enumerate(vectors):
+            if int(blind.ids[place]) in held:
+                votes.append(blind.vote(blind.nearest(vector, NEIGHBOURS, leave_out=place)))
+                marks.append(float(blind.labels[place]))
+                weights.append(float(blind.worth[place]))
+    if votes:
+        index.steps = _isotonic(np.array(votes), np.array(marks), np.array(weights))
     return index
 
 
@@ -279,7 +367,7 @@ def score_documents(docs: DataFrame, index: Index, k: int = NEIGHBOURS) -> DataF
     examples. Repeated rows give a row each. Documents are not shuffled.
     """
     arrow = arrow_schema(SCORES)
-    sent = docs.sparkSession.sparkContext.broadcast(vars(index))
+    sent = docs.sparkSession.sparkContext.broadcast(index.fields())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(Index(**sent.value), k)

@@ -86,7 +86,8 @@ def test_toxicity_of_held_out_documents(spark, docs):
     labels = [(i, 1, int(i % 4 == 0)) for i in range(300)] + [(5, 1, 0), (7, 0, None), (None, 1, 1), (9999, 1, 1)]
     marks = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
     index = toxicity.fit(docs(rows), marks, per_label=60)
-    assert sorted(index.term_ids) == [b"bar", b"baz", b"foo"]
+    told = sorted(index.rows, key=lambda t: -index.weight[index.rows[t]])
+    assert sorted(told[:3]) == [b"bar", b"baz", b"foo"]
     got = toxicity.score_documents(docs(rows), index).collect()
     assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
     by_id = {r.doc_id: r for r in got}
@@ -105,13 +106,44 @@ def test_nearest_is_exact():
     for _ in range(40):
         vector = index.vector([terms[k] for k in rng.integers(0, 12, 5)])
         every = []
-        for place, (_, own, _) in enumerate(examples):
-            other = dict(index.vector(own))
+        by_doc = {doc: own for doc, own, _ in examples}
+        for place, doc in enumerate(index.ids.tolist()):
+            other = dict(index.vector(by_doc[doc]))
             every.append((round(sum(w * other.get(t, 0) for t, w in vector), 9), -place))
         want = [c for c, _ in sorted((e for e in every if e[0] > 0), reverse=True)[:7]]
         assert [round(c, 9) for c, _ in index.nearest(vector, 7)] == want
 
 
+def test_skipped_blocks_hold_no_neighbour(monkeypatch):
+    """Against a dense product of vectors made here from counts and weights alone."""
+    monkeypatch.setattr(toxicity, "SHORT", 8)
+    rng = np.random.default_rng(8)
+    terms = [f"t{i:03d}".encode() for i in range(300)]
+    groups = [rng.choice(300, 25, replace=False) for _ in range(20)]
+    texts = [[terms[k] for k in rng.choice(groups[i % 20], rng.integers(0, 30))] for i in range(1200)]
+    examples = [(5000 - i, own, int(i % 20 < 3)) for i, own in enumerate(texts)]
+    counts = {t: sum(t in own for own in texts) for t in terms}
+    index = toxicity.build_index(examples, {0: 3000, 1: 400}, counts, 1200)
+
+    def dense(own):
+        raw = np.array([(1 + np.log(own.count(t))) * index.weight[index.rows[t]] if t in own else 0.0 for t in terms])
+        return raw / max(np.sqrt(raw @ raw), 1e-300)
+
+    by_doc = {doc: own for doc, own, _ in examples}
+    matrix = np.array([dense(by_doc[doc]) for doc in index.ids.tolist()])
+    skipped = 0
+    for i in range(150):
+        own = [terms[k] for k in rng.choice(groups[i % 20], 12)] + [terms[k] for k in rng.integers(0, 300, 3)]
+        read = []
+        got = index.nearest(index.vector(own), 15, read=read)
+        cosines = matrix @ dense(own)
+        want = np.sort(cosines)[::-1][:15]
+        assert np.allclose([c for c, _ in got], want, atol=1e-12) and len({p for _, p in got}) == 15
+        assert np.allclose([cosines[p] for _, p in got], want, atol=1e-12) and len(set(read)) == len(read)
+        skipped += -(-len(examples) // toxicity.BLOCK) - len(read)
+    assert skipped > 150 * 10
+
+
 def test_toxicity_without_labels(spark, docs):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     index = toxicity.fit(docs([(1, "a")]), none)
