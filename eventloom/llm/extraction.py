@@ -2,12 +2,11 @@
 
 Every element of the parsed page gets the characters of its text per tag, adjusted for text and tags of links. The
 element whose children have the largest sum of densities marks the content. The sparsest element on the path from
-there to the body sets the threshold: beside that path, blocks below it are left out if they are mostly links or hold
-no paragraph, and in the others the content is looked for in the same way, so that a text in several siblings is taken
-whole, also its sparser parts. An article element is never cut.
+there to the body sets the threshold: beside that path, blocks below it are left out, and in the others the content is
+looked for in the same way, so that a text in several siblings is taken whole. An article element is never cut.
 Elements that are no article text by their nature (menus, forms, scripts, adverts, comments of readers) carry no
-characters, only tags. A class or id is weaker evidence of that than a tag: it does not hold for an element with the
-bulk of the page's text.
+characters, only tags. A word in a compound class or id is weaker evidence of that than a tag: it does not hold for an
+element with the bulk of the page's text.
 """
 
 from __future__ import annotations
@@ -25,10 +24,6 @@ from eventloom.llm.common import arrow_schema, map_in_arrow, schema_of, slices
 # Fixed values of the HTML language and of common page templates.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template".split())
-INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike "
-    "strong sub sup time tt u var".split()
-)
 NO_TEXT = frozenset(
     "nav footer aside form script style noscript iframe template button select option input textarea svg canvas "
     "object embed audio video head title menu dialog datalist map noembed noframes xmp".split()
@@ -37,10 +32,14 @@ PARAGRAPH_ENDERS = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
     "hr main menu nav ol p pre section table ul".split()
 )
+# What begins and ends a block; all other elements, unknown ones too, stand within a line.
+BLOCKS = PARAGRAPH_ENDERS | frozenset(
+    "html head body br li dt dd tr td th thead tbody tfoot caption colgroup center dir frameset hgroup legend listing "
+    "noscript optgroup option plaintext search summary template title iframe script style select textarea button".split()
+)
 SAME_LEVEL = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
-PROSE = frozenset("p pre blockquote article main".split())
 CONTAINERS = frozenset("div section ul ol dl table center address details fieldset menu".split())
 NO_TEXT_NAMES = frozenset(
     "ad ads adbox advert adverts advertisement banner sponsor sponsored promo promotion nav navbar navigation menu "
@@ -48,11 +47,15 @@ NO_TEXT_NAMES = frozenset(
     "newsletter subscribe signup login share sharing social related recommended comment comments disqus respond "
     "widget pagination pager".split()
 )
-# An element with such a name as class or id, or as a word of it, holds the text itself from these shares of the page's.
-WHOLE_NAME, WORD_IN_NAME = 0.9, 0.5
+READER_NAMES = frozenset("comment comments disqus respond".split())
+# An element with a word of such a name in its class or id holds the text itself from this share of the page's; one that
+# is called so as a whole is out at any share, unless there is no other text or it holds the article element.
+WORD_IN_NAME = 0.5
 NO_TEXT_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+_OPEN = re.compile(r"(/?)([A-Za-z][^\s/>]*)")
+# Quotes count after an equals sign only; elsewhere in a tag they are characters like any other.
+_STOP = re.compile(r">|=\s*+([\"'])")
 _ATTRIBUTE = re.compile(r"([A-Za-z][\w:-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S)
 _NAME = re.compile(r"[a-z]+|[0-9]+")
 # Names that say what a page has or lacks, and not what the element is.
@@ -61,18 +64,61 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("best", "chars", "children", "density", "link_chars", "link_tags", "muted", "named", "parent", "prose", "sum", "tag", "tags")
+    __slots__ = ("best", "chars", "children", "density", "link_chars", "link_tags", "muted", "named", "parent", "sum", "tag", "tags")
 
     def __init__(self, tag: str, parent: Node | None, muted: bool) -> None:
         self.tag, self.parent, self.muted = tag, parent, muted
         self.children: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
-        self.best, self.prose = self, False
-        # Share of the page's text from which the element is not silenced for its name; 0 without such a name.
+        self.best = self
+        # 1 for a name that says it is no article text, less for a word in a compound, 0 without such a name.
         self.named = 0.0
 
 
+class _Tags:
+    """Tags of a source, one after the other, in time that follows its length."""
+
+    def __init__(self, source: str) -> None:
+        self.source = source
+        self.unclosed: set[str] = set()
+
+    def next(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """Start and end, slash, name and rest of the next tag; comments and declarations have no name."""
+        source = self.source
+        while True:
+            start = source.find("<", at)
+            if start < 0:
+                return None
+            if source.startswith("<!--", start):
+                close = source.find("-->", start + 4)
+                return start, close + 3 if close >= 0 else len(source), "", "", ""
+            if source.startswith(("<!", "<?"), start):
+                close = source.find(">", start)
+                return start, close + 1 if close >= 0 else len(source), "", "", ""
+            name = _OPEN.match(source, start + 1)
+            if name:
+                end = self._end(name.end())
+                return start, min(end + 1, len(source)), name[1], name[2].lower(), source[name.end() : end]
+            at = start + 1
+
+    def _end(self, at: int) -> int:
+        """Place of the sign that ends a tag, or the end of the source."""
+        while True:
+            stop = _STOP.search(self.source, at)
+            if not stop:
+                return len(self.source)
+            quote, at = stop[1], stop.end()
+            if not quote:
+                return stop.start()
+            # A quote without its fellow is a character; there is none further on either.
+            close = -1 if quote in self.unclosed else self.source.find(quote, at)
+            if close < 0:
+                self.unclosed.add(quote)
+            else:
+                at = close + 1
+
+
 def _is_muted(tag: str, rest: str, parent: Node) -> bool:
     if tag in NO_TEXT:
         return True
@@ -92,18 +138,22 @@ def _is_muted(tag: str, rest: str, parent: Node) -> bool:
 
 
 def _named(tag: str, rest: str, parent: Node) -> float:
-    """``Node.named`` by class and id: a whole name is better evidence than a word inside a compound."""
+    """``Node.named`` by class and id: a whole name is better evidence than a word inside a compound.
+
+    A name that begins with readers' comments (comments-area) is as good as a whole one.
+    """
     if not rest or rest.isspace() or tag in ("body", "html", "main", "article"):
         return 0.0
     names = [v for name, *values in _ATTRIBUTE.findall(rest) if name.lower() in ("class", "id") for v in "".join(values).lower().split()]
-    if not NO_TEXT_NAMES.isdisjoint(names):
-        limit = WHOLE_NAME
-    elif any(not NO_TEXT_NAMES.isdisjoint(_NAME.findall(v)) for v in names if not _STATE.fullmatch(v)):
+    words = [_NAME.findall(v) for v in names if not _STATE.fullmatch(v)]
+    if not NO_TEXT_NAMES.isdisjoint(names) or any(w and w[0] in READER_NAMES for w in words):
+        limit = 1.0
+    elif any(not NO_TEXT_NAMES.isdisjoint(w) for w in words):
         limit = WORD_IN_NAME
     else:
         return 0.0
     # Highlighted code names its parts so: a comment there is code.
-    up = parent if tag in INLINE else None
+    up = parent if tag not in BLOCKS else None
     while up is not None:
         if up.tag in ("pre", "code"):
             return 0.0
@@ -114,6 +164,7 @@ def _named(tag: str, rest: str, parent: Node) -> float:
 def parse(source: str) -> Node:
     """Tree of elements and texts under a root; end tags left out are supplied, stray ones ignored."""
     root = here = Node("", None, False)
+    tags = _Tags(source)
     at, raw = 0, ""
     while True:
         if raw:
@@ -121,21 +172,21 @@ def parse(source: str) -> Node:
             end = close.start() if close else len(source)
             here.children.append(source[at:end])
             at, raw = end, ""
-        found = _TAG.search(source, at)
+        found = tags.next(at)
         if not found:
             here.children.append(html.unescape(source[at:]))
             return root
-        if found.start() > at:
-            here.children.append(html.unescape(source[at : found.start()]))
-        at = found.end()
-        tag = (found[2] or "").lower()
+        start, end, slash, tag, rest = found
+        if start > at:
+            here.children.append(html.unescape(source[at:start]))
+        at = end
         if not tag:
             continue
-        if found[1]:
+        if slash:
             up = here
             while up.parent is not None and up.tag != tag:
                 # A block's end does not reach through another block for an inline tag.
-                if tag in INLINE and up.tag not in INLINE:
+                if tag not in BLOCKS and up.tag in BLOCKS:
                     up = root
                     break
                 up = up.parent
@@ -144,7 +195,7 @@ def parse(source: str) -> Node:
             continue
         if tag in PARAGRAPH_ENDERS:
             up = here
-            while up.parent is not None and (up.tag in INLINE):
+            while up.parent is not None and (up.tag not in BLOCKS):
                 up = up.parent
             if up.tag == "p":
                 here = up.parent
@@ -155,10 +206,10 @@ def parse(source: str) -> Node:
             while up.parent is not None and up.tag in SAME_LEVEL[tag]:
                 up = up.parent
                 here = up
-        node = Node(tag, here, here.muted or _is_muted(tag, found[3], here))
-        node.named = 0.0 if node.muted else _named(tag, found[3], here)
+        node = Node(tag, here, here.muted or _is_muted(tag, rest, here))
+        node.named = 0.0 if node.muted else _named(tag, rest, here)
         here.children.append(node)
-        if tag in VOID or found[3].endswith("/") and tag not in RAW and tag not in INLINE and tag not in PARAGRAPH_ENDERS:
+        if tag in VOID or rest.endswith("/") and tag not in RAW and tag in BLOCKS and tag not in PARAGRAPH_ENDERS:
             continue
         here = node
         if tag in RAW:
@@ -184,9 +235,12 @@ def _silence(order: list[Node]) -> None:
         own = 0 if node.muted else sum(len(_SPACE.sub("", c)) for c in node.children if isinstance(c, str))
         held[id(node)] = own + sum(held[id(c)] for c in node.children if not isinstance(c, str))
     every = held[id(order[0])]
+    bearing = {id(up) for node in order if node.tag in ("article", "main") and not node.muted for up in _path(node, order[0])}
     for node in order:
         up = node.parent
-        if up is not None and up.muted or node.named and held[id(node)] <= node.named * every:
+        own = held[id(node)]
+        whole = node.named == 1.0 and own < every and id(node) not in bearing
+        if up is not None and up.muted or whole or node.named and own <= WORD_IN_NAME * every:
             node.muted = True
 
 
@@ -230,8 +284,7 @@ def select(root: Node) -> Node:
     # The largest density sum of a subtree, of equal ones the first.
     for node in reversed(order):
         own = [c for c in node.children if not isinstance(c, str) and not c.muted]
-        node.prose = any(c.prose for c in own) or node.tag in PROSE and not node.muted and 2 * node.link_chars <= node.chars != 0
-        node.best = max([node, *(c.best for c in own)], key=lambda n: -1.0 if n.muted or n.tag in INLINE else n.sum)
+        node.best = max([node, *(c.best for c in own)], key=lambda n: -1.0 if n.muted or n.tag not in BLOCKS else n.sum)
     if not body.best.sum:
         return body
     threshold = min(n.density for n in _path(body.best, body))
@@ -247,13 +300,13 @@ def select(root: Node) -> Node:
             dropped, at, after = set(), 0, 0
             for run in _runs(node):
                 at, after = after, after + len(run)
-                block = run[0] if len(run) == 1 and not isinstance(run[0], str) and run[0].tag not in INLINE else None
+                block = run[0] if len(run) == 1 and not isinstance(run[0], str) and run[0].tag in BLOCKS else None
                 if block is None:
                     if not whole and keep.isdisjoint(map(id, run)) and _density(_joined(run), root) < threshold:
                         dropped.update(range(at, at + len(run)))
                 elif id(block) in keep or block.muted or block.tag in HEADINGS or block.tag == "article":
                     continue
-                elif block.density < threshold and (2 * block.link_chars > block.chars and (block.tag in CONTAINERS or not whole) or not whole and not block.prose):
+                elif block.density < threshold and (2 * block.link_chars > block.chars and block.tag in CONTAINERS or not whole):
                     block.muted = True
                 else:
                     stack.append((block, whole))
@@ -274,7 +327,7 @@ def _runs(node: Node) -> list[list[Node | str]]:
     runs: list[list[Node | str]] = []
     open_run = False
     for child in node.children:
-        loose = isinstance(child, str) or child.tag in INLINE
+        loose = isinstance(child, str) or child.tag not in BLOCKS
         if loose and open_run:
             runs[-1].append(child)
         else:
@@ -306,7 +359,7 @@ def text_of(top: Node) -> str:
         if isinstance(item, str):
             pieces.append(item)
         elif not item.muted:
-            split = item.tag not in INLINE
+            split = item.tag in BLOCKS
             if split:
                 pieces.append(" ")
                 stack.append(" ")

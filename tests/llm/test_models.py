@@ -117,6 +117,7 @@ def test_nearest_is_exact():
 def test_skipped_blocks_hold_no_neighbour(monkeypatch):
     """Against a dense product of vectors made here from counts and weights alone."""
     monkeypatch.setattr(toxicity, "SHORT", 8)
+    monkeypatch.setattr(toxicity, "BLOCK", 16)
     rng = np.random.default_rng(8)
     terms = [f"t{i:03d}".encode() for i in range(300)]
     groups = [rng.choice(300, 25, replace=False) for _ in range(20)]

@@ -166,3 +166,30 @@ def test_names_of_wrappers_do_not_silence_the_text(name):
 def test_names_inside_code_do_not_silence():
     page = f"<body><article>{LONG}<pre>x = 1 <span class='comment'># kept</span></pre><span class='share'>Share this</span></article></body>"
     assert extraction.extract(page) == " ".join([BODY.strip()] * 3) + " x = 1 # kept"
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (f"<body><article><p title=it's>{BODY}</p></article></body>", BODY.strip()),
+        ("<article><p title='a > b' lang=\"x>y\">one</p><p title='open>two</p></article>", "one two"),
+        ("<article><p>super<wbr>cali my<foo-x>word</foo-x>s <ruby>k<rt>a</rt></ruby>i<img src=x>j</p></article>", "supercali mywords kaij"),
+        (f"<body><div class=content><h1>T</h1><p>{BODY}</p></div><div class='comments'>{''.join(f'<p>{BODY}</p>' for _ in range(20))}</div></body>", f"T {BODY.strip()}"),
+        (f"<body><div class=post><p>{BODY}</p></div><section id='comments-area'>{''.join(f'<div><p>{BODY}</p></div>' for _ in range(9))}</section></body>", BODY.strip()),
+        (f"<body><div class=comments><p>{BODY}</p></div></body>", BODY.strip()),
+        (f"<body><div class='banner'><article><p>{BODY}</p></article></div><p>x</p></body>", BODY.strip()),
+        (f"<body><div class='site has-sidebar'><div class='content-widget'><p>{BODY}</p><p>{BODY}</p></div></div></body>", BODY + BODY.strip()),
+        (f"<body><div><p>We use cookies.</p></div><div>{f'<p>{BODY * 3}</p>' * 6}</div><div><p>(c) 2024 Us.</p></div></body>", (BODY * 18).strip()),
+    ],
+)
+def test_markup_and_names(html, text):
+    assert extraction.extract(html) == text
+
+
+def test_hostile_markup_takes_time_in_proportion():
+    import time
+
+    for piece in ("<a ", "<a x=\"", "<a x='", "<!--", "<", "<p title=it's>x", "</", "<!"):
+        start = time.perf_counter()
+        extraction.extract("<p>text" + piece * (400_000 // len(piece)) + '"')
+        assert time.perf_counter() - start < 20, piece
