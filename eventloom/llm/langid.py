@@ -27,6 +27,8 @@ HIDDEN = 8
 DOCS_PER_LANG = 200
 TRAIN_STEPS = 500
 TRAIN_BATCH = 512
+# Documents of a language that its bar is taken from, and the share of their least score that it is.
+BAR_DOCS, BAR_SHARE = 40, 0.5
 # More languages are an error: the remembered position sums of a task grow with their number.
 MAX_LANGS = 512
 UNKNOWN = "und"
@@ -47,7 +49,10 @@ def windows_of(text: str) -> list[bytes]:
 
 @dataclass
 class Network:
-    """Weights: for each direction the input table (256 x 3H), recurrent matrix (H x 3H) and candidate bias, then the output."""
+    """Weights: for each direction the input table (256 x 3H), recurrent matrix (H x 3H) and candidate bias, then the output.
+
+    ``bars`` has for each language the score below which a document of it would be unlike all that were learned.
+    """
 
     langs: list[str]
     table: list[np.ndarray]
@@ -55,6 +60,7 @@ class Network:
     bias: list[np.ndarray]
     out: np.ndarray
     out_bias: np.ndarray
+    bars: np.ndarray
 
     def parts(self) -> list[np.ndarray]:
         return [*self.table, *self.inner, *self.bias, self.out, self.out_bias]
@@ -70,6 +76,7 @@ def new_network(langs: list[str], hidden: int = HIDDEN, seed: int = 7) -> Networ
         [np.zeros(hidden, np.float32) for _ in range(2)],
         draw(2 * hidden, len(langs)),
         np.zeros(len(langs), np.float32),
+        np.zeros(len(langs)),
     )
 
 
@@ -190,9 +197,32 @@ def train(examples: list[tuple[str, str]], hidden: int = HIDDEN, steps: int = TR
             m += 0.1 * (g - m)
             v += 0.001 * (g * g - v)
             p -= (rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
+    net.bars = least_scores(net, examples)
     return net
 
 
+def least_scores(net: Network, examples: list[tuple[str, str]]) -> np.ndarray:
+    """A bar for each language, from the best scores of its own documents: how high those are follows from how many
+    languages there are and how alike, so no fixed number would do."""
+    own: dict[str, list[str]] = {}
+    for text, lang in sorted(examples):
+        if has_letter(text) and len(own.setdefault(lang, [])) < BAR_DOCS:
+            own[lang].append(text)
+    bars = np.zeros(len(net.langs))
+    for i, lang in enumerate(net.langs):
+        if own.get(lang):
+            bars[i] = BAR_SHARE * float(document_probabilities(net, own[lang]).max(axis=1).min())
+    return bars
+
+
+def known_language(net: Network, probs: np.ndarray) -> np.ndarray:
+    """Whether the best language of each row of document probabilities reaches its bar."""
+    if not net.langs:
+        return np.ones(len(probs), bool)
+    best = probs.argmax(axis=1)
+    return probs[np.arange(len(probs)), best] >= net.bars[best]
+
+
 def _position_sums(net: Network, codes: np.ndarray) -> np.ndarray:
     """Label probabilities summed over positions; languages are the leading axis, which numpy adds up fastest."""
     steps, n = codes.shape

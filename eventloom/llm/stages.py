@@ -8,14 +8,12 @@ from pyspark.sql import functions as F
 from eventloom.llm import bpe, decontam, jaccard, langid, toxicity
 from eventloom.llm.common import keep_rows
 
-# A language less likely than this is none: even the best of many is hardly above chance.
-LEAST_LANGUAGE = 0.35
 TOXIC = 0.5
 NEAR = jaccard.Rule(words=5, part=4, whole=5)
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a letter and those whose best language stays below ``LEAST_LANGUAGE``."""
+    """Drop documents without a letter and those whose best language stays below its bar (``langid.least_scores``)."""
     net = langid.fit(docs)
 
     def judge():
@@ -25,8 +23,8 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
             lettered = [t if t and langid.has_letter(t) else None for t in texts]
             if not net.langs:
                 return [t is not None for t in lettered]
-            best = langid.document_probabilities(net, lettered, memory).max(axis=1)
-            return [t is not None and bool(p >= LEAST_LANGUAGE) for t, p in zip(lettered, best, strict=True)]
+            known = langid.known_language(net, langid.document_probabilities(net, lettered, memory))
+            return [t is not None and bool(ok) for t, ok in zip(lettered, known, strict=True)]
 
         return verdicts
 

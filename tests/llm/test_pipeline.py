@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import numpy as np
+
 import corpus_pipeline
 from eventloom.llm import bpe, decontam, jaccard, langid, stages, toxicity
 
@@ -17,8 +19,9 @@ def test_stages_against_their_operators(spark):
         if name != "tokens":
             assert docs.columns == documents.columns
     ids = {name: {r.doc_id for r in frame.select("doc_id").collect()} for name, frame in frames.items()}
+    net = langid.fit(documents)
     assert ids["language"] == {
-        r.doc_id for r in langid.identify(documents, langid.fit(documents)).collect() if r.lang_pred != "und" and r.score >= stages.LEAST_LANGUAGE
+        r.doc_id for r in langid.identify(documents, net).collect() if r.lang_pred != "und" and r.score >= net.bars[net.langs.index(r.lang_pred)]
     }
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
     index = toxicity.fit(frames["language"], labels)
@@ -40,3 +43,14 @@ def test_pipeline_runs_over_empty_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, FOLDER)
     assert docs.count() == 0
+
+
+def test_many_languages_lose_no_clean_document(spark, docs):
+    """Invented languages of 600 words each: with 30 of them the best score is far from 1, and no bar may rely on it."""
+    rng = np.random.default_rng(4)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = [["".join(rng.choice(list(letters), rng.integers(2, 8))) for _ in range(600)] for _ in range(30)]
+    rows = [(i, " ".join(rng.choice(words[i % 30], 80)), f"l{i % 30:02d}") for i in range(900)]
+    rows += [(2000, "12 34 !!", None), (2001, None, None), (2002, "", "l01")]
+    kept = {r.doc_id for r in stages.keep_known_languages(spark, docs(rows), FOLDER).select("doc_id").collect()}
+    assert kept == set(range(900))
