@@ -146,7 +146,7 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY source ORDER BY place, doc_id, text_crc32, size) - 1 AS r,
     count(*) OVER (PARTITION BY source) AS of_source FROM summed),
 placed AS (
-  SELECT *, row_number() OVER (ORDER BY CAST(2 * r + 1 AS DOUBLE) / CAST(2 * of_source AS DOUBLE), source NULLS FIRST, place, doc_id,
+  SELECT *, row_number() OVER (ORDER BY (r + CAST(CAST('0x' || substr(md5('shards-1|source|' || coalesce(source, '')), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0::DOUBLE) / CAST(of_source AS DOUBLE), source NULLS FIRST, place, doc_id,
     text_crc32, size) - 1 AS pos, count(*) OVER () AS n FROM ranked),
 cut AS (SELECT *, CAST(pos * 24 // n AS INT) AS shard FROM placed)
 SELECT doc_id, size, text_crc32, 'rows' AS law, shard, CAST(pos - (shard * n + 23) // 24 AS BIGINT) AS slot,

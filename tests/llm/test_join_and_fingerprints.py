@@ -140,8 +140,8 @@ def test_shards_follow_the_mixture(spark):
 
     rows = [(i, f"text {i}" if i % 50 else None, ["a", "b", None][0 if i % 3 == 0 or i % 7 == 0 else 1 + i % 2]) for i in range(1000)] + [(5, "text 5", "a")] * 3 + [(None, "é", "z")]
     table = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
-    for shards, buckets in ((24, 4096), (7, 3)):
-        got = sharding.assign_shards(table, shards=shards, buckets=buckets).collect()
+    for shards, bucket_rows in ((24, 200_000), (7, 9)):
+        got = sharding.assign_shards(table, shards=shards, bucket_rows=bucket_rows).collect()
         assert len(got) == len(rows)
         sizes = [[r for r in got if r.shard == s] for s in range(shards)]
         assert max(map(len, sizes)) - min(map(len, sizes)) <= 1
@@ -153,3 +153,26 @@ def test_shards_follow_the_mixture(spark):
     want = sorted((i or -1, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t, _ in rows)
     assert sorted((r.doc_id or -1, r.size, r.text_crc32) for r in got) == want
     assert sharding.assign_shards(table.limit(0)).count() == 0
+
+
+def test_buckets_are_even_however_rows_repeat(spark):
+    """Many sources of two rows, and one id and text for all rows of another."""
+    small = spark.range(6000).selectExpr("id AS doc_id", "'t' AS text", "concat('s', id DIV 2) AS source")
+    same = spark.range(3000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "'same' AS text", "'one' AS source")
+    seen = []
+    plain = sharding.ranged
+
+    def watched(df, order, bucket_rows):
+        out = plain(df, order, bucket_rows)
+        seen.append(out.groupBy("__bucket").count().agg({"count": "max"}).first()[0])
+        return out
+
+    sharding.ranged = watched
+    try:
+        got = sharding.assign_shards(small.unionByName(same), shards=8, bucket_rows=500).collect()
+    finally:
+        sharding.ranged = plain
+    assert len(got) == 9000 and len(seen) == 2 and max(seen) <= 1000
+    for s in range(8):
+        own = [r for r in got if r.shard == s]
+        assert len(own) == 1125 and sorted(r.slot for r in own) == list(range(1125)) and abs(sum(r.source == "one" for r in own) - 375) <= 60
