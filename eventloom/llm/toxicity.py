@@ -30,11 +30,11 @@ from eventloom.llm.common import arrow_schema, crc_bucket, map_in_arrow, schema_
 EXAMPLES_PER_LABEL = 1500
 NEIGHBOURS = 15
 # Examples of a block. Examples are ordered by their heaviest term, so that a block's maxima are those of few terms.
-BLOCK = 64
+BLOCK = 128
 # Lists of no more examples are read whole, without bounds.
-SHORT = 256
+SHORT = 1000
 # Parts of the examples for calibration: a part's votes use term weights learned from the others.
-FOLDS = 5
+FOLDS = 3
 # Evidence is twice the log likelihood ratio of a term's label shares. A term with this much (chance below 1e-6) has
 # about half of its full weight; one without any has a 25th, never nothing.
 EVIDENCE = 24.0
@@ -107,18 +107,22 @@ class Index:
         """What an index is made of, to send it."""
         return {f.name: getattr(self, f.name) for f in fields(self)}
 
-    def vector(self, terms: list[bytes]) -> tuple[tuple[int, float], ...]:
-        """Unit TF-IDF vector over the indexed terms, empty without any."""
+    def weigh(self, terms: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Unit TF-IDF vector over the indexed terms, as numbers of terms and weights; empty without any."""
         known = self.rows
         counts = Counter(terms)
         own = [t for t in counts if t in known]
         if not own:
-            return ()
+            return np.array([], np.intp), np.array([])
         at = np.array([known[t] for t in own])
         raw = (1 + np.log([counts[t] for t in own])) * self.weight[at]
         order = np.argsort(at)
         at, raw = at[order], raw[order]
-        return tuple(zip(at.tolist(), (raw / math.sqrt(raw @ raw)).tolist(), strict=True))
+        return at, raw / math.sqrt(raw @ raw)
+
+    def vector(self, terms: list[bytes]) -> tuple[tuple[int, float], ...]:
+        at, weights = self.weigh(terms)
+        return tuple(zip(at.tolist(), weights.tolist(), strict=True))
 
     def nearest(
         self, vector: tuple[tuple[int, float], ...], k: int, leave_out: int = -1, read: list[int] | None = None
@@ -127,10 +131,16 @@ class Index:
 
         ``read`` gets the numbers of the blocks whose postings were read, for whoever wants to see what was skipped.
         """
+        terms = np.array([t for t, _ in vector], np.intp)
+        return self.near(terms, np.array([w for _, w in vector]), k, leave_out, read)
+
+    def near(
+        self, terms: np.ndarray, weights: np.ndarray, k: int, leave_out: int = -1, read: list[int] | None = None
+    ) -> list[tuple[float, int]]:
+        """``nearest`` of a vector given as numbers of terms and weights."""
         n = len(self.ids)
-        if not vector or not n:
+        if not len(terms) or not n:
             return []
-        terms, weights = (np.array(x) for x in zip(*vector, strict=True))
         # Short lists are read whole: what they give every example is exact.
         sizes = self.ends[terms] - self.lists[terms]
         short = sizes <= SHORT
@@ -229,12 +239,12 @@ def _posted(rows: dict, weight: np.ndarray, examples: list, worth: dict[int, flo
     """Index of the examples without calibration, and their vectors in its order."""
     nothing = np.array([], np.intp)
     bare = Index(rows, weight, nothing, nothing, nothing, prior, nothing, nothing, nothing, nothing, nothing, nothing, (nothing, nothing))
-    made = [(bare.vector(own), doc, label) for doc, own, label in examples]
-    made.sort(key=lambda e: (max(((w, -t) for t, w in e[0]), default=(0.0, 1))[1], e[1]))
+    made = [(bare.weigh(own), doc, label) for doc, own, label in examples]
+    made.sort(key=lambda e: (int(e[0][0][e[0][1].argmax()]) if len(e[0][0]) else -1, e[1]))
     vectors = [v for v, _, _ in made]
-    terms = np.array([t for v in vectors for t, _ in v], np.intp)
-    places = np.repeat(np.arange(len(vectors)), [len(v) for v in vectors]) if vectors else nothing
-    values = np.array([w for v in vectors for _, w in v], float)
+    terms = np.concatenate([t for t, _ in vectors]) if vectors else nothing
+    places = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in vectors]) if vectors else nothing
+    values = np.concatenate([w for _, w in vectors]) if vectors else np.array([])
     order = np.argsort(terms, kind="stable")
     terms, places, values = terms[order], places[order], values[order]
     entry = terms * (len(vectors) // BLOCK + 1) + places // BLOCK
@@ -270,7 +280,7 @@ def build_index(
         blind, vectors = _posted(rows, term_weights(others, terms, doc_counts, n_docs), examples, worth, prior)
         for place, vector in enumerate(vectors):
             if int(blind.ids[place]) in held:
-                votes.append(blind.vote(blind.nearest(vector, NEIGHBOURS, leave_out=place)))
+                votes.append(blind.vote(blind.near(*vector, NEIGHBOURS, leave_out=place)))
                 marks.append(float(blind.labels[place]))
                 weights.append(float(blind.worth[place]))
     if votes:
@@ -291,7 +301,7 @@ class Scorer:
         if key not in self.known:
             if len(self.known) > 20_000:
                 self.known.clear()
-            found = own.nearest(own.vector(terms_of(text)), self.k)
+            found = own.near(*own.weigh(terms_of(text)), self.k)
             self.known[key] = (
                 own.score(found),
                 [int(own.ids[p]) for _, p in found],
@@ -333,8 +343,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = EXAMPLES_PER_LABEL)
     chosen = F.broadcast(spark.createDataFrame([(r["doc_id"], r["toxic"]) for r in picked], "doc_id bigint, toxic int"))
     rows = docs.select("doc_id", "text").join(chosen, "doc_id")
     found: dict[int, tuple[list[bytes], int]] = {}
+    same: dict[bytes, bytes] = {}
     for r in rows.orderBy("doc_id", "text").toLocalIterator():
-        found.setdefault(r["doc_id"], (terms_of(r["text"]), r["toxic"]))
+        # One object per term, however many examples hold it.
+        found.setdefault(r["doc_id"], ([same.setdefault(t, t) for t in terms_of(r["text"])], r["toxic"]))
     counts, n_docs = document_counts(docs, sorted({t for terms, _ in found.values() for t in terms}))
     return build_index([(doc, terms, label) for doc, (terms, label) in found.items()], totals, counts, n_docs)
 
