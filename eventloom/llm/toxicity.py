@@ -32,7 +32,7 @@ NEIGHBOURS = 15
 # Examples of a block. Examples are ordered by their heaviest term, so that a block's maxima are those of few terms.
 BLOCK = 128
 # Lists of no more examples are read whole, without bounds.
-SHORT = 1000
+SHORT = 2000
 # Parts of the examples for calibration: a part's votes use term weights learned from the others.
 FOLDS = 3
 # Evidence is twice the log likelihood ratio of a term's label shares. A term with this much (chance below 1e-6) has
