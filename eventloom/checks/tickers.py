@@ -521,13 +521,13 @@ def _(t: Tables) -> DataFrame:
     "jn15_override_lookup",
     """WITH m AS (SELECT upper(trim(underlying)) AS u, CASE WHEN length(trim(underlying_ccy)) = 3 THEN upper(trim(underlying_ccy)) END AS c,
         arg_max(trim(chosen_ticker), row_no) AS ticker FROM (SELECT 'u' || cast(o_custkey AS VARCHAR) AS underlying, 'usd' AS underlying_ccy,
-        'M' || cast(o_orderkey AS VARCHAR) AS chosen_ticker, o_orderkey AS row_no FROM orders WHERE o_custkey % 3 = 0) x GROUP BY 1, 2)
+        'M' || cast(o_orderkey AS VARCHAR) AS chosen_ticker, o_orderkey AS row_no FROM orders) x GROUP BY 1, 2)
     SELECT c_custkey, coalesce(m.ticker, CASE WHEN c_custkey % 5 = 0 THEN 'OWN' END) AS ticker,
       CASE WHEN m.ticker IS NOT NULL THEN 'chosen_map' WHEN c_custkey % 5 = 0 THEN 'row_override' END AS source
     FROM customer LEFT JOIN m ON 'U' || cast(c_custkey AS VARCHAR) = m.u""",
 )
 def _(t: Tables) -> DataFrame:
-    raw = t.raw("orders").where("o_custkey % 3 = 0").select(
+    raw = t.raw("orders").select(
         F.concat(F.lit("u"), F.col("o_custkey").cast("string")).alias("underlying"),
         F.lit("usd").alias("underlying_ccy"),
         F.concat(F.lit("M"), F.col("o_orderkey").cast("string")).alias("chosen_ticker"),
@@ -1166,7 +1166,8 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "snk9_latest_unpublished_run",
-    f"SELECT arg_max(run_root, (finished_at, run_id)) AS run_root FROM {CATALOG.replace('{customer}', 'customer')} WHERE g = 'MACHINERY'",
+    f"SELECT arg_max(run_root, (finished_at, run_id)) AS run_root FROM {CATALOG.replace('{customer}', 'customer')}",
 )
 def _(t: Tables) -> DataFrame:
-    return sm.latest_run(t.sql(f"SELECT * FROM {CATALOG}", customer=t.raw("customer")).where("g = 'MACHINERY'"))
+    catalog = t.sql(f"SELECT * FROM {CATALOG}", customer=t.raw("customer"))
+    return sm.latest_run(catalog.withColumn("published", F.lit(False)))

@@ -181,7 +181,7 @@ SELECT (CASE p_size % 7 WHEN 0 THEN 'IN' WHEN 1 THEN 'GB' WHEN 2 THEN 'HK' WHEN
   '{"quotes":[{"symbol":"' || CASE WHEN p_partkey % 3 = 0 THEN cast(p_partkey AS string) || '.bo' ELSE ' ' END || '","quoteType":"EQUITY","exchDisp":"Bombay"},'
   || '{"symbol":"' || cast(p_partkey AS string) || '$","quoteType":"' || CASE WHEN p_partkey % 2 = 0 THEN 'etf' ELSE 'INDEX' END
   || '","exchange":"NMS"},{"symbol":"","quoteType":"EQUITY"},{"symbol":"ZZ' || cast(p_partkey AS string) || '.SG"}]}' AS content
-FROM <part> WHERE p_partkey % 4 <> 3
+FROM <part>
 """,
 )
 
