@@ -270,14 +270,51 @@ def _(t: Tables) -> DataFrame:
     return vd.exists_signal(df)
 
 
+# --- SQL of records and maps ------------------------------------------------------------------
+
+NULLISH = "('', 'NA', 'NAN', 'NONE', '<NA>', '-')"
+RECORDS = """SELECT row_no, CASE WHEN upper(trim(underlying)) IN {n} THEN '' ELSE upper(trim(underlying)) END AS underlying, upper(trim(underlying_ccy)) AS underlying_ccy,
+    CASE WHEN upper(trim(chosen_ticker)) IN {n} THEN '' ELSE upper(trim(chosen_ticker)) END AS chosen_ticker, reason,
+    CASE WHEN upper(method) IN {n} THEN '' ELSE method END AS method, upper(replace(isin, ' ', '')) AS isin, exists_ns = 'true' AS exists_ns, FALSE AS exists_bo,
+    upper(resolution_status) AS resolution_status, CASE WHEN regexp_full_match(first_seen_asof, '[0-9]{{8}}') THEN first_seen_asof ELSE '' END AS first_seen_asof
+  FROM {source}"""
+
+
+def records(name: str, source: str) -> str:
+    return f"{name} AS (SELECT * FROM ({RECORDS.format(n=NULLISH, source=source)}) x WHERE underlying <> '' AND chosen_ticker <> '')"
+
+
+def kept(name: str, source: str, last: bool, fields: str) -> str:
+    pick = "arg_max" if last else "arg_min"
+    cols = ", ".join(f"{pick}({c}, row_no) AS {c}" for c in fields.split(", "))
+    return f"{name} AS (SELECT underlying, underlying_ccy, {cols} FROM {source} GROUP BY underlying, underlying_ccy)"
+
+
+MAP_FIELDS = "chosen_ticker, reason, method, isin, exists_ns"
+CACHE_FIELDS = f"{MAP_FIELDS}, resolution_status, first_seen_asof"
+
+
+def effective_sql(override_view: str, cache_view: str) -> str:
+    """Cache overlaid by overrides, as the table ``eff``."""
+    return f"""{records('rn', override_view)}, {records('ro', cache_view)}, {kept('ov', 'rn', False, MAP_FIELDS)}, {kept('ca', 'ro', True, CACHE_FIELDS)},
+eff AS (SELECT underlying, underlying_ccy, chosen_ticker, reason, method, isin FROM ov
+  UNION ALL SELECT underlying, underlying_ccy, chosen_ticker, coalesce(nullif(reason, ''), 'cache'), coalesce(nullif(method, ''), 'cache'), isin FROM ca ANTI JOIN ov USING (underlying, underlying_ccy))"""
+
+
 # --- candidates ------------------------------------------------------------------------------
 
 EXISTING = "existing AS (SELECT DISTINCT ticker FROM v_existing WHERE is_there)"
-CONTEXT = """ctx AS (SELECT security_id, trim(underlying) AS underlying, CASE WHEN length(trim(underlying_ccy)) = 3 THEN upper(trim(underlying_ccy)) ELSE '' END AS underlying_ccy,
-    upper(trim(isin)) AS isin, trim(country) AS country, trim(exchange) AS exchange, trim(chosen_ticker) AS override FROM v_securities
+CONTEXT = """plain AS (SELECT security_id, trim(underlying) AS underlying, CASE WHEN length(trim(underlying_ccy)) = 3 THEN upper(trim(underlying_ccy)) ELSE '' END AS underlying_ccy,
+    upper(trim(isin)) AS isin, trim(country) AS country, trim(exchange) AS exchange, trim(chosen_ticker) AS own FROM v_securities
   WHERE trim(underlying) <> '' AND length(trim(underlying_ccy)) = 3)"""
+# The chosen map goes before a row's own ticker; its ISIN stands in where the row has none.
+MAPPED = f"""{CONTEXT}, {effective_sql("v_map_overrides", "v_map_cache")},
+ctx AS (SELECT p.security_id, p.underlying, p.underlying_ccy, coalesce(nullif(p.isin, ''), e.isin, '') AS isin, p.country, p.exchange, coalesce(e.chosen_ticker, p.own) AS override,
+    CASE WHEN e.chosen_ticker IS NOT NULL THEN 'chosen_map' WHEN p.own <> '' THEN 'row_override' ELSE '' END AS override_source,
+    CASE WHEN e.chosen_ticker IS NOT NULL THEN coalesce(nullif(e.reason, ''), 'override') WHEN p.own <> '' THEN 'override' ELSE '' END AS override_reason
+  FROM plain p LEFT JOIN eff e USING (underlying, underlying_ccy))"""
 OPEN = "open_rows AS (SELECT * FROM ctx WHERE override = '')"
-CANDIDATES = f"""{CONTEXT}, {OPEN}, {SEARCH}, {EXISTING}, {guess_sql("open_rows")},
+CANDIDATES = f"""{MAPPED}, {OPEN}, {SEARCH}, {EXISTING}, {guess_sql("open_rows")},
 listed AS (
   SELECT security_id, 0 AS stage, 0 AS ordinal, upper(override) AS ticker, 'override' AS method, 'override' AS guess_source FROM ctx WHERE override <> '' AND override NOT LIKE 'UNSUPPORTED%'
   UNION ALL SELECT security_id, 1, f.ordinal, f.ticker, 'isin_search', 'isin_search' FROM open_rows JOIN found f USING (isin)
@@ -308,9 +345,14 @@ def existing(t: Tables) -> DataFrame:
     return t.view("v_existing").withColumnRenamed("is_there", "exists").groupBy("ticker").agg(F.bool_or("exists").alias("exists"))
 
 
+def chosen_tickers(t: Tables) -> DataFrame:
+    known = rr.effective_map(rr.overrides(t.view("v_map_overrides")), rr.cache(t.view("v_map_cache")))
+    # One record a key, so their order does not matter.
+    return rr.chosen_map(known.withColumn("row_no", F.lit(0)))
+
+
 def securities(t: Tables) -> DataFrame:
-    empty = t.view("v_cache_raw").where("false")
-    return cut_lineage(rs.with_row_isin(rs.attach_override(rs.security_context(t.solid("v_securities")), rr.chosen_map(empty))))
+    return cut_lineage(rs.with_row_isin(rs.attach_override(rs.security_context(t.solid("v_securities")), chosen_tickers(t))))
 
 
 def resolved(t: Tables) -> DataFrame:
@@ -321,7 +363,7 @@ def resolved(t: Tables) -> DataFrame:
 @query(
     "rep7_resolve_candidates",
     f"""WITH {CANDIDATES} SELECT security_id, string_agg(ticker, ',' ORDER BY stage, ordinal) AS candidates,
-      CASE WHEN any_value(method) = 'override' THEN 'override' ELSE any_value(reason) END AS reason FROM final GROUP BY security_id""",
+      CASE WHEN any_value(method) = 'override' THEN any_value(override_reason) ELSE any_value(reason) END AS reason FROM final JOIN ctx USING (security_id) GROUP BY security_id""",
 )
 def _(t: Tables) -> DataFrame:
     df = resolved(t).where(F.size("candidates") > 0)
@@ -368,7 +410,7 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "prj31_security_context",
-    f"WITH {CONTEXT} SELECT security_id, underlying, underlying_ccy, isin, country, exchange FROM ctx",
+    f"WITH {CONTEXT} SELECT security_id, underlying, underlying_ccy, isin, country, exchange FROM plain",
 )
 def _(t: Tables) -> DataFrame:
     return rs.security_context(t.view("v_securities")).select("security_id", "underlying", "underlying_ccy", "isin", "country", "exchange")
@@ -381,7 +423,7 @@ PAYING = "paying AS (SELECT DISTINCT ticker FROM v_actions WHERE amount <> 0 AND
 RANK = """CASE WHEN method = 'override' THEN 0 WHEN method = 'isin_search' THEN 1 WHEN guess_source = 'exchange_rule' THEN 2 WHEN guess_source = 'country_fallback' THEN 3
   WHEN guess_source = 'ccy_fallback' THEN 4 ELSE 5 END"""
 CHOSEN = f"""{CANDIDATES}, {PAYING},
-per AS (SELECT c.security_id, c.override, c.underlying, c.underlying_ccy, c.isin, count(f.ticker) AS n, any_value(f.reason) AS reason, any_value(f.india_reason) AS ireason,
+per AS (SELECT c.security_id, c.override, c.override_source, c.underlying, c.underlying_ccy, c.isin, count(f.ticker) AS n, any_value(f.reason) AS reason, any_value(f.india_reason) AS ireason,
     arg_min(f.ticker, stage * 100 + ordinal) FILTER (f.ticker IN (SELECT ticker FROM paying)) AS paid,
     arg_min(f.ticker, stage * 100 + ordinal) AS first_ticker,
     first(f.ticker ORDER BY {RANK}, f.ticker) FILTER (there) AS probed, string_agg(f.ticker, ',' ORDER BY stage, ordinal) AS listed,
@@ -398,8 +440,7 @@ def landing(t: Tables) -> ig.Landing:
 
 
 def ingested(t: Tables) -> ig.Ingested:
-    empty = t.view("v_cache_raw").where("false")
-    return ig.ingest(t.solid("v_securities"), landing(t), rules(t), rr.chosen_map(empty), WINDOW)
+    return ig.ingest(t.solid("v_securities"), landing(t), rules(t), chosen_tickers(t), WINDOW)
 
 
 def chosen(t: Tables) -> DataFrame:
@@ -430,7 +471,7 @@ def _(t: Tables) -> DataFrame:
 @query(
     "prj34_resolution_metadata",
     f"""WITH {CHOSEN}, c1 AS (SELECT ch.*, f.method, f.guess_source FROM ch LEFT JOIN final f ON ch.security_id = f.security_id AND ch.chosen_ticker = f.ticker)
-    SELECT security_id, coalesce(guess_source, '') AS guess_source, CASE WHEN method = 'override' THEN 'row_override' WHEN method IS NULL THEN '' ELSE 'auto_search' END AS origin,
+    SELECT security_id, coalesce(guess_source, '') AS guess_source, CASE WHEN method = 'override' THEN override_source WHEN method IS NULL THEN '' ELSE 'auto_search' END AS origin,
       CASE WHEN contains(chosen_ticker, '.') THEN upper(regexp_extract(chosen_ticker, '[^.]*$')) ELSE '' END AS dotted_market FROM c1""",
 )
 def _(t: Tables) -> DataFrame:
@@ -454,7 +495,7 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "prj32_unsupported_override",
-    f"WITH {CONTEXT} SELECT underlying, underlying_ccy, override AS exists_ticker, 'unsupported_vendor' AS status, 1 AS candidate_count FROM ctx WHERE override LIKE 'UNSUPPORTED%'",
+    f"WITH {MAPPED} SELECT underlying, underlying_ccy, override AS exists_ticker, 'unsupported_vendor' AS status, 1 AS candidate_count FROM ctx WHERE override LIKE 'UNSUPPORTED%'",
 )
 def _(t: Tables) -> DataFrame:
     df = securities(t).where(rs.is_unsupported(F.col("override")))
@@ -894,28 +935,6 @@ def _(t: Tables) -> DataFrame:
 
 # --- records, cache and maps -----------------------------------------------------------------
 
-NULLISH = "('', 'NA', 'NAN', 'NONE', '<NA>', '-')"
-RECORDS = """SELECT row_no, CASE WHEN upper(trim(underlying)) IN {n} THEN '' ELSE upper(trim(underlying)) END AS underlying, upper(trim(underlying_ccy)) AS underlying_ccy,
-    CASE WHEN upper(trim(chosen_ticker)) IN {n} THEN '' ELSE upper(trim(chosen_ticker)) END AS chosen_ticker, reason,
-    CASE WHEN upper(method) IN {n} THEN '' ELSE method END AS method, upper(replace(isin, ' ', '')) AS isin, exists_ns = 'true' AS exists_ns, FALSE AS exists_bo,
-    upper(resolution_status) AS resolution_status, CASE WHEN regexp_full_match(first_seen_asof, '[0-9]{{8}}') THEN first_seen_asof ELSE '' END AS first_seen_asof
-  FROM {source}"""
-
-
-def records(name: str, source: str) -> str:
-    return f"{name} AS (SELECT * FROM ({RECORDS.format(n=NULLISH, source=source)}) x WHERE underlying <> '' AND chosen_ticker <> '')"
-
-
-def kept(name: str, source: str, last: bool, fields: str) -> str:
-    pick = "arg_max" if last else "arg_min"
-    cols = ", ".join(f"{pick}({c}, row_no) AS {c}" for c in fields.split(", "))
-    return f"{name} AS (SELECT underlying, underlying_ccy, {cols} FROM {source} GROUP BY underlying, underlying_ccy)"
-
-
-MAP_FIELDS = "chosen_ticker, reason, method, isin, exists_ns"
-CACHE_FIELDS = f"{MAP_FIELDS}, resolution_status, first_seen_asof"
-
-
 @query("src14_overrides", f"WITH {records('r', 'v_cache_raw')}, {kept('o', 'r', False, MAP_FIELDS)} SELECT * FROM o")
 def _(t: Tables) -> DataFrame:
     return rr.overrides(t.view("v_cache_raw")).drop("exists_bo")
@@ -936,9 +955,7 @@ def _(t: Tables) -> DataFrame:
     )
 
 
-EFFECTIVE = f"""{records('rn', 'v_cache_new')}, {records('ro', 'v_cache_old')}, {kept('ov', 'rn', False, MAP_FIELDS)}, {kept('ca', 'ro', True, CACHE_FIELDS)},
-eff AS (SELECT underlying, underlying_ccy, chosen_ticker, reason, method, isin FROM ov
-  UNION ALL SELECT underlying, underlying_ccy, chosen_ticker, coalesce(nullif(reason, ''), 'cache'), coalesce(nullif(method, ''), 'cache'), isin FROM ca ANTI JOIN ov USING (underlying, underlying_ccy))"""
+EFFECTIVE = effective_sql("v_cache_new", "v_cache_old")
 
 
 @query("jn18_effective_map", f"WITH {EFFECTIVE} SELECT * FROM eff")
@@ -1119,12 +1136,12 @@ def _(t: Tables) -> DataFrame:
 
 RUNS = """runs AS (SELECT DISTINCT holdings_tag, holdings_tag = 'XYZ' AS failed, CASE holdings_tag WHEN 'EEM' THEN 1.5 WHEN 'EFA' THEN 2.0 ELSE 4.0 END AS s FROM v_securities),
 cnt AS (SELECT holdings_tag, (SELECT count(*) FROM v_resolutions r WHERE r.holdings_tag = runs.holdings_tag) AS resolutions_rows,
-  (SELECT count(*) FROM v_securities r WHERE r.holdings_tag = runs.holdings_tag AND holdings_tag <> 'EFA') AS errors_rows, failed, s FROM runs)"""
+  (SELECT count(*) FROM v_securities r WHERE r.holdings_tag = runs.holdings_tag) AS errors_rows, failed, s FROM runs)"""
 
 
 def summary(t: Tables) -> DataFrame:
     sec = t.view("v_securities")
-    counts = sm.rows_per_tag({"resolutions": res(t), "errors": sec.where("holdings_tag <> 'EFA'")})
+    counts = sm.rows_per_tag({"resolutions": res(t), "errors": sec})
     seconds = F.when(F.col("holdings_tag") == "EEM", 1.5).when(F.col("holdings_tag") == "EFA", 2.0).otherwise(4.0)
     runs = sec.select("holdings_tag").distinct().withColumns({"failed": F.col("holdings_tag") == "XYZ", "elapsed_seconds": seconds})
     return sm.stage1_summary(counts, runs)

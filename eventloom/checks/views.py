@@ -268,6 +268,32 @@ FROM <orders>
 """,
 )
 
+# Records for the securities: the cache knows a third of them, the overrides some of those and others. The rest have
+# no ticker, which makes a record void.
+MAP_KEY = """CASE WHEN p_partkey % 11 = 0 THEN cast(p_partkey AS string) || '.hk' WHEN p_partkey % 13 = 0 THEN ' ab' || cast(p_partkey AS string) || '.zz'
+    ELSE cast(p_partkey AS string) END AS underlying,
+  CASE p_size % 5 WHEN 0 THEN 'hkd' WHEN 1 THEN 'INR' WHEN 2 THEN ' usd' WHEN 3 THEN 'GBP' ELSE 'brl' END AS underlying_ccy,
+  'in 0000' || lpad(cast(p_partkey AS string), 7, '0') || '5' AS isin, CASE WHEN p_size % 2 = 0 THEN 'true' ELSE 'no' END AS exists_ns,
+  'div_found' AS resolution_status, '20240101' AS first_seen_asof"""
+
+_view(
+    "v_map_cache",
+    f"""
+SELECT p_partkey AS row_no, {MAP_KEY}, CASE WHEN p_partkey % 6 = 0 THEN cast(p_partkey AS string) || '.ns' WHEN p_partkey % 6 = 1 THEN cast(p_partkey AS string) || '.L'
+    WHEN p_partkey % 71 = 0 THEN 'unsupported_yf' ELSE '' END AS chosen_ticker,
+  CASE WHEN p_size % 3 = 0 THEN '' ELSE 'seen' END AS reason, 'm' AS method FROM <part>
+""",
+)
+
+_view(
+    "v_map_overrides",
+    f"""
+SELECT p_partkey AS row_no, {MAP_KEY}, CASE WHEN p_partkey % 9 = 0 THEN 'Own' || cast(p_partkey AS string) || '.to' WHEN p_partkey % 10 = 5 THEN lpad(cast(p_partkey AS string), 4, '0') || '.ns'
+    WHEN p_partkey % 73 = 0 THEN 'UNSUPPORTED_YF' ELSE 'none' END AS chosen_ticker,
+  CASE WHEN p_size % 3 = 1 THEN '' ELSE 'by hand' END AS reason, 'NA' AS method FROM <part>
+""",
+)
+
 _view("v_cache_old", "SELECT * FROM <v_cache_raw> WHERE o_orderkey % 2 = 0")
 _view("v_cache_new", "SELECT * FROM <v_cache_raw> WHERE o_orderkey % 2 = 1")
 

@@ -16,19 +16,31 @@ def is_absent(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
-def read_table(spark: SparkSession, path: str, fmt: str | None = None, multi_line: bool = False) -> DataFrame:
+def has_broken_cells(spark: SparkSession, path: str) -> bool:
+    """Whether a CSV line below ``path`` has an odd number of quotes, as the first line of a cell with a line break has.
+
+    A quote alone in an unquoted cell is found as well, which does no harm: read whole, the file means the same.
+    """
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+
+
+def read_table(spark: SparkSession, path: str, fmt: str | None = None, multi_line: bool | None = None) -> DataFrame:
     """Parquet unless the name says otherwise. CSV columns are read as text, so codes keep leading zeros.
 
-    ``multi_line`` allows line breaks inside quoted cells; such a CSV file cannot be split and is one task's work, so it
-    is for files kept by hand.
+    A quoted cell of a CSV file may hold line breaks. Such a file cannot be split and is one task's work, so by default
+    the quotes of each line are counted first, and only tables that need it are read file by file. ``multi_line`` says
+    what to do without counting: False saves a pass over large tables known to have no such cell.
     """
     fmt = fmt or next((f for ending, f in TEXT_FORMATS.items() if path.endswith(ending)), "parquet")
     reader = spark.read.format(fmt)
     if fmt == "csv":
+        if multi_line is None:
+            multi_line = has_broken_cells(spark, path)
         reader = reader.option("header", True).option("encoding", "UTF-8").option("escape", '"')
         reader = reader.option("multiLine", multi_line)
     df = reader.load(path)
-    return df.withColumnsRenamed({c: c.replace("﻿", "").strip() for c in df.columns})
+    return df.withColumnsRenamed({c: c.replace("\ufeff", "").strip() for c in df.columns})
 
 
 def read_or_empty(spark: SparkSession, path: str, columns: list[str], fmt: str | None = None) -> DataFrame:

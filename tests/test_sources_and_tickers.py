@@ -425,3 +425,51 @@ def test_contains_rules_are_looked_up_by_pieces(table):
     )
     assert sorted((r.exchange or "", r.rule_exchange) for r in made.collect()) == sorted((n or "", x) for n, x in names)
     assert "NestedLoop" not in made._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("kind", ["holdings", "overrides", "cache", "rules", "fx"])
+def test_line_breaks_inside_quoted_cells(spark, tmp_path, kind):
+    from eventloom.operators import fx, resolution_records as rr, resolve as rs
+    from eventloom.sources import holdings as hd
+
+    key = "underlying,underlying_ccy,chosen_ticker,reason"
+    texts = {
+        "holdings": 'underlying,underlying_ccy,isin,name,weight\nAAA,USD,US0000000017,"one\ntwo ""x""\n",1.5\nBBB,USD,,plain,2\n',
+        "overrides": f'{key}\nAAA,USD,A.L,"one\ntwo"\nBBB,USD,B.L,plain\n',
+        "cache": f'{key}\nAAA,USD,A.L,"one\ntwo"\nBBB,USD,B.L,plain\n',
+        "rules": 'match_type,match_value,canonical_exchange,suffixes,priority,is_active,note\nEXACT,NYSE,NYSE,US,1,1,"one\ntwo"\nEXACT,XETRA,XETRA,DE,2,1,\n',
+        "fx": 'ccy,usd_per_ccy,note\nEUR,1.1,"one\ntwo, 3"\nGBP,1.3,\n',
+    }
+    path = tmp_path / f"{kind}.csv"
+    path.write_text(texts[kind])
+    df = st.read_table(spark, str(path))
+    made = {
+        "holdings": lambda: [(r.underlying, r.weight) for r in hd.clean_holdings(df).collect()],
+        "overrides": lambda: [(r.underlying, r.chosen_ticker) for r in rr.overrides(df).collect()],
+        "cache": lambda: [(r.underlying, r.chosen_ticker) for r in rr.cache(df).collect()],
+        "rules": lambda: [(r.match_value, r.priority) for r in rs.exchange_rules(df).collect()],
+        "fx": lambda: [(r.ccy, r.usd_per_ccy) for r in fx.usd_rates(df).collect()],
+    }[kind]()
+    expected = {
+        "holdings": [("AAA", 1.5), ("BBB", 2.0)],
+        "overrides": [("AAA", "A.L"), ("BBB", "B.L")],
+        "cache": [("AAA", "A.L"), ("BBB", "B.L")],
+        "rules": [("NYSE", 1), ("XETRA", 2)],
+        "fx": [("EUR", 1.1), ("GBP", 1.3)],
+    }[kind]
+    assert sorted(tuple(map(str, r)) for r in made) == sorted(tuple(map(str, r)) for r in expected)
+
+
+def test_files_without_broken_cells_are_still_split(spark, tmp_path):
+    path = tmp_path / "plain.csv"
+    path.write_text("a,b\n" + "".join(f'{i},"say ""{i}"""\n' for i in range(500)))
+    assert not st.has_broken_cells(spark, str(path))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    try:
+        df = st.read_table(spark, str(path))
+        assert df.rdd.getNumPartitions() > 1 and df.where("b = concat('say \"', a, '\"')").count() == 500
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    lone = tmp_path / "lone.csv"
+    lone.write_text('a,b\n1,5" pipe\n2,x\n')
+    assert [(r.a, r.b) for r in st.read_table(spark, str(lone)).orderBy("a").collect()] == [("1", '5" pipe'), ("2", "x")]
