@@ -13,6 +13,7 @@ from eventloom.operators import overlap as ov
 from eventloom.operators import pairs as pr
 from eventloom.operators import severity as sv
 from eventloom.operators.regions import country_bucket
+from eventloom.session import cut_lineage
 from eventloom.sources import decisions as sd
 
 DECISIONS = """qd AS (SELECT row_no, trim(vendor_event_id) AS vendor_event_id, trim(underlying) AS underlying, trim(ex_date) AS ex_date,
@@ -312,8 +313,10 @@ def _(t: Tables) -> DataFrame:
         F.lit("MERGE").alias("decision"),
         F.lit("").alias("canonical_econ_id"),
     )
-    merged = dc.apply_merges(rows, dc.merge_map(step(0, 1).unionByName(step(0, 2))))
-    return sv.event_severity(merged).select("economic_event_id", "severity_tier", "row_count", "severity_reasons")
+    graded_events = cut_lineage(sv.with_summary(sv.event_severity(rows)))
+    graded = cut_lineage(sv.attach_severity(rows, graded_events))
+    _, merged = dc.regraded(graded, graded_events, dc.merge_map(step(0, 1).unionByName(step(0, 2))))
+    return merged.select("economic_event_id", "severity_tier", "row_count", "severity_reasons")
 
 
 # --- overlap patterns ------------------------------------------------------------------------

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from eventloom.functions import text as tx
 from eventloom.functions import values as vl
+from eventloom.operators import severity as sv
 from eventloom.operators.linking import column_or
 from eventloom.operators.severity import require_columns, spread_key
 from eventloom.session import cut_lineage
@@ -142,3 +143,25 @@ def apply_merges(rows: DataFrame, mapping: DataFrame) -> DataFrame:
     right = mapping.select(F.concat(F.lit("v"), F.col("event_id")).alias("__key"), "canonical_id")
     out = left.join(right, "__key", "left")
     return out.withColumn("economic_event_id", F.coalesce("canonical_id", "economic_event_id")).select(*rows.columns)
+
+
+def regraded(
+    graded: DataFrame, events: DataFrame, mapping: DataFrame, policy: sv.SeverityPolicy | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Graded rows and events after a merge, as if all rows had been graded anew.
+
+    Only the events that ``mapping`` names, on either side, can change: their rows are moved and graded, all others stay
+    as they are. A mapping is a table of decisions, written before, so Spark knows its size; kept rows are told from
+    moved ones by it wherever they are read, without a shuffle when it is small. ``graded`` and ``events`` are read
+    twice, so pass written ones.
+    """
+    named = mapping.select("event_id").union(mapping.select("canonical_id")).distinct()
+    named = named.select(F.concat(F.lit("v"), F.col("event_id")).alias("__key"))
+    keyed = graded.withColumn("__key", spread_key(graded, "economic_event_id"))
+    moved = keyed.join(named, "__key", "left_semi").drop("__key", "severity_tier", "severity_reasons")
+    moved = cut_lineage(apply_merges(moved, mapping))
+    fresh = cut_lineage(sv.with_summary(sv.event_severity(moved, policy), policy))
+    kept_rows = keyed.join(named, "__key", "left_anti").drop("__key")
+    kept_events = events.withColumn("__key", F.concat(F.lit("v"), F.col("economic_event_id")))
+    kept_events = kept_events.join(named, "__key", "left_anti").drop("__key")
+    return kept_rows.unionByName(sv.attach_severity(moved, fresh)), kept_events.unionByName(fresh)

@@ -45,10 +45,13 @@ class Stage2Tables:
 def outputs(rows: DataFrame, options: Stage2Options) -> Stage2Tables:
     """Events and everything that follows from linked rows; events and graded rows are written once and read by the rest."""
     events = cut_lineage(sv.with_summary(sv.event_severity(rows, options.severity), options.severity))
-    graded = cut_lineage(sv.attach_severity(rows, events))
+    return _tables(cut_lineage(sv.attach_severity(rows, events)), events, options)
+
+
+def _tables(graded: DataFrame, events: DataFrame, options: Stage2Options) -> Stage2Tables:
     queue = sv.review_events(events)
-    has_cases = "case_tag" in rows.columns
-    has_pairs = set(pr.PAIR_INPUT) <= set(rows.columns)
+    has_cases = "case_tag" in graded.columns
+    has_pairs = set(pr.PAIR_INPUT) <= set(graded.columns)
     return Stage2Tables(
         rows=graded,
         events=events,
@@ -66,7 +69,10 @@ def stage2(
     pair_decisions: DataFrame | None = None,
     options: Stage2Options = Stage2Options(),
 ) -> Stage2Tables:
-    """Decisions come after linking, so they never re-link rows. Merged ids recompute all but the pair queue."""
+    """Decisions come after linking, so they never re-link rows.
+
+    After a merge the events it names are graded anew; all tables but the pair queue follow from the new grades.
+    """
     rows = assign_event_ids(observations, options.link, respect_existing=options.respect_existing)
     if qa_decisions is not None:
         rows = dc.apply_qa_decisions(rows, qa_decisions)
@@ -74,22 +80,20 @@ def stage2(
     rows = cut_lineage(rows)
     tables = outputs(rows, options)
     if options.pairs_enabled and tables.pairs is not None:
-        tables = _with_pair_queue(rows, tables, pair_decisions, options)
+        tables = _with_pair_queue(tables, pair_decisions, options)
     if options.max_tier0_ratio is not None:
         gates.require(gates.tier0_gate(tables.events, options.max_tier0_ratio), "tier-0 share of events")
     return tables
 
 
-def _with_pair_queue(
-    rows: DataFrame, tables: Stage2Tables, decisions: DataFrame | None, options: Stage2Options
-) -> Stage2Tables:
+def _with_pair_queue(tables: Stage2Tables, decisions: DataFrame | None, options: Stage2Options) -> Stage2Tables:
     """The queue is a table of cell pairs with one of their rows; rows are paired by whoever reviews a cell pair."""
     graded, queue = tables.rows, tables.pairs
     if decisions is not None:
         if options.suppress_reviewed:
             queue = dc.suppress_reviewed(queue, decisions)
         if not decisions.where(F.col("decision") == "MERGE").isEmpty():
-            tables = outputs(dc.apply_merges(rows, dc.merge_map(decisions)), options)
+            tables = _tables(*dc.regraded(graded, tables.events, dc.merge_map(decisions), options.severity), options)
     # Written once: the queue is an artefact of its own, and names the events and the rows of two others.
     queue = cut_lineage(queue)
     return replace(

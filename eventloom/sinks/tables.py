@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom import schemas
@@ -90,25 +90,43 @@ def append_row(df: DataFrame, path: str) -> None:
 # --- landing log -----------------------------------------------------------------------------
 
 
-def append_if_changed(landing: DataFrame, path: str, order: str = "seq") -> DataFrame:
-    """Append payloads (fund, asof, content) whose hash differs from the one before, starting from the newest logged.
+# Folders of a landing log; part of its layout, so it must not change for a log that exists.
+LOG_BUCKETS = 256
 
-    ``order`` is a unique column of ``landing``. Several payloads of one (fund, asof) are compared in that order and
-    numbered on from the log, so equal ones in a row are logged once. The log keeps the content, so each version can be
-    read back; only hashes are compared. Returns what was appended.
-    """
+
+def log_bucket() -> Column:
+    """Folder of a payload: by its day alone, since a batch has many funds and few days."""
+    return F.pmod(F.xxhash64("asof"), F.lit(LOG_BUCKETS)).cast("int")
+
+
+def newest_logged(landing: DataFrame, path: str) -> DataFrame:
+    """Hash and number of the newest version of each (fund, asof), read from the folders that ``landing`` touches."""
     spark = landing.sparkSession
-    kind = landing.schema[order].dataType
-    hashed = landing.select("fund", "asof", F.col(order), F.sha2(F.col("content").cast("binary"), 256).alias("content_hash"))
     try:
         log = spark.read.parquet(path)
     except AnalysisException as error:
         if not is_absent(error):
             raise
-        log = spark.createDataFrame([], "fund string, asof string, content_hash string, version int")
-    newest = log.groupBy("fund", "asof").agg(
+        log = spark.createDataFrame([], "fund string, asof string, content_hash string, version int, bucket int")
+    if "bucket" not in log.columns:
+        raise ValueError(f"{path} is not in buckets; write it anew with the bucket of each row")
+    touched = [r.bucket for r in landing.select(log_bucket().alias("bucket")).distinct().collect()]
+    return log.where(F.col("bucket").isin(touched)).groupBy("fund", "asof").agg(
         F.max_by("content_hash", "version").alias("content_hash"), F.max("version").alias("__base")
     )
+
+
+def append_if_changed(landing: DataFrame, path: str, order: str = "seq") -> DataFrame:
+    """Append payloads (fund, asof, content) whose hash differs from the one before, starting from the newest logged.
+
+    ``order`` is a unique column of ``landing``. Several payloads of one (fund, asof) are compared in that order and
+    numbered on from the log, so equal ones in a row are logged once. The log keeps the content, so each version can be
+    read back; only hashes are compared. The log lies in folders by day, of which an append reads those of its own days.
+    Returns what was appended.
+    """
+    kind = landing.schema[order].dataType
+    hashed = landing.select("fund", "asof", F.col(order), F.sha2(F.col("content").cast("binary"), 256).alias("content_hash"))
+    newest = newest_logged(landing, path)
     logged = newest.select("fund", "asof", F.lit(None).cast(kind).alias(order), "content_hash", F.lit(False).alias("__new"))
     both = logged.unionByName(hashed.withColumn("__new", F.lit(True)))
     out = None
@@ -123,7 +141,8 @@ def append_if_changed(landing: DataFrame, path: str, order: str = "seq") -> Data
     )
     # Written before the log grows: the plan reads the log.
     added = cut_lineage(landing.join(versions, order).select(*landing.columns, "content_hash", "version"))
-    added.write.mode("append").parquet(path)
+    placed = added.withColumn("bucket", log_bucket()).hint("rebalance", "bucket")
+    placed.write.mode("append").partitionBy("bucket").parquet(path)
     return added
 
 

@@ -149,3 +149,42 @@ def test_templates_are_written_once(spark, tmp_path):
 def test_events_without_rows(table):
     assert sv.event_severity(case_rows(table).where("false")).count() == 0
     assert sv.tier0_ratio(sv.event_severity(case_rows(table).where("false"))).first().tier0_ratio == 0.0
+
+
+MERGES = "enabled string, underlying string, econ_id_a string, econ_id_b string, decision string, canonical_econ_id string"
+
+
+@pytest.mark.parametrize(
+    "pairs",
+    [
+        [("e3", "e4", "")],
+        [("e1", "e2", ""), ("e2", "e3", "")],  # a chain
+        [("e1", "e5", "new")],  # the event moves to an id nobody has
+        [("e6", "none", "")],  # nothing to move
+        [("e1", "e2", ""), ("e4", "e5", ""), ("e6", "e7", "e3")],
+    ],
+)
+def test_a_merge_regrades_as_a_full_run_would(table, pairs):
+    merges = table(
+        MERGES,
+        [{"enabled": "true", "econ_id_a": a, "econ_id_b": b, "decision": "MERGE", "canonical_econ_id": c} for a, b, c in pairs],
+    )
+    blank = {"row_idx": 99, "underlying": "ABC", "economic_event_id": "", "case_tag": "O1", "isin": ""}
+    rows = case_rows(table).unionByName(table(ROWS, [blank, {"row_idx": 100, "underlying": "ABC"}]))
+    options = s2.Stage2Options(respect_existing=True)
+    before = s2.outputs(rows, options)
+    mapping = dc.merge_map(sd.clean_pair_decisions(merges))
+    graded, events = dc.regraded(before.rows, before.events, mapping, options.severity)
+    full = s2.outputs(dc.apply_merges(rows, mapping), options)
+    listed = lambda df: sorted(map(repr, df.select(*sorted(df.columns)).collect()))
+    assert listed(graded) == listed(full.rows) and listed(events) == listed(full.events)
+
+
+def test_a_merge_grades_only_the_rows_it_names(table, monkeypatch):
+    seen = []
+    grade = sv.event_severity
+    monkeypatch.setattr(sv, "event_severity", lambda rows, policy=None: seen.append(rows.count()) or grade(rows, policy))
+    merge = table(MERGES, [{"enabled": "true", "econ_id_a": "e3", "econ_id_b": "e4", "decision": "MERGE", "canonical_econ_id": ""}])
+    options = s2.Stage2Options(respect_existing=True, pairs_enabled=True)
+    s2.stage2(case_rows(table), pair_decisions=sd.clean_pair_decisions(merge), options=options)
+    assert seen == [11, 2]

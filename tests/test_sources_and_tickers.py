@@ -473,3 +473,34 @@ def test_files_without_broken_cells_are_still_split(spark, tmp_path):
     lone = tmp_path / "lone.csv"
     lone.write_text('a,b\n1,5" pipe\n2,x\n')
     assert [(r.a, r.b) for r in st.read_table(spark, str(lone)).orderBy("a").collect()] == [("1", '5" pipe'), ("2", "x")]
+
+
+def test_an_append_reads_only_the_days_of_its_batch(spark, tmp_path):
+    from eventloom.sinks import tables as sinks
+
+    path = str(tmp_path / "log")
+    make = lambda rows: spark.createDataFrame(rows, "fund string, asof string, seq bigint, content string")
+    days = [f"2024-01-{d:02d}" for d in range(1, 21)]
+    first = [(f"F{f}", day, i * 10 + f, f"{f}{day}") for i, day in enumerate(days) for f in range(3)]
+    assert sinks.append_if_changed(make([*first, ("F0", None, 900, "x")]), path).count() == 61
+    folders = {p.name for p in (tmp_path / "log").iterdir() if p.name.startswith("bucket=")}
+    assert len(folders) > 5
+    batch = make([("F0", days[3], 1000, "new"), ("F1", days[3], 1001, f"1{days[3]}"), ("F9", days[3], 1002, "other"), ("F0", None, 1003, "x")])
+    plan = sinks.newest_logged(batch, path)
+    plan.collect()
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [bucket" in text
+    read = spark.read.parquet(path).join(batch.select(sinks.log_bucket().alias("bucket")).distinct(), "bucket").select("asof").distinct()
+    assert {r.asof for r in plan.select("asof").distinct().collect()} == {r.asof for r in read.collect()} != set(days) | {None}
+    added = sinks.append_if_changed(batch, path)
+    assert sorted((r.fund, r.version) for r in added.collect()) == [("F0", 2), ("F9", 1)]
+
+
+def test_a_log_without_buckets_is_refused(spark, tmp_path):
+    from eventloom.sinks.tables import append_if_changed
+
+    path = str(tmp_path / "log")
+    rows = spark.createDataFrame([("F", "d", 1, "a", "h", 1)], "fund string, asof string, seq bigint, content string, content_hash string, version int")
+    rows.write.parquet(path)
+    with pytest.raises(ValueError, match="buckets"):
+        append_if_changed(rows.select("fund", "asof", "seq", "content"), path)
