@@ -12,6 +12,7 @@ from eventloom.functions import tickers as tk
 from eventloom.operators import fx
 from eventloom.operators import gates
 from eventloom.operators import ingest as ig
+from eventloom.operators import pairs as pr
 from eventloom.operators import resolution_records as rr
 from eventloom.operators import resolve as rs
 from eventloom.operators import review as rv
@@ -21,6 +22,7 @@ from eventloom.operators import ticker_qa as tq
 from eventloom.operators import venues as vn
 from eventloom.operators.venue_policy import annotate_policy
 from eventloom.session import cut_lineage
+from eventloom.sources import decisions as sd
 from eventloom.sources import vendor as vd
 
 SUFFIXES = ", ".join(f"'{s}'" for s in vn.VENDOR_SUFFIXES)
@@ -902,18 +904,30 @@ def _(t: Tables) -> DataFrame:
     return gates.fallback_gate(base.unionByName(base.where("row_idx % 10 = 3")))
 
 
-@query(
-    "gate5_required_columns",
-    "SELECT 'underlying_ccy' AS missing_column, count(*) AS report_rows FROM v_resolutions",
-)
+REQUIRED_INPUTS = {
+    "report": ("v_resolutions", tq.REQUIRED, ["underlying_ccy", "chosen_ticker"]),
+    "pairs": ("v_rows", pr.PAIR_INPUT, ["pay_date"]),
+    "decisions": ("v_decisions", sd.QA_REQUIRED, []),
+    "universe": ("v_securities", ["underlying", "underlying_ccy", "isin", "sedol"], []),
+}
+
+
+def required_sql() -> str:
+    """Each input's columns, as its rows name them, against those it must have."""
+    parts = []
+    for name, (view, required, dropped) in REQUIRED_INPUTS.items():
+        gone = "".join(f" AND k <> '{c}'" for c in dropped)
+        listed = ", ".join(f"('{c}')" for c in required)
+        parts.append(
+            f"""SELECT '{name}' AS input, c AS required_column, (SELECT count(*) FROM {view}) AS "rows",
+      c NOT IN (SELECT k FROM (SELECT DISTINCT unnest(json_keys(to_json(v))) AS k FROM {view} v) d WHERE TRUE{gone}) AS breached FROM (VALUES {listed}) t(c)"""
+        )
+    return " UNION ALL ".join(parts)
+
+
+@query("gate5_required_columns", required_sql())
 def _(t: Tables) -> DataFrame:
-    # The check runs at plan time; its message names what is missing.
-    try:
-        tq.prepare_report(res(t).drop("underlying_ccy"))
-        missing = "none"
-    except ValueError as error:
-        missing = "underlying_ccy" if "underlying_ccy" in str(error) else "other"
-    return tq.prepare_report(res(t)).agg(F.count("*").alias("report_rows")).withColumn("missing_column", F.lit(missing))
+    return gates.columns_gate({name: (t.view(view).drop(*dropped), required) for name, (view, required, dropped) in REQUIRED_INPUTS.items()})
 
 
 @query(

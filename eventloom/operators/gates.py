@@ -77,3 +77,20 @@ def require_materiality(report: DataFrame, **limits) -> None:
 def fallback_gate(report: DataFrame) -> DataFrame:
     """Breached when a fallback weight is attached to more than one row."""
     return verdicts(tq.weight_diagnostics(report), {"fallback_duplicate_rows": 0.0})
+
+
+def columns_gate(inputs: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
+    """(input, required_column, rows, breached) for every column a stage asks of its inputs.
+
+    ``rows`` counts what the stage would have read, so a table without the column and one without rows are told apart.
+    """
+    if not inputs:
+        raise ValueError("no input is named")
+    out = None
+    for name, (df, required) in inputs.items():
+        cells = [F.struct(F.lit(c).alias("required_column"), F.lit(c not in df.columns).alias("breached")) for c in required]
+        counted = df.agg(F.count(F.lit(1)).alias("rows"))
+        one = counted.select(F.lit(name).alias("input"), "rows", F.inline(F.array(*cells)))
+        one = one.select("input", "required_column", "rows", "breached")
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -188,3 +188,16 @@ def test_a_merge_grades_only_the_rows_it_names(table, monkeypatch):
     options = s2.Stage2Options(respect_existing=True, pairs_enabled=True)
     s2.stage2(case_rows(table), pair_decisions=sd.clean_pair_decisions(merge), options=options)
     assert seen == [11, 2]
+
+
+def test_required_columns_are_told_per_input(spark, table):
+    rows = case_rows(table)
+    made = gates.columns_gate({"whole": (rows, ["underlying", "amount"]), "cut": (rows.drop("amount").limit(0), ["underlying", "amount"])})
+    assert sorted(map(tuple, made.collect())) == [
+        ("cut", "amount", 0, True),
+        ("cut", "underlying", 0, False),
+        ("whole", "amount", 11, False),
+        ("whole", "underlying", 11, False),
+    ]
+    with pytest.raises(gates.GateError, match="amount"):
+        gates.require(made, "columns")
