@@ -55,7 +55,7 @@ LINKED_PAIRS = PAIR_QUEUE.format(pay=3, amount=5.0).replace("r AS (SELECT *, div
     f"""WITH {STAGE2}, {LINKED_PAIRS},
     c AS (SELECT DISTINCT x.underlying, x.econ_id, x.ex, x.pay, x.amount, x.ccy, y.econ_id AS econ_id_2, y.ex AS ex_2, y.pay AS pay_2, y.amount AS amount_2, y.ccy AS ccy_2
       FROM q JOIN b x ON x.row_idx = row_idx_a JOIN b y ON y.row_idx = row_idx_b)
-    SELECT 'pair_queue' AS artefact, count(*) AS n FROM c UNION ALL SELECT 'row_pairs', count(*) FROM q
+    SELECT 'pair_queue' AS artefact, count(*) AS n FROM q UNION ALL SELECT 'pair_cells', count(*) FROM c
     UNION ALL SELECT 'pair_members', count(*) FROM (SELECT row_idx_a FROM q UNION SELECT row_idx_b FROM q) m
     UNION ALL SELECT 'pair_events', count(*) FROM sev WHERE economic_event_id IN (SELECT econ_id_a FROM q UNION SELECT econ_id_b FROM q)""",
 )
@@ -63,6 +63,4 @@ def _(t: Tables) -> DataFrame:
     root = scratch(t, "pairs")
     options = s2.Stage2Options(pairs_enabled=True, pairs=WIDE)
     s2.run(t.spark, root, observations(t), options=options)
-    made = counted({name: t.spark.read.parquet(f"{root}/stage2/{name}") for name in ("pair_queue", "pair_members", "pair_events")})
-    rows = t.spark.read.parquet(f"{root}/stage2/pair_queue").agg(F.coalesce(F.sum("n_pairs"), F.lit(0)).cast("long").alias("n"))
-    return made.unionByName(rows.select(F.lit("row_pairs").alias("artefact"), "n"))
+    return counted({name: t.spark.read.parquet(f"{root}/stage2/{name}") for name in ("pair_queue", "pair_cells", "pair_members", "pair_events")})

@@ -178,3 +178,25 @@ def test_a_hot_day_is_ranked_in_parts(table):
     made = pr.first_pairs(table(SCHEMA, rows), 40, 10)
     got = [(r.row_idx_a, r.row_idx_b) for r in made.collect()]
     assert sorted(got) == sorted((a["row_idx"], b["row_idx"]) for a, b in brute_pairs(rows, 10)[:40])
+
+
+def test_stage_two_writes_every_row_pair(spark, table, tmp_path):
+    from eventloom.plans import stage2 as s2
+
+    rows = [("U", "U", "O3", f"2024-01-{d:02}", "2024-02-01", "1.0", "USD", f"e{d}", "", i) for i, d in enumerate([1] * 3 + [3] * 4)]
+    rows = [dict(zip(["underlying", "isin", "case_tag", "ex_date", "pay_date", "amount", "div_ccy", "economic_event_id", "vendor_event_id"], r, strict=False)) | {"row_idx": r[-1]} for r in rows]
+    data = spark.createDataFrame(rows, "underlying string, isin string, case_tag string, ex_date string, pay_date string, amount string, div_ccy string, economic_event_id string, vendor_event_id string, row_idx bigint")
+    s2.run(spark, str(tmp_path), data, options=s2.Stage2Options(respect_existing=True, pairs_enabled=True))
+    read = lambda name: spark.read.parquet(f"{tmp_path}/stage2/{name}")
+    assert {(r.row_idx_a, r.row_idx_b) for r in read("pair_queue").collect()} == {(a, b) for a in range(3) for b in range(3, 7)}
+    assert read("pair_cells").count() == 1 and read("pair_members").count() == 7
+
+
+def test_a_cell_asks_few_boxes(spark):
+    cells = spark.sql(
+        """SELECT 'U' AS g, date_add(DATE'2024-01-01', cast(id % 50 AS int)) AS ex_date, date_add(DATE'2024-02-01', cast(id % 31 AS int)) AS pay_date,
+        (id * 37 % 1000) / 7.0D - 30 AS amount FROM range(2000)"""
+    ).distinct()
+    probes, placed = ov._boxed(cells)
+    # 18 with boxes of a day and a band.
+    assert probes.count() < 4 * placed.count()
