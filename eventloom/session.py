@@ -65,3 +65,9 @@ def release(*frames: DataFrame) -> None:
         if path:
             target = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt over all cores, for costly work on rows of small files, which Spark reads in few tasks."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from eventloom.functions import text as tx
 from eventloom.functions import values as vl
 from eventloom.operators.skew import CHUNK, split_by_heat
+from eventloom.session import spread
 from eventloom.sources.tables import read_table
 
 # Symbols that are really currency rows.
@@ -157,31 +158,36 @@ def payload_problem(content: Column) -> Column:
     """Why a payload cannot be used, null when it can."""
     body = F.ltrim(F.regexp_replace(content, "^﻿", ""))
     tree = F.try_parse_json(body)
-    kind = F.schema_of_variant(tree)
     rows = F.try_variant_get(tree, "$.aaData", "array<variant>")
+    # Usable payloads come first and are parsed once; only the others are asked why.
     return (
-        F.when(F.coalesce(tx.strip(body), F.lit("")) == "", F.lit("empty"))
+        F.when(body.startswith("{") & rows.isNotNull(), F.lit(None).cast("string"))
+        .when(F.coalesce(tx.strip(body), F.lit("")) == "", F.lit("empty"))
         .when(~F.substring(body, 1, 1).isin("{", "["), F.lit("not_json"))
         .when(tree.isNull(), F.lit("broken_json"))
-        .when(~kind.startswith("OBJECT"), F.lit("root_not_object"))
-        .when(rows.isNull(), F.lit("no_rows"))
+        .when(body.startswith("["), F.lit("root_not_object"))
+        .otherwise(F.lit("no_rows"))
     )
 
 
 def validate_payloads(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(usable, rejected with ``problem``)."""
-    judged = payloads.withColumn("problem", payload_problem(F.col("content")))
+    """(usable, rejected with ``problem``). Parsing is the work, so the texts are dealt over all cores first."""
+    judged = spread(payloads).withColumn("problem", payload_problem(F.col("content")))
     return judged.where(F.col("problem").isNull()).drop("problem"), judged.where(F.col("problem").isNotNull())
 
 
 def cell_text(cell: Column) -> Column:
     """Text of a cell: ``raw`` of an object, else its ``display``, else the scalar itself."""
     kind = F.schema_of_variant(cell)
-    is_object = kind.startswith("OBJECT")
+    text = F.try_variant_get(cell, "$", "string")
+    other = F.when(kind.rlike("[<, ]`?raw`?: "), F.lit(None).cast("string")).otherwise(
+        F.coalesce(F.try_variant_get(cell, "$.display", "string"), F.lit(""))
+    )
+    # The schema of a cell is costly, so only cells that print like an object without ``raw`` are asked for it.
     return (
-        F.when(is_object & kind.rlike("[<, ]`?raw`?: "), F.try_variant_get(cell, "$.raw", "string"))
-        .when(is_object, F.coalesce(F.try_variant_get(cell, "$.display", "string"), F.lit("")))
-        .otherwise(F.try_variant_get(cell, "$", "string"))
+        F.when(F.try_variant_get(cell, "$.raw", "variant").isNotNull(), F.try_variant_get(cell, "$.raw", "string"))
+        .when(text.startswith("{") & kind.startswith("OBJECT"), other)
+        .otherwise(text)
     )
 
 
@@ -205,14 +211,12 @@ def snapshot_rows(payloads: DataFrame) -> DataFrame:
         F.try_variant_get("tree", "$.aaData", "array<variant>"), F.try_variant_get("tree", "$", "array<variant>")
     )
     stated = F.try_variant_get("tree", "$.asOfDate", "string")
-    df = df.select("fund", asof_day(stated, F.col("file_name")).alias("asof"), F.posexplode(rows).alias("row_no", "row"))
-    df = df.where(F.schema_of_variant("row").startswith("ARRAY"))
-    return df.select(
-        "fund",
-        "asof",
-        "row_no",
-        *[cell_text(F.try_variant_get("row", f"$[{i}]", "variant")).alias(name) for i, (name, _, _) in enumerate(CELLS)],
-    )
+    # Rows become texts before they are exploded: one small loop, and what filters the rows reads texts. The outer form
+    # keeps Spark from testing the texts (and so making them) once more before the payloads are dealt.
+    cells = lambda row: F.transform(F.slice(F.try_variant_get(row, "$", "array<variant>"), 1, len(CELLS)), cell_text)
+    df = df.select("fund", asof_day(stated, F.col("file_name")).alias("asof"), F.transform(rows, cells).alias("rows"))
+    df = df.select("fund", "asof", F.posexplode_outer("rows").alias("row_no", "row")).where(F.col("row").isNotNull())
+    return df.select("fund", "asof", "row_no", *[F.get("row", F.lit(i)).alias(name) for i, (name, _, _) in enumerate(CELLS)])
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -504,3 +504,14 @@ def test_a_log_without_buckets_is_refused(spark, tmp_path):
     rows.write.parquet(path)
     with pytest.raises(ValueError, match="buckets"):
         append_if_changed(rows.select("fund", "asof", "seq", "content"), path)
+
+
+def test_payloads_of_one_small_file_are_dealt_over_tasks(spark):
+    content = '{"aaData": [["A", "n", "s", "Equity", 1, {"raw": null, "display": "2"}, {"display": null}, {"x": {"raw": 3}}], 5]}'
+    payloads = spark.createDataFrame([(f"F{i}", f"20250101_F{i}.json", content) for i in range(64)], "fund string, file_name string, content string")
+    usable = hd.validate_payloads(payloads.coalesce(1))[0]
+    rows = hd.snapshot_rows(usable)
+    assert rows.select(F.spark_partition_id()).distinct().count() > 1
+    got = rows.drop("fund", "asof").distinct().collect()
+    # A null ``raw`` is null, a missing one reads as ``display``, an element that is no row is left out.
+    assert [(r.row_no, r.underlying, r.market_value, r.weight_pct, r.notional_value, r.quantity, r.isin) for r in got] == [(0, "A", "1", None, "", None, None)]
