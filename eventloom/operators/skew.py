@@ -18,6 +18,8 @@ from eventloom.session import cut_lineage
 
 # A key with more rows than this is scanned in chunks of about this size.
 HOT_ROWS = 2_000_000
+# Rows of a range that one task sorts and cuts into chunks, at least.
+RANGE_ROWS = 50_000
 CHUNK = "__chunk"
 
 
@@ -127,9 +129,15 @@ class OrderedScan:
 
 
 def into_chunks(df: DataFrame, keys: list[str], order: list[str], rows: int, limit: int) -> DataFrame:
-    """Cut rows into ordered chunks of about ``limit`` rows; the last order column must be unique."""
-    parts = max(2, -(-rows // limit))
-    chunked = df.repartitionByRange(parts, *keys, *order).withColumn(CHUNK, F.spark_partition_id())
+    """Cut rows into ordered chunks of at most ``limit`` rows; the last order column must be unique.
+
+    The rows are dealt in ranges that suit a task, and each sorted range is cut by position, so small chunks do not make
+    as many tasks and files.
+    """
+    parts = max(2, -(-rows // max(limit, RANGE_ROWS)))
+    ranged = df.repartitionByRange(parts, *keys, *order).sortWithinPartitions(*keys, *order)
+    # The id is range * 2^33 + position: it grows with the order, and no chunk holds rows of two ranges.
+    chunked = ranged.withColumn(CHUNK, F.floor(F.monotonically_increasing_id() / limit))
     # Range bounds come from a sample, so they are fixed once and for all before anything reads them.
     return cut_lineage(chunked)
 

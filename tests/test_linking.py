@@ -228,3 +228,15 @@ def test_chunks_of_a_few_rows_carry_every_state(spark, table, limits):
             spark.conf.unset("eventloom.hotRows")
         assert {tuple(r) for r in got.select(*shown).collect()} == plain
     assert len({r[1] for r in plain}) > 20
+
+
+def test_small_chunks_make_few_ranges(spark):
+    from eventloom.operators.skew import into_chunks
+
+    rows = spark.range(1000).selectExpr("cast(id % 3 AS string) AS key", "id AS row_idx")
+    out = into_chunks(rows, ["key"], ["row_idx"], 1000, 4)
+    # One range, file and task per chunk before: 250.
+    assert len(out.inputFiles()) <= 2
+    placed = sorted((r.key, r.row_idx, r["__chunk"]) for r in out.collect())
+    chunks = [c for _, _, c in placed]
+    assert len(placed) == 1000 and chunks == sorted(chunks) and max(map(chunks.count, set(chunks))) <= 4
