@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from eventloom.checks import views
-from eventloom.session import cut_lineage
+from eventloom.session import cut_lineage, tune
 
 Query = Callable[["Tables"], DataFrame]
 
@@ -19,6 +19,7 @@ class Tables:
     """The driver tables of one scale folder, and the engine inputs derived from them."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
+        tune(spark)
         self.spark = spark
         self.folder = folder
 

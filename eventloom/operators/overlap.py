@@ -128,27 +128,41 @@ def with_repeated_ids(df: DataFrame) -> DataFrame:
     return out.select(*[keyed[c] for c in df.columns], F.coalesce("flag_O4", F.lit(False)).alias("flag_O4"))
 
 
-def _near_cells(cells: DataFrame, group: str) -> DataFrame:
-    """Cells with their O3a, O3b, O3d flags: another cell of the group with a close amount, days apart.
+# Sizes of the boxes in which cells meet: amount bands, ex days and pay days.
+BOXES = {"__band": 4, "__week": 16, "__pay": 4}
+
 
-    Cells meet by ex week, pay day and amount band. The band is the logarithm of the amount in steps of the widest
-    close pair, so close amounts lie in one band or in bands side by side. Each pair is met once, from its earlier
-    ex date, and counts for both.
+def _boxed(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Cells once per box they ask for near cells, and cells in their own box.
+
+    The band is the logarithm of the amount in steps of the widest close pair, so close amounts are at most a step
+    apart. Boxes are wider than what is searched, so a cell asks one or two in each direction: some three in all.
     """
     # vl.amount_close allows two parts in a hundred of the larger amount, at least of 1e-9.
     step, floor = 0.0203, 1e-9
-    band = F.floor(F.signum("amount") * F.log(F.greatest(F.abs("amount"), F.lit(floor)) / floor) / step)
-    week = F.floor(F.unix_date("ex_date") / (MAX_EX_DIFF + 1))
-    placed = cells.withColumns({"__band": band, "__week": week, "__pay": F.unix_date("pay_date")})
-    keys = [group, "__band", "__week", "__pay"]
-    probes = placed
-    for column, steps in (("__band", (-1, 0, 1)), ("__week", (0, 1)), ("__pay", (-1, 0, 1))):
-        probes = probes.withColumn(column, F.explode(F.array(*[F.col(column) + d for d in steps])))
+    place = F.signum("amount") * F.log(F.greatest(F.abs("amount"), F.lit(floor)) / floor) / step
+    ex, pay = F.unix_date("ex_date"), F.unix_date("pay_date")
+    box = lambda value, name: F.floor(value / BOXES[name]).cast("long")
+    placed = cells.withColumns({"__band": box(place, "__band"), "__week": box(ex, "__week"), "__pay": box(pay, "__pay")})
+    probes = cells
+    for column, lo, hi in (("__band", place - 1, place + 1), ("__week", ex + 1, ex + MAX_EX_DIFF), ("__pay", pay - 1, pay + 1)):
+        probes = probes.withColumn(column, F.explode(F.sequence(box(lo, column), box(hi, column))))
+    return probes, placed
+
+
+def _near_cells(cells: DataFrame, group: str) -> DataFrame:
+    """Cells with their O3a, O3b, O3d flags: another cell of the group with a close amount, days apart.
+
+    Cells meet in boxes of ex days, pay days and amount bands. Each pair is met once, from its earlier ex date, and
+    counts for both.
+    """
+    keys = [group, *BOXES]
+    probes, placed = _boxed(cells)
     a = probes.select(*keys, *[F.col(c).alias(f"{c}_a") for c in ("ex_date", "pay_date", "amount")])
     b = placed.select(*keys, *[F.col(c).alias(f"{c}_b") for c in ("ex_date", "pay_date", "amount")])
     ex, pay = F.datediff("ex_date_b", "ex_date_a"), F.abs(F.datediff("pay_date_b", "pay_date_a"))
     near = a.join(b, keys).where(
-        ex.between(1, MAX_EX_DIFF) & ((pay == 0) | (ex <= 2)) & vl.amount_close(F.col("amount_a"), F.col("amount_b"))
+        ex.between(1, MAX_EX_DIFF) & ((pay == 0) | ((pay == 1) & (ex <= 2))) & vl.amount_close(F.col("amount_a"), F.col("amount_b"))
     )
     sides = F.explode(
         F.array(*[F.struct(*[F.col(f"{c}_{s}").alias(c) for c in ("ex_date", "pay_date", "amount")]) for s in "ab"])
