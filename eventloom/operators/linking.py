@@ -432,10 +432,14 @@ def label_seeds(df: DataFrame, scan: OrderedScan) -> DataFrame:
     fingerprint = vl.digest(F.concat_ws("|", F.col("__source"), F.col("__source_key")), 16)
     at_start = (F.col("anchor_date") == F.col("__seed.anchor")) & (F.col("__tie") == F.col("__seed.tie"))
     if not scan.chunked:
-        # The rows are already together by group, so this window needs a sort but no exchange.
-        df = df.withColumn("__fp", fingerprint)
-        w = Window.partitionBy(*scan.keys, "anchor_date", "__tie", "__seed").orderBy("__fp", "row_idx")
-        return df.withColumn("__is_seed", at_start & (F.row_number().over(w) == 1)).drop("__fp")
+        # Rows at a start agree in anchor and tie with their seed, so those of a start lie side by side in the order of
+        # the walk: these windows need neither an exchange nor a sort.
+        run = Window.partitionBy(*scan.keys, "anchor_date", "__tie")
+        so_far = run.orderBy("row_idx").rowsBetween(Window.unboundedPreceding, 0)
+        df = df.withColumn("__fp", F.when(at_start, fingerprint))
+        df = df.withColumn("__least", F.coalesce(F.col("__fp") == F.min("__fp").over(run), F.lit(False)))
+        first = F.col("__least") & (F.count(F.when(F.col("__least"), 1)).over(so_far) == 1)
+        return df.withColumn("__is_seed", first).drop("__fp", "__least")
     df = df.withColumn("__fp", F.when(at_start, F.struct(fingerprint.alias("fp"), "row_idx")))
     # Starts within a chunk are settled there. Those that an event carried into a chunk may share with it are compared
     # over chunks: a seed for each chunk at most.

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from eventloom.functions import text as tx
 from eventloom.functions import values as vl
+from eventloom.operators.skew import split_crowded
 
 EVENT_COLUMNS = [
     "economic_event_id",
@@ -72,15 +73,21 @@ def require_columns(df: DataFrame, columns: list[str], what: str) -> None:
         raise ValueError(f"{what}: missing columns {missing}")
 
 
+# Rows of an event that one task may hold the distinct amounts and dates of.
+EVENT_ROWS = 200_000
+CARRIED = ["underlying", "isin", "div_ccy", "underlying_ccy"]
+
+
 def event_metrics(rows: DataFrame) -> DataFrame:
     """One row per event id with its measures; rows without an id are left out.
 
-    Aggregates only, distinct counts included, so Spark combines before the shuffle and a hot event
-    costs no more than its distinct values. ``rows`` is read twice, so pass one that is materialised.
+    An event's rows meet in one exchange of the columns that are measured, and one pass over them. Events that may have
+    more than ``EVENT_ROWS`` rows go another way: aggregates only, distinct counts included, so Spark combines before
+    the shuffle and a hot event costs no more than its distinct values. ``rows`` may be read several times, so pass one
+    that is materialised.
     """
     require_columns(rows, ["economic_event_id"], "event metrics")
     has = set(rows.columns)
-    carried = ["underlying", "isin", "div_ccy", "underlying_ccy"]
     # Values are typed before they are aggregated: distinct counts multiply rows, not expressions.
     typed = rows.where(tx.text_or_blank(F.col("economic_event_id")) != "").select(
         "economic_event_id",
@@ -88,24 +95,50 @@ def event_metrics(rows: DataFrame) -> DataFrame:
         vl.number_in(rows, "amount").alias("__amount"),
         vl.day_in(rows, "anchor_date").alias("__anchor"),
         vl.day_in(rows, "pay_date").alias("__pay"),
-        *[_some_text(rows, c).alias(f"__{c}") for c in [*carried, "primary_ident"]],
+        *[_some_text(rows, c).alias(f"__{c}") for c in [*CARRIED, "primary_ident"]],
+    )
+    missing = F.col("__amount").isNull() if "amount" in has else F.lit(False)
+    usual, crowded = split_crowded(typed, "economic_event_id", EVENT_ROWS, size_of=rows)
+    out = _measured_together(usual, missing)
+    return out if crowded is None else out.unionByName(_measured_apart(crowded, missing))
+
+
+def _first_text(name: str) -> Column:
+    value = F.col(f"__{name}")
+    return F.coalesce(F.min_by(value, F.when(value.isNotNull(), F.struct("__place", value))), F.lit("")).alias(name)
+
+
+def _measured_together(typed: DataFrame, missing: Column) -> DataFrame:
+    """Measures of events whose rows fit a task."""
+    distinct = lambda c: F.size(F.collect_set(c)).cast("bigint")
+    # A set tells the zeros apart, a distinct count does not.
+    amount = F.when(F.col("__amount") == 0.0, F.lit(0.0)).otherwise(F.col("__amount"))
+    return typed.repartition("economic_event_id").groupBy("economic_event_id").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.bool_or(missing).alias("missing_amount_any"),
+        F.min("__anchor").alias("anchor_min"),
+        F.max("__anchor").alias("anchor_max"),
+        F.coalesce(F.datediff(F.max("__anchor"), F.min("__anchor")), F.lit(0)).alias("anchor_spread_days"),
+        distinct("__div_ccy").alias("ccy_nunique"),
+        distinct("__primary_ident").alias("ident_nunique"),
+        *[_first_text(c) for c in CARRIED],
+        distinct(amount).alias("amount_nunique"),
+        distinct("__pay").alias("pay_date_nunique"),
     )
 
-    texts = [f"__{c}" for c in [*carried, "primary_ident"]]
+
+def _measured_apart(typed: DataFrame, missing: Column) -> DataFrame:
+    """The same by aggregates that hold for an event of any size."""
+    texts = [f"__{c}" for c in [*CARRIED, "primary_ident"]]
     # Texts repeat within an event, so they are grouped away first; that leaves only fixed-width
     # buffers on the full table and text buffers on a few rows per event.
     cells = typed.groupBy("economic_event_id", *texts).agg(
         F.count(F.lit(1)).alias("__rows"),
         F.min("__place").alias("__place"),
-        F.bool_or(F.col("__amount").isNull() if "amount" in has else F.lit(False)).alias("__missing"),
+        F.bool_or(missing).alias("__missing"),
         F.min("__anchor").alias("__first"),
         F.max("__anchor").alias("__last"),
     )
-
-    def first_text(name: str) -> Column:
-        value = F.col(f"__{name}")
-        return F.coalesce(F.min_by(value, F.when(value.isNotNull(), F.struct("__place", value))), F.lit(""))
-
     described = cells.groupBy("economic_event_id").agg(
         F.sum("__rows").alias("row_count"),
         F.bool_or("__missing").alias("missing_amount_any"),
@@ -114,7 +147,7 @@ def event_metrics(rows: DataFrame) -> DataFrame:
         F.coalesce(F.datediff(F.max("__last"), F.min("__first")), F.lit(0)).alias("anchor_spread_days"),
         F.countDistinct("__div_ccy").alias("ccy_nunique"),
         F.countDistinct("__primary_ident").alias("ident_nunique"),
-        *[first_text(c).alias(c) for c in carried],
+        *[_first_text(c) for c in CARRIED],
     )
     # Amounts and pay dates do vary, so their distinct counts take the rows themselves, two columns wide.
     spread = typed.groupBy("economic_event_id").agg(

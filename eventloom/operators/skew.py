@@ -50,6 +50,29 @@ def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return cond
 
 
+# Hash groups of keys that are counted instead of the keys, at least.
+KEY_GROUPS = 1 << 16
+
+
+def split_crowded(df: DataFrame, key: str, limit: int, size_of: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """Rows whose key has at most ``limit`` rows for sure, and the others, or None when there are none.
+
+    Rows are counted by hash groups of the keys: a pass over one column with a small shuffle, however many keys there
+    are. A crowded group takes along the few other keys that fall into it. ``size_of`` is as for ``hot_keys``.
+    """
+    rows = (df if size_of is None else size_of).count()
+    if rows <= limit:
+        return df, None
+    group = F.pmod(F.xxhash64(key), F.lit(max(KEY_GROUPS, 16 * rows // limit)))
+    counted = df.groupBy(group.alias("__group")).agg(F.count(F.lit(1)).alias("__rows"))
+    # At most rows / limit entries; written, so that the planner knows.
+    crowded = cut_lineage(counted.where(F.col("__rows") > limit).select("__group"))
+    if crowded.isEmpty():
+        return df, None
+    grouped = df.withColumn("__group", group)
+    return tuple(grouped.join(crowded, "__group", how).drop("__group") for how in ("left_anti", "left_semi"))
+
+
 @dataclass(frozen=True)
 class OrderedScan:
     """Running values over ``keys`` in the order of ``order``; chunked when ``chunked`` is set."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,10 +44,26 @@ class Stage2Tables:
     pair_events: DataFrame | None = None
 
 
-def outputs(rows: DataFrame, options: Stage2Options) -> Stage2Tables:
+# Where events and graded rows are written before the rest reads them: by table and artefact name.
+Keep = Callable[[DataFrame, str], DataFrame]
+
+
+def _keep_aside(df: DataFrame, name: str) -> DataFrame:
+    return cut_lineage(df)
+
+
+def _keep_in(base: str) -> Keep:
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        write_table(df, f"{base}/{name}")
+        return df.sparkSession.read.schema(df.schema).parquet(f"{base}/{name}")
+
+    return keep
+
+
+def outputs(rows: DataFrame, options: Stage2Options, keep: Keep = _keep_aside) -> Stage2Tables:
     """Events and everything that follows from linked rows; events and graded rows are written once and read by the rest."""
-    events = cut_lineage(sv.with_summary(sv.event_severity(rows, options.severity), options.severity))
-    return _tables(cut_lineage(sv.attach_severity(rows, events)), events, options)
+    events = keep(sv.with_summary(sv.event_severity(rows, options.severity), options.severity), "events")
+    return _tables(keep(sv.attach_severity(rows, events), "rows"), events, options)
 
 
 def _tables(graded: DataFrame, events: DataFrame, options: Stage2Options) -> Stage2Tables:
@@ -69,6 +86,7 @@ def stage2(
     qa_decisions: DataFrame | None = None,
     pair_decisions: DataFrame | None = None,
     options: Stage2Options = Stage2Options(),
+    keep: Keep = _keep_aside,
 ) -> Stage2Tables:
     """Decisions come after linking, so they never re-link rows.
 
@@ -79,7 +97,7 @@ def stage2(
         rows = dc.apply_qa_decisions(rows, qa_decisions)
     # Linking is the costly part and four tables read its result.
     rows = cut_lineage(rows)
-    tables = outputs(rows, options)
+    tables = outputs(rows, options, keep)
     if options.pairs_enabled and tables.pairs is not None:
         tables = _with_pair_queue(tables, pair_decisions, options)
     if options.max_tier0_ratio is not None:
@@ -107,11 +125,12 @@ def _with_pair_queue(tables: Stage2Tables, decisions: DataFrame | None, options:
     )
 
 
-def write(tables: Stage2Tables, root: str, no_events: DataFrame | None = None) -> None:
-    """Every stage-2 artefact; pair tables only when the pair queue was asked for."""
+def write(tables: Stage2Tables, root: str, no_events: DataFrame | None = None, written: bool = False) -> None:
+    """Every stage-2 artefact; pair tables only when the pair queue was asked for. ``written``: rows and events lie there."""
     base = f"{root}/stage2"
-    write_table(tables.rows, f"{base}/rows")
-    write_table(tables.events, f"{base}/events")
+    if not written:
+        write_table(tables.rows, f"{base}/rows")
+        write_table(tables.events, f"{base}/events")
     write_table(tables.review_events, f"{base}/review_events")
     write_table(tables.review_rows, f"{base}/review_rows")
     for name, df in tables.regions.items():
@@ -136,7 +155,9 @@ def run(
     no_events: DataFrame | None = None,
     options: Stage2Options = Stage2Options(),
 ) -> Stage2Tables:
-    """Gates first, then the writes."""
-    tables = stage2(observations, qa_decisions, pair_decisions, options)
-    write(tables, root, no_events)
+    """Gates first, then the writes. Rows and events that nothing can stop or change go to their place at once."""
+    final = options.max_tier0_ratio is None and pair_decisions is None
+    keep = _keep_in(f"{root}/stage2") if final else _keep_aside
+    tables = stage2(observations, qa_decisions, pair_decisions, options, keep)
+    write(tables, root, no_events, written=final)
     return tables

@@ -201,3 +201,26 @@ def test_required_columns_are_told_per_input(spark, table):
     ]
     with pytest.raises(gates.GateError, match="amount"):
         gates.require(made, "columns")
+
+
+def test_events_are_measured_in_one_exchange(table, monkeypatch):
+    rows = case_rows(table)
+    plan = sv.event_metrics(rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    more = [{"row_idx": 90 + i, "economic_event_id": "e8", "amount": a, "pay_date": f"2025-06-{10 + i % 3}", "underlying": u, "div_ccy": c}
+            for i, (a, u, c) in enumerate([(0.0, None, "USD"), (-0.0, " ", "USD"), (1.5, "LATE", ""), (1.5, "LATER", None), (None, "X", "BRL"), (float("nan"), "X", "BRL")])]
+    rows = rows.unionByName(table(ROWS, more)).unionByName(table(ROWS, more[:2]))
+    want = sorted(map(tuple, sv.event_metrics(rows).collect()))
+    (e8,) = [dict(zip(sv.event_metrics(rows).columns, r)) for r in want if r[0] == "e8"]
+    assert (e8["row_count"], e8["amount_nunique"], e8["pay_date_nunique"], e8["ccy_nunique"], e8["underlying"]) == (8, 2, 3, 2, "LATE")
+    # Events of more rows than a task should hold are measured by aggregates, with the same result.
+    for limit in (1, 3, 5):
+        monkeypatch.setattr(sv, "EVENT_ROWS", limit)
+        assert sorted(map(tuple, sv.event_metrics(rows).collect())) == want
+
+
+def test_rows_and_events_are_written_in_their_place(spark, table, tmp_path):
+    options = s2.Stage2Options(respect_existing=True, pairs_enabled=True)
+    tables = s2.run(spark, str(tmp_path / "run"), case_rows(table), options=options)
+    for df, name, n in ((tables.rows, "rows", 11), (tables.events, "events", 7)):
+        assert df.count() == n and all(f"{tmp_path}/run/stage2/{name}/" in f for f in df.inputFiles())
