@@ -224,3 +224,9 @@ def test_rows_and_events_are_written_in_their_place(spark, table, tmp_path):
     tables = s2.run(spark, str(tmp_path / "run"), case_rows(table), options=options)
     for df, name, n in ((tables.rows, "rows", 11), (tables.events, "events", 7)):
         assert df.count() == n and all(f"{tmp_path}/run/stage2/{name}/" in f for f in df.inputFiles())
+
+
+def test_pairs_are_made_once(table):
+    options = s2.Stage2Options(respect_existing=True, pairs_enabled=True)
+    tables = s2.stage2(case_rows(table), options=options)
+    assert tables.pairs._written_path and tables.pairs.count() == tables.pair_queue.count() == 1
