@@ -58,40 +58,61 @@ class Rule:
         return -(-size * self.part // self.whole)
 
 
-def _word_hash(word: bytes) -> int:
+# Words are read in pieces of eight bytes; longer ones than these are hashed one by one.
+_PIECE = 8
+_LONG_WORD = 8 * _PIECE
+_KEPT = np.array([(1 << 8 * n) - 1 for n in range(_PIECE + 1)], np.uint64)
+_SPACE = np.isin(np.arange(256), list(b"\t\n\x0b\x0c\r "))
+
+
+def _long_word_hash(word: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
 
 
+def _word_hashes(text: bytes) -> np.ndarray:
+    """A 64-bit hash of every word, in order; words are runs of anything but ASCII white space."""
+    inside = np.zeros(len(text) + 2, bool)
+    inside[1:-1] = ~_SPACE[np.frombuffer(text, np.uint8)]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    start, size = edges[::2], edges[1::2] - edges[::2]
+    # The eight bytes at every place of the text.
+    pieces = np.ndarray(len(text) + 1, "<u8", text + bytes(_PIECE), strides=(1,))
+    out = size.astype(np.uint64) * _A
+    longest = min(int(size.max(initial=0)), _LONG_WORD)
+    for at in range(0, longest, _PIECE):
+        these = np.flatnonzero(size > at) if at else slice(None)
+        h = out[these] ^ (pieces[start[these] + at] & _KEPT[np.minimum(size[these] - at, _PIECE)])
+        h = (h ^ (h >> np.uint64(32))) * _B
+        h = (h ^ (h >> np.uint64(29))) * _A
+        out[these] = h ^ (h >> np.uint64(32))
+    for i in np.flatnonzero(size > _LONG_WORD).tolist():
+        out[i] = _long_word_hash(text[start[i] : start[i] + size[i]])
+    return out
+
+
 class Shingler:
-    """Sorted distinct shingle hashes of texts; hashes of words seen before are remembered, within a bound."""
+    """Sorted distinct shingle hashes of texts."""
 
     def __init__(self, words: int) -> None:
         self.words = words
-        self.known: dict[bytes, int] = {}
 
     def __call__(self, text: str | None) -> np.ndarray:
         # Bytes are split at ASCII white space only.
-        found = text.encode("utf-8", "surrogatepass").translate(_CASE).split() if text else []
-        if not found:
-            return np.zeros(0, np.uint64)
-        if len(self.known) > 150_000:
-            self.known.clear()
-        known = self.known
-        for word in set(found).difference(known):
-            known[word] = _word_hash(word)
-        hashes = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
+        hashes = _word_hashes(text.encode("utf-8", "surrogatepass").translate(_CASE) if text else b"")
+        if not len(hashes):
+            return hashes
         k = min(self.words, len(hashes))
         n = len(hashes) - k + 1
-        with np.errstate(over="ignore"):
-            out = hashes[:n] * _B
-            for i in range(1, k):
-                out = (out ^ (out >> np.uint64(31))) * _A + hashes[i : n + i]
-            if len(found) < self.words:
-                # A short text is one shingle, unlike any of full length.
-                out = out + np.uint64(len(found))
-            out = (out ^ (out >> np.uint64(29))) * _B
-            out ^= out >> np.uint64(32)
-        return np.unique(out)
+        out = hashes[:n] * _B
+        for i in range(1, k):
+            out = (out ^ (out >> np.uint64(31))) * _A + hashes[i : n + i]
+        if len(hashes) < self.words:
+            # A short text is one shingle, unlike any of full length.
+            out = out + np.uint64(len(hashes))
+        out = (out ^ (out >> np.uint64(29))) * _B
+        out ^= out >> np.uint64(32)
+        out.sort()
+        return out[np.append(True, out[1:] != out[:-1])]
 
 
 def _digest(shingles: np.ndarray, salt: int) -> tuple[int, int]:
@@ -120,7 +141,7 @@ def _scan(docs: DataFrame, rule: Rule, salt: int) -> DataFrame:
                 keys.append(key)
                 checks.append(check)
                 if len(own):
-                    np.add.at(sketch, (own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
+                    np.add.at(sketch, (own >> np.uint64(64 - SKETCH_BITS)).view(np.int64), 1)
                     spread = (spread + (key or 0)) & 31
             none = pa.nulls(batch.num_rows)
             cols = [ids, pa.array(sizes), pa.array(keys, pa.int64()), pa.array(checks, pa.int64()), none, none, none]
@@ -186,10 +207,11 @@ def _postings(docs: DataFrame, rule: Rule, salt: int, sketch: np.ndarray) -> Dat
                 if len(done) > 50_000:
                     done.clear()
                 done.add(key)
-                seen = counts[(own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+                seen = counts[(own >> np.uint64(64 - SKETCH_BITS)).view(np.int64)]
                 need = rule.need(len(own))
                 longest = min(len(own), len(own) - need + min(MAX_EXTENSION, need))
-                order = np.lexsort((own, seen))[:longest]
+                # Shingles lie in their order already, which settles ties.
+                order = np.argsort(seen, kind="stable")[:longest]
                 # What the sketch cannot tell from chance counts as one standard deviation.
                 others = np.maximum(seen[order].astype(np.float64) - max(noise, 1), noise**0.5)
                 ell = extension(others, len(own), need)

@@ -176,3 +176,16 @@ def test_buckets_are_even_however_rows_repeat(spark):
     for s in range(8):
         own = [r for r in got if r.shard == s]
         assert len(own) == 1125 and sorted(r.slot for r in own) == list(range(1125)) and abs(sum(r.source == "one" for r in own) - 375) <= 60
+
+
+def test_words_are_hashed_together(monkeypatch):
+    words = [w.encode() for w in ("a", "b", "é", "abcdefg", "abcdefgh", "abcdefghi", "x" * 63, "x" * 64, "x" * 65, "x" * 66, "\0", "\0\0", "\0a", "a\0")]
+    alone = [jaccard._word_hashes(w).tolist() for w in words]
+    assert len({h for (h,) in alone}) == len(words)
+    text = b" \t" + b" \n".join([*words, *reversed(words)]) + b"\x0b\x0c\r"
+    assert jaccard._word_hashes(text).tolist() == [h for (h,) in [*alone, *reversed(alone)]]
+    assert jaccard._word_hashes(b"").tolist() == jaccard._word_hashes(b" \t ").tolist() == []
+    # No Python call a word: that took most of the time of the join.
+    calls = []
+    monkeypatch.setattr(jaccard.hashlib, "blake2b", lambda *a, **k: calls.append(a))
+    assert len(jaccard.Shingler(3)(" ".join(f"word{i}" for i in range(1000)))) == 998 and not calls
