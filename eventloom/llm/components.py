@@ -27,11 +27,11 @@ def components(edges: DataFrame) -> DataFrame:
     Edges may be repeated, loops are ignored. Every step aggregates before it joins, so a node with very many
     neighbours is no group of one task, and is written to the shared folder before the next begins.
     """
-    now = cut_lineage(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    now = cut_lineage(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), drop_shuffles=True)
     mark = _mark(now)
     while True:
         stars = _large_star(now).where("u <> v").distinct()
-        before, now = now, cut_lineage(_small_star(stars).where("u <> v").distinct())
+        before, now = now, cut_lineage(_small_star(stars).where("u <> v").distinct(), drop_shuffles=True)
         release(before)
         after = _mark(now)
         if after == mark:
@@ -39,7 +39,7 @@ def components(edges: DataFrame) -> DataFrame:
         mark = after
     leaves = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     named = leaves.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-    done = cut_lineage(named)
+    done = cut_lineage(named, drop_shuffles=True)
     release(now)
     return done
 

@@ -1,20 +1,24 @@
 """N-gram Jaccard join with adaptive multi-match prefixes, and the groups that its links form.
 
-Texts with equal shingle sets are one class. All shingles have one order, rare ones first by a counting sketch over the
-whole corpus. A class that links with another at the threshold shares at least ``l`` of the first ``size - need + l``
+Texts with equal shingle sets are one class. All shingles have one order, rare ones first: those that chance makes of common
+words come last, others go by a counting sketch over the whole corpus. A class that links with another at the threshold shares at least ``l`` of the first ``size - need + l``
 shingles with it, so each class lengthens its prefix by the ``l`` that its estimated cost asks for, and a pair is
 verified only when it shares as many prefix shingles as the smaller ``l`` of both.
 
-Prefix shingles of few classes give candidate pairs. Classes that meet in a shingle of many are not paired row by row
-but chained to one of them. Bundles of classes chained by candidates are verified together: a bundle's sets travel
-once, blocks of them are compared by matrix products, and each pair of blocks is a task of its own.
+Prefix shingles of few classes give candidate pairs; equal lists of classes are paired once, and lists of one least class
+meet before their pairs are counted. A shingle of many classes is not counted but taken to be shared; only classes
+that could link by such shingles alone are chained to one of them. Bundles of classes chained by candidates are verified together: a bundle's sets travel
+once, blocks of them are compared by matrix products, and each pair of blocks is a task of its own. Where many sets
+are wanted, bundles are verified in turns, so that a part of the corpus' sets is on disk at a time.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -28,8 +32,10 @@ from eventloom.llm.components import components
 from eventloom.session import cut_lineage, release
 
 # Counters of the sketch, in chunks that are added up by chunk.
-SKETCH_BITS = 19
-CHUNK_BITS = 12
+SKETCH_BITS = 22
+CHUNK_BITS = 15
+# Counters of words, in the chunks behind those of shingles.
+WORD_BITS = 16
 # A prefix shingle of more classes is not paired row by row.
 PAIRED_CLASSES = 64
 # Prefix extensions tried, and the cost of a verification in posting reads.
@@ -38,6 +44,8 @@ VERIFY_COST = 25.0
 # Shingles and classes of a block of a bundle.
 BLOCK_SHINGLES = 250_000
 BLOCK_CLASSES = 800
+# Share of the corpus' shingles, by rows, whose sets are moved at a time.
+MOVED_SHARE = 0.25
 # Bits of the filter that says whose sets are wanted; a full filter only lets more sets through.
 FILTER_BITS = 1 << 26
 
@@ -96,11 +104,34 @@ class Shingler:
     def __init__(self, words: int) -> None:
         self.words = words
 
-    def __call__(self, text: str | None) -> np.ndarray:
+    def word_hashes(self, text: str | None) -> np.ndarray:
         # Bytes are split at ASCII white space only.
-        hashes = _word_hashes(text.encode("utf-8", "surrogatepass").translate(_CASE) if text else b"")
+        return _word_hashes(text.encode("utf-8", "surrogatepass").translate(_CASE) if text else b"")
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        return self.of_words(self.word_hashes(text))
+
+    def of_words(self, hashes: np.ndarray) -> np.ndarray:
         if not len(hashes):
             return hashes
+        out = self._windows(hashes)
+        out.sort()
+        return out[np.append(True, out[1:] != out[:-1])]
+
+    def weighed(self, text: str | None, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Shingles as by a call, and the sum of the ``weights`` of each one's words; equal shingles weigh the same."""
+        hashes = self.word_hashes(text)
+        if not len(hashes):
+            return hashes, np.zeros(0, np.int64)
+        out = self._windows(hashes)
+        each = weights[(hashes >> np.uint64(64 - WORD_BITS)).view(np.int64)]
+        sums = sum(each[i : len(out) + i] for i in range(min(self.words, len(hashes))))
+        order = np.argsort(out, kind="stable")
+        out = out[order]
+        kept = np.append(True, out[1:] != out[:-1])
+        return out[kept], sums[order[kept]]
+
+    def _windows(self, hashes: np.ndarray) -> np.ndarray:
         k = min(self.words, len(hashes))
         n = len(hashes) - k + 1
         out = hashes[:n] * _B
@@ -111,8 +142,7 @@ class Shingler:
             out = out + np.uint64(len(hashes))
         out = (out ^ (out >> np.uint64(29))) * _B
         out ^= out >> np.uint64(32)
-        out.sort()
-        return out[np.append(True, out[1:] != out[:-1])]
+        return out
 
 
 def _digest(shingles: np.ndarray, salt: int) -> tuple[int, int]:
@@ -123,31 +153,43 @@ def _digest(shingles: np.ndarray, salt: int) -> tuple[int, int]:
 _SCANNED = schema_of("doc_id bigint, n bigint, key bigint, check bigint, chunk int, spread int, counts binary")
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counters as bytes, one byte of each after the other: a task's are small, so most of them are zeros."""
+    return zlib.compress(counts.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(packed), np.uint8).reshape(8, -1).T).view("<u8").ravel().astype(np.int64)
+
+
 def _scan(docs: DataFrame, rule: Rule, salt: int) -> DataFrame:
-    """Set size and class key of every row, and at the end of a task the chunks of its part of the sketch."""
+    """Set size and class key of every row, and at the end of a task the chunks of its part of the sketch and of the word counts."""
     arrow = arrow_schema(_SCANNED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(rule.words)
         sketch = np.zeros(1 << SKETCH_BITS, np.int64)
+        words = np.zeros(1 << WORD_BITS, np.int64)
         spread = 0
         for batch in batches:
             sizes, keys, checks = [], [], []
             ids = batch.column(0).cast(pa.int64())
             for i in range(batch.num_rows):
-                own = shingler(batch.column(1)[i].as_py())
+                hashes = shingler.word_hashes(batch.column(1)[i].as_py())
+                own = shingler.of_words(hashes)
                 sizes.append(len(own))
                 key, check = _digest(own, salt) if len(own) else (None, None)
                 keys.append(key)
                 checks.append(check)
                 if len(own):
                     np.add.at(sketch, (own >> np.uint64(64 - SKETCH_BITS)).view(np.int64), 1)
+                    np.add.at(words, (hashes >> np.uint64(64 - WORD_BITS)).view(np.int64), 1)
                     spread = (spread + (key or 0)) & 31
             none = pa.nulls(batch.num_rows)
             cols = [ids, pa.array(sizes), pa.array(keys, pa.int64()), pa.array(checks, pa.int64()), none, none, none]
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, arrow, strict=True)], schema=arrow)
         size = 1 << CHUNK_BITS
-        counts = [sketch[at : at + size].tobytes() for at in range(0, len(sketch), size)]
+        counts = [_packed(part[at : at + size]) for part in (sketch, words) for at in range(0, len(part), size)]
         none = pa.nulls(len(counts))
         cols = [none, none, none, none, pa.array(range(len(counts))), pa.array([spread] * len(counts)), pa.array(counts)]
         yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, arrow, strict=True)], schema=arrow)
@@ -155,21 +197,39 @@ def _scan(docs: DataFrame, rule: Rule, salt: int) -> DataFrame:
     return map_in_arrow(docs.select("doc_id", "text"), run, _SCANNED)
 
 
-def _sketch(scanned: DataFrame) -> np.ndarray:
-    """Sum of all tasks' sketches, by way of 32 partial sums a chunk; its size is fixed."""
+def _sketch(scanned: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of all tasks' sketches and word counts, by way of 32 partial sums a chunk; their sizes are fixed."""
 
     def add(parts: pd.DataFrame) -> pd.DataFrame:
-        total = np.sum([np.frombuffer(c, np.int64) for c in parts["counts"]], axis=0)
-        return pd.DataFrame({"chunk": [parts["chunk"].iloc[0]], "counts": [total.tobytes()]})
+        total = np.zeros(1 << CHUNK_BITS, np.int64)
+        for counts in parts["counts"]:
+            total += _unpacked(counts)
+        return pd.DataFrame({"chunk": [parts["chunk"].iloc[0]], "counts": [_packed(total)]})
 
     out = scanned.where("chunk IS NOT NULL").select("chunk", "spread", "counts")
     for keys in (["chunk", "spread"], ["chunk"]):
         out = out.groupBy(*keys).applyInPandas(add, "chunk int, counts binary")
-    total = np.zeros(1 << SKETCH_BITS, np.int64)
-    for row in out.collect():
-        start = row["chunk"] << CHUNK_BITS
-        total[start : start + (1 << CHUNK_BITS)] = np.frombuffer(row["counts"], np.int64)
-    return total
+    totals = np.zeros(1 << SKETCH_BITS, np.int32), np.zeros(1 << WORD_BITS, np.int64)
+    summed = cut_lineage(out, drop_shuffles=True)
+    for row in summed.collect():
+        start, counts = row["chunk"] << CHUNK_BITS, _unpacked(row["counts"])
+        if start < 1 << SKETCH_BITS:
+            totals[0][start : start + len(counts)] = np.minimum(counts, np.iinfo(np.int32).max)
+        else:
+            totals[1][start - (1 << SKETCH_BITS) :][: len(counts)] = counts
+    release(summed)
+    return totals
+
+
+def prefix_order(seen: np.ndarray, weights: np.ndarray, usual: float) -> np.ndarray:
+    """Order of a set's shingles, rare ones first, from what is the same for a shingle in every set.
+
+    ``seen`` are counters of the sketch. ``weights`` are sixteenths of the logarithm of how often chance makes a shingle
+    of its words, over what is ``usual``: twice to one step up, and none below a quarter.
+    """
+    steps = np.maximum((weights - round(usual)) // 32 + 2, 0)
+    # Shingles lie in their order already, which settles ties.
+    return np.argsort((steps << 32) + seen, kind="stable")
 
 
 def extension(seen: np.ndarray, size: int, need: int) -> int:
@@ -187,18 +247,23 @@ def extension(seen: np.ndarray, size: int, need: int) -> int:
 _POSTINGS = schema_of("token bigint, key bigint, n int, ell int")
 
 
-def _postings(docs: DataFrame, rule: Rule, salt: int, sketch: np.ndarray) -> DataFrame:
+def _postings(docs: DataFrame, rule: Rule, salt: int, sketch: np.ndarray, words: np.ndarray) -> DataFrame:
     """Prefix shingles of every class; a task names a class once, as long as it remembers it."""
     arrow = arrow_schema(_POSTINGS)
     noise = int(np.median(sketch))
-    sent = docs.sparkSession.sparkContext.broadcast(np.minimum(sketch, np.iinfo(np.int32).max).astype(np.int32))
+    # Logarithms in whole sixteenths add up to the same in any order.
+    logs = np.round(16 * np.log2(words + 1.0)).astype(np.int64)
+    usual = 16 * (rule.words - 1) * float(np.log2(words.sum() + 1.0))
+    # Two bytes a counter: those far below the usual count as rare, those far above as common, whatever their number.
+    least = max(0, noise - 16 * int(noise**0.5 + 1))
+    sent = docs.sparkSession.sparkContext.broadcast(((np.clip(sketch, least, least + 65535) - np.int32(least)).astype(np.uint16), logs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, shingler, done = sent.value, Shingler(rule.words), set()
+        (counts, logs), shingler, done = sent.value, Shingler(rule.words), set()
         for batch in batches:
             held, cols = 0, ([], [], [], [])
             for i in range(batch.num_rows):
-                own = shingler(batch.column(0)[i].as_py())
+                own, weights = shingler.weighed(batch.column(0)[i].as_py(), logs)
                 if not len(own):
                     continue
                 key = _digest(own, salt)[0]
@@ -207,11 +272,10 @@ def _postings(docs: DataFrame, rule: Rule, salt: int, sketch: np.ndarray) -> Dat
                 if len(done) > 50_000:
                     done.clear()
                 done.add(key)
-                seen = counts[(own >> np.uint64(64 - SKETCH_BITS)).view(np.int64)]
+                seen = counts[(own >> np.uint64(64 - SKETCH_BITS)).view(np.int64)].astype(np.int64) + least
                 need = rule.need(len(own))
                 longest = min(len(own), len(own) - need + min(MAX_EXTENSION, need))
-                # Shingles lie in their order already, which settles ties.
-                order = np.argsort(seen, kind="stable")[:longest]
+                order = prefix_order(seen, weights, usual)[:longest]
                 # What the sketch cannot tell from chance counts as one standard deviation.
                 others = np.maximum(seen[order].astype(np.float64) - max(noise, 1), noise**0.5)
                 ell = extension(others, len(own), need)
@@ -228,13 +292,26 @@ def _postings(docs: DataFrame, rule: Rule, salt: int, sketch: np.ndarray) -> Dat
     return map_in_arrow(docs.select("text"), run, _POSTINGS)
 
 
-def _candidates(cold: DataFrame, rule: Rule) -> DataFrame:
+_SIDE = {"key": "", "n": "n", "ell": "l"}
+
+
+def _lists(cold: DataFrame) -> DataFrame:
+    """The classes of each prefix shingle of few, in order."""
+    return cold.groupBy("token").agg(F.array_sort(F.collect_list(F.struct("key", "n", "ell"))).alias("l")).select("l")
+
+
+def _candidates(lists: DataFrame, held: DataFrame, rule: Rule) -> DataFrame:
     """Pairs u < v of fitting sizes that share enough prefix shingles; lists are short, so they fit a row.
 
+    Lists are dealt by their least class and equal ones made one, so pairs of a cluster are mostly added up where they
+    are made, and what travels grows with the pairs, not with the shingles they share.
+
+    ``held`` has the number of a class' prefix shingles of many classes, which are in no list: a pair may share those of both.
+
     Of the shingles that a pair shares, those in the prefix that ends first are in both prefixes; the others are in the
     rest of that class. So a link also needs as many matches as its own sizes ask for beyond the longer rest.
     """
-    lists = cold.groupBy("token").agg(F.array_sort(F.collect_list(F.struct("key", "n", "ell"))).alias("l"))
+    lists = lists.withColumn("least", F.col("l")[0]["key"]).repartition("least").groupBy("least", "l").agg(F.count(F.lit(1)).alias("times"))
     pairs = F.flatten(
         F.transform(
             "l",
@@ -244,31 +321,51 @@ def _candidates(cold: DataFrame, rule: Rule) -> DataFrame:
                     lambda b: F.least(a["n"], b["n"]) * rule.whole >= F.greatest(a["n"], b["n"]) * rule.part,
                 ),
                 lambda b: F.struct(
-                    a["key"].alias("u"), b["key"].alias("v"), a["n"].alias("nu"), b["n"].alias("nv"), a["ell"].alias("lu"), b["ell"].alias("lv")
+                    *[a[c].alias(f"{name}u") for c, name in _SIDE.items()], *[b[c].alias(f"{name}v") for c, name in _SIDE.items()]
                 ),
             ),
         )
     )
-    met = lists.select(F.explode(pairs).alias("p")).select("p.*")
+    met = lists.select("times", F.explode(pairs).alias("p")).select("times", "p.*")
     counted = met.groupBy("u", "v").agg(
-        F.count(F.lit(1)).alias("shared"), *[F.first(c).alias(c) for c in ("nu", "nv", "lu", "lv")]
+        F.sum("times").alias("shared"), *[F.first(c).alias(c) for c in ("nu", "nv", "lu", "lv")]
     )
+    for side in "uv":
+        counted = counted.join(held.select(F.col("key").alias(side), F.col("hot").alias(f"h{side}")), side, "left")
+    counted = counted.withColumn("shared", F.col("shared") + F.least(*[F.coalesce(h, F.lit(0)) for h in ("hu", "hv")]))
     rest = [F.ceil(F.col(f"n{s}") * rule.part / rule.whole) - F.col(f"l{s}") for s in "uv"]
     least = F.ceil((F.col("nu") + F.col("nv")) * rule.part / (rule.whole + rule.part)) - F.greatest(*rest)
     return counted.where((F.col("shared") >= F.least("lu", "lv")) & (F.col("shared") >= least)).select("u", "v")
 
 
-def _wanted_bits(keys: DataFrame) -> tuple[int, dict[int, bytes]]:
-    """Bit filter of the class keys, of bounded size: bits and its pages of 32,768 bits."""
+def _chains(hot: DataFrame) -> DataFrame:
+    """Edges u, v that chain the classes of each shingle of many which may link by such shingles alone.
+
+    A link asks for the lesser ``ell`` of both. A pair with fewer hot shingles on either side shares a cold one as well,
+    so one of a pair that does not has as many as its own ``ell``, and the other as many as that.
+    """
+    asked = F.min(F.when(F.col("hot") >= F.col("ell"), F.col("ell"))).alias("asked")
+    alone = hot.join(hot.groupBy("token").agg(asked).where("asked IS NOT NULL"), "token").where("hot >= asked")
+    centres = alone.groupBy("token").agg(F.min("key").alias("v"))
+    return alone.join(centres, "token").select(F.col("key").alias("u"), "v").where("u <> v").distinct()
+
+
+def _wanted_bits(keys: DataFrame, column: str = "key") -> tuple[int, dict[int, bytes]]:
+    """Bit filter of the class keys, or another ``column``, of bounded size: bits and its pages of 32,768 bits."""
     n = keys.count()
-    bits = min(FILTER_BITS, 1 << max(16, (16 * n).bit_length()))
-    bit = F.col("key").bitwiseAND(F.lit(bits - 1)) + 1
+    bits = min(FILTER_BITS, 1 << max(16, (64 * n).bit_length()))
+    bit = F.col(column).bitwiseAND(F.lit(bits - 1)) + 1
     pages = keys.groupBy(F.call_function("bitmap_bucket_number", bit).alias("page")).agg(
         F.call_function("bitmap_construct_agg", F.call_function("bitmap_bit_position", bit)).alias("bitmap")
     )
     return bits, {r["page"] - 1: bytes(r["bitmap"]) for r in pages.collect()}
 
 
+def _has(bits: int, pages: dict[int, bytes], key: int) -> bool:
+    page, place = divmod(key & (bits - 1), 32768)
+    return page in pages and bool(pages[page][place >> 3] >> (place & 7) & 1)
+
+
 def _sets(docs: DataFrame, rule: Rule, salt: int, keys: DataFrame) -> DataFrame:
     """Shingle sets of the classes in ``keys``, and some more. Texts are read again; only wanted sets leave their task."""
     bits, pages = _wanted_bits(keys)
@@ -285,8 +382,7 @@ def _sets(docs: DataFrame, rule: Rule, salt: int, keys: DataFrame) -> DataFrame:
                 if not len(own):
                     continue
                 key = _digest(own, salt)[0]
-                page, place = divmod(key & (bits - 1), 32768)
-                if key in done or page not in wanted or not wanted[page][place >> 3] >> (place & 7) & 1:
+                if key in done or not _has(bits, wanted, key):
                     continue
                 if len(done) > 50_000:
                     done.clear()
@@ -395,6 +491,17 @@ def _verify_bundles(members: DataFrame, sets: DataFrame, rule: Rule) -> DataFram
     return dealt.groupBy("bundle", "i", "j").applyInPandas(lambda g: _compare_blocks(g, rule), GROUPED)
 
 
+def _verify(docs: DataFrame, rule: Rule, salt: int, members: DataFrame, total: int) -> list[DataFrame]:
+    """``_verify_bundles`` of all bundles, written; bundles take turns when ``MOVED_SHARE`` of ``total`` shingles is not enough."""
+    held = members.agg(F.sum(F.col("n") * F.col("rows"))).first()[0] or 0
+    turns = max(1, -(-held // max(1, int(MOVED_SHARE * total))))
+    found = []
+    for turn in range(turns):
+        own = members.where(F.pmod(F.xxhash64("bundle"), F.lit(turns)) == turn)
+        found.append(cut_lineage(_verify_bundles(own, _sets(docs, rule, salt, own.select("key")), rule), drop_shuffles=True))
+    return found
+
+
 def _classes_and_groups(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame, int]:
     """Rows (doc_id, n, key), classes (key, root, n_links, component_id) and the salt of the keys."""
     salt = 0
@@ -404,23 +511,27 @@ def _classes_and_groups(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFra
         classes = cut_lineage(
             rows.where("n > 0")
             .groupBy("key", "check", "n")
-            .agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows"))
+            .agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows")),
+            drop_shuffles=True,
         )
         # Keys are 64 of 128 digest bits; should two classes ever share one, all are keyed anew.
         if classes.groupBy("key").count().where("count > 1").isEmpty():
             break
         salt += 1
-    postings = cut_lineage(_postings(docs, rule, salt, _sketch(scanned)).dropDuplicates(["token", "key"]))
-    met = cut_lineage(postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
-    shared = cut_lineage(postings.join(met, "token"))
-    cold, hot = shared.where(F.col("df") <= PAIRED_CLASSES), shared.where(F.col("df") > PAIRED_CLASSES)
-    centres = hot.groupBy("token").agg(F.min("key").alias("v"))
-    chains = hot.join(centres, "token").select(F.col("key").alias("u"), "v").where("u <> v").distinct()
-    chained = components(_candidates(cold, rule).unionByName(chains))
+    total = classes.agg(F.sum(F.col("n") * F.col("rows"))).first()[0] or 0
+    postings = cut_lineage(_postings(docs, rule, salt, *_sketch(scanned)).dropDuplicates(["token", "key"]), drop_shuffles=True)
+    met = cut_lineage(postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), drop_shuffles=True)
+    lists = cut_lineage(_lists(postings.join(met.where(F.col("df") <= PAIRED_CLASSES), "token")), drop_shuffles=True)
+    hot_tokens = cut_lineage(met.where(F.col("df") > PAIRED_CLASSES))
+    hot = cut_lineage(postings.join(hot_tokens, "token"), drop_shuffles=True)
+    release(postings, met, hot_tokens)
+    held = cut_lineage(hot.groupBy("key").agg(F.count(F.lit(1)).alias("hot")), drop_shuffles=True)
+    chained = components(_candidates(lists, held, rule).unionByName(_chains(hot.join(held, "key"))))
     bundles = chained.withColumnsRenamed({"node": "key", "root": "bundle"})
-    members = cut_lineage(classes.select("key", "n", "rows").join(bundles, "key"))
-    release(postings, met, shared, chained)
-    found = cut_lineage(_verify_bundles(members, _sets(docs, rule, salt, members.select("key")), rule))
+    members = cut_lineage(classes.select("key", "n", "rows").join(bundles, "key"), drop_shuffles=True)
+    release(lists, hot, held, chained)
+    parts = _verify(docs, rule, salt, members, total)
+    found = reduce(DataFrame.unionByName, parts)
     roots = components(found.where("v IS NOT NULL").select("u", "v"))
     links = found.where("v IS NULL").groupBy("u").agg(F.sum("links").alias("links"))
     named = (
@@ -428,8 +539,8 @@ def _classes_and_groups(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFra
         .join(links.withColumnRenamed("u", "key"), "key", "left")
         .select("key", "least", F.coalesce("root", "key").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("rows") - 1).alias("n_links"))
     )
-    named = cut_lineage(named)
-    release(found, members, roots)
+    named = cut_lineage(named, drop_shuffles=True)
+    release(*parts, members, roots, classes)
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     known = named.join(least, "root").select("key", "root", "n_links", "component_id")
     return rows, known, salt

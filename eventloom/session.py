@@ -45,14 +45,27 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return _SCRATCH[app]
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+# Removes an execution's shuffle files when it ends (Spark 4.1); else they stay until the driver collects garbage.
+_DROPS_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def cut_lineage(df: DataFrame, drop_shuffles: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Lost executors then cost a read instead of a recomputation, and unlike an RDD checkpoint the
-    result has sizes the planner can use and columns that are read only when needed.
+    result has sizes the planner can use and columns that are read only when needed. With
+    ``drop_shuffles`` the shuffle files of the writing are gone when it is done.
     """
-    path = f"{checkpoint_folder(df.sparkSession)}/eventloom-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark)}/eventloom-{uuid.uuid4().hex}"
+    before = spark.conf.get(_DROPS_SHUFFLES, None)
+    if drop_shuffles:
+        spark.conf.set(_DROPS_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if drop_shuffles:
+            spark.conf.unset(_DROPS_SHUFFLES) if before is None else spark.conf.set(_DROPS_SHUFFLES, before)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._written_path = path
     return out

@@ -2,12 +2,15 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from eventloom.llm import jaccard, sharding, winnowing
 from eventloom.llm.components import components
+from eventloom.session import cut_lineage
 
 
 def shingles(text, n):
@@ -189,3 +192,76 @@ def test_words_are_hashed_together(monkeypatch):
     calls = []
     monkeypatch.setattr(jaccard.hashlib, "blake2b", lambda *a, **k: calls.append(a))
     assert len(jaccard.Shingler(3)(" ".join(f"word{i}" for i in range(1000)))) == 998 and not calls
+
+
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for folder in folders for f in Path(folder).rglob("shuffle_*.data")}
+
+
+def test_a_written_table_can_leave_no_shuffle_files(spark):
+    before = shuffle_files(spark)
+    shuffled = spark.range(10000).selectExpr("id % 100 AS k").groupBy("k").count().repartition("count", "k")
+    written = cut_lineage(shuffled, drop_shuffles=True)
+    for _ in range(100):  # they go in the background
+        if left := shuffle_files(spark) - before:
+            time.sleep(0.1)
+    assert not left and written.count() == 100
+    cut_lineage(shuffled)
+    assert shuffle_files(spark) - before
+
+
+def spied(monkeypatch, name):
+    """Calls of a function of the module: lists of arguments and result."""
+    calls, plain = [], getattr(jaccard, name)
+
+    def spy(*args):
+        calls.append([*args, plain(*args)])
+        return calls[-1][-1]
+
+    monkeypatch.setattr(jaccard, name, spy)
+    return calls
+
+
+def test_a_phrase_of_many_texts_bundles_none(docs, prose, monkeypatch):
+    """Where the order does not keep a phrase of many texts out of prefixes, it chains none: a link asks for more."""
+    rule = jaccard.Rule(3, 4, 5)
+    monkeypatch.setattr(jaccard, "PAIRED_CLASSES", 8)
+    monkeypatch.setattr(jaccard, "extension", lambda seen, size, need: jaccard.MAX_EXTENSION)
+    monkeypatch.setattr(jaccard, "prefix_order", lambda seen, weights, usual: np.arange(len(seen)))
+    bundled, plain = [], jaccard._verify_bundles
+    monkeypatch.setattr(jaccard, "_verify_bundles", lambda members, *args: [bundled.append(members.count()), plain(members, *args)][1])
+    rows = [(i, f"zeta eta theta iota kappa lambda {prose(i, 50)}") for i in range(60)] + [(100 + i, edits(prose(900, 200), i, 1)) for i in range(12)]
+    got = [(r.doc_id, r.n_shingles, r.n_links, r.component_id) for r in jaccard.jaccard_groups(docs(rows), rule).collect()]
+    assert sorted(got) == sorted(brute(rows, rule)) and sum(bundled) == 12
+
+
+def test_edges_of_shingles_of_many_classes(spark):
+    rows = [("few", k, 100, 8, 3) for k in range(20)] + [("own", k, 100, 4, 4) for k in range(20, 30)] + [("own", 30, 100, 8, 5), ("own", 31, 100, 8, 3)]
+    hot = spark.createDataFrame([(hash(t), k, n, ell, h) for t, k, n, ell, h in rows], "token bigint, key bigint, n int, ell int, hot bigint")
+    assert {(r.u, r.v) for r in jaccard._chains(hot).collect()} == {(k, 20) for k in range(21, 31)}
+
+
+def test_bundles_take_turns(docs, prose, monkeypatch):
+    monkeypatch.setattr(jaccard, "MOVED_SHARE", 0.2)
+    calls = spied(monkeypatch, "_verify_bundles")
+    rows = corpus(prose)
+    got = [(r.doc_id, r.n_shingles, r.n_links, r.component_id) for r in jaccard.jaccard_groups(docs(rows)).collect()]
+    order = lambda r: tuple(-1 if x is None else x for x in r)
+    assert sorted(got, key=order) == sorted(brute(rows, jaccard.Rule()), key=order) and len(calls) > 1
+
+
+def test_equal_lists_are_paired_once(spark, monkeypatch):
+    """Pairs of a cluster add up before they are dealt, whatever the number of shingles they share."""
+    keys = [(k, 100, 2) for k in range(1, 13)]
+    lists = spark.createDataFrame([(keys,)] * 50 + [(keys[1:],)], "l array<struct<key bigint, n int, ell int>>")
+    held = spark.createDataFrame([], "key bigint, hot bigint")
+    found = jaccard._candidates(lists, held, jaccard.Rule(5, 4, 5))
+    assert {(r.u, r.v) for r in found.collect()} == {(u, v) for u in range(1, 13) for v in range(u + 1, 13)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("Aggregate [least") < plan.index("RepartitionByExpression [least")
+
+
+def test_shingles_of_common_words_come_last():
+    logs = np.array([16 * 20, 16 * 20, 16 * 3, 16 * 3])
+    assert jaccard.prefix_order(np.array([7, 5, 9, 8]), logs, usual=16 * 10).tolist() == [3, 2, 1, 0]
