@@ -23,7 +23,8 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -568,27 +569,76 @@ def one_of_each_group(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """
     rows, known, salt = _classes_and_groups(docs, rule)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "key"))
-    kept = rows.where("n > 0").join(known.select("key", "root"), "key").groupBy("root").agg(first.alias("f"))
-    kept = kept.select(F.col("f.doc_id").alias("kept_id"), F.col("f.key").alias("kept_key"), F.lit(True).alias("kept"))
-    tagged = _tagged(docs, rule, salt)
-    met = tagged.join(kept, tagged["key"].eqNullSafe(kept["kept_key"]) & tagged["id"].eqNullSafe(kept["kept_id"]), "left")
-    copy = F.row_number().over(Window.partitionBy("id", "key").orderBy("id"))
-    return met.withColumn("copy", copy).where("key IS NULL OR kept AND copy = 1").select("row.*")
-
-
-def _tagged(docs: DataFrame, rule: Rule, salt: int) -> DataFrame:
-    """Rows as one column beside their id and class key."""
-    kept = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["doc_id"].cast("long").alias("id"))
-    schema = T.StructType([*kept.schema.fields, T.StructField("key", T.LongType())])
+    found = cut_lineage(rows.where("n > 0").join(known.select("key", "root"), "key").select("doc_id", "key", "root"), drop_shuffles=True)
+    kept = found.groupBy("root").agg(first.alias("f"))
+    kept = kept.select(*_place(F.col("f.doc_id")), F.col("f.key").alias("key"), F.lit(True).alias("stays"))
+    named = found.groupBy(*_place(F.col("doc_id")), "key").agg(F.first("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
+    named = named.join(kept, ["id", "missing", "key"], "left").withColumn("kept", F.col("stays").isNotNull())
+    named = cut_lineage(named.withColumns({"slot": F.xxhash64("doc_id"), "mark": _mark(F.col("doc_id"), F.col("key"))}), drop_shuffles=True)
+    release(found)
+    open_ids = _wanted_bits(named.where("NOT kept OR copies > 1"), "slot")
+    kept_rows = _wanted_bits(named.where("kept"), "mark")
+    # Whose id is not in the first filter stays. Of the others, those outside the second go, and few are left to be joined.
+    sent = docs.sparkSession.sparkContext.broadcast((open_ids, kept_rows))
+    sure, left = _sure(docs, sent), _left(docs, rule, salt, sent)
+    chosen = named.where("kept").select("id", "missing", "key")
+    copy = F.row_number().over(Window.partitionBy("id", "missing", "key").orderBy("id"))
+    met = left.select("row", *_place(F.col("id")), "key").join(chosen, ["id", "missing", "key"]).withColumn("copy", copy)
+    return sure.unionByName(met.where("copy = 1").select("row.*"))
+
+
+def _mark(doc_id: Column, key: Column) -> Column:
+    return key.bitwiseXOR(F.coalesce(doc_id, F.lit(-1)).cast("long"))
+
+
+def _place(doc_id: Column) -> list[Column]:
+    """Id as two columns that are never null, so that a join and a window need the same exchange."""
+    return [F.coalesce(doc_id, F.lit(0)).cast("long").alias("id"), doc_id.isNull().alias("missing")]
+
+
+def _slotted(docs: DataFrame) -> DataFrame:
+    """Rows as one column beside their id and its slot in the filter of open ids."""
+    ids = docs["doc_id"].cast("long")
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), ids.alias("id"), F.xxhash64(ids).alias("slot"))
+
+
+def _sure(docs: DataFrame, sent: Broadcast) -> DataFrame:
+    """Rows that stay whatever their set: all of ids that are not open, and those without words."""
+    place = docs.columns.index("text")
+    kept = _slotted(docs).select("row", "slot")
+    schema = T.StructType(kept.schema.fields[:1])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (bits, pages), _ = sent.value
+        shingler = Shingler(1)
+        for batch in batches:
+            texts = batch.column(0).field(place)
+            slots = batch.column(1).to_pylist()
+            keep = [not _has(bits, pages, slot) or not len(shingler.word_hashes(texts[i].as_py())) for i, slot in enumerate(slots)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep, pa.bool_()))], names=["row"])
+
+    return map_in_arrow(kept, run, schema).select("row.*")
+
+
+def _left(docs: DataFrame, rule: Rule, salt: int, sent: Broadcast) -> DataFrame:
+    """Rows of open ids that may stay, as one column beside their id and class key; rows without words are left out."""
     place = docs.columns.index("text")
+    kept = _slotted(docs)
+    schema = T.StructType([*kept.schema.fields[:2], T.StructField("key", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (bits, pages), (row_bits, row_pages) = sent.value
         shingler = Shingler(rule.words)
         for batch in batches:
-            keys = []
-            for text in batch.column(0).field(place):
-                own = shingler(text.as_py())
-                keys.append(_digest(own, salt)[0] if len(own) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.int64())], names=["row", "id", "key"])
+            texts, ids, slots = batch.column(0).field(place), batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            places, keys = [], []
+            for i, slot in enumerate(slots):
+                own = shingler(texts[i].as_py()) if _has(bits, pages, slot) else ()
+                key = _digest(own, salt)[0] if len(own) else None
+                if key is not None and _has(row_bits, row_pages, key ^ (-1 if ids[i] is None else ids[i])):
+                    places.append(i)
+                    keys.append(key)
+            rows = batch.take(pa.array(places, pa.int64()))
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(keys, pa.int64())], names=["row", "id", "key"])
 
     return map_in_arrow(kept, run, schema)

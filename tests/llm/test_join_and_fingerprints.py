@@ -265,3 +265,13 @@ def test_equal_lists_are_paired_once(spark, monkeypatch):
 def test_shingles_of_common_words_come_last():
     logs = np.array([16 * 20, 16 * 20, 16 * 3, 16 * 3])
     assert jaccard.prefix_order(np.array([7, 5, 9, 8]), logs, usual=16 * 10).tolist() == [3, 2, 1, 0]
+
+
+def test_few_texts_are_dealt_to_choose_rows(docs, prose, monkeypatch):
+    """Rows of groups of their own and rows that go are told apart where they are."""
+    calls = spied(monkeypatch, "_left")
+    rows = [(i, prose(i, 60)) for i in range(200)] + [(1000 + i, prose(i, 60)) for i in range(20)] + [(5, prose(5, 60)), (None, "a null"), (None, "a null"), (7, " ")]
+    got = [r.doc_id for r in jaccard.one_of_each_group(docs(rows)).collect()]
+    assert sorted(i for i in got if i is not None) == sorted([*range(200), 7]) and got.count(None) == 1
+    # The two rows 5, one of the null ids' and some that the filters mistake.
+    assert 3 <= calls[0][-1].count() <= 12
